@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, secrets, token_store
+from . import bpe, minhash, packing, secrets, substring, token_store
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op3_substring": substring.op3_substring,
     "op4_bpe": bpe.op4_bpe,
     "op5_packing": packing.op5_packing,
+    "op8_minhash": minhash.op8_minhash,
     "op10_token_store": token_store.op10_token_store,
 }
 ORACLES: dict[str, str] = {}
