@@ -24,7 +24,7 @@ from .common import table
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 NEVER = 1 << 60
-PAIRS, CHUNKS = 2_000_000, 500_000
+PAIRS = 2_000_000
 
 
 def byte_characters() -> list[str]:
@@ -59,7 +59,6 @@ class Vocabulary:
         self.split = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.known_pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[str, int, bytes]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the tokens stay apart when their bytes are encoded together.
@@ -135,38 +134,45 @@ class Vocabulary:
         return ",".join(map(str, found)), len(found), self.decode(found)
 
 
-class Chunks(dict):
-    """Chunk -> what ``Vocabulary.chunk`` returns, each found once while it is kept."""
+class Encoder(encoding.Encoder):
+    """Remembers for each chunk its ids as decimals joined by commas, their number and the bytes they decode to."""
 
-    def __init__(self, vocabulary: Vocabulary, prefix: str):
-        self.vocabulary, self.prefix = vocabulary, prefix
-
-    def __missing__(self, key: str) -> tuple[str, int, bytes]:
-        self[key] = found = self.vocabulary.chunk(key if key[:1] == "\n" else self.prefix + key)
-        return found
+    def __init__(self, path: str):
+        self.vocabulary = Vocabulary(path)
+        super().__init__(None, words_only=False)
+
+    def _start(self) -> None:
+        self.table, self.decimals, self.numbers, self.decoded = encoding.Remembered(), [], [], []
+
+    def learned(self, texts: list[str]) -> None:
+        for text in texts:
+            shown, number, decoded = self.vocabulary.chunk(text)
+            self.decimals.append(shown)
+            self.numbers.append(number)
+            self.decoded.append(decoded)
+
+    def digests(self, texts: pa.Array) -> Iterator[tuple[int, str, str]]:
+        """Number of ids, SHA-256 of the ids, SHA-256 of the decoded text, for each text."""
+        w, entries, whole = self.entries(texts)
+        decimals, numbers, decoded, entries = self.decimals, self.numbers, self.decoded, entries.tolist()
+        for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)):
+            if whole[i]:
+                ids, n, out = self.vocabulary.chunk(texts[i].as_py() or "")
+            else:
+                mine = entries[a:b]
+                ids, n, out = ",".join([decimals[e] for e in mine]), sum([numbers[e] for e in mine]), b"".join([decoded[e] for e in mine])
+            if not out.isascii():
+                out = out.decode("utf-8", "replace").encode()
+            yield n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(out).hexdigest()
 
 
-_vocabularies: dict[str, list] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def digests(texts: list[str], path: str) -> Iterator[tuple[int, str, str]]:
-    """Number of ids, SHA-256 of the ids, SHA-256 of the decoded text, for each text."""
-    if path not in _vocabularies:
-        v = Vocabulary(path)
-        _vocabularies[path] = [v, Chunks(v, " "), Chunks(v, "")]
-    kept = _vocabularies[path]
-    for text in texts:
-        for k, prefix in ((1, " "), (2, "")):
-            if len(kept[k]) > CHUNKS:
-                kept[k] = Chunks(kept[0], prefix)
-        cut, even = encoding.chunks(text)
-        after, whole = kept[1], kept[2]
-        found = [whole[cut[0]], *[after[c] for c in cut[1:]]] if even and cut else [whole[c] for c in cut]
-        ids = ",".join([x[0] for x in found])
-        decoded = b"".join([x[2] for x in found])
-        if not text.isascii():  # a token may end inside a character, so only the whole is decoded
-            decoded = decoded.decode("utf-8", "replace").encode()
-        yield sum([x[1] for x in found]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+def encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
@@ -174,7 +180,9 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [*zip(*digests([t or "" for t in batch.column(1).to_pylist()], path), strict=True)] or [(), (), ()]
+            texts = batch.column(1)
+            found = [x for a, b in encoding.groups(texts) for x in encoder(path).digests(texts[a:b])]
+            rows = [*zip(*found, strict=True)] or [(), (), ()]
             columns = [batch.column(0), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

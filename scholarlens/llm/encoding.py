@@ -1,23 +1,24 @@
-"""Token ids of whole texts by the tokenizers library, with a bounded cache of chunks between white space.
+"""Token ids of whole texts, each distinct chunk of text encoded once while it is remembered.
 
-A text is cut before white space that follows something else. Both vocabularies split there by themselves, so the
-ids of a text are the ids of its chunks, one after another. Texts in which that cannot be relied on (runs of white
-space, white space beyond blanks and line ends) go through a slower cut or to the library whole.
+A chunk is a word with the one blank or line end before it. Both vocabularies split a text there by themselves, so the
+ids of a text are the ids of its chunks, one after another. Words are found, hashed and looked up for a whole batch at
+once; only new chunks go to the encoder. Texts with other white space than single blanks and line ends go to the
+encoder whole where white space matters.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
+
+from . import words
 
 BYTE_LEVEL, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
-_CHUNK = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-_ASCII_SPACE = "\t\r\x0b\x0c"
-_ODD_SPACE = "".join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)))
-CACHED = 700_000
+#: Places of the table of known chunks, and chunks after which it starts afresh: 60 to 150 MB in a Python worker.
+PLACES, MOST = 1 << 22, 2_500_000
 
 
 def vocabulary(name: str) -> str:
@@ -26,109 +27,181 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def chunks(text: str) -> tuple[list[str], bool]:
-    """Pieces of ``text`` that can be encoded on their own; whether those after the first lack a leading blank.
+class Remembered:
+    """Chunk hash -> number of an entry. A place holds one chunk; a new one takes the place of the old."""
 
-    Such pieces follow one blank each, unless they start with a line end.
-    """
-    if any(c in text for c in _ODD_SPACE[:4] if text.isascii()) or not text.isascii() and any(c in text for c in _ODD_SPACE):
-        return [text], False
-    even = text.replace("\n", " \n")
-    if not text or "  " in even or "\n " in even or even[0] == " " or even[-1] in " \n" or any(c in even for c in _ASCII_SPACE):
-        return _CHUNK.findall(text), False
-    return even.split(" "), True
+    def __init__(self):
+        self.keys = np.zeros(PLACES, np.uint64)
+        self.entry = np.full(PLACES, -1, np.int32)
+        self.size = 0
+
+    def find(self, h: np.ndarray, learn: Callable[[np.ndarray], None]) -> np.ndarray:
+        """Entries of ``h``; ``learn`` is given where in ``h`` each new chunk stands, and adds an entry for each."""
+        place = (h >> np.uint64(42)).astype(np.int64)
+        out = np.where(self.keys[place] == h, self.entry[place], -1)
+        missed = np.flatnonzero(out < 0)
+        if len(missed):
+            new, first, inverse = np.unique(h[missed], return_index=True, return_inverse=True)
+            learn(missed[first])
+            number = np.arange(self.size, self.size + len(new), dtype=np.int32)
+            out[missed] = number[inverse]
+            place = (new >> np.uint64(42)).astype(np.int64)
+            self.keys[place], self.entry[place] = new, number
+            self.size += len(new)
+        return out
 
 
-class Known(dict):
-    """Chunk -> ids; notes what is asked for and not there."""
+class Arena:
+    """Arrays of many entries in one: ``take(entries)`` puts those asked for one after another."""
 
-    def __init__(self):
-        self.missed: list[str] = []
+    def __init__(self, kind: str):
+        self.data, self.used = np.zeros(1 << 16, kind), 0
+        self.starts, self.sizes, self.n = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
+
+    def add(self, data: np.ndarray, sizes: np.ndarray) -> None:
+        while len(self.data) < self.used + len(data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        while len(self.starts) < self.n + len(sizes):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        self.data[self.used : self.used + len(data)] = data
+        self.starts[self.n : self.n + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[self.n : self.n + len(sizes)] = sizes
+        self.used, self.n = self.used + len(data), self.n + len(sizes)
+
+    def take(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The data, and where the data of each entry starts (one more: the end)."""
+        sizes = self.sizes[entries]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0)
+        at += np.repeat(self.starts[entries] - (ends - sizes), sizes)
+        return self.data[at], np.concatenate([[0], ends])
 
-    def __missing__(self, key: str) -> bytes:
-        self.missed.append(key)
-        return b""
+
+_START, _BLANK, _LINE = (np.uint64(x) for x in (0x1B873593CC9E2D51, 0x52DCE729E6546B64, 0x38495AB5C2B2AE35))
+
+
+def spaced(w: words.Words, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The kind of space before each word (0 none, 1 blank, 2 line end), and the texts that must go whole.
+
+    Whole: any space but one blank or one line end between two words, space at either end, and bytes that may be part
+    of white space beyond ASCII.
+    """
+    data, n = w.data, len(texts)
+    odd = np.zeros(n, bool)
+    inner = np.ones(len(w.starts), bool)
+    has = w.first[1:] > w.first[:-1]
+    inner[w.first[:-1][has]] = False
+    before = np.where(w.starts > 0, w.starts - 1, 0)
+    gap = np.zeros(len(w.starts), np.int64)
+    gap[1:] = w.starts[1:] - w.ends[:-1]
+    kind = np.where(data[before] == 32, 1, 2).astype(np.int8) if len(w.starts) else np.zeros(0, np.int8)
+    bad = inner & ((gap != 1) | ~np.isin(data[before], (10, 32)) if len(w.starts) else False)
+    odd[w.doc[bad]] = True
+    kind[~inner] = 0
+    edges = w.offsets
+    odd[:] |= ~has
+    first, last = w.first[:-1][has], w.first[1:][has] - 1
+    odd[np.flatnonzero(has)[(w.starts[first] != edges[:-1][has]) | (w.ends[last] != edges[1:][has])]] = True
+    lead, then = data[:-1], data[1:]
+    strange = np.flatnonzero((lead >= 0xC2) & (lead <= 0xEF))
+    a, b = lead[strange], then[strange]
+    strange = strange[(a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & ((b == 0x9A) | (b == 0xA0)) | (a == 0xE2) & (b <= 0x81) | (a == 0xE3) & (b == 0x80) | (a == 0xEF) & (b == 0xBB)]
+    strange = np.concatenate([strange, np.flatnonzero((data >= 0x1C) & (data <= 0x1F))])
+    odd[np.searchsorted(edges, strange, side="right") - 1] = True
+    return kind, odd
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned integers of ``width`` bytes."""
+    """Ids of texts. ``encode`` gives the ids of new chunks: an array and their numbers."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], words_only: bool):
+        self.encode, self.words_only = encode, words_only
+        self._start()
 
-    def __init__(self, path: str, width: int = 4, words: bool = False):
+    def _start(self) -> None:
+        self.table, self.arena = Remembered(), Arena("u4")
+
+    def learned(self, texts: list[str]) -> None:
+        self.arena.add(*self.encode(texts))
+
+    def entries(self, texts: pa.Array) -> tuple[words.Words, np.ndarray, np.ndarray]:
+        """Words, the entry of each, and the texts that must go whole."""
+        if self.table.size > MOST:
+            self._start()
+        w = words.scan(texts)
+        if self.words_only:
+            h, kind, whole = w.hashes, None, np.zeros(len(texts), bool)
+        else:
+            kind, whole = spaced(w, texts)
+            h = w.hashes ^ np.array([_START, _BLANK, _LINE])[kind]
+        data = w.data.tobytes()
+
+        def learn(at: np.ndarray) -> None:
+            starts, ends = w.starts[at].tolist(), w.ends[at].tolist()
+            text = [data[a:b].decode("utf-8", "replace") for a, b in zip(starts, ends, strict=True)]
+            if kind is not None:
+                text = [("", " ", "\n")[k] + t for k, t in zip(kind[at].tolist(), text, strict=True)]
+            self.learned(text)
+
+        return w, self.table.find(h, learn), whole
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        w, entries, whole = self.entries(texts)
+        data, at = self.arena.take(entries)
+        cut = at[w.first].tolist()
+        out = [data[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        for i in np.flatnonzero(whole).tolist():
+            if text := texts[i].as_py():
+                out[i] = self.encode([text])[0]
+        return out
+
+
+class Library:
+    """Chunks by the tokenizers library, many in one call: it splits at a special token before anything else."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.kind, self.words = np.dtype(f"<u{width}"), words
         self.mark = "<|endoftext|>"
         self.mark_id = self.library.token_to_id(self.mark)
-        self.known, self.whole = Known(), Known()  # chunks after a blank (or words), and chunks as they stand
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of new chunks, many in one call: the library splits at its special token before anything else."""
-        (found,) = self.library.encode_batch_fast([self.mark.join(texts)], add_special_tokens=False)
-        ids = np.array(found.ids, dtype=np.int64)
-        ends = (np.append(np.flatnonzero(ids == self.mark_id), len(ids)) * self.kind.itemsize).tolist()
-        data, starts = ids.astype(self.kind).tobytes(), [0] + [e + self.kind.itemsize for e in ends[:-1]]
-        return [data[a:b] for a, b in zip(starts, ends, strict=True)]
-
-    def _learn(self, known: Known, prefix: str = "") -> None:
-        keys, known.missed = list(set(known.missed)), []
-        full = {k: prefix + k if k[:1] != "\n" else k for k in keys}
-        plain = [k for k in keys if self.mark[:2] not in k]
-        for a in range(0, len(plain), 512):
-            known.update(zip(part := plain[a : a + 512], self._ids([full[k] for k in part]), strict=True))
-        for k in keys:
-            if self.mark[:2] in k:
-                ids = self.library.encode(full[k], add_special_tokens=False).ids
-                known[k] = np.array(ids, dtype=self.kind).tobytes()
-
-    def _look(self, cut: list[tuple[list[str], bool]]) -> list[bytes]:
-        known, whole, out = self.known, self.whole, []
-        for x, even in cut:
-            if not x:
-                out.append(b"")
-            elif even:
-                out.append(b"".join([whole[x[0]], *[known[c] for c in x[1:]]]))
-            else:
-                out.append(b"".join([whole[c] for c in x]))
-        return out
 
-    def many(self, texts: Iterable[str]) -> list[bytes]:
-        for name in ("known", "whole"):
-            if len(getattr(self, name)) > CACHED:
-                setattr(self, name, Known())
-        if self.words:  # white space has no ids of its own
-            cut = [([t] if any(c in t for c in _ODD_SPACE) else t.split(), False) for t in texts]
-        else:
-            cut = [chunks(t) for t in texts]
-        out = self._look(cut)
-        if self.known.missed or self.whole.missed:
-            self._learn(self.known, " ")
-            self._learn(self.whole)
-            out = self._look(cut)
-        return out
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts, sizes = [], []
+        for a in range(0, len(texts), 512):
+            some = texts[a : a + 512]
+            if len(some) == 1 or any("<|" in t for t in some):
+                found = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
+                parts += found
+                sizes.append([len(x) for x in found])
+            else:
+                (found,) = self.library.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)
+                ids = np.array(found.ids, np.uint32)
+                ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
+                parts.append(ids[ids != self.mark_id])
+                sizes.append(np.diff(ends, prepend=-1) - 1)
+        return np.concatenate(parts), np.concatenate(sizes).astype(np.int64)
 
 
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, width: int = 4, words: bool = False) -> Encoder:
+def encoder(path: str, words_only: bool = False) -> Encoder:
     """One encoder for each Python worker, kept from task to task."""
-    key = (path, width, words)
+    key = (path, words_only)
     if key not in _encoders:
-        _encoders[key] = Encoder(*key)
+        _encoders[key] = Encoder(Library(path), words_only)
     return _encoders[key]
 
 
-def groups(texts: list, size: int = 4_000_000) -> Iterable[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``size`` characters."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= size:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def groups(texts: pa.Array, size: int = 4_000_000) -> Iterable[tuple[int, int]]:
+    """Ranges of ``texts`` of about ``size`` bytes."""
+    import pyarrow.compute as pc
+
+    if len(texts):
+        held = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // size
+        cut = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), len(texts)]
+        yield from ((a, b) for a, b in zip(cut[:-1], cut[1:], strict=True) if a < b)

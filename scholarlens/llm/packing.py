@@ -121,20 +121,19 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -
     """doc_id, piece, start, length, ids_crc32 of every document's pieces (null text: empty)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoding.encoder(path, 4, True), np.array([end_id], "<u4").tobytes()
+        encode, end = encoding.encoder(path, words_only=True), np.array([end_id], np.uint32)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids, doc = batch.column(0), []
+            ids, texts, doc = batch.column(0), batch.column(1), []
             piece, start, length, crc = [], [], [], []
             for a, b in encoding.groups(texts):
-                for i, found in enumerate(encode.many([t or "" for t in texts[a:b]]), a):
-                    found += end
-                    for k in range(0, len(found), 4 * size):
-                        part = found[k : k + 4 * size]
+                for i, found in enumerate(encode.ids(texts[a:b]), a):
+                    found = np.concatenate([found, end])
+                    for k in range(0, len(found), size):
+                        part = found[k : k + size]
                         doc.append(i)
-                        piece.append(k // (4 * size))
-                        start.append(k // 4)
-                        length.append(len(part) // 4)
+                        piece.append(k // size)
+                        start.append(k)
+                        length.append(len(part))
                         crc.append(zlib.crc32(part))
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],

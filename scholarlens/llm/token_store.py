@@ -15,8 +15,8 @@ from . import dac, encoding
 from .common import stored, table
 
 #: Rows of the file format: one for each segment of consecutive documents of a part. ``codes`` is a blob of ``dac``.
-SEGMENT = "part int, segment int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, codes binary"
-SEGMENT_CHARS = 8_000_000
+SEGMENT = "part int, segment int, doc_ids array<bigint>, lengths array<bigint>, first bigint, n_tokens bigint, codes binary"
+SEGMENT_BYTES = 8_000_000
 
 
 def segments(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -26,27 +26,28 @@ def segments(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding.encoder(path, 4)
-        part, at = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        encode = encoding.encoder(path)
+        part, at, first = TaskContext.get().partitionId(), 0, 0
+        end = np.array([end_id], np.uint32)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in encoding.groups(texts, SEGMENT_CHARS):
-                found = encode.many([t or "" for t in texts[a:b]])
-                lengths = np.array([len(x) // 4 + 1 for x in found], dtype=np.int64)
-                tokens = np.frombuffer(end.join([*found, b""]), "<u4")
+            ids, texts = batch.column(0), batch.column(1)
+            for a, b in encoding.groups(texts, SEGMENT_BYTES):
+                found = encode.ids(texts[a:b])
+                lengths = np.array([len(x) + 1 for x in found], dtype=np.int64)
+                tokens = np.concatenate([x for ids_of_one in found for x in (ids_of_one, end)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part], pa.int32()),
                         pa.array([at], pa.int32()),
                         pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), ids[a:b]),
                         pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), pa.array(lengths)),
+                        pa.array([first], pa.int64()),
                         pa.array([len(tokens)], pa.int64()),
                         pa.array([dac.encode(tokens)], pa.binary()),
                     ],
-                    names=["part", "segment", "doc_ids", "lengths", "n_tokens", "codes"],
+                    names=["part", "segment", "doc_ids", "lengths", "first", "n_tokens", "codes"],
                 )
-                at += 1
+                at, first = at + 1, first + len(tokens)
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -58,8 +59,7 @@ def documents(store: DataFrame) -> DataFrame:
 
     Only a token count for each part (a task of the writing stage) comes to the driver.
     """
-    sizes = store.groupBy("part", "segment").agg(F.sum("n_tokens").alias("n"))
-    parts = sorted(sizes.groupBy("part").agg(F.sum("n")).collect())
+    parts = sorted(store.groupBy("part").agg(F.sum("n_tokens")).collect())
     base, total = {}, 0
     for part, n in parts:
         base[part] = total
@@ -74,14 +74,11 @@ def documents(store: DataFrame) -> DataFrame:
                 starts = ends - lengths
                 crc = [zlib.crc32(tokens[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + (base[row["part"]] + row["before"])), pa.array(lengths), pa.array(crc, pa.int64())],
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + (base[row["part"]] + row["first"])), pa.array(lengths), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    from pyspark.sql import Window
-
-    before = sizes.select("part", "segment", (F.sum("n").over(Window.partitionBy("part").orderBy("segment")) - F.col("n")).alias("before"))
-    return store.join(before, ["part", "segment"]).select("part", "before", "doc_ids", "lengths", "codes").mapInArrow(local, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return store.select("part", "first", "doc_ids", "lengths", "codes").mapInArrow(local, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
