@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, minhash, packing, secrets, substring, token_store
+from . import bpe, minhash, packing, quality, secrets, substring, token_store, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_quality": quality.op2_quality,
     "op3_substring": substring.op3_substring,
     "op4_bpe": bpe.op4_bpe,
     "op5_packing": packing.op5_packing,
     "op8_minhash": minhash.op8_minhash,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_store": token_store.op10_token_store,
 }
 ORACLES: dict[str, str] = {}
