@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarlens.sources.tables import table
+from scholarlens.sources.tables import importable, table
 
-__all__ = ["shared_dir", "stored", "table", "text_bytes"]
+__all__ = ["importable", "shared_dir", "stored", "table", "text_bytes"]
 
 
 def shared_dir(spark: SparkSession) -> str:

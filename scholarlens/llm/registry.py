@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, minhash, packing, quality, secrets, substring, token_store, toxicity
+from . import ann, bpe, minhash, neardup_vectors, packing, quality, secrets, substring, token_store, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_substring": substring.op3_substring,
     "op4_bpe": bpe.op4_bpe,
     "op5_packing": packing.op5_packing,
+    "op6_vector_dedup": neardup_vectors.op6_vector_dedup,
+    "op7_ann": ann.op7_ann,
     "op8_minhash": minhash.op8_minhash,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_store": token_store.op10_token_store,
