@@ -1,5 +1,205 @@
-"""DuckDB SQL for the registered queries."""
+"""DuckDB SQL for the registered queries, over views of the same tables."""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from scholarlens.functions import constants as k
+
+from . import seeds
+
+
+def _s(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _seeded(key: str, values: list[str]) -> str:
+    return f"[{', '.join(map(_s, values))}][{key} % {len(values)} + 1]"
+
+
+def _gone(c: str, pattern: str, by: str = "") -> str:
+    return f"regexp_replace({c}, {_s(pattern)}, {_s(by)}, 'g')"
+
+
+def _strip(c: str) -> str:
+    return _gone(c, r"^\s+|\s+$")
+
+
+def _whitespace(c: str) -> str:
+    c = _gone(_gone(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
+    return f"array_to_string(list_transform(string_split({c}, chr(10)), lambda l: {_strip('l')}), chr(10))"
+
+
+def _decoded(c: str) -> str:
+    for wrong, right in k.MOJIBAKE[:-1]:
+        c = f"replace({c}, {_s(wrong)}, {_s(right)})"
+    return _gone(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}]")
+
+
+def _boilerplate(c: str) -> str:
+    for pattern in k.BOILERPLATE:
+        c = _gone(c, pattern)
+    return c
+
+
+def _name(c: str, source: str) -> str:
+    c = _strip(_gone(c, r"[ \t]+" if source == "abstract" else r"\s+", " "))
+    for pattern in k.NAME_NOISE[source]:
+        c = _gone(c, pattern)
+    return _strip(c)
+
+
+def _names(found: str, source: str, longer_than: int) -> str:
+    """At most two cleaned names of a list, joined by |."""
+    names = f"list_transform({found}, lambda m: {_name('m', source)})"
+    ok = f"length(n) > {longer_than}"
+    if source != "abstract":
+        capital = r"\p{Lu}" if source == "anywhere" else r"^(?:\p{Lu}|Dr|Prof|Ir)"
+        ok += f" AND length(n) BETWEEN 5 AND 80 AND regexp_matches(n, {_s(capital)})"
+    kept = f"list_filter({names}, lambda n: {ok})"
+    first = f"list_filter({kept}, lambda n, i: list_position(list_transform({kept}, lambda o: lower(o)), lower(n)) = i)"
+    return f"array_to_string(list_slice({first}, 1, 2), '|')"
+
+
+def _matches(c: str, patterns: list[str]) -> str:
+    return f"flatten([{', '.join(f'regexp_extract_all({c}, {_s(p)}, 1)' for p in patterns)}])"
+
+
+def _first_word(low: str, pairs: list[tuple[str, str]], other: str) -> str:
+    return "CASE " + " ".join(f"WHEN contains({low}, {_s(w)}) THEN {_s(v)}" for w, v in pairs) + f" ELSE {other} END"
+
+
+_QUERY = "(SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)"
+_ALIKE = f"list_cosine_similarity(embedding::DOUBLE[], {_QUERY})"
+_TOP = f"SELECT vec_id, label, round({_ALIKE}, 6) AS similarity FROM embeddings WHERE embedding IS NOT NULL AND {_ALIKE} >= {{t}} ORDER BY {_ALIKE} DESC, vec_id LIMIT 10"
+_MEANS = """
+    m AS (SELECT {key}, pos, avg(value) AS mean FROM (SELECT {key}, unnest(embedding::DOUBLE[]) AS value, generate_subscripts(embedding, 1) - 1 AS pos FROM {table}) GROUP BY {key}, pos),
+    n AS (SELECT {key}, sqrt(sum(mean * mean)) AS size FROM m GROUP BY {key}),
+    c AS (SELECT m.{key}, pos, CASE WHEN size > 0 THEN mean / size ELSE mean END AS value FROM m JOIN n USING ({key}))
+"""
+_LABELLED = "l AS (SELECT doc_id, source, lang, text, quality FROM documents LEFT JOIN (SELECT doc_id, quality FROM labels) USING (doc_id))"
+_LISTED = "CASE doc_id % 3 WHEN 0 THEN [] WHEN 1 THEN [source] END"
+_TAGS = f"list_filter(list_transform(list_slice(string_split(text, ' '), 1, 10), lambda w: {_strip('w')}), lambda w: length(w) > 2)"
+_DISTINCT_TAGS = f"list_filter({_TAGS}, lambda w, i: list_position({_TAGS}, w) = i)"
+
+
+def _items(c: str, longer_than: int) -> str:
+    titles = f"list_filter(list_transform(list_slice(string_split({c}, chr(10)), 1, 20), lambda w: {_strip('w')}), lambda w: length(w) > {longer_than})"
+    year = r"coalesce(nullif(regexp_extract(w, '\b((?:19|20)\d{2})\b', 1), ''), '-')"
+    return f"md5(array_to_string(list_transform({titles}, lambda w: concat(w, '/', {year})), '|'))"
+
+
+_ITEMS = f"concat({_seeded('doc_id', seeds.ITEMS)}, text)"
+_LINES = f"list_filter(string_split(concat({_seeded('doc_id', seeds.H_INDEX)}, chr(10), source), chr(10)), lambda x: regexp_matches(lower(x), 'h-index|h index'))"
+_NUMBERS = rf"list_filter(list_transform({_LINES}, lambda x: list_filter(list_transform(regexp_split_to_array(x, '\t+|\s{{2,}}'), lambda y: {_strip('y')}), lambda y: regexp_matches(y, '^[0-9]+$'))), lambda x: len(x) > 0)[1]"
+
+_INTEGRITY = "CASE WHEN length({c}) = 0 THEN 1.0 ELSE greatest(0.0, 1 - ((length({c}) - length(replace({c}, '�', '')))::DOUBLE * 10) / length({c})::DOUBLE) END"
+_CONFIDENCE = f"""
+    SELECT doc_id, printf('%.2f', greatest(0.0, least(1.0, a::DOUBLE + s1::DOUBLE + s2::DOUBLE + 0.3::DOUBLE * (filled / 4.0::DOUBLE) + 0.2::DOUBLE * ({_INTEGRITY.format(c="whole")}))))::DOUBLE AS confidence
+    FROM (
+        SELECT doc_id,
+            CASE WHEN length(abstract) >= 500 THEN 0.3 WHEN length(abstract) >= 200 THEN 0.2 WHEN length(abstract) >= 100 THEN 0.1 ELSE 0.0 END AS a,
+            CASE WHEN doc_id % 3 > 0 THEN 0.1 ELSE 0.0 END AS s1, CASE WHEN doc_id % 3 > 1 THEN 0.1 ELSE 0.0 END AS s2,
+            ((source <> '')::INT + (author <> '')::INT + (dept <> '')::INT + (doc_id % 4 <> 0)::INT) AS filled,
+            concat(source, ' ', abstract, ' ', author) AS whole
+        FROM (SELECT doc_id, source, CASE WHEN doc_id % 7 <> 0 THEN lang ELSE '' END AS author, CASE WHEN doc_id % 5 <> 0 THEN text ELSE '' END AS abstract, CASE WHEN doc_id % 2 = 0 THEN '' ELSE lang END AS dept FROM documents)
+    )
+"""
+_EMBED = "CASE WHEN doc_id % 6 <> 0 AND length({s}) > 50 THEN concat('Title: ', source, '. Abstract: ', substr(text, 1, 8000)) ELSE concat('Title: ', source) END".format(s=_strip("text"))
+_TITLES = f"list_filter(list_transform(list_slice(p, 1, 20), lambda t: {_strip('t')}), lambda t: length(t) > 10)"
+_EXPERTISE = f"CASE WHEN len({_TITLES}) > 0 THEN substr(concat({_s(k.EXPERTISE[0])}, conv_id, {_s(k.EXPERTISE[1])}, CASE WHEN conv_id % 2 = 0 THEN 'Informatics' ELSE 'Unknown Department' END, {_s(k.EXPERTISE[2])}, array_to_string({_TITLES}, '; ')), 1, 8000) ELSE '' END"
+_CLEAN_DB = "substr(text, 1, 2000) AS title, text AS abstract, CASE WHEN doc_id % 4 <> 0 THEN source ELSE 'Unknown' END AS author, CASE WHEN doc_id % 2 = 0 THEN [source, lang] ELSE [source] END AS supervisors, 'S1' AS degree, (2000 + doc_id % 20)::INT AS year, CASE WHEN doc_id % 3 <> 0 THEN lang END AS dept, doc_id::VARCHAR AS url"
+_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+
+ORACLES: dict[str, str] = {
+    "vec_topk": _TOP.format(t=-1.0),
+    "vec_topk_threshold": _TOP.format(t=0.3),
+    "vec_topk_centroid": f"WITH {_MEANS.format(key='label', table='embeddings')}, v AS (SELECT label, list(value ORDER BY pos) AS v FROM c GROUP BY label) SELECT label, round(list_cosine_similarity(v, {_QUERY}), 6) AS similarity FROM v WHERE list_cosine_similarity(v, {_QUERY}) >= 0 ORDER BY list_cosine_similarity(v, {_QUERY}) DESC, label LIMIT 5",
+    "centroid_by_label": f"WITH {_MEANS.format(key='label', table='embeddings')} SELECT label, pos::INT AS pos, round(value, 6) AS value FROM c",
+    "supervisor_profile": f"""
+        WITH x AS (SELECT vec_id, embedding, {_seeded("vec_id", seeds.DEPTS)} AS dept, unnest([concat('  Dr.  A', label, ' , '), concat('Prof B', label % 3, '.'), 'x ']) AS raw FROM embeddings WHERE embedding IS NOT NULL),
+        k AS (SELECT embedding, dept, trim(regexp_replace({_strip("raw")}, '\\s+', ' ', 'g'), '., ') AS name FROM x WHERE length(trim(raw)) > 2),
+        {_MEANS.format(key="name", table="k")},
+        d AS (SELECT name, dept, row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, dept) AS r FROM k WHERE dept <> '' GROUP BY name, dept),
+        t AS (SELECT name, count(*) AS research_count FROM k GROUP BY name)
+        SELECT c.name, coalesce(d.dept, '') AS dept, research_count, pos::INT AS pos, round(value, 6) AS value FROM c JOIN t USING (name) LEFT JOIN d ON d.name = c.name AND d.r = 1
+    """,
+    "modal_dept": "SELECT source, coalesce(max(CASE WHEN r = 1 THEN lang END), '') AS dept FROM (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY (lang = '' OR lang IS NULL), count(*) DESC, lang) AS r FROM documents GROUP BY source, lang) GROUP BY source",
+    "top_by_count": "SELECT source AS name, count(*) AS research_count FROM documents GROUP BY source ORDER BY research_count DESC NULLS FIRST, name LIMIT 10",
+    "embedding_stats": f"WITH {_LABELLED}, p AS (SELECT nullif(max(quality), 0) AS v FROM l GROUP BY source) SELECT * FROM (SELECT count(*) AS total_researches, count(quality) AS embedded_researches, count(*) FILTER (quality IS NULL) AS pending_researches FROM l), (SELECT count(*) AS total_lecturers, count(v) AS profiled_lecturers FROM p)",
+    "profile_stats": f"WITH {_LABELLED} SELECT count(*) AS total_lecturers, count(nullif(lang, 'en')) AS with_sinta_id, count(*) FILTER (len({_LISTED}) > 0) AS with_publications, count(quality) AS with_expertise_vector, count(*) FILTER (len({_LISTED}) > 0 AND quality IS NULL) AS pending_vectorization FROM l",
+    "coverage": f"WITH {_LABELLED} SELECT count(quality) AS scraped, round(count(quality) / {k.TOTAL_LECTURERS} * 100, 1) AS percent FROM l",
+    "field_presence": f"SELECT count(*) AS total, count(*) FILTER (({_LISTED}) IS NOT NULL) AS not_null, count(*) FILTER (len({_LISTED}) > 0) AS filled FROM documents",
+    "count_degree": "SELECT count(*) AS n FROM documents WHERE upper(lang) = 'FR'",
+    "pending_rows": f"WITH {_LABELLED} SELECT doc_id, source FROM l WHERE quality IS NULL ORDER BY doc_id LIMIT 100",
+    "pending_profiles": f"WITH {_LABELLED} SELECT doc_id, source FROM l WHERE quality IS NULL AND len(string_split(source, '1')) >= 2 ORDER BY doc_id LIMIT 100",
+    "without_supervisors": "SELECT doc_id, 'filter_first' AS mode FROM (SELECT doc_id FROM documents WHERE doc_id % 3 <> 1 ORDER BY doc_id LIMIT 50) UNION ALL SELECT doc_id, 'limit_first' FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 50) WHERE doc_id % 3 <> 1",
+    "existing_keys": "SELECT DISTINCT doc_id FROM documents SEMI JOIN labels USING (doc_id)",
+    "new_keys": "SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)",
+    "harvest_select": "SELECT url, min(source) AS division FROM (SELECT (doc_id % 700)::VARCHAR AS url, source FROM documents) WHERE contains(source, 'src1') AND url NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE quality = 1) GROUP BY url ORDER BY url LIMIT 100",
+    "whitespace_norm": f"SELECT doc_id, md5({_whitespace('c')}) AS clean FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.SPACED)}, text) AS c FROM documents)",
+    "strip_tags": f"SELECT page_id, md5({_gone(_gone('html', '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>'), '<[^>]+>', ' ')}) AS clean FROM pages",
+    "fix_mojibake": f"SELECT doc_id, md5({_decoded('c')}) AS clean FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.MOJIBAKE)}, text) AS c FROM documents)",
+    "strip_boilerplate": f"SELECT doc_id, md5({_boilerplate('c')}) AS clean FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.BOILERPLATE)}, text) AS c FROM documents)",
+    "strip_prefix": rf"SELECT doc_id, {_gone('c', k.ABSTRACT_PREFIX)} AS clean, {_gone('c', '(?i)^(?:abstract|abstrak)' + chr(92) + 'b' + chr(92) + 's*:?' + chr(92) + 's*')} AS whole_word FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.PREFIXES)}, source) AS c FROM documents)",
+    "supervisors_abstract": f"SELECT doc_id, {_names(_matches('c', k.ABSTRACT_SUPERVISORS), 'abstract', 3)} AS names FROM (SELECT doc_id, substr(concat({_seeded('doc_id', seeds.SUPERVISORS)}, text), 1, 500) AS c FROM documents)",
+    "supervisors_anywhere": f"SELECT doc_id, {_names(_matches('c', k.ANYWHERE_SUPERVISORS), 'anywhere', 0)} AS names FROM (SELECT doc_id, concat(source, chr(10), text, chr(10), {_seeded('doc_id', seeds.SUPERVISORS)}) AS c FROM documents)",
+    "supervisors_pdf": f"SELECT doc_id, {_names(_matches('c', k.PDF_SUPERVISORS), 'pdf', 0)} AS names FROM (SELECT doc_id, concat(text, chr(10), {_seeded('doc_id', seeds.PDF)}) AS c FROM documents)",
+    "supervisors_bibtex": "SELECT doc_id, {n} AS names FROM (SELECT doc_id, concat({s}, source) AS c FROM documents)".format(
+        n=_names("flatten([" + ", ".join("string_split(regexp_extract(c, " + _s(rf"(?is)(?:^|[\s,{{]){f}\s*=\s*[{{\"]([^}}\"]*)[}}\"]") + ", 1), ' and ')" for f in k.BIBTEX_FIELDS) + "])", "pdf", 0), s=_seeded("doc_id", seeds.BIBTEX)
+    ),
+    "degree_norm": f"SELECT doc_id, CASE WHEN d = '' THEN '' ELSE {_first_word('lower(' + _strip('d') + ')', k.DEGREES, 'substr(upper(d), 1, 5)')} END AS degree FROM (SELECT doc_id, {_seeded('doc_id', seeds.DEGREES)} AS d FROM documents)",
+    "degree_oai": f"SELECT doc_id, {_first_word('low', [(w, v) for v, words in k.RECORD_DEGREES for w in words], _s(''))} AS degree FROM (SELECT doc_id, lower(concat({_seeded('doc_id', seeds.TYPES)}, ' ', source, ' ', {_seeded('doc_id', seeds.SUBJECTS)})) AS low FROM documents)",
+    "dept_oai": f"SELECT doc_id, coalesce(list_filter([source, {_seeded('doc_id', seeds.SUBJECTS)}], lambda s: regexp_matches(lower(s), {_s('|'.join(k.DEPT_WORDS))}))[1], '') AS dept FROM documents",
+    "year_parse": rf"SELECT o_orderkey, nullif(regexp_extract({_DAY}, '\d{{4}}'), '')::INT AS year, nullif(regexp_extract(concat('v12 (', {_DAY}, ')'), '\b((?:19|20)\d{{2}})\b', 1), '')::INT AS item_year FROM orders",
+    "id_from_url": f"SELECT page_id, nullif(regexp_extract(concat(CASE WHEN page_id % 2 = 0 THEN 'http://repository.its.ac.id/' ELSE 'http://x.org/' END, page_id, '/1/x.pdf'), {_s(k.EPRINT_ID)}, 1), '') AS eprint_id, nullif(regexp_extract(url, {_s(k.EPRINT_ID)}, 1), '') AS from_page FROM pages",
+    "confidence": _CONFIDENCE,
+    "confidence_hist": f"SELECT confidence, count(*) AS n FROM ({_CONFIDENCE}) GROUP BY confidence",
+    "encoding_integrity": f"SELECT doc_id, round({_INTEGRITY.format(c='c')}, 6)::DOUBLE AS integrity FROM (SELECT doc_id, concat(repeat('�', (doc_id % 4)::INT), text) AS c FROM documents)",
+    "keyword_flags": f"SELECT conv_id, turn, array_to_string(list_filter([{', '.join(map(_s, k.ABSTRACT_FLAGS))}], lambda w: contains(lower(c), w)), ',') AS flags, length(c) AS n FROM (SELECT conv_id, turn, concat({_seeded('conv_id', seeds.SUPERVISORS)}, text) AS c FROM conversations)",
+    "embedding_input": f"SELECT doc_id, length(c) AS n, md5(c) AS md5 FROM (SELECT doc_id, {_EMBED} AS c FROM documents)",
+    "expertise_text": f"SELECT conv_id, length(c) AS n, md5(c) AS md5 FROM (SELECT conv_id, {_EXPERTISE} AS c FROM (SELECT conv_id, list(substr(text, 1, 60) ORDER BY turn) AS p FROM conversations GROUP BY conv_id))",
+    "publications_shape": f"""
+        WITH r AS (SELECT source AS author_id, CASE WHEN doc_id % 3 = 0 THEN 'googlescholar' ELSE 'scopus' END AS source, doc_id // 200 AS page, doc_id AS pos, substr(text, 1, 40) AS title, CASE WHEN doc_id % 11 <> 0 THEN 2008 + doc_id % 17 END AS year FROM documents),
+        o AS (SELECT *, length(title) >= 10 AND coalesce(year >= {k.MIN_YEAR}, true) AS ok FROM r),
+        s AS (SELECT author_id, source, min(page) AS stop FROM (SELECT author_id, source, page FROM o GROUP BY ALL HAVING NOT bool_or(ok)) GROUP BY ALL),
+        n AS (SELECT o.*, row_number() OVER (PARTITION BY o.author_id, o.source ORDER BY o.page, o.pos) AS n FROM o LEFT JOIN s USING (author_id, source) WHERE ok AND (stop IS NULL OR o.page < stop)),
+        h AS (SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY (source <> 'scopus'), n) AS m FROM n WHERE n <= {k.PUBLICATIONS_MAX})
+        SELECT author_id, count(*) AS n, coalesce(array_to_string(list_sort(list(DISTINCT year) FILTER (year <> 0)), ','), '') AS years, md5(string_agg(title, '|' ORDER BY m)) AS md5 FROM h WHERE m <= {k.PUBLICATIONS_MAX} GROUP BY author_id
+    """,
+    "tags_shape": f"SELECT doc_id, array_to_string({_DISTINCT_TAGS}, ',') AS tags FROM documents",
+    "tag_lookup": f"SELECT doc_id FROM documents WHERE list_has_any({_TAGS}, ['the', 'des', 'der', 'que'])",
+    "items_shape": f"SELECT doc_id, {_items('c', 10)} AS researches, {_items('c', 5)} AS books FROM (SELECT doc_id, {_ITEMS} AS c FROM documents)",
+    "h_index_lines": rf"SELECT doc_id, coalesce(n[1]::INT, 0) AS scopus, coalesce(n[2]::INT, n[1]::INT, 0) AS gscholar, nullif(regexp_extract(c, 'NIDN\s*:\s*(\d{{10}})', 1), '') AS nidn FROM (SELECT doc_id, {_NUMBERS} AS n, {_seeded('doc_id', seeds.H_INDEX)} AS c FROM documents)",
+    "metadata_json": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN concat('not json ', event_type) END AS raw, CASE WHEN event_id % 3 <> 0 THEN json_extract_string(props, '$.k') END AS k FROM events",
+    "db_shape": f"SELECT url, length(title) AS n_title, author, array_to_string(supervisors, '|') AS supervisors, degree, year, dept, '{{}}' AS metadata FROM (SELECT {_CLEAN_DB} FROM documents)",
+    "csv_shape": f"SELECT url, md5(concat_ws(chr(31), title, author, abstract)) AS md5, array_to_string(supervisors, '; ') AS supervisors, degree, year::VARCHAR AS year, dept, (doc_id % 10 / 10.0)::VARCHAR AS data_confidence FROM (SELECT doc_id, {_CLEAN_DB} FROM documents)",
+    "merge_url": """
+        WITH o AS (SELECT c_custkey::VARCHAR AS url, c_name AS title, round(c_acctbal, 2) AS data_confidence FROM customer WHERE c_custkey % 3 <> 0),
+        a AS (SELECT c_custkey::VARCHAR AS url, CASE WHEN c_custkey % 10 <> 0 THEN concat('new ', c_name) END AS title, round(c_acctbal, 2) AS data_confidence FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey::VARCHAR, concat('old ', c_name), round(c_acctbal, 2) FROM customer WHERE c_custkey % 4 = 0),
+        n AS (SELECT url, title, data_confidence FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY title) AS r FROM a WHERE title <> '') WHERE r = 1)
+        SELECT coalesce(n.url, o.url) AS url, CASE WHEN n.url IS NOT NULL THEN n.title ELSE o.title END AS title, CASE WHEN n.url IS NOT NULL THEN n.data_confidence ELSE o.data_confidence END AS data_confidence FROM o FULL JOIN n ON o.url = n.url
+    """,
+    "merge_keep_nonnull": """
+        WITH o AS (SELECT c_custkey::VARCHAR AS sinta_id, c_name AS name, concat('n', c_custkey) AS nidn, c_mktsegment AS dept, 1 AS h_index_scopus FROM customer WHERE c_custkey % 3 <> 0),
+        n AS (SELECT c_custkey::VARCHAR AS sinta_id, concat('new ', c_name) AS name, CASE WHEN c_custkey % 4 = 0 THEN 'x' END AS nidn, CASE WHEN c_custkey % 5 = 0 THEN 'y' END AS dept, 2 AS h_index_scopus FROM customer WHERE c_custkey % 2 = 0)
+        SELECT coalesce(n.sinta_id, o.sinta_id) AS sinta_id, coalesce(n.name, o.name) AS name, coalesce(n.nidn, o.nidn) AS nidn, coalesce(n.dept, o.dept) AS dept, coalesce(n.h_index_scopus, o.h_index_scopus) AS h_index_scopus FROM o FULL JOIN n ON o.sinta_id = n.sinta_id
+    """,
+    "merge_name": """
+        WITH o AS (SELECT c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN c_custkey::VARCHAR END AS sinta_id, 1 AS research_count FROM customer WHERE c_custkey % 3 <> 0),
+        n AS (SELECT c_name AS name, 5 AS research_count FROM customer WHERE c_custkey % 4 < 2)
+        SELECT coalesce(n.name, o.name) AS name, CASE WHEN n.name IS NULL THEN o.sinta_id END AS sinta_id, coalesce(n.research_count, o.research_count) AS research_count FROM o FULL JOIN n ON o.name = n.name AND o.sinta_id IS NULL
+    """,
+    "update_by_id": "SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer",
+    "batch_counts": "SELECT count(*) FILTER (c_custkey % 5 <> 0 AND c_custkey % 7 <> 0) AS inserted, count(*) FILTER (NOT (c_custkey % 5 <> 0 AND c_custkey % 7 <> 0)) AS skipped FROM customer",
+    "ids_union": "SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0",
+    "remaining_ids": "SELECT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "full_text": r"SELECT doc_id FROM documents WHERE list_has_all(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), ['the', 'and', 'with'])",
+    "enrich_record": f"""
+        SELECT url, md5(a) AS md5, CASE WHEN doc_id % 4 = 0 THEN lang WHEN paged AND doc_id % 2 = 0 THEN source ELSE {_names(_matches("substr(coalesce(a, ''), 1, 500)", k.ABSTRACT_SUPERVISORS), "abstract", 3)} END AS supervisors
+        FROM (
+            SELECT doc_id, doc_id::VARCHAR AS url, source, lang, paged, CASE WHEN paged AND length(coalesce(old, '')) < 100 AND length(page) > length(coalesce(old, '')) THEN page ELSE old END AS a
+            FROM (SELECT doc_id, source, lang, doc_id % 5 <> 0 AS paged, CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN text END AS old, concat({_seeded("doc_id", seeds.SUPERVISORS)}, source) AS page FROM documents)
+        )
+    """,
+    "vector_text": "SELECT vec_id, len(embedding) AS n, round(list_sum(list_transform(embedding, lambda x: round(x::DOUBLE, 4))), 6) AS total FROM embeddings",
+    "stream_ingest": "SELECT event_type, count(*) AS n, round(sum(value::DECIMAL(20, 6)), 4)::DOUBLE AS total FROM events GROUP BY event_type",
+}

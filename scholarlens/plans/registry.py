@@ -1,5 +1,412 @@
-"""Every registered query: name -> function of (spark, sf_dir)."""
+"""Every registered query: name -> function of (spark, sf_dir).
+
+The tables hold no supervisor, abstract or page texts, so pattern operators run over every row with a seeded text: a
+fixed list of examples, one for each row by its key. The DuckDB side builds the same input.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scholarlens.functions import extract, quality, text
+from scholarlens.operators import embedding, merge, profile, select, stats, vector
+from scholarlens.sources import bibtex, files, html
+from scholarlens.sources.tables import table
+from scholarlens.streaming import ingest
+
+from . import seeds
+
+
+def seeded(key: str, values: list[str]) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.col(key), F.lit(len(values))) + 1).cast("int"))
+
+
+def _six(c: Column | str) -> Column:
+    return F.round(c, 6)
+
+
+def _query_vector(spark: SparkSession, sf_dir: str) -> list[float]:
+    """The vector that searches look for: that of vec_id 0."""
+    row = table(spark, sf_dir, "embeddings").where("vec_id = 0").select("embedding").first()
+    return list(row[0]) if row else []
+
+
+def vec_topk(spark, sf_dir):
+    found = vector.match(table(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir), ["vec_id", "label"], key="vec_id", threshold=-1.0, k=10)
+    return found.withColumn("similarity", _six("similarity"))
+
+
+def vec_topk_threshold(spark, sf_dir):
+    found = vector.match(table(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir), ["vec_id", "label"], key="vec_id", threshold=0.3, k=10)
+    return found.withColumn("similarity", _six("similarity"))
+
+
+def vec_topk_centroid(spark, sf_dir):
+    people = vector.centroids(table(spark, sf_dir, "embeddings"), "label")
+    found = vector.match(people, _query_vector(spark, sf_dir), ["label"], "centroid", "label", threshold=0.0, k=5)
+    return found.withColumn("similarity", _six("similarity"))
+
+
+def centroid_by_label(spark, sf_dir):
+    found = vector.centroids(table(spark, sf_dir, "embeddings"), "label")
+    return found.select("label", F.posexplode("centroid").alias("pos", "value")).withColumn("value", _six("value"))
+
+
+def _research(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("string")
+    names = F.array(F.concat(F.lit("  Dr.  A"), label, F.lit(" , ")), F.concat(F.lit("Prof B"), (F.col("label") % 3).cast("string"), F.lit(".")), F.lit("x "))
+    return rows.select(F.col("vec_id").alias("id"), "embedding", seeded("vec_id", seeds.DEPTS).alias("dept"), names.alias("supervisors"))
+
+
+def supervisor_profile(spark, sf_dir):
+    found = profile.profiles(_research(spark, sf_dir))
+    return found.select("name", "dept", "research_count", F.posexplode("expertise_vector").alias("pos", "value")).withColumn("value", _six("value"))
+
+
+def modal_dept(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(profile.modal(F.col("lang")).alias("dept"))
+
+
+def top_by_count(spark, sf_dir):
+    people = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("name")).agg(F.count("*").alias("research_count"))
+    return profile.top_lecturers(people, 10)
+
+
+def _labelled(spark, sf_dir) -> DataFrame:
+    """Documents with the label of those that have one: the others are pending."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text").join(labels, "doc_id", "left")
+
+
+def embedding_stats(spark, sf_dir):
+    docs = _labelled(spark, sf_dir).withColumnRenamed("quality", "embedding")
+    people = docs.groupBy("source").agg(F.max("embedding").alias("best")).select(F.nullif("best", F.lit(0)).alias("expertise_vector"))
+    return stats.embedding_stats(docs, people)
+
+
+def profile_stats(spark, sf_dir):
+    docs = _labelled(spark, sf_dir)
+    pubs = F.when(F.col("doc_id") % 3 == 0, F.array().cast("array<string>")).when(F.col("doc_id") % 3 == 1, F.array("source"))
+    return stats.profile_stats(docs.select(F.nullif("lang", F.lit("en")).alias("sinta_id"), pubs.alias("sinta_publications"), F.col("quality").alias("expertise_vector")))
+
+
+def coverage(spark, sf_dir):
+    return stats.coverage(_labelled(spark, sf_dir).select(F.col("quality").alias("sinta_id")))
+
+
+def field_presence(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    names = F.when(F.col("doc_id") % 3 == 0, F.array().cast("array<string>")).when(F.col("doc_id") % 3 == 1, F.array("source"))
+    return stats.field_presence(docs.select(names.alias("supervisors")))
+
+
+def count_degree(spark, sf_dir):
+    return select.count_rows(table(spark, sf_dir, "documents").select(F.upper("lang").alias("degree")), "fr")
+
+
+def pending_rows(spark, sf_dir):
+    return select.pending(_labelled(spark, sf_dir), "quality", "doc_id", 100).select("doc_id", "source")
+
+
+def pending_profiles(spark, sf_dir):
+    docs = _labelled(spark, sf_dir).withColumn("sinta_publications", F.split("source", "1"))
+    return select.pending(docs, "quality", "doc_id", 100, least_publications=2).select("doc_id", "source")
+
+
+def without_supervisors(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 1, F.array("source")).when(F.col("doc_id") % 3 == 0, F.array().cast("array<string>")).alias("supervisors"))
+    sane = select.without_supervisors(docs, "doc_id", 50).select("doc_id", F.lit("filter_first").alias("mode"))
+    return sane.union(select.without_supervisors(docs, "doc_id", 50, limit_first=True).select("doc_id", F.lit("limit_first")))
+
+
+def existing_keys(spark, sf_dir):
+    return select.existing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+def new_keys(spark, sf_dir):
+    return select.new_keys(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+def harvest_select(spark, sf_dir):
+    urls = table(spark, sf_dir, "documents").select((F.col("doc_id") % 700).cast("string").alias("url"), F.col("source").alias("division"))
+    done = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").cast("string").alias("url"))
+    return select.harvest(urls, done, degree="src1", limit=100)
+
+
+def whitespace_norm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    c = F.concat(seeded("doc_id", seeds.SPACED), F.col("text"))
+    return docs.select("doc_id", F.md5(text.whitespace(c).cast("binary")).alias("clean"))
+
+
+def strip_tags(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(text.strip_tags(F.col("html")).cast("binary")).alias("clean"))
+
+
+def fix_mojibake(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.md5(text.fix_encoding(F.concat(seeded("doc_id", seeds.MOJIBAKE), F.col("text"))).cast("binary")).alias("clean"))
+
+
+def strip_boilerplate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.md5(text.strip_boilerplate(F.concat(seeded("doc_id", seeds.BOILERPLATE), F.col("text"))).cast("binary")).alias("clean"))
+
+
+def strip_prefix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    c = F.concat(seeded("doc_id", seeds.PREFIXES), F.col("source"))
+    return docs.select("doc_id", text.strip_prefix(c).alias("clean"), text.strip_prefix(c, word_boundary=True).alias("whole_word"))
+
+
+def supervisors_abstract(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.array_join(extract.supervisors(F.concat(seeded("doc_id", seeds.SUPERVISORS), F.col("text"))), "|").alias("names"))
+
+
+def supervisors_anywhere(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.array_join(extract.supervisors_anywhere(F.col("source"), F.concat(F.col("text"), F.lit("\n"), seeded("doc_id", seeds.SUPERVISORS))), "|").alias("names"))
+
+
+def supervisors_pdf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.array_join(extract.supervisors_pdf(F.concat(F.col("text"), F.lit("\n"), seeded("doc_id", seeds.PDF))), "|").alias("names"))
+
+
+def supervisors_bibtex(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.array_join(bibtex.supervisors(F.concat(seeded("doc_id", seeds.BIBTEX), F.col("source"))), "|").alias("names"))
+
+
+def degree_norm(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", extract.degree(seeded("doc_id", seeds.DEGREES)).alias("degree"))
+
+
+def degree_oai(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", extract.degree_of_record(F.array(seeded("doc_id", seeds.TYPES)), F.array("source", seeded("doc_id", seeds.SUBJECTS))).alias("degree"))
+
+
+def dept_oai(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", extract.dept_of_record(F.array("source", seeded("doc_id", seeds.SUBJECTS))).alias("dept"))
+
+
+def year_parse(spark, sf_dir):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return table(spark, sf_dir, "orders").select("o_orderkey", extract.year(day).alias("year"), extract.item_year(F.concat(F.lit("v12 ("), day, F.lit(")"))).alias("item_year"))
+
+
+def id_from_url(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    url = F.concat(F.when(F.col("page_id") % 2 == 0, "http://repository.its.ac.id/").otherwise("http://x.org/"), F.col("page_id").cast("string"), F.lit("/1/x.pdf"))
+    return pages.select("page_id", extract.eprint_id(url).alias("eprint_id"), extract.eprint_id(F.col("url")).alias("from_page"))
+
+
+def _confidence(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    abstract = F.when(i % 5 != 0, F.col("text"))
+    names = F.when(i % 3 == 1, F.array("source")).when(i % 3 == 2, F.array("source", "lang"))
+    year = F.when(i % 4 != 0, (F.lit(2000) + i % 20).cast("int"))
+    return docs.select("doc_id", quality.confidence(F.col("source"), F.when(i % 7 != 0, F.col("lang")), abstract, year, F.when(i % 2 == 0, F.lit("")).otherwise(F.col("lang")), names).alias("confidence"))
+
+
+def confidence(spark, sf_dir):
+    return _confidence(spark, sf_dir)
+
+
+def confidence_hist(spark, sf_dir):
+    return _confidence(spark, sf_dir).groupBy("confidence").agg(F.count("*").alias("n"))
+
+
+def encoding_integrity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", _six(text.encoding_integrity(F.concat(F.repeat(F.lit("�"), (F.col("doc_id") % 4).cast("int")), F.col("text")))).alias("integrity"))
+
+
+def keyword_flags(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    c = F.concat(seeded("conv_id", seeds.SUPERVISORS), F.col("text"))
+    return rows.select("conv_id", "turn", F.array_join(extract.keyword_flags(c), ",").alias("flags"), F.length(c).cast("bigint").alias("n"))
+
+
+def embedding_input(spark, sf_dir):
+    c = embedding.research_text(F.col("source"), F.when(F.col("doc_id") % 6 != 0, F.col("text")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.length(c).cast("bigint").alias("n"), F.md5(c.cast("binary")).alias("md5"))
+
+
+def expertise_text(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.substring("text", 1, 60).alias("title")))).alias("p"))
+    c = embedding.expertise_text(F.col("conv_id").cast("string"), F.when(F.col("conv_id") % 2 == 0, "Informatics"), F.col("p"))
+    return turns.select("conv_id", F.length(c).cast("bigint").alias("n"), F.md5(c.cast("binary")).alias("md5"))
+
+
+def publications_shape(spark, sf_dir):
+    i = F.col("doc_id")
+    pages = table(spark, sf_dir, "documents").select(F.col("source").alias("author_id"), F.when(i % 3 == 0, "googlescholar").otherwise("scopus").alias("source"), (F.floor(i / 200)).alias("page"), i.alias("pos"), F.substring("text", 1, 40).alias("title"), F.when(i % 11 != 0, (F.lit(2008) + i % 17).cast("int")).alias("year"))
+    found = select.publications(pages)
+    return found.select("author_id", F.size("publications").cast("bigint").alias("n"), F.array_join(select.publication_years(F.col("publications")), ",").alias("years"), F.md5(F.array_join(F.transform("publications", lambda p: p["title"]), "|").cast("binary")).alias("md5"))
+
+
+def tags_shape(spark, sf_dir):
+    words = F.split("text", " ")
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(extract.tags(words), ",").alias("tags"))
+
+
+def tag_lookup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", extract.tags(F.split("text", " ")).alias("expertise_tags"))
+    return select.with_tag(docs, ["the", "des", "der", "que"]).select("doc_id")
+
+
+def items_shape(spark, sf_dir):
+    lines = F.split(F.concat(seeded("doc_id", seeds.ITEMS), F.col("text")), "\n")
+    docs = table(spark, sf_dir, "documents")
+    show = lambda c: F.md5(F.array_join(F.transform(c, lambda x: F.concat(x["title"], F.lit("/"), F.coalesce(x["year"].cast("string"), F.lit("-")))), "|").cast("binary"))
+    return docs.select("doc_id", show(extract.items(lines, 10)).alias("researches"), show(extract.items(lines, 5)).alias("books"))
+
+
+def h_index_lines(spark, sf_dir):
+    c = F.concat(seeded("doc_id", seeds.H_INDEX), F.lit("\n"), F.col("source"))
+    found = extract.h_index(c)
+    return table(spark, sf_dir, "documents").select("doc_id", found["scopus"].alias("scopus"), found["gscholar"].alias("gscholar"), extract.nidn(c).alias("nidn"))
+
+
+def metadata_json(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    raw = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("not json "), F.col("event_type"))).otherwise(F.col("props"))
+    shaped = merge.shaped(events.select(F.col("event_id").cast("string").alias("url"), F.lit("t").alias("title"), F.lit("").alias("abstract"), F.lit("").alias("author"), F.array().cast("array<string>").alias("supervisors"), F.lit("S1").alias("degree"), F.lit(1).alias("year"), F.lit("").alias("dept"), F.lit(0.0).alias("data_confidence"), raw.alias("metadata")))
+    return shaped.select(F.col("url").cast("bigint").alias("event_id"), F.get_json_object("metadata", "$.raw").alias("raw"), F.get_json_object("metadata", "$.k").alias("k"))
+
+
+def _records(spark, sf_dir) -> DataFrame:
+    i = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select(
+        F.substring("text", 1, 2500).alias("title"), F.col("text").alias("abstract"), F.when(i % 4 != 0, F.col("source")).otherwise("").alias("author"), F.array(F.lit(""), "source", F.when(i % 2 == 0, F.col("lang"))).alias("supervisors"), F.lit("S1").alias("degree"),
+        (F.lit(2000) + i % 20).cast("int").alias("year"), F.when(i % 3 != 0, F.col("lang")).otherwise("").alias("dept"), i.cast("string").alias("url"), (i % 10 / 10.0).alias("data_confidence"), F.lit("").alias("metadata"),
+    )
+
+
+def db_shape(spark, sf_dir):
+    out = merge.shaped(_records(spark, sf_dir))
+    return out.select("url", F.length("title").cast("bigint").alias("n_title"), "author", F.array_join("supervisors", "|").alias("supervisors"), "degree", "year", "dept", "metadata")
+
+
+def csv_shape(spark, sf_dir):
+    out = files.csv_shape(merge.shaped(_records(spark, sf_dir)))
+    return out.select("url", F.md5(F.concat_ws("\x1f", "title", "author", "abstract").cast("binary")).alias("md5"), "supervisors", "degree", "year", "dept", "data_confidence")
+
+
+def merge_url(spark, sf_dir):
+    people = table(spark, sf_dir, "customer")
+    as_record = lambda df, title: df.select(F.col("c_custkey").cast("string").alias("url"), title.alias("title"), F.round("c_acctbal", 2).alias("data_confidence"))
+    old = as_record(people.where("c_custkey % 3 <> 0"), F.col("c_name"))
+    new = as_record(people.where("c_custkey % 2 = 0"), F.when(F.col("c_custkey") % 10 != 0, F.concat(F.lit("new "), F.col("c_name"))))
+    again = as_record(people.where("c_custkey % 4 = 0"), F.concat(F.lit("old "), F.col("c_name")))
+    return merge.upsert_research(old, new.union(again), [F.col("title")])
+
+
+def merge_keep_nonnull(spark, sf_dir):
+    people = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string").alias("sinta_id")
+    old = people.where("c_custkey % 3 <> 0").select(key, F.col("c_name").alias("name"), F.concat(F.lit("n"), key).alias("nidn"), F.col("c_mktsegment").alias("dept"), F.lit(1).alias("h_index_scopus"))
+    new = people.where("c_custkey % 2 = 0").select(key, F.concat(F.lit("new "), F.col("c_name")).alias("name"), F.when(F.col("c_custkey") % 4 == 0, "x").alias("nidn"), F.when(F.col("c_custkey") % 5 == 0, "y").alias("dept"), F.lit(2).alias("h_index_scopus"))
+    return merge.upsert_profiles(old, new)
+
+
+def merge_name(spark, sf_dir):
+    people = table(spark, sf_dir, "customer")
+    old = people.where("c_custkey % 3 <> 0").select(F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey").cast("string")).alias("sinta_id"), F.lit(1).alias("research_count"))
+    new = people.where("c_custkey % 4 < 2").select(F.col("c_name").alias("name"), F.lit(None).cast("string").alias("sinta_id"), F.lit(5).alias("research_count"))
+    return merge.upsert_by_name(old, new)
+
+
+def update_by_id(spark, sf_dir):
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    changes = people.where("c_custkey % 7 = 0").select("c_custkey", F.lit(None).cast("string").alias("c_mktsegment"))
+    return merge.update(people, changes, "c_custkey", ["c_mktsegment"])
+
+
+def batch_counts(spark, sf_dir):
+    people = table(spark, sf_dir, "customer")
+    return merge.batch_counts(people.select(F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).otherwise("").alias("url"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_name")).alias("title")))
+
+
+def ids_union(spark, sf_dir):
+    return stats.union_ids(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")), table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id")))
+
+
+def remaining_ids(spark, sf_dir):
+    return stats.remaining(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")), "id")
+
+
+def full_text(spark, sf_dir):
+    return select.full_text(table(spark, sf_dir, "documents"), ["the", "and", "with"], ("text",)).select("doc_id")
+
+
+def enrich_record(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    old = docs.select(i.cast("string").alias("url"), F.when(i % 3 == 0, F.col("source")).when(i % 3 == 1, F.col("text")).alias("abstract"), F.when(i % 4 == 0, F.array("lang")).alias("supervisors"))
+    pages = docs.where("doc_id % 5 <> 0").select(i.cast("string").alias("url"), F.concat(seeded("doc_id", seeds.SUPERVISORS), F.col("source")).alias("abstract"), F.when(i % 2 == 0, F.array("source")).otherwise(F.array().cast("array<string>")).alias("supervisors"))
+    out = select.enriched(old, pages)
+    return out.select("url", F.md5(F.col("abstract").cast("binary")).alias("md5"), F.array_join("supervisors", "|").alias("supervisors"))
+
+
+def vector_text(spark, sf_dir):
+    back = vector.from_text(vector.to_text(F.transform("embedding", lambda x: F.round(x.cast("double"), 4))))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.size(back).cast("bigint").alias("n"), _six(F.aggregate(back, F.lit(0.0), lambda s, x: s + x)).alias("total"))
+
+
+def stream_ingest(spark, sf_dir):
+    """Counts by event type of rows that came through the stream, the same as a batch over them."""
+    events = table(spark, sf_dir, "events")
+    # A stream's state is the caller's; here it lives in the session's shared folder, or a temporary one.
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scholarlens-")
+    root = f"{root.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    rows = ingest.ingest_parquet(spark, f"{sf_dir}/events*.parquet", events.schema, f"{root}/sink", f"{root}/state")
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value").cast("decimal(20,6)")), 4).cast("double").alias("total"))
+
+
+def clean_text_full(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.clean_text("html").alias("clean"))
+
+
+def clean_record(spark, sf_dir):
+    i = F.col("doc_id")
+    raw = table(spark, sf_dir, "documents").select(F.substring("text", 1, 80).alias("title"), F.col("source").alias("author"), F.concat(seeded("doc_id", seeds.SUPERVISORS), F.col("text")).alias("abstract"), F.concat(F.lit("c. "), (F.lit(1990) + i % 30).cast("string")).alias("year"), seeded("doc_id", seeds.DEGREES).alias("degree"), F.col("lang").alias("dept"), F.concat(F.lit(" u"), i.cast("string")).alias("url"), F.array().cast("array<string>").alias("supervisors"), F.lit("{}").alias("metadata"))
+    return quality.clean_record(raw)
+
+
+def html_fields(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.inline(F.array(html.page_fields("html"))))
+
+
+def page_links(spark, sf_dir):
+    c = F.concat(seeded("page_id", seeds.LINKS), F.col("html"))
+    return table(spark, sf_dir, "pages").select("page_id", F.array_join(html.year_pages(c, F.lit("http://x.org/")), "|").alias("year_pages"), F.array_join(html.record_links(c), "|").alias("records"), html.page_count(c).alias("pages"))
+
+
+def hashed_embedding(spark, sf_dir):
+    found = embedding.embedded(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", embedding.hashing_embedder(64))
+    return found.select("doc_id", F.size("embedding").alias("n"), F.col("error").isNull().alias("ok"))
+
+
+def vec_topk_lsh(spark, sf_dir):
+    return vector.nearest_candidates(table(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir), ["vec_id", "label"], key="vec_id", threshold=-1.0, k=10)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        vec_topk, vec_topk_threshold, vec_topk_centroid, centroid_by_label, supervisor_profile, modal_dept, top_by_count, embedding_stats, profile_stats, coverage, field_presence, count_degree,
+        pending_rows, pending_profiles, without_supervisors, existing_keys, new_keys, harvest_select, whitespace_norm, strip_tags, fix_mojibake, strip_boilerplate, strip_prefix, supervisors_abstract,
+        supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
+        expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
+        ids_union, remaining_ids, full_text, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh,
+    )
+}
