@@ -91,4 +91,4 @@ def encoding_integrity(c: Column) -> Column:
     """1 less ten times the share of replacement, private and unassigned characters; 1 for no text."""
     bad = F.regexp_count(c, F.lit(r"[�\p{Co}\p{Cn}]"))
     share = F.try_divide(bad.cast("double") * 10, F.length(c).cast("double"))
-    return F.coalesce(F.greatest(F.lit(0.0), 1 - share), F.lit(1.0))
+    return F.greatest(F.lit(0.0), F.coalesce(1 - share, F.lit(1.0)))
