@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,6 +47,26 @@ def hashing_embedder(dim: int = 768) -> Callable[[list[str]], np.ndarray]:
     return embed
 
 
+class RateLimited(Exception):
+    """A model says: later."""
+
+
+def retrying(embed: Callable[[list[str]], np.ndarray], tries: int = 10, first: float = 10.0, most: float = 300.0, sleep: Callable[[float], None] = time.sleep) -> Callable[[list[str]], np.ndarray]:
+    """``embed`` that waits, twice as long each time, when it is rate-limited; other errors go through."""
+
+    def run(texts: list[str]) -> np.ndarray:
+        for turn in range(tries):
+            try:
+                return embed(texts)
+            except RateLimited:
+                if turn == tries - 1:
+                    raise
+                sleep(min(most, first * 2**turn))
+        raise ValueError("no try was allowed")
+
+    return run
+
+
 def embedded(df: DataFrame, text: str, embed: Callable[[list[str]], np.ndarray], batch: int = 50) -> DataFrame:
     """``df`` with ``embedding`` and ``error``: a batch that fails marks its own rows and no other."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scholarlens.functions.constants import TOTAL_LECTURERS
@@ -46,3 +46,9 @@ def field_presence(research: DataFrame) -> DataFrame:
     """Null, empty and filled lists of supervisors."""
     n = F.size("supervisors")
     return research.agg(F.count("*").alias("total"), F.count_if(F.col("supervisors").isNotNull()).alias("not_null"), F.count_if(F.coalesce(n > 0, F.lit(False))).alias("filled"))
+
+
+def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` that counts rows (and rows where each condition holds) as it is used, and where the counts will be."""
+    seen = Observation()
+    return df.observe(seen, F.count("*").alias("rows"), *(F.count_if(c).alias(name) for name, c in counts.items())), seen
