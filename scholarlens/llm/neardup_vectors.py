@@ -197,6 +197,9 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     good = vectors.of_main_length(rows)
     nodes = stored(good.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")).select("vec_id", "copies", "embedding"))
     n, overlap, beam = nodes.count(), OVERLAP, BEAM
+    if not n:
+        own = rows.where("vec_id IS NOT NULL").select("vec_id")
+        return own.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     for turn in range(TRIES):
         found = stored(_search(_shards(nodes, n, overlap), beam, threshold))
         merged = found.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("links"))).alias("links"))
