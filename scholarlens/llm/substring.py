@@ -120,28 +120,42 @@ def _member(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == keys
 
 
-def parse(held: np.ndarray, width: int) -> list[tuple[int, int]]:
-    """Greedy factors of one document, as (first word, end): ``held`` says which windows the reference has.
+#: The source of a factor that only another block holds.
+ELSEWHERE = -1
 
-    A factor starts at the first window held and grows while the next window is held. Where it ends, each window that
-    starts in its last words is tried as the start of the next factor, which then overlaps it.
+
+def parse(at: np.ndarray, source: np.ndarray, held: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Long factors of a block's documents: first word, end, and the word at which the reference has the factor.
+
+    ``at`` are the words at which windows start, ``held`` those windows that the reference has, ``source`` where it has
+    them. A factor starts at a window held and takes one more word as long as the next window is held right after the
+    last in the same place of the reference. At its end the windows that start in its last words are tried one by one,
+    so the next factor may overlap it and come from another place or block.
     """
-    turns = np.flatnonzero(np.diff(np.concatenate([[False], held, [False]]).astype(np.int8)))
-    return [(a, b - 1 + width) for a, b in turns.reshape(-1, 2).tolist()]
+    goes_on = np.zeros(len(at), bool)
+    if len(at) > 1:
+        same = np.where(source[1:] == ELSEWHERE, source[:-1] == ELSEWHERE, source[1:] == source[:-1] + 1)
+        goes_on[1:] = held[1:] & held[:-1] & (at[1:] == at[:-1] + 1) & same
+    first = np.flatnonzero(held & ~goes_on)
+    last = np.flatnonzero(held & ~np.append(goes_on[1:], False)) if len(at) else first
+    return at[first], at[last] + width, source[first]
+
+
+def factors(block: Block, reference: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Factors of the block's documents against the block itself and the windows of others in ``reference``."""
+    _, first, inverse = np.unique(block.keys, return_index=True, return_inverse=True)
+    earlier = first[inverse]
+    here = block.doc_id > block.doc_id[earlier]
+    return parse(block.at, np.where(here, block.at[earlier], ELSEWHERE), here | _member(block.keys, reference), width)
 
 
 def removed(block: Block, reference: np.ndarray, width: int) -> np.ndarray:
     """Words of the block that long factors cover."""
-    held = _member(block.keys, reference)
-    distinct, first, inverse = np.unique(block.keys, return_index=True, return_inverse=True)
-    held |= block.doc_id > block.doc_id[first][inverse] if len(distinct) else False
-    flags = np.zeros(len(block.words.starts), bool)
-    flags[block.at] = held
-    gone = np.zeros(len(flags) + 1, np.int64)
-    for a, b in parse(flags, width):
-        gone[a] += 1
-        gone[b] -= 1
-    return np.cumsum(gone)[:-1] > 0
+    turns = np.zeros(len(block.words.starts) + 1, np.int64)
+    start, end, _ = factors(block, reference, width)
+    np.add.at(turns, start, 1)
+    np.add.at(turns, end, -1)
+    return np.cumsum(turns)[:-1] > 0
 
 
 def _spans(docs: DataFrame, width: int, finish, schema: str) -> DataFrame:
