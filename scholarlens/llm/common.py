@@ -5,31 +5,70 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarlens.sources.tables import importable, table
+from scholarlens.sources import tables
+from scholarlens.sources.tables import importable
 
-__all__ = ["importable", "shared_dir", "stored", "table", "text_bytes"]
+__all__ = ["clear", "compact", "prepared", "shared_dir", "stored", "table", "text_bytes"]
+
+
+#: Rows and bytes of a batch that goes to Python: whole texts are held there and in the JVM's native memory.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def prepared(spark: SparkSession) -> None:
+    """Lets workers import this library, and bounds Arrow batches by bytes as texts may be long."""
+    importable(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepared(spark)
+    return tables.table(spark, sf_dir, name)
+
+
+_own: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a temporary one where the setting is absent (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="scholarlens-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        global _own
+        _own = found = _own or tempfile.mkdtemp(prefix="scholarlens-")
     return found.rstrip("/")
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/scholarlens/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/scholarlens/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Removes what this application has stored, once its results have been written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/scholarlens/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def compact(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``stored`` in files of about ``rows`` rows, however many tasks compute it.
+
+    The tasks' results are kept on the executors' disks only until the files are written from them.
+    """
+    held = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        return stored(held.coalesce(held.count() // rows + 1))
+    finally:
+        held.unpersist()
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Bytes of all texts, from one pass over that column."""
     return int(df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import compact
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     count and a checksum. The number of rounds grows with the logarithm of a component's size.
     """
     links = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    edges = stored(edges.where("a <> b").select(*links).distinct())
+    edges = compact(edges.where("a <> b").select(*links).distinct())
     mark = _mark(edges)
     while mark[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         rest = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = stored(rest.unionByName(least.withColumnRenamed("m", "b")).distinct())
+        edges = compact(rest.unionByName(least.withColumnRenamed("m", "b")).distinct())
         before, mark = mark, _mark(edges)
         if mark == before:
             break
