@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from scholarlens.llm import minhash, packing, quality, secrets, substring
-from scholarlens.llm.common import importable, stored, table
+from scholarlens.llm.common import prepared, stored, table
 
 STAGES = [
     ("quality_classifier", lambda spark, docs, sf_dir: quality.kept(docs)),
@@ -25,7 +25,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from . import words
 from .common import table
+from .encoding import groups
 
 #: Documents that the scorer is fitted on, about; hashed features; passes over the sample.
 SAMPLE, FEATURES, PASSES = 6000, 1 << 15, 120
@@ -139,7 +140,8 @@ def fit(rows: list[np.ndarray], weights: list[np.ndarray], target: np.ndarray) -
 def _voted(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(pattern_codes(Batch(batch.column(0)).votes()))], names=["pattern"])
+            for a, b in groups(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(pattern_codes(Batch(batch.column(0)[a:b]).votes()))], names=["pattern"])
 
     return docs.select("text").mapInArrow(run, "pattern bigint")
 
@@ -151,8 +153,7 @@ def model(docs: DataFrame) -> tuple[dict[int, float], np.ndarray]:
     part = min(1.0, SAMPLE / max(sum(counts.values()), 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            b = Batch(batch.column(0))
+        for b in (Batch(batch.column(0)[x:y]) for batch in batches for x, y in groups(batch.column(0))):
             target = [known.get(c, 0.5) for c in pattern_codes(b.votes()).tolist()]
             one, two = b.features()
             for d, (a, e) in enumerate(zip(b.w.first[:-1].tolist(), b.w.first[1:].tolist(), strict=True)):
@@ -160,7 +161,7 @@ def model(docs: DataFrame) -> tuple[dict[int, float], np.ndarray]:
                     at, n = np.unique(np.concatenate([one[a:e], two[a:e]]), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([at.astype("<i4").tobytes()]), pa.array([(n / (e - a)).astype("<f4").tobytes()]), pa.array([target[d]])], names=["at", "x", "target"])
 
-    chosen = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(part * (1 << 20)))
+    chosen = docs.where(F.pmod(F.xxhash64(*(c for c in ("doc_id", "text") if c in docs.columns)), F.lit(1 << 20)) < int(part * (1 << 20)))
     sample = chosen.select("text").mapInArrow(run, "at binary, x binary, target double").toArrow().sort_by([("target", "ascending"), ("at", "ascending")])
     at, x = ([np.frombuffer(v, kind) for v in sample.column(c).to_pylist()] for c, kind in (("at", "<i4"), ("x", "<f4")))
     return known, fit(at, x, sample.column("target").to_numpy())
@@ -177,14 +178,14 @@ def scored(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            b = Batch(batch.column(at))
+        for part in (batch.slice(x, y - x) for batch in batches for x, y in groups(batch.column(at))):
+            b = Batch(part.column(at))
             label = np.array([known.get(c, 0.5) for c in pattern_codes(b.votes()).tolist()])
             one, two = b.features()
             score = 1 / (1 + np.exp(-(b.share(w[one] + w[two]) + w[-1])))
             score[b.n == 0] = 0.0
-            columns = [*batch.columns, pa.array(label, pa.float64()), pa.array(score), pa.array(score >= 0.5)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *(c for c, _ in new)])
+            columns = [*part.columns, pa.array(label, pa.float64()), pa.array(score), pa.array(score >= 0.5)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *(c for c, _ in new)])
 
     kinds = {"double": T.DoubleType(), "boolean": T.BooleanType()}
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(name, kinds[kind]) for name, kind in new)]))
