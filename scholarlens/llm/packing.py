@@ -20,8 +20,8 @@ from . import encoding
 from .common import stored, table
 
 SIZE, END_ID = 4096, 1
-#: Pieces of one length in a ranking group; longer lists of a length are salted into several.
-GROUP = 100_000
+#: Pieces of one length in a ranking group, about; longer lists of a length are salted into several.
+GROUP = 1000
 
 
 class Stock:
@@ -151,8 +151,9 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
     """
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     where = slots(plan(counts, size))
-    n_salts = max(1, -(-max(counts.values(), default=1) // GROUP))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_salts)))
+    salts = cut.sparkSession.createDataFrame([(k, -(-n // GROUP)) for k, n in counts.items()], "length bigint, salts bigint")
+    # At most ``size`` rows, so the broadcast is bounded.
+    salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), "salts")).select(*cut.columns, "salt")
     groups = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = groups.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1)
