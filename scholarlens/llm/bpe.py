@@ -167,6 +167,7 @@ class Encoder(encoding.Encoder):
 
 
 _encoders: dict[str, Encoder] = {}
+encoding.kept.append(_encoders)
 
 
 def encoder(path: str) -> Encoder:

@@ -8,6 +8,7 @@ encoder whole where white space matters.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterable
 
@@ -187,6 +188,18 @@ class Library:
 
 
 _encoders: dict[tuple, Encoder] = {}
+#: What Python workers keep from task to task, here and in other modules.
+kept: list[dict] = [_encoders]
+
+
+def release() -> None:
+    """Gives up what earlier tasks of this Python worker have kept, before a task that has no use for it."""
+    for held in kept:
+        held.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def encoder(path: str, words_only: bool = False) -> Encoder:

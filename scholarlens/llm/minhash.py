@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import words
 from .common import compact, table
-from .encoding import groups
+from .encoding import groups, release
 from .graph import components
 
 #: Retained values, and how many of them a link shares: a pair of large sets at a similarity of exactly 0.8 shares
@@ -71,6 +71,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n (set size), two hashes of the whole set, and the retained values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             n, one, two, low = [], [], [], []
             texts = batch.column(1)
@@ -196,6 +197,7 @@ def verified(tiles: DataFrame, docs: DataFrame, width: int, percent: int, few: b
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([z.compress(t.encode("utf-8", "replace")) for t in batch.column(1).to_pylist()], pa.binary())], names=["doc_id", "z"])

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from . import words
 from .common import table
-from .encoding import groups
+from .encoding import groups, release
 
 #: Documents that the scorer is fitted on, about; hashed features; passes over the sample.
 SAMPLE, FEATURES, PASSES = 6000, 1 << 15, 120
@@ -139,6 +139,7 @@ def fit(rows: list[np.ndarray], weights: list[np.ndarray], target: np.ndarray) -
 
 def _voted(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for a, b in groups(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(pattern_codes(Batch(batch.column(0)[a:b]).votes()))], names=["pattern"])
@@ -153,6 +154,7 @@ def model(docs: DataFrame) -> tuple[dict[int, float], np.ndarray]:
     part = min(1.0, SAMPLE / max(sum(counts.values()), 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in (Batch(batch.column(0)[x:y]) for batch in batches for x, y in groups(batch.column(0))):
             target = [known.get(c, 0.5) for c in pattern_codes(b.votes()).tolist()]
             one, two = b.features()
@@ -178,6 +180,7 @@ def scored(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in (batch.slice(x, y - x) for batch in batches for x, y in groups(batch.column(at))):
             b = Batch(part.column(at))
             label = np.array([known.get(c, 0.5) for c in pattern_codes(b.votes()).tolist()])

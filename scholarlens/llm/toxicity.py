@@ -239,6 +239,7 @@ class Tagger(encoding.Encoder):
 
 
 _taggers: dict[str, Tagger] = {}
+encoding.kept.append(_taggers)
 
 
 def tagger(name: str, field: Field) -> Tagger:
