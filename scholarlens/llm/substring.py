@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from . import words
 from .common import table, text_bytes
+from .encoding import release
 
 WINDOW, ANCHOR = 13, 6
 #: Bytes of text in a block (a longer document is a block of its own size), and text whose entries make a shard.
@@ -54,7 +55,9 @@ class Block:
         self.doc_id = self.ids[w.doc[self.at]]
         grams, span = words.rolling(w.hashes, anchor), width - anchor + 1
         if len(self.at):
-            least = np.lib.stride_tricks.sliding_window_view(grams, span)[self.at].min(axis=1)
+            least = grams[self.at]
+            for k in range(1, span):
+                np.minimum(least, grams[self.at + k], out=least)
             self.anchors = words.mix(least)
         else:
             self.anchors = np.zeros(0, np.uint64)
@@ -166,10 +169,12 @@ def _spans(docs: DataFrame, width: int, finish, schema: str) -> DataFrame:
     anchor = ANCHOR if width > ANCHOR else width
 
     def anchors(key: tuple, rows: pa.Table) -> pa.Table:
+        release()
         b = Block(rows, width, anchor)
         return _entries(key[0].as_py(), b.anchors, b.doc_id, shards)
 
     def windows(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        release()
         if not rows.num_rows:
             return _ENTRY.empty_table()
         b = Block(rows, width, anchor)
@@ -177,6 +182,7 @@ def _spans(docs: DataFrame, width: int, finish, schema: str) -> DataFrame:
         return _entries(key[0].as_py(), b.keys[shared], b.doc_id[shared], shards)
 
     def parsed(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        release()
         b = Block(rows, width, anchor)
         return finish(b, rows, removed(b, _keys(answers), width))
 
