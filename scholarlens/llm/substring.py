@@ -33,7 +33,7 @@ from .encoding import release
 
 WINDOW, ANCHOR = 13, 6
 #: Bytes of text in a block (a longer document is a block of its own size), and text whose entries make a shard.
-BLOCK_BYTES, SHARD_BYTES = 8_000_000, 24_000_000
+BLOCK_BYTES, SHARD_BYTES = 4_000_000, 24_000_000
 
 ENTRY = "shard int, block int, keys binary, docs binary, many binary"
 ANSWER = "block int, keys binary"
