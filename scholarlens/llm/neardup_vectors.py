@@ -4,8 +4,10 @@
 2. Each node goes to the shards of its nearest centres (overlapping cells; large cells are cut by hash).
 3. In every shard a graph is built by robust pruning: a neighbour is dropped if a kept one is much nearer to it.
 4. The adjacency lists of a node from all its shards are united.
-5. In every shard each node is searched from the medoid: greedily with a beam, then expanding everything in range, so
-   that whole groups are found. Candidates are verified by their cosine in double precision, in both directions.
+5. In every shard each node is searched from the medoids of all islands of the graph and of all groups that can fill a
+   beam, and from its own place and neighbours (in a part that does not hold it, its nearest nodes): greedily with a
+   beam, expanding everything in range, so that whole groups are found. Candidates are verified by their cosine in
+   double precision, in both directions.
 6. Recall is audited against brute force on a bounded sample of nodes; below AUDIT_RECALL the search is repeated with
    more overlap and a wider beam.
 """
@@ -78,19 +80,49 @@ def prune(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> list[np.
     return [np.unique(np.concatenate([out[i], np.array(back[i][: 2 * degree], np.int64)])) for i in range(n)]
 
 
-def search(x: np.ndarray, links: list[np.ndarray], start: int, q: int, beam: int, threshold: float) -> np.ndarray:
-    """Rows in range of row ``q``: greedy with a beam from ``start``, then expanding all near the range."""
+def entries(x: np.ndarray, links: list[np.ndarray], least: int = 1) -> np.ndarray:
+    """Rows from which every row is reached: the medoid, then one of each part that no earlier entry reaches.
+
+    Parts of fewer than ``least`` rows get none.
+    """
+    reached, out = np.zeros(len(x), bool), []
+
+    def walk(start: int) -> np.ndarray:
+        """Rows reached from ``start`` over rows that are not reached yet."""
+        got = np.zeros(len(x), bool)
+        got[start], todo = True, [start]
+        while todo:
+            new = np.unique(np.concatenate([links[i] for i in todo]))
+            new = new[~got[new] & ~reached[new]]
+            got[new], todo = True, new.tolist()
+        return np.flatnonzero(got)
+
+    part = np.arange(len(x))
+    while len(part):
+        middle = int(part[np.argmax(x[part] @ x[part].sum(axis=0))])
+        if len(part) >= least:
+            out.append(middle)
+        reached[walk(middle)] = True
+        part = walk(int(np.argmin(reached))) if not reached.all() else part[:0]
+    return np.array(out, np.int64)
+
+
+def search(x: np.ndarray, links: list[np.ndarray], starts: np.ndarray, near: np.ndarray, q: int, beam: int, threshold: float) -> np.ndarray:
+    """Rows in range of row ``q``: greedy with a beam from ``starts``, then from ``near``, expanding all near the range."""
     seen = np.zeros(len(x), bool)
-    seen[start] = True
-    ids, sims, open_ = np.array([start]), x[start : start + 1] @ x[q], np.array([True])
+    seen[starts] = True
+    ids, sims, open_ = starts, x[starts] @ x[q], np.ones(len(starts), bool)
     while True:
         top = np.argsort(-sims, kind="stable")[:beam]
         wide = np.flatnonzero(open_ & (sims >= threshold - MARGIN))
         todo = wide if len(wide) else top[open_[top]][:4]
-        if not len(todo):
+        if len(todo):
+            open_[todo] = False
+            new = np.unique(np.concatenate([links[i] for i in ids[todo].tolist()]))
+        elif len(near):
+            new, near = np.unique(near), near[:0]
+        else:
             return ids[(sims >= threshold - 1e-6) & (ids != q)]
-        open_[todo] = False
-        new = np.unique(np.concatenate([links[i] for i in ids[todo].tolist()]))
         new = new[~seen[new]]
         seen[new] = True
         ids, sims, open_ = np.concatenate([ids, new]), np.concatenate([sims, x[new] @ x[q]]), np.concatenate([open_, np.ones(len(new), bool)])
@@ -141,14 +173,21 @@ def _search(shards: DataFrame, beam: int, threshold: float) -> DataFrame:
         base = np.flatnonzero(held)
         place = {v: k for k, v in enumerate(ids[base].tolist())}
         near = group.column("near").to_pylist()
-        links = [np.array([place[v] for v in near[i] or [] if v in place], np.int64) for i in base.tolist()]
-        start = int(np.argmax(x[base] @ x[base].sum(axis=0))) if len(base) else 0
+        around = [np.array([place[v] for v in [int(ids[i]), *(near[i] or [])] if v in place], np.int64) for i in range(len(ids))]
+        links = [around[i] for i in base.tolist()]
+        close = [to[x[base[to]] @ x[i] >= threshold - MARGIN] for i, to in zip(base.tolist(), links, strict=True)]
+        starts = np.unique(np.concatenate([entries(x[base], links), entries(x[base], close, BEAM)]))
+        others, few = np.flatnonzero(~held), min(len(base), 2 * DEGREE)
+        for a in range(0, len(others) if few else 0, 512):
+            sims = x[others[a : a + 512]] @ x[base].T
+            for i, nearest in zip(others[a : a + 512].tolist(), np.argpartition(-sims, few - 1, axis=1)[:, :few], strict=True):
+                around[i] = nearest
         found: list[set[int]] = [set() for _ in ids]
         y = np.concatenate([x[base], np.zeros((1, x.shape[1]))])
         links.append(np.zeros(0, np.int64))
         for i in range(len(ids) if len(base) else 0):
             y[-1] = x[i]
-            for j in base[search(y, links, start, len(base), beam, threshold)].tolist():
+            for j in base[search(y, links, starts, around[i], len(base), beam, threshold)].tolist():
                 # verified on the vectors themselves, whichever way it was found
                 if i != j and float((x[i] * x[j]).sum()) >= threshold:
                     found[i].add(j)

@@ -55,6 +55,37 @@ def test_cells_cut_by_hash(spark, monkeypatch):
     test_links(spark)
 
 
+def islands(seed, groups, size, noise, dim=32):
+    """Groups of more near copies than a node has candidates, far from each other."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(groups, dim))
+    x = np.repeat(base / np.linalg.norm(base, axis=1, keepdims=True), size, axis=0)
+    x = np.float32(x + rng.normal(size=x.shape) * noise)
+    return [(int(i), v) for i, v in zip(rng.permutation(len(x)), x.tolist(), strict=True)]
+
+
+def exact(good, threshold=0.95):
+    """n_links and component_id of every row by comparing all pairs."""
+    ids, x = [i for i, _ in good], np.array([v for _, v in good], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = x @ x.T >= threshold
+    np.fill_diagonal(hit, False)
+    return dict(zip(ids, hit.sum(axis=1).tolist(), strict=True)), components(ids, [(ids[a], ids[b]) for a, b in zip(*np.nonzero(np.triu(hit)), strict=True)])
+
+
+@pytest.mark.parametrize("cut", [False, True])
+def test_one_search_finds_separate_groups(spark, monkeypatch, cut):
+    monkeypatch.setattr(neardup_vectors, "TRIES", 1)
+    monkeypatch.setattr(neardup_vectors, "AUDIT_RECALL", 0)
+    if cut:
+        monkeypatch.setattr(neardup_vectors, "SHARD", 500)
+    good = islands(5, 12, 80, 0.02)
+    got = neardup_vectors.linked(frame(spark, good)).collect()
+    links, component = exact(good)
+    assert {r.vec_id: r.n_links for r in got} == links
+    assert {r.vec_id: r.component_id for r in got} == component
+
+
 def test_nearest(spark, monkeypatch):
     monkeypatch.setattr(ann, "ROWS", 500)
     monkeypatch.setattr(ann, "QUERIES", 20)
