@@ -8,13 +8,15 @@
    beam, and from its own place and neighbours (in a part that does not hold it, its nearest nodes): greedily with a
    beam, expanding everything in range, so that whole groups are found. Candidates are verified by their cosine in
    double precision, in both directions.
-6. Recall is audited against brute force on a bounded sample of nodes; below AUDIT_RECALL the search is repeated with
-   more overlap and a wider beam.
+6. Recall is audited node by node against brute force on a bounded sample; below AUDIT_RECALL the search is repeated
+   with more overlap and a wider beam, and adds to what was found. If TRIES searches stay below it, all nodes that can
+   be in range are compared exactly, in blocks.
 """
 
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,10 @@ CELL, SHARD, CENTRES, DEGREE, ALPHA = 1500, 3000, 1024, 24, 1.2
 #: Cells of a node and beam at first; how far below the threshold the range is expanded.
 OVERLAP, BEAM, MARGIN = 2, 32, 0.05
 AUDIT, AUDIT_RECALL, TRIES = 200, 0.99, 3
+#: Links of a node in a hot group, which is audited apart from others; nodes on a side of an exact comparison, about.
+HOT, BLOCK = 2 * DEGREE, 8192
+#: How far a cosine of a matrix product may be from that of the two vectors alone.
+ROUNDING = 1e-9
 _log = logging.getLogger(__name__)
 
 
@@ -206,8 +212,13 @@ def _search(shards: DataFrame, beam: int, threshold: float) -> DataFrame:
 
 
 def _audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the true links of a bounded sample of nodes that were found."""
-    asked = nodes.orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").limit(AUDIT).select("vec_id", "embedding").toArrow()
+    """Mean share of its true links that was found of a node, on bounded samples of nodes with few and with many links.
+
+    Nodes with up to HOT links and those with more are averaged apart; the lower mean counts.
+    """
+    known = nodes.join(counts, "vec_id", "left").withColumn("hot", F.coalesce("others", F.lit(0)) > HOT)
+    drawn = [known.where(side).orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").limit(AUDIT).select("vec_id", "embedding") for side in ("NOT hot", "hot")]
+    asked = drawn[0].unionByName(drawn[1]).toArrow()
     ids, q = asked.column("vec_id").to_numpy(), vectors.matrix(asked.column("embedding"))
     if not len(ids):
         return 1.0
@@ -217,14 +228,80 @@ def _audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
         total = np.zeros(len(ids), np.int64)
         for batch in batches:
             if batch.num_rows:
-                hit = _unit(vectors.matrix(batch.column(2))) @ q.T >= threshold
+                hit = _unit(vectors.matrix(batch.column(2))) @ q.T >= threshold + ROUNDING
                 hit &= batch.column(0).to_numpy()[:, None] != ids[None, :]
                 total += batch.column(1).to_numpy() @ hit
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["vec_id", "n"])
 
-    n = nodes.mapInArrow(true, "vec_id bigint, n bigint").groupBy("vec_id").agg(F.sum("n").alias("n"))
-    found = n.join(counts, "vec_id", "left").agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("others", F.lit(0)))).alias("found")).first()
-    return found["found"] / found["n"] if found["n"] else 1.0
+    n = nodes.mapInArrow(true, "vec_id bigint, n bigint").groupBy("vec_id").agg(F.sum("n").alias("n")).where("n > 0")
+    share = F.least("n", F.coalesce("others", F.lit(0))) / F.col("n")
+    means = n.join(counts, "vec_id", "left").groupBy(F.col("n") > HOT).agg(F.avg(share).alias("share")).collect()
+    return min((r["share"] for r in means), default=1.0)
+
+
+def _exact(nodes: DataFrame, n: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(vec_id, root) and (vec_id, others) by comparing each node with all nodes that can be in range.
+
+    A node has its home at its nearest centre, and asks the homes of all centres whose side of the bisecting plane is
+    within the threshold's angle of it; no link can lead elsewhere. Homes and their askers are cut by hash into blocks.
+    """
+    found = centres(_unit(vectors.sample(nodes, 20_000)), max(1, min(CENTRES, -(-n // CELL))))
+    apart = np.sqrt(np.maximum(2 - 2 * found @ found.T, 0) * max(0.0, 1 - threshold**2)) + 1e-6
+    schema = "cell int, asks boolean, vec_id bigint, copies bigint, embedding array<double>"
+
+    def deal(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sims = _unit(vectors.matrix(batch.column(2))) @ found.T
+            home = np.argmax(sims, axis=1)
+            row, cell = np.nonzero(sims.max(axis=1)[:, None] - sims <= apart[home]) if threshold >= 0 else np.nonzero(np.ones(sims.shape, bool))
+            row, cell = np.concatenate([np.arange(len(home)), row]), np.concatenate([home, cell])
+            asks = pa.array(np.arange(len(row)) >= len(home))
+            for a in range(0, len(row), 2000):
+                yield pa.RecordBatch.from_arrays([pa.array(cell[a : a + 2000], pa.int32()), asks[a : a + 2000], *(c.take(pa.array(row[a : a + 2000])) for c in batch.columns)], names=["cell", "asks", *batch.schema.names])
+
+    dealt = nodes.mapInArrow(deal, schema)
+    cuts = dealt.groupBy("cell").agg(*(F.ceil(F.count_if(side) / BLOCK).cast("int").alias(name) for side, name in ((~F.col("asks"), "parts"), (F.col("asks"), "blocks"))))
+    dealt = dealt.join(F.broadcast(stored(cuts.where("parts > 0"))), "cell")
+    mine = lambda count: F.array(F.pmod(F.xxhash64("embedding"), F.col(count)).cast("int"))
+    all_ = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    dealt = dealt.withColumn("part", F.explode(F.when(F.col("asks"), all_("parts")).otherwise(mine("parts"))))
+    dealt = dealt.withColumn("block", F.explode(F.when(F.col("asks"), mine("blocks")).otherwise(all_("blocks")))).withColumn("node", F.xxhash64("embedding"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        asks = np.array(group.column("asks").to_pylist(), bool)
+        ids, node, copies = (group.column(c).to_numpy() for c in ("vec_id", "node", "copies"))
+        x = _unit(vectors.matrix(group.column("embedding")))
+        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+        others, root = np.zeros(len(ids), np.int64), ids.copy()
+        pairs = []
+        for a in range(0, len(left) if len(right) else 0, 256):
+            rows = left[a : a + 256]
+            sims = x[rows] @ x[right].T
+            hit = sims >= threshold
+            for i, j in zip(*np.nonzero(np.abs(sims - threshold) <= ROUNDING), strict=True):
+                hit[i, j] = float((x[rows[i]] * x[right[j]]).sum()) >= threshold
+            hit &= (ids[rows][:, None] != ids[right][None]) | (node[rows][:, None] != node[right][None])
+            others[rows] = hit @ copies[right]
+            pairs.append(np.packbits(hit, axis=1))
+        changed = True
+        while changed:  # smallest ids spread along the links
+            before = root.copy()
+            for k, bits in enumerate(pairs):
+                rows = left[k * 256 : k * 256 + 256]
+                for i, mask in zip(rows.tolist(), np.unpackbits(bits, axis=1, count=len(right)).astype(bool), strict=True):
+                    if others[i]:
+                        to = right[mask]
+                        root[i] = least = min(root[i], root[to].min())
+                        root[to] = least
+            changed = bool((root != before).any())
+        return pa.table({"vec_id": pa.array(ids, pa.int64()), "node": pa.array(node, pa.int64()), "others": pa.array(others, pa.int64()), "root": pa.array(root, pa.int64())})
+
+    columns = ["cell", "part", "block", "asks", "vec_id", "node", "copies", "embedding"]
+    out = stored(dealt.select(columns).groupBy("cell", "part", "block").applyInArrow(compare, "vec_id bigint, node bigint, others bigint, root bigint").where("others > 0 OR root <> vec_id"))
+    counts = out.groupBy("vec_id", "node").agg(F.sum("others").alias("others")).groupBy("vec_id").agg(F.max("others").alias("others"))
+    return out.select("vec_id", "root"), stored(counts)
 
 
 def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -239,15 +316,20 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not n:
         own = rows.where("vec_id IS NOT NULL").select("vec_id")
         return own.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    for turn in range(TRIES):
-        found = stored(_search(_shards(nodes, n, overlap), beam, threshold))
+    tries: list[DataFrame] = []
+    for _ in range(TRIES):
+        tries.append(stored(_search(_shards(nodes, n, overlap), beam, threshold)))
+        found = reduce(DataFrame.unionByName, tries)
         merged = found.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("links"))).alias("links"))
         counts = stored(merged.select("vec_id", F.aggregate("links", F.lit(0).cast("bigint"), lambda a, x: a + x["copies"]).alias("others")))
         recall = _audit(nodes, counts, threshold)
         _log.info("recall %.4f with %d cells and a beam of %d", recall, overlap, beam)
-        if recall >= AUDIT_RECALL or turn == TRIES - 1:
+        if recall >= AUDIT_RECALL:
             break
         overlap, beam = overlap * 2, beam * 2
+    else:
+        _log.warning("all nodes that can be in range are compared")
+        found, counts = _exact(nodes, n, threshold)
     groups = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
     member = good.join(nodes.select(F.col("vec_id").alias("rep"), "copies", "embedding"), "embedding").select("vec_id", "rep", "copies")
     member = member.join(counts.select(F.col("vec_id").alias("rep"), "others"), "rep", "left").join(groups, "rep", "left")

@@ -86,6 +86,30 @@ def test_one_search_finds_separate_groups(spark, monkeypatch, cut):
     assert {r.vec_id: r.component_id for r in got} == component
 
 
+@pytest.mark.parametrize("blind", ["all", "small", "first"])
+def test_what_searches_miss_is_compared(spark, monkeypatch, blind):
+    """Searches that lose every link, those of pairs beside a hot group, or in the last try what the first had found."""
+    search, turn = neardup_vectors._search, []
+
+    def worse(shards, beam, threshold):
+        turn.append(beam)
+        found = search(shards, beam, threshold)
+        if blind == "first":
+            return found.where(f"vec_id % 2 = {len(turn) % 2}")
+        return found.where("false" if blind == "all" else "size(links) > 10")
+
+    monkeypatch.setattr(neardup_vectors, "_search", worse)
+    monkeypatch.setattr(neardup_vectors, "CELL", 100)
+    monkeypatch.setattr(neardup_vectors, "BLOCK", 60, raising=False)
+    hot, pairs = islands(7, 1, 120, 0.02), islands(8, 40, 2, 0.02)
+    good = [*hot, *((i + 1000, v) for i, v in pairs)]
+    links, component = exact(good)
+    got = neardup_vectors.linked(frame(spark, good)).collect()
+    assert {r.vec_id: r.n_links for r in got} == links
+    assert {r.vec_id: r.component_id for r in got} == component
+    assert len(turn) == (2 if blind == "first" else neardup_vectors.TRIES)
+
+
 def test_nearest(spark, monkeypatch):
     monkeypatch.setattr(ann, "ROWS", 500)
     monkeypatch.setattr(ann, "QUERIES", 20)
