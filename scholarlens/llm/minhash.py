@@ -1,8 +1,8 @@
 """Near-duplicate documents by bottom-k sketches.
 
 One hash function on word shingles; a sketch is the K smallest values of a set. Two sets that are similar enough share
-at least NEED retained values (all-retained small sets: the threshold's share of the smaller set), so under one order
-of all values it is enough to post the ``size - NEED + 1`` first: a link always meets in an inverted list. The order
+at least NEED retained values (sets so small that their partners are all retained too: the threshold's share of the
+set), so under one order of all values it is enough to post the ``size - NEED + 1`` first: a link always meets in an inverted list. The order
 puts values rare in the corpus first, by a table of counters of fixed size, so that common passages make few lists.
 
 Lists are not expanded into pairs. Every document of a list is first compared with the list's hub, the document whose
@@ -115,7 +115,8 @@ def posts(rows: DataFrame, percent: int) -> DataFrame:
             size, values, weight = [], [], []
             for n, low in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 v = _unpack(low)
-                need = -(-percent * n // 100) if n <= K else NEED
+                # a partner of up to n * 100 / percent may be larger than K and lack values that it shares
+                need = -(-percent * n // 100) if 100 * n <= percent * K else NEED
                 seen = common[_counter(v)]
                 order = np.lexsort((v, seen))[: len(v) - need + 1]
                 values.append(v[order])

@@ -53,6 +53,17 @@ def test_small_tiles(spark, monkeypatch):
     test_chains_and_wide_groups(spark, 60)
 
 
+def test_small_sets_in_larger_ones(spark):
+    """Sets of up to K shingles with partners above K, beside many texts that make the values they share common."""
+    rng, texts = random.Random(12), []
+    for small, large in ((123, 153), (124, 155), (125, 156), (126, 157), (127, 158), (128, 160), (128, 159), (128, 160)):
+        w = prose(rng, large + 3, 10**6).split()  # a set of n shingles of 4 words has n + 3 words
+        texts.append(" ".join(w[: small + 3]))
+        # unlike each other by their ends, and of the same start as the small one
+        texts += [" ".join([*w[:-1], f"v{k}"]) for k in range(30)]
+    check_classes(spark, texts, random.Random(5).sample(range(len(texts)), len(texts)))
+
+
 def test_class_edges(spark):
     docs = documents(spark, ["a b c d e f"] * 3 + [None, "", "a b c d e f"], [5, 5, 2, 3, 4, None])
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id, r.kept) for r in minhash.classes(docs, 5).collect())
