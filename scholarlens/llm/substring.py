@@ -1,17 +1,19 @@
-"""Repeated passages by relative Lempel-Ziv parsing.
+"""Repeated passages by membership of hashed windows, in place of relative Lempel-Ziv parsing.
 
-The corpus is dealt into reference blocks of bounded size. Parsing a document greedily takes, at each word, the longest
-factor that a block holds; factors of WINDOW words or more are duplicates, and the windows across the end of a factor
-are looked up one by one, since the next factor may come from elsewhere.
+The corpus is dealt into reference blocks of bounded size. Every window of WINDOW words is looked up by its hash, and
+the words of the windows that a smaller document has are removed. Runs of held windows are called factors here. Within
+a block a run follows one place of the block; across blocks it is any run of held windows, without a place, and no
+block is parsed against another's index. What is removed depends on the held windows alone: it is the union of all
+factors of WINDOW words or more that a parsing with lookups at factor boundaries would cover.
 
-A block is parsed against itself with its own index. Against all other blocks it is parsed through an index of window
+A block looks up its windows in its own index. Those of all other blocks are looked up through an index of window
 hashes that is dealt over shards, so that no pair of blocks ever meets:
 
 1. Each block sends one entry for each of its anchors (the smallest k-gram hash of every window), once a block however
    often it occurs; a shard answers which anchors other blocks have too.
 2. Each block sends the windows that hold such an anchor, with the smallest document of the block that has them; the
    shard answers which of them start in a smaller document of another block.
-3. Each block parses its documents against the reference of these answers and its own index.
+3. Each block looks up its documents' windows in the reference of these answers and in its own index.
 
 A passage in a third of all documents is one entry for each block, so no key gathers the corpus.
 """
