@@ -104,3 +104,11 @@ def test_clean_record(spark):
     a, b = quality.clean_record(raw).collect()
     assert (a.title, a.year, a.degree, a.url, a.supervisors, a.data_confidence) == ("T", 2019, "S2", "u", ["Ana Budi"], 0.9)
     assert (b.title, b.abstract, b.supervisors, b.year, b.data_confidence) == ("", "", None, None, 0.2)
+
+
+def test_clean_record_query_takes_whole_texts(spark, tmp_path):
+    from scholarlens.plans import registry
+
+    whole = " ".join(f"w{k}" for k in range(60))
+    spark.createDataFrame([(1, whole, "src1", "en")], "doc_id bigint, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert registry.clean_record(spark, str(tmp_path)).first().title == whole
