@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scholarlens.sources import tables
 from scholarlens.sources.tables import importable
 
-__all__ = ["clear", "compact", "prepared", "shared_dir", "stored", "table", "text_bytes"]
+__all__ = ["clear", "compact", "finished", "fresh", "mark", "prepared", "shared_dir", "stored", "table", "text_bytes"]
 
 
 #: Rows and bytes of a batch that goes to Python: whole texts are held there and in the JVM's native memory.
@@ -31,30 +31,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables.table(spark, sf_dir, name)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` has it, in either case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _own: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where the setting is absent (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Where neither is set a local master gets a temporary folder (tests); on a cluster that would be a different one on
+    each machine, so there it is an error.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         global _own
         _own = found = _own or tempfile.mkdtemp(prefix="scholarlens-")
     return found.rstrip("/")
 
 
+#: Folders of tables that are stored and not removed yet, in the order of their making.
+_made: list[str] = []
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/scholarlens/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def mark() -> int:
+    """How many tables are stored now; ``finished`` removes those made since."""
+    return len(_made)
+
+
+def finished(df: DataFrame, since: int) -> DataFrame:
+    """``df`` stored, and every table that was stored for it removed."""
+    gone = _made[since:]
+    out = stored(df)
+    for path in gone:
+        _remove(df.sparkSession, path)
+        _made.remove(path)
+    return out
+
+
 def clear(spark: SparkSession) -> None:
-    """Removes what this application has stored, once its results have been written elsewhere."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/scholarlens/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Removes all that this application has stored, once its results have been written elsewhere."""
+    _remove(spark, f"{shared_dir(spark)}/scholarlens/{spark.sparkContext.applicationId}")
+    _made.clear()
 
 
 def compact(df: DataFrame, rows: int = 1_000_000) -> DataFrame:

@@ -111,6 +111,68 @@ def test_passages_that_overlap(spark, monkeypatch):
     check_repeats(spark, texts, list(range(len(texts))))
 
 
+def sequence(texts, ids, width=13):
+    import numpy as np
+    import pyarrow as pa
+
+    order = sorted(range(len(ids)), key=lambda k: ids[k])
+    return substring.Text(np.array([ids[k] for k in order], np.int64), pa.array([texts[k] for k in order], pa.string()), width), [words(texts[k]) for k in order]
+
+
+def test_factors_are_copies_of_one_place():
+    """Each factor is as long as the words at its place agree, and starts at the first place of a smaller document."""
+    rng = random.Random(8)
+    pool = prose(rng, 400, 60).split()
+    texts = [" ".join(w for _ in range(4) for a in [rng.randrange(360)] for w in pool[a : a + rng.randrange(8, 40)]) for _ in range(50)]
+    text, lists = sequence(texts, list(range(50)))
+    flat, doc = [w for x in lists for w in x], [d for d, x in enumerate(lists) for _ in x]
+    start, end, place = (x.tolist() for x in substring.own_factors(text))
+    assert len(start) > 50
+    for a, e, p in zip(start, end, place, strict=True):
+        assert doc[p] < doc[a] == doc[e - 1] and e - a >= 13 and doc[p + e - a - 1] == doc[p]
+        assert flat[a:e] == flat[p : p + e - a]
+        assert e == len(flat) or p + e - a == len(flat) or doc[e] != doc[a] or doc[p + e - a] != doc[p] or flat[e] != flat[p + e - a]
+        assert p == next(q for q in range(len(flat)) if flat[q : q + 13] == flat[a : a + 13] and doc[min(q + 12, len(flat) - 1)] == doc[q])
+
+
+def test_sources_decide(monkeypatch):
+    """A factor whose place has other words, or whose hash alone agrees, removes nothing."""
+    import numpy as np
+
+    long = " ".join(f"w{k}" for k in range(30))
+    text, _ = sequence([long, f"x {long}", "y " * 40], [1, 2, 3])
+    assert [x.tolist() for x in substring.own_factors(text)] == [[31], [61], [0]]
+    wrong = substring.parse(text, np.array([31, 32]), np.array([61, 1]), text)
+    assert [x.tolist() for x in wrong] == [[32], [61], [1]]
+    monkeypatch.setattr(substring.Text, "run", lambda self, start, length: start * 0)
+    assert [x.tolist() for x in substring.parse(text, np.array([31]), np.array([62]), text)] == [[], [], []]
+    assert [x.tolist() for x in substring.parse(text, np.array([31]), np.array([0]), text)] == [[31], [61], [0]]
+
+
+def test_many_blocks_ask_for_one_passage(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(substring, "ASKING", 4)
+    rng = random.Random(9)
+    passage = prose(rng, 30)
+    texts = [f"{prose(rng, 10)} {passage if k % 3 else passage[k:]} {prose(rng, 5)}" for k in range(120)]
+    check_repeats(spark, texts, rng.sample(range(1000), len(texts)))
+
+
+def test_columns_keep_their_values(spark):
+    long = " ".join(f"w{k}" for k in range(20))
+    docs = documents(spark, [long, f"a {long}"], [1, 2]).selectExpr("*", "777 AS BLOCK_", "'mine' AS reference")
+    assert [(r.doc_id, r.text, r.block, r.BLOCK_, r.reference) for r in substring.without_repeats(docs).orderBy("doc_id").collect()] == [(1, long, 1, 777, "mine"), (2, "a", 1, 777, "mine")]
+
+
+def test_text_longer_than_a_block(spark):
+    rng = random.Random(10)
+    huge = prose(rng, 1_300_000, 10**6)
+    assert len(huge) > 2 * substring.BLOCK_BYTES
+    middle = " ".join(huge.split()[600_000:600_040])
+    got = {r.doc_id: r for r in substring.digest(documents(spark, [huge, f"q {middle} r", f"{middle} {huge}"], [5, 3, 9])).collect()}
+    assert [(got[i].n_words, got[i].n_removed) for i in (3, 5, 9)] == [(42, 0), (1_300_000, 40), (1_300_040, 1_300_040)]
+
+
 def test_repeat_edges(spark):
     long = " ".join(f"w{k}" for k in range(20))
     docs = documents(spark, [long, long, long, None, "", f"new {long}  tail\n", long], [4, 2, 2, 6, 7, 5, None])
