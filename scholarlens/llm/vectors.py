@@ -15,11 +15,19 @@ def usable(column: str = "embedding") -> Column:
     return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def of_main_length(rows: DataFrame) -> DataFrame:
-    """Usable rows of the commonest length (vectors of other lengths cannot be compared with them), as doubles."""
-    rows = rows.where(usable() & F.col("vec_id").isNotNull()).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    top = rows.groupBy(F.size("embedding").alias("k")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "k").first()
-    return rows.where(F.size("embedding") == (top["k"] if top else 0))
+def with_length(rows: DataFrame, length: int, keep: bool = False) -> DataFrame:
+    """vec_id, embedding of usable rows of that length: as doubles, or with ``keep`` as floats where they are floats."""
+    kind = rows.schema["embedding"].dataType.simpleString()
+    kind = kind if keep and kind == "array<float>" else "array<double>"
+    rows = rows.where(usable() & F.col("vec_id").isNotNull()).select("vec_id", F.col("embedding").cast(kind).alias("embedding"))
+    return rows.where(F.size("embedding") == length)
+
+
+def of_main_length(rows: DataFrame, keep: bool = False) -> DataFrame:
+    """``with_length`` of the commonest length; vectors of other lengths cannot be compared with them."""
+    known = rows.where(usable() & F.col("vec_id").isNotNull())
+    top = known.groupBy(F.size("embedding").alias("k")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "k").first()
+    return with_length(rows, top["k"] if top else 0, keep)
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:

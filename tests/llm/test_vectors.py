@@ -110,27 +110,65 @@ def test_what_searches_miss_is_compared(spark, monkeypatch, blind):
     assert len(turn) == (2 if blind == "first" else neardup_vectors.TRIES)
 
 
+def neighbours(spark, df, queries=None):
+    out = {}
+    for r in ann.nearest(df, df.where("vec_id % 20 = 0") if queries is None else queries).collect():
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return {q: sorted(found) for q, found in out.items()}
+
+
+def recall(good, got):
+    """Share of the true 20 nearest that was found; the lists must be ordered, whole and exactly scored."""
+    ids, x = np.array([i for i, _ in good]), np.array([v for _, v in good], np.float64)
+    hits = 0
+    for q, found in got.items():
+        assert [r for r, _, _ in found] == list(range(1, min(20, len(good) - 1) + 1))
+        score = (x * x[ids == q][0]).sum(axis=1)
+        assert all(s == pytest.approx(score[ids == v][0], abs=1e-12) for _, v, s in found)
+        assert [(-s, v) for _, v, s in found] == sorted((-s, v) for _, v, s in found) and q not in {v for _, v, _ in found}
+        score[ids == q] = -np.inf
+        hits += len({v for _, v, _ in found} & set(ids[np.lexsort((ids, -score))[:20]].tolist()))
+    return hits / sum(map(len, got.values()))
+
+
 def test_nearest(spark, monkeypatch):
-    monkeypatch.setattr(ann, "ROWS", 500)
+    monkeypatch.setattr(ann, "ROWS", 100)
     monkeypatch.setattr(ann, "QUERIES", 20)
-    monkeypatch.setattr(ann, "LEAST", 100)
+    monkeypatch.setattr(ann, "LEAST", 40)
     good = rows(2, 1500, 3, 30)
-    df = frame(spark, [*good, *BAD])
-    got = {}
-    for r in ann.nearest(df, df.where("vec_id % 20 = 0")).collect():
-        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
-    x = np.array([v for _, v in good], np.float64)
-    hits = 0
+    got = neighbours(spark, frame(spark, [*good, *BAD]))
     assert set(got) == {i for i, _ in good if i % 20 == 0}
-    for q, found in got.items():
-        found.sort()
-        assert [r for r, _, _ in found] == list(range(1, 21))
-        score = (x * x[q]).sum(axis=1)
-        assert all(s == pytest.approx(score[v], abs=1e-12) for _, v, s in found)
-        assert [(-s, v) for _, v, s in found] == sorted((-s, v) for _, v, s in found) and q not in {v for _, v, _ in found}
-        score[q] = -np.inf
-        hits += len({v for _, v, _ in found} & set(np.lexsort((np.arange(len(x)), -score))[:20].tolist()))
-    assert hits / (20 * len(got)) >= 0.95
+    assert recall(good, got) >= 0.9
+
+
+@pytest.mark.parametrize("dim", [64, 128, 768])
+def test_recall_without_clusters(spark, dim):
+    """Random directions, where no index prunes much: the search widens until it finds enough."""
+    x = np.random.default_rng(dim).normal(size=(1500, dim))
+    good = [*enumerate(np.float32(x / np.linalg.norm(x, axis=1, keepdims=True)).tolist())]
+    assert recall(good, neighbours(spark, frame(spark, good))) >= 0.9
+
+
+def test_blind_search_ends_exact(spark, monkeypatch):
+    monkeypatch.setattr(ann, "VISITED", 1)
+    monkeypatch.setattr(ann, "LEAST", 1)
+    monkeypatch.setattr(ann, "SHARE", 1e-9)
+    monkeypatch.setattr(ann, "TARGET", 1.0)
+    good = rows(4, 400, 2, 30)
+    assert recall(good, neighbours(spark, frame(spark, good))) >= 0.9
+
+
+def test_more_copies_than_neighbours(spark):
+    good = [(i, [1.0, 2.0]) for i in range(70)] + [(i, [2.0, 1.0]) for i in range(70, 80)]
+    got = neighbours(spark, frame(spark, good))
+    assert [v for _, v, _ in got[0]] == list(range(1, 21)) and [v for _, v, _ in got[60]] == list(range(20))
+
+
+def test_repeated_and_short_queries(spark):
+    df = frame(spark, [(0, [1.0, 0.0, 0.0, 0.0]), (0, [1.0, 0.0, 0.0, 0.0]), *((i, [1.0, i, 0.0, 0.0]) for i in range(1, 60)), (59, [1.0, 59.0, 0.0, 0.0])])
+    asked = frame(spark, [(0, [1.0, 0.0, 0.0, 0.0])] * 2 + [(100 + i, [1.0, 0.0]) for i in range(9)])
+    got = neighbours(spark, df, asked)
+    assert list(got) == [0] and [(r, v) for r, v, _ in got[0]] == [(i, i) for i in range(1, 21)]
 
 
 def test_nearest_edges(spark):
