@@ -1,16 +1,20 @@
 """Embedding near-dedup by a robust-pruned flat graph.
 
 1. Equal vectors become one node with a count.
-2. Each node goes to the shards of its nearest centres (overlapping cells; large cells are cut by hash).
-3. In every shard a graph is built by robust pruning: a neighbour is dropped if a kept one is much nearer to it.
-4. The adjacency lists of a node from all its shards are united.
-5. In every shard each node is searched from the medoids of all islands of the graph and of all groups that can fill a
-   beam, and from its own place and neighbours (in a part that does not hold it, its nearest nodes): greedily with a
-   beam, expanding everything in range, so that whole groups are found. Candidates are verified by their cosine in
-   double precision, in both directions.
+2. Nodes are dealt into overlapping cells: each goes to its nearest centres, at the nearest of all it is at home. A cell
+   that is still large is dealt again, among centres of its own, and so on; a dense group that no centres keep apart
+   stays one cell, which is cut by hash into parts of about SHARD nodes.
+3. In every part a graph is built by robust pruning: a neighbour is dropped if a kept one is much nearer to it.
+4. The adjacency lists of a node from all its cells are united, and a cell gets the nodes that its nodes' united lists
+   name near the range, so a search may leave the cell that it began in.
+5. Each node is searched for at home, on the united lists: from the medoids of all islands of the graph and of all
+   groups that can fill a beam, and from its own place, greedily with a beam, expanding everything near the range, so
+   that whole groups are found. Candidates are verified by their cosine in double precision, in both directions. A
+   group of the search is a part and a block of the nodes at home, both of bounded size; links are counted there and
+   connected by a forest, never listed.
 6. Recall is audited node by node against brute force on a bounded sample; below AUDIT_RECALL the search is repeated
-   with more overlap and a wider beam, and adds to what was found. If TRIES searches stay below it, all nodes that can
-   be in range are compared exactly, in blocks.
+   with more overlap and a wider beam; a node keeps the largest count that any search verified, and all searches'
+   forests connect. If TRIES searches stay below it, all nodes that can be in range are compared exactly, in blocks.
 """
 
 from __future__ import annotations
@@ -24,25 +28,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vectors
-from .common import stored, table
+from .common import finished, mark, stored, table
 from .graph import components
 
 THRESHOLD = 0.95
-#: Nodes of a cell and of a shard, about; most centres; neighbours of a node; the pruning factor.
-CELL, SHARD, CENTRES, DEGREE, ALPHA = 1500, 3000, 1024, 24, 1.2
+#: Nodes of a cell and of a part, about; a cell of SPLIT times as many is dealt again, among FAN centres at most, that are
+#: fitted on SAMPLE of its nodes.
+CELL, SHARD, SPLIT, FAN, SAMPLE = 1500, 3000, 8, 256, 10_000
+#: Neighbours of a node, and the pruning factor.
+DEGREE, ALPHA = 24, 1.2
 #: Cells of a node and beam at first; how far below the threshold the range is expanded.
 OVERLAP, BEAM, MARGIN = 2, 32, 0.05
 AUDIT, AUDIT_RECALL, TRIES = 200, 0.99, 3
-#: Links of a node in a hot group, which is audited apart from others; nodes on a side of an exact comparison, about.
-HOT, BLOCK = 2 * DEGREE, 8192
+#: Links of a node in a hot group, which is audited apart from others; nodes on a side of an exact comparison, about, and
+#: the cells that rule pairs out there.
+HOT, BLOCK, EXACT_CELLS = 2 * DEGREE, 8192, 1024
 #: How far a cosine of a matrix product may be from that of the two vectors alone.
 ROUNDING = 1e-9
 _log = logging.getLogger(__name__)
 
 
-def centres(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
-    """``k`` unit vectors by spherical k-means on the sample ``x`` of unit vectors."""
-    c = x[np.linspace(0, len(x) - 1, min(k, len(x))).astype(int)].copy()
+def centres(x: np.ndarray, k: int, threshold: float = THRESHOLD, rounds: int = 8) -> np.ndarray:
+    """At most ``k`` unit vectors by spherical k-means on the sample ``x`` of unit vectors.
+
+    They start from rows that are twice the range apart, so a group of near copies is not divided.
+    """
+    apart, chosen = 2 * threshold - 1, []
+    free = np.ones(len(x), bool)
+    while len(chosen) < k and free.any():
+        chosen.append(int(np.argmax(free)))
+        free &= x @ x[chosen[-1]] < apart
+        free[chosen[-1]] = False
+    c = x[chosen].copy()
     for _ in range(rounds):
         near = np.argmax(x @ c.T, axis=1)
         for j in range(len(c)):
@@ -113,25 +130,29 @@ def entries(x: np.ndarray, links: list[np.ndarray], least: int = 1) -> np.ndarra
     return np.array(out, np.int64)
 
 
-def search(x: np.ndarray, links: list[np.ndarray], starts: np.ndarray, near: np.ndarray, q: int, beam: int, threshold: float) -> np.ndarray:
-    """Rows in range of row ``q``: greedy with a beam from ``starts``, then from ``near``, expanding all near the range."""
+def search(x: np.ndarray, links: list[np.ndarray], starts: np.ndarray, near: np.ndarray, q: np.ndarray, beam: int, threshold: float) -> np.ndarray:
+    """Rows in range of ``q``: greedy with a beam from ``starts``, then from ``near``, expanding all near the range."""
     seen = np.zeros(len(x), bool)
     seen[starts] = True
-    ids, sims, open_ = starts, x[starts] @ x[q], np.ones(len(starts), bool)
+    ids, sims, open_ = starts, x[starts] @ q, np.ones(len(starts), bool)
     while True:
-        top = np.argsort(-sims, kind="stable")[:beam]
         wide = np.flatnonzero(open_ & (sims >= threshold - MARGIN))
-        todo = wide if len(wide) else top[open_[top]][:4]
+        if len(wide):
+            todo = wide
+        else:
+            top = np.argpartition(-sims, beam - 1)[:beam] if len(sims) > beam else np.arange(len(sims))
+            top = top[open_[top]]
+            todo = top[np.argsort(-sims[top], kind="stable")][:4]
         if len(todo):
             open_[todo] = False
             new = np.unique(np.concatenate([links[i] for i in ids[todo].tolist()]))
         elif len(near):
             new, near = np.unique(near), near[:0]
         else:
-            return ids[(sims >= threshold - 1e-6) & (ids != q)]
+            return ids[sims >= threshold - 1e-6]
         new = new[~seen[new]]
         seen[new] = True
-        ids, sims, open_ = np.concatenate([ids, new]), np.concatenate([sims, x[new] @ x[q]]), np.concatenate([open_, np.ones(len(new), bool)])
+        ids, sims, open_ = np.concatenate([ids, new]), np.concatenate([sims, x[new] @ q]), np.concatenate([open_, np.ones(len(new), bool)])
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -139,76 +160,156 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _shards(nodes: DataFrame, n: int, overlap: int) -> DataFrame:
-    """(cell, part, vec_id, copies, embedding): each node in the cells of its nearest centres, cells cut by hash.
+NODE = "vec_id bigint, copies bigint, embedding array<double>"
+
 
-    Cut cells hold all their nodes as queries of each part; ``own`` marks the part that a node is indexed in.
+def _dealt(batch: pa.RecordBatch, found: np.ndarray, overlap: int, threshold: float) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Rows, their centres, and whether it is the row's nearest.
+
+    Of the ``overlap`` nearest centres a row has the nearest, and those whose rows can be in range of it: those that it
+    is not further from than a link is long, on either side of the plane between the two.
     """
-    found = centres(_unit(vectors.sample(nodes, 20_000)), max(1, min(CENTRES, -(-n // CELL))))
-    overlap = min(overlap, len(found))
+    sims = _unit(vectors.matrix(batch.column("embedding"))) @ found.T
+    near = np.argsort(-sims, axis=1, kind="stable")[:, :overlap]
+    best, at = np.take_along_axis(sims, near, axis=1), near[:, :1]
+    between = np.sqrt(np.maximum(2 - 2 * (found @ found.T), 0))[at, near]
+    row, place = np.nonzero(best[:, :1] - best <= between * np.sqrt(max(2 - 2 * threshold, 0)) + 1e-6)
+    return pa.array(row), near[row, place], place == 0
+
+
+def cells(nodes: DataFrame, n: int, overlap: int, threshold: float = THRESHOLD) -> DataFrame:
+    """(cell, home, vec_id, copies, embedding): each node in the cells of its nearest centres.
+
+    Centres come from samples of bounded size; at the first level there are FAN at most, later ones are fitted in
+    their cells and meet the nodes by cell and salt. ``home`` marks one cell of each node.
+    """
+    found = centres(_unit(vectors.sample(nodes, SAMPLE)), max(1, min(FAN, -(-n // CELL))), threshold)
 
     def deal(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = np.argsort(-(_unit(vectors.matrix(batch.column(2))) @ found.T), axis=1, kind="stable")[:, :overlap]
-            row = pa.array(np.repeat(np.arange(batch.num_rows), overlap))
-            yield pa.RecordBatch.from_arrays([pa.array(near.ravel(), pa.int32()), *(c.take(row) for c in batch.columns)], names=["cell", *batch.schema.names])
-
-    dealt = stored(nodes.mapInArrow(deal, "cell int, vec_id bigint, copies bigint, embedding array<double>"))
-    parts = dealt.groupBy("cell").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("parts"))
-    dealt = dealt.join(parts, "cell")
-    return dealt.withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-
-
-def _search(shards: DataFrame, beam: int, threshold: float) -> DataFrame:
-    """(vec_id, root: the smallest node that its links lead to in the shard, links: the nodes linked directly with their copies)."""
-
-    def build(group: pa.Table) -> pa.Table:
-        ids, x = group.column("vec_id").to_numpy(), _unit(vectors.matrix(group.column("embedding")))
-        return pa.table({"vec_id": pa.array(ids, pa.int64()), "near": pa.array([ids[k] for k in prune(x)], pa.list_(pa.int64()))})
-
-    own = shards.where("part = own")
-    united = own.select("cell", "part", "vec_id", "embedding").groupBy("cell", "part").applyInArrow(build, "vec_id bigint, near array<bigint>")
-    united = united.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-
-    def find(group: pa.Table) -> pa.Table:
-        group = group.sort_by("vec_id")
-        ids, copies, x = group.column("vec_id").to_numpy(), group.column("copies").to_numpy(), _unit(vectors.matrix(group.column("embedding")))
-        held = np.array(group.column("own").to_pylist()) == np.array(group.column("part").to_pylist())
-        base = np.flatnonzero(held)
-        place = {v: k for k, v in enumerate(ids[base].tolist())}
-        near = group.column("near").to_pylist()
-        around = [np.array([place[v] for v in [int(ids[i]), *(near[i] or [])] if v in place], np.int64) for i in range(len(ids))]
-        links = [around[i] for i in base.tolist()]
-        close = [to[x[base[to]] @ x[i] >= threshold - MARGIN] for i, to in zip(base.tolist(), links, strict=True)]
-        starts = np.unique(np.concatenate([entries(x[base], links), entries(x[base], close, BEAM)]))
-        others, few = np.flatnonzero(~held), min(len(base), 2 * DEGREE)
-        for a in range(0, len(others) if few else 0, 512):
-            sims = x[others[a : a + 512]] @ x[base].T
-            for i, nearest in zip(others[a : a + 512].tolist(), np.argpartition(-sims, few - 1, axis=1)[:, :few], strict=True):
-                around[i] = nearest
-        found: list[set[int]] = [set() for _ in ids]
-        y = np.concatenate([x[base], np.zeros((1, x.shape[1]))])
-        links.append(np.zeros(0, np.int64))
-        for i in range(len(ids) if len(base) else 0):
-            y[-1] = x[i]
-            for j in base[search(y, links, starts, around[i], len(base), beam, threshold)].tolist():
-                # verified on the vectors themselves, whichever way it was found
-                if i != j and float((x[i] * x[j]).sum()) >= threshold:
-                    found[i].add(j)
-                    found[j].add(i)
-        rows = [k for k, f in enumerate(found) if f]
-        root = np.full(len(ids), -1)
-        for k in rows:  # ids are ascending, so the first row of a group is its smallest
-            todo = [k] if root[k] < 0 else []
-            while todo:
-                root[todo], todo = k, sorted({j for i in todo for j in found[i] if root[j] < 0})
-        pairs = [[{"id": int(ids[j]), "copies": int(copies[j])} for j in sorted(found[k])] for k in rows]
-        return pa.table({"vec_id": pa.array(ids[rows], pa.int64()), "root": pa.array(ids[root[rows]], pa.int64()), "links": pa.array(pairs, pa.list_(pa.struct([("id", pa.int64()), ("copies", pa.int64())])))})
-
-    held = shards.join(united, "vec_id", "left").select("cell", "part", "own", "vec_id", "copies", "embedding", "near")
-    return held.groupBy("cell", "part").applyInArrow(find, "vec_id bigint, root bigint, links array<struct<id:bigint,copies:bigint>>")
+            if batch.num_rows:
+                row, cell, home = _dealt(batch, found, overlap, threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(home), *(c.take(row) for c in batch.columns)], names=["cell", "home", *batch.schema.names])
+
+    schema = f"cell bigint, home boolean, {NODE}"
+    out = stored(nodes.mapInArrow(deal, schema))
+    whole = before = None
+    while True:
+        sizes = out.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT * CELL)
+        if before is not None:
+            # What no centres divide, or what has kept most of the cell that it comes from, is left as it is.
+            parent = before.select((F.col("cell") + 1).alias("parent"), F.col("n").alias("of"))
+            sizes = sizes.join(whole, "cell", "left_anti").withColumn("parent", F.floor(F.col("cell") / FAN)).join(parent, "parent", "left").where("of IS NULL OR n <= 0.75 * of").select("cell", "n")
+        sizes = stored(sizes)
+        if not sizes.take(1):
+            return out
+        parts = F.greatest(F.lit(1), F.ceil(F.col("n") / (SPLIT * CELL)).cast("int"))
+        drawn = out.join(sizes, "cell").where(F.pmod(F.xxhash64("vec_id", "cell"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * SAMPLE / F.col("n"))
+
+        def fit(group: pa.Table) -> pa.Table:
+            x = _unit(vectors.matrix(group.column("embedding")))
+            got = centres(x, max(2, min(FAN, -(-group.column("n")[0].as_py() // CELL))), threshold)
+            return pa.table({"cell": group.column("cell").slice(0, 1).cast(pa.int64()), "k": pa.array([len(got)], pa.int32()), "centres": pa.array([got.ravel()], pa.list_(pa.float64()))})
+
+        fitted = stored(drawn.select("cell", "n", "embedding").groupBy("cell").applyInArrow(fit, "cell bigint, k int, centres array<double>"))
+        single = fitted.where("k < 2").select("cell")
+        whole, before = single if whole is None else whole.unionByName(single), sizes
+        cut = fitted.where("k > 1").join(sizes, "cell").select("cell", "k", "centres", parts.alias("parts"))
+        mine = out.join(cut.select("cell", F.col("parts").alias("salts")), "cell").select(*out.columns, F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int").alias("salt"))
+        theirs = cut.select("cell", "k", "centres", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
+
+        def again(group: pa.Table, known: pa.Table) -> pa.Table:
+            group = group.select(["cell", "home", "vec_id", "copies", "embedding"])
+            if not group.num_rows:
+                return group
+            batch = group.combine_chunks().to_batches()[0]
+            row, child, home = _dealt(batch, np.array(known.column("centres")[0].as_py()).reshape(known.column("k")[0].as_py(), -1), overlap, threshold)
+            cell = (batch.column("cell")[0].as_py() + 1) * FAN + child
+            at_home = home & np.array(batch.column("home").to_pylist(), bool)[row.to_numpy()]
+            return pa.table([pa.array(cell, pa.int64()), pa.array(at_home), *(batch.column(c).take(row) for c in ("vec_id", "copies", "embedding"))], names=group.column_names)
+
+        dealt = mine.groupBy("cell", "salt").cogroup(theirs.groupBy("cell", "salt")).applyInArrow(again, schema)
+        rest = out.join(cut.select("cell"), "cell", "left_anti").select(*dealt.columns)
+        out = stored(rest.unionByName(dealt))
+
+
+def _parted(dealt: DataFrame, size: int, name: str = "parts") -> DataFrame:
+    """``dealt`` with the number of parts of about ``size`` nodes of each cell."""
+    return dealt.join(dealt.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias(name)), "cell")
+
+
+def build(group: pa.Table, threshold: float) -> pa.Table:
+    """Robust-pruned neighbours of every node of a part, and those of them near the range."""
+    ids, x = group.column("vec_id").to_numpy(), _unit(vectors.matrix(group.column("embedding")))
+    near = prune(x)
+    close = [k[x[k] @ x[i] >= threshold - 2 * MARGIN] for i, k in enumerate(near)]
+    return pa.table({"vec_id": pa.array(ids, pa.int64()), **{name: pa.array([ids[k] for k in lists], pa.list_(pa.int64())) for name, lists in (("near", near), ("close", close))}})
+
+
+def _forest(hit: np.ndarray, asks: np.ndarray, held: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each row of a group the smallest id that links lead to; ``hit`` is rows that ask by rows held."""
+    root = ids.copy()
+    i, j = np.nonzero(hit)
+    i, j = asks[i], held[j]
+    if not len(i):
+        return root
+    both = np.concatenate([i, j]), np.concatenate([j, i])
+    order = np.argsort(both[0], kind="stable")
+    row, to = both[0][order], both[1][order]
+    head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    while True:
+        new = root.copy()
+        new[row[head]] = np.minimum(root[row[head]], np.minimum.reduceat(root[to], head))
+        if (new == root).all():
+            return root
+        root = new
+
+
+def find(group: pa.Table, beam: int, threshold: float) -> pa.Table:
+    """Links of the nodes that ask, found on the graph of the nodes that the part holds."""
+    group = group.sort_by("vec_id").combine_chunks()
+    ids, copies, x = group.column("vec_id").to_numpy(), group.column("copies").to_numpy(), _unit(vectors.matrix(group.column("embedding")))
+    asks, held = (np.flatnonzero(np.array(group.column(c).to_pylist(), bool)) for c in ("asks", "held"))
+    y, place, near = x[held], {v: k for k, v in enumerate(ids[held].tolist())}, group.column("near").to_pylist()
+    around = [np.array([place[v] for v in [own, *(to or [])] if v in place], np.int64) for own, to in zip(ids.tolist(), near, strict=True)]
+    hit = np.zeros((len(asks), len(held)), bool)
+    if len(held) and len(asks):
+        links = [around[i] for i in held.tolist()]
+        close = [to[y[to] @ y[k] >= threshold - MARGIN] for k, to in enumerate(links)]
+        starts = np.unique(np.concatenate([entries(y, links), entries(y, close, BEAM)]))
+        for k, i in enumerate(asks.tolist()):
+            got = search(y, links, starts, around[i], x[i], beam, threshold)
+            got = got[held[got] != i]
+            hit[k, got[(y[got] * x[i]).sum(axis=1) >= threshold]] = True
+        # a link found from one side is one of the other side too
+        at = np.full(len(ids), -1)
+        at[held] = np.arange(len(held))
+        mine = np.flatnonzero(at[asks] >= 0)
+        square = hit[np.ix_(mine, at[asks[mine]])]
+        hit[np.ix_(mine, at[asks[mine]])] = square | square.T
+    others = np.zeros(len(ids), np.int64)
+    others[asks] = [int(copies[held[h]].sum()) for h in hit]
+    root = _forest(hit, asks, held, ids)
+    some = np.flatnonzero((others > 0) | (root != ids))
+    return pa.table({"vec_id": pa.array(ids[some], pa.int64()), "others": pa.array(others[some], pa.int64()), "root": pa.array(root[some], pa.int64())})
+
+
+def _search(dealt: DataFrame, beam: int, threshold: float) -> DataFrame:
+    """(vec_id, others: copies of the nodes linked with it in a part of its home cell, root: the smallest node that links lead to there)."""
+    own = lambda parts: F.pmod(F.xxhash64("vec_id"), F.col(parts)).cast("int")
+    members = _parted(dealt, SHARD)
+    built = members.withColumn("part", own("parts")).select("cell", "part", "vec_id", "embedding").groupBy("cell", "part").applyInArrow(lambda rows: build(rows, threshold), "vec_id bigint, near array<bigint>, close array<bigint>")
+    lists = stored(built.groupBy("vec_id").agg(*(F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "close"))))
+    keys = members.select("cell", "vec_id", "parts")
+    named = keys.join(lists.where(F.size("close") > 0).select("vec_id", "close"), "vec_id").select("cell", "parts", F.explode("close").alias("vec_id")).distinct()
+    beyond = named.join(keys.select("cell", "vec_id"), ["cell", "vec_id"], "left_anti").join(dealt.where("home").select("vec_id", "copies", "embedding"), "vec_id")
+    every = members.unionByName(beyond.withColumn("home", F.lit(False)))
+    every = stored(_parted(every, 2 * SHARD, "again").withColumn("parts", F.greatest("parts", "again")).drop("again").join(lists.select("vec_id", "near"), "vec_id", "left").withColumn("own", own("parts")))
+    to = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    held = every.withColumn("part", F.col("own")).withColumn("block", to).withColumn("held", F.lit(True)).withColumn("asks", F.col("home") & (F.col("block") == F.col("own")))
+    asking = every.where("home AND parts > 1").withColumn("block", F.col("own")).withColumn("part", to).where("part <> own").withColumn("held", F.lit(False)).withColumn("asks", F.lit(True))
+    columns = ["cell", "part", "block", "held", "asks", "vec_id", "copies", "near", "embedding"]
+    return held.select(columns).unionByName(asking.select(columns)).groupBy("cell", "part", "block").applyInArrow(lambda rows: find(rows, beam, threshold), "vec_id bigint, others bigint, root bigint")
 
 
 def _audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
@@ -245,7 +346,7 @@ def _exact(nodes: DataFrame, n: int, threshold: float) -> tuple[DataFrame, DataF
     A node has its home at its nearest centre, and asks the homes of all centres whose side of the bisecting plane is
     within the threshold's angle of it; no link can lead elsewhere. Homes and their askers are cut by hash into blocks.
     """
-    found = centres(_unit(vectors.sample(nodes, 20_000)), max(1, min(CENTRES, -(-n // CELL))))
+    found = centres(_unit(vectors.sample(nodes, SAMPLE)), max(1, min(EXACT_CELLS, -(-n // CELL))), threshold)
     apart = np.sqrt(np.maximum(2 - 2 * found @ found.T, 0) * max(0.0, 1 - threshold**2)) + 1e-6
     schema = "cell int, asks boolean, vec_id bigint, copies bigint, embedding array<double>"
 
@@ -307,9 +408,12 @@ def _exact(nodes: DataFrame, n: int, threshold: float) -> tuple[DataFrame, DataF
 def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row with a vec_id.
 
-    Vectors that are null, zero, not finite or of another length than most link with nothing. A vec_id that repeats
-    is one vector for each of its different embeddings; copies of a vector count as links of one another.
+    Vectors that are null, zero, hold a null or non-finite component, or have another length than most rows link with
+    nothing. Rows without vec_id have no result and link with nothing. A vec_id that repeats is one vector for each of
+    its rows, and each row has the same result, with the most links of them; copies of a vector count as links of one
+    another. An empty table gives no rows. Other columns are not looked at.
     """
+    since = mark()
     good = vectors.of_main_length(rows)
     nodes = stored(good.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")).select("vec_id", "copies", "embedding"))
     n, overlap, beam = nodes.count(), OVERLAP, BEAM
@@ -317,11 +421,10 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         own = rows.where("vec_id IS NOT NULL").select("vec_id")
         return own.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     tries: list[DataFrame] = []
-    for _ in range(TRIES):
-        tries.append(stored(_search(_shards(nodes, n, overlap), beam, threshold)))
+    for turn in range(TRIES):
+        tries.append(stored(_search(cells(nodes, n, overlap, threshold), beam, threshold).withColumn("turn", F.lit(turn))))
         found = reduce(DataFrame.unionByName, tries)
-        merged = found.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("links"))).alias("links"))
-        counts = stored(merged.select("vec_id", F.aggregate("links", F.lit(0).cast("bigint"), lambda a, x: a + x["copies"]).alias("others")))
+        counts = stored(found.groupBy("vec_id", "turn").agg(F.sum("others").alias("others")).groupBy("vec_id").agg(F.max("others").alias("others")))
         recall = _audit(nodes, counts, threshold)
         _log.info("recall %.4f with %d cells and a beam of %d", recall, overlap, beam)
         if recall >= AUDIT_RECALL:
@@ -335,7 +438,8 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     member = member.join(counts.select(F.col("vec_id").alias("rep"), "others"), "rep", "left").join(groups, "rep", "left")
     known = member.groupBy("vec_id").agg(F.max(F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.min(F.coalesce("component", "rep")).alias("component_id"))
     out = rows.where("vec_id IS NOT NULL").select("vec_id").join(known, "vec_id", "left")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return finished(out, since)
 
 
 def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

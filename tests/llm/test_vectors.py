@@ -86,6 +86,38 @@ def test_one_search_finds_separate_groups(spark, monkeypatch, cut):
     assert {r.vec_id: r.component_id for r in got} == component
 
 
+def test_cells_are_dealt_again(spark, monkeypatch):
+    """Two levels of centres, and one dense group that none of them divides: parts and blocks of bounded size."""
+    for name, value in (("CELL", 40), ("SHARD", 60), ("FAN", 4), ("SPLIT", 2), ("SAMPLE", 300)):
+        monkeypatch.setattr(neardup_vectors, name, value)
+    good = [*islands(5, 1, 400, 0.01), *((i + 1000, v) for i, v in islands(6, 300, 2, 0.02))]
+    df = frame(spark, good)
+    nodes = neardup_vectors.vectors.of_main_length(df).selectExpr("vec_id", "1L AS copies", "embedding")
+    dealt = neardup_vectors.cells(nodes, len(good), 2).toPandas()
+    assert dealt[dealt.home].vec_id.is_unique and dealt.home.sum() == len(good)
+    hot = dealt[dealt.home & (dealt.vec_id < 400)].cell.value_counts()
+    assert hot.iloc[0] == 400 and dealt.cell.max() >= 4
+    links, component = exact(good)
+    got = neardup_vectors.linked(df).collect()
+    assert {r.vec_id: r.n_links for r in got} == links
+    assert {r.vec_id: r.component_id for r in got} == component
+
+
+def test_search_leaves_its_cell():
+    """The united lists name nodes of other cells near the range, and the search returns them."""
+    rng = np.random.default_rng(3)
+    x = neardup_vectors._unit(np.repeat(rng.normal(size=(1, 16)), 40, axis=0) + rng.normal(size=(40, 16)) * 0.03)
+    near = [np.array([v for v in (k - 1, k + 1) if 0 <= v < 40]) for k in range(40)]
+    group = neardup_vectors.pa.table({
+        "vec_id": list(range(40)), "copies": [1] * 40, "embedding": x.tolist(), "near": [v.tolist() for v in near],
+        "held": [True] * 40, "asks": [k < 20 for k in range(40)],
+    })
+    got = neardup_vectors.find(group, 32, 0.95).to_pydict()
+    hit = (x[:20] @ x.T >= 0.95).sum(axis=1) - 1
+    assert dict(zip(got["vec_id"], got["others"], strict=True)) == {k: int(hit[k]) if k < 20 else 0 for k in range(40)}
+    assert set(got["root"]) == {0}
+
+
 @pytest.mark.parametrize("blind", ["all", "small", "first"])
 def test_what_searches_miss_is_compared(spark, monkeypatch, blind):
     """Searches that lose every link, those of pairs beside a hot group, or in the last try what the first had found."""
@@ -96,7 +128,7 @@ def test_what_searches_miss_is_compared(spark, monkeypatch, blind):
         found = search(shards, beam, threshold)
         if blind == "first":
             return found.where(f"vec_id % 2 = {len(turn) % 2}")
-        return found.where("false" if blind == "all" else "size(links) > 10")
+        return found.where("false" if blind == "all" else "others > 10")
 
     monkeypatch.setattr(neardup_vectors, "_search", worse)
     monkeypatch.setattr(neardup_vectors, "CELL", 100)
