@@ -2,8 +2,10 @@
 
 Overlapping heuristic labellers vote good, bad or nothing on every document. Expectation-maximisation over the counts
 of vote patterns (at most 3 to the number of labellers, whatever the corpus) estimates how each labeller votes on good
-and on bad documents; a pattern's posterior is the weak label of the documents that have it. A hashed linear scorer is
-trained on a bounded sample of them and scores every document from its whole text.
+documents and on each kind of bad ones, and so its accuracy; a pattern's posterior is the weak label of the documents
+that have it. Nothing is believed of a labeller beforehand: where two agree that a document is bad a kind begins, and
+what one says alone counts as much as it turns out to be right. A hashed linear scorer is trained on a bounded sample
+of weak labels and scores every document from its whole text.
 """
 
 from __future__ import annotations
@@ -17,15 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words
-from .common import table
+from .common import fresh, table
 from .encoding import groups, release
 
 #: Documents that the scorer is fitted on, about; hashed features; passes over the sample.
 SAMPLE, FEATURES, PASSES = 6000, 1 << 15, 120
 LABELLERS = ("case", "shouting", "symbols", "marked_words", "letters", "bare_marks", "separators", "repeats", "common_word", "vocabulary")
-#: Labellers are believed better than chance: of bad documents each finds 0.3, of good ones it blames 0.01. This
-#: weighs as much as PRIOR of the documents; without it a kind of junk that two labellers see becomes a kind of good.
-BELIEF, PRIOR = ((0.3, 0.7), (0.01, 0.99)), 0.5
+#: How likely a document is bad when estimation begins: with two votes against it or more, with one, and with none. It is
+#: a start and no prior: the counts alone decide what follows, each with SMOOTH added.
+BEGIN, SMOOTH = (0.95, 0.5, 0.05), 1.0
 
 _UPPER, _LOWER, _LETTER, _MARK = (np.zeros(256, bool) for _ in range(4))
 _UPPER[65:91] = True
@@ -99,24 +101,40 @@ def pattern_codes(votes: np.ndarray) -> np.ndarray:
     return (votes.astype(np.int64) + 1) @ 3 ** np.arange(votes.shape[1]) if len(votes) else np.zeros(0, np.int64)
 
 
-def posteriors(counts: dict[int, int], rounds: int = 200) -> dict[int, float]:
-    """Probability of good for each vote pattern, by expectation-maximisation."""
+def estimate(counts: dict[int, int], rounds: int = 300) -> tuple[dict[int, float], np.ndarray]:
+    """Probability of good for each vote pattern, and each labeller's accuracy, by expectation-maximisation.
+
+    A document is good or of a kind of bad, as many kinds as labellers: votes are independent in a kind but not among
+    all bad documents, as one sort of junk is seen by some labellers and passed by others. Each kind begins with the
+    documents that its labeller and at least one more call bad.
+    """
     codes = np.array(sorted(counts), dtype=np.int64)
     n, k = np.array([counts[c] for c in codes.tolist()], dtype=float), len(LABELLERS)
     vote = codes[:, None] // 3 ** np.arange(k) % 3  # 0 none, 1 bad, 2 good
     one_hot = np.eye(3)[vote][:, :, 1:]  # no vote says nothing
-    good = (vote == 2).sum(axis=1) / np.maximum((vote > 0).sum(axis=1), 1)
-    p = np.where((vote == 1).any(axis=1), np.minimum(good, 0.4), 0.95)  # to begin with: any vote for bad makes it likely
+    blamed = vote == 1
+    against = blamed.sum(axis=1)
+    suspect = np.select([against > 1, against == 1], BEGIN[:2], BEGIN[2])[:, None]
+    kind = np.where(against[:, None] > 0, blamed / np.maximum(against, 1)[:, None], 1 / k)
+    p = np.concatenate([1 - suspect, suspect * kind], axis=1)  # good, then the kinds
     for _ in range(rounds):
-        share = np.clip((p @ n) / max(n.sum(), 1), 0.02, 0.98)
-        how = np.stack([np.einsum("i,ikv->kv", x * n, one_hot) + PRIOR * n.sum() * np.array(belief) + 0.5 for x, belief in zip((1 - p, p), BELIEF, strict=True)])
+        mass = p * n[:, None]
+        share = (mass.sum(axis=0) + SMOOTH) / (n.sum() + SMOOTH * (k + 1))
+        how = np.einsum("ic,ikv->ckv", mass, one_hot) + SMOOTH
         how /= how.sum(axis=2, keepdims=True)
-        odds = np.einsum("ikv,kv->i", one_hot, np.log(how[1]) - np.log(how[0])) + np.log(share / (1 - share))
-        new = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
-        if np.abs(new - p).max() < 1e-9:
+        like = np.einsum("ikv,ckv->ic", one_hot, np.log(how)) + np.log(share)
+        new = np.exp(like - like.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
+        if np.abs(new - p).max() < 1e-8:
             break
         p = new
-    return dict(zip(codes.tolist(), p.tolist(), strict=True))
+    good = p[:, 0]
+    right = np.where(blamed, 1 - good[:, None], good[:, None]) * (vote > 0) * n[:, None]
+    return dict(zip(codes.tolist(), good.tolist(), strict=True)), right.sum(axis=0) / np.maximum(((vote > 0) * n[:, None]).sum(axis=0), 1)
+
+
+def posteriors(counts: dict[int, int]) -> dict[int, float]:
+    return estimate(counts)[0]
 
 
 def fit(rows: list[np.ndarray], weights: list[np.ndarray], target: np.ndarray) -> np.ndarray:
@@ -169,14 +187,12 @@ def model(docs: DataFrame) -> tuple[dict[int, float], np.ndarray]:
     return known, fit(at, x, sample.column("target").to_numpy())
 
 
-def scored(docs: DataFrame) -> DataFrame:
-    """``docs`` with weak_label, quality_score and quality_kept.
+#: Columns that ``scored`` adds.
+NEW = (("weak_label", T.DoubleType()), ("quality_score", T.DoubleType()), ("quality_kept", T.BooleanType()))
 
-    Empty and null texts have nothing to be kept for: their score is 0. Names that ``docs`` has already are replaced.
-    """
+
+def _scored(docs: DataFrame, names: list[str]) -> DataFrame:
     known, w = model(docs)
-    new = [("weak_label", "double"), ("quality_score", "double"), ("quality_kept", "boolean")]
-    docs = docs.drop(*[c for c, _ in new])
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,15 +204,25 @@ def scored(docs: DataFrame) -> DataFrame:
             score = 1 / (1 + np.exp(-(b.share(w[one] + w[two]) + w[-1])))
             score[b.n == 0] = 0.0
             columns = [*part.columns, pa.array(label, pa.float64()), pa.array(score), pa.array(score >= 0.5)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *(c for c, _ in new)])
+            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *names])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(name, kind) for name, (_, kind) in zip(names, NEW, strict=True))]))
+
 
-    kinds = {"double": T.DoubleType(), "boolean": T.BooleanType()}
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(name, kinds[kind]) for name, kind in new)]))
+def scored(docs: DataFrame) -> DataFrame:
+    """``docs`` with weak_label, quality_score and quality_kept; columns that ``docs`` has of these names keep their
+    values, and the new ones get underscores.
+
+    Empty and null texts have nothing to be kept for: their score is 0. Every row is scored by its text alone, so rows
+    that repeat, tie or have no doc_id are no special case; long texts are read whole. An empty table gives one.
+    """
+    return _scored(docs, [fresh(docs, name) for name, _ in NEW])
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the scorer keeps."""
-    return scored(docs).where("quality_kept").select(docs.columns)
+    """The rows of ``docs`` that the scorer keeps, with all their columns and values."""
+    names = [fresh(docs, name) for name, _ in NEW]
+    return _scored(docs, names).where(F.col(names[2])).select(docs.columns)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
