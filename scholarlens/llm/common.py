@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scholarlens.sources import tables
 from scholarlens.sources.tables import importable
 
-__all__ = ["clear", "compact", "finished", "fresh", "mark", "prepared", "shared_dir", "stored", "table", "text_bytes"]
+__all__ = ["clear", "compact", "discard", "finished", "fresh", "mark", "prepared", "shared_dir", "stored", "table", "text_bytes"]
 
 
 #: Rows and bytes of a batch that goes to Python: whole texts are held there and in the JVM's native memory.
@@ -80,13 +80,18 @@ def mark() -> int:
     return len(_made)
 
 
+def discard(spark: SparkSession, since: int, until: int | None = None) -> None:
+    """Removes the tables that were stored between two marks, once nothing reads them any more."""
+    for path in _made[since:until]:
+        _remove(spark, path)
+        _made.remove(path)
+
+
 def finished(df: DataFrame, since: int) -> DataFrame:
     """``df`` stored, and every table that was stored for it removed."""
-    gone = _made[since:]
+    until = len(_made)
     out = stored(df)
-    for path in gone:
-        _remove(df.sparkSession, path)
-        _made.remove(path)
+    discard(df.sparkSession, since, until)
     return out
 
 

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import dac, encoding
-from .common import stored, table
+from .common import stored, table, text_bytes
 
+#: Bytes of text in a part, about.
+PART_BYTES = 32_000_000
 #: Rows of the file format: one for each segment of consecutive documents of a part. ``codes`` is a blob of ``dac``.
 SEGMENT = "part int, segment int, doc_ids array<bigint>, lengths array<bigint>, first bigint, n_tokens bigint, codes binary"
 SEGMENT_BYTES = 8_000_000
@@ -22,7 +24,8 @@ SEGMENT_BYTES = 8_000_000
 def segments(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """Range-partitioned, sorted documents as encoded segments (null text: empty, so the end id alone).
 
-    Equal doc_ids (repeated rows) stay next to each other, ordered by text; null doc_ids come first.
+    Equal doc_ids (repeated rows) stay next to each other, ordered by text; null doc_ids come first. A text of any
+    length is in one segment; an empty table has none. Other columns are not looked at.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +52,7 @@ def segments(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 )
                 at, first = at + 1, first + len(tokens)
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, -(-text_bytes(docs) // PART_BYTES))
     ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     return ordered.mapInArrow(write, SEGMENT)
 
@@ -81,6 +84,26 @@ def documents(store: DataFrame) -> DataFrame:
     return store.select("part", "first", "doc_ids", "lengths", "codes").mapInArrow(local, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+def tokens_at(store: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, place, token of each row of ``wanted`` (doc_id, place: from 0) that the store has.
+
+    Each token is read by itself from the codes of its segment. A doc_id that repeats in the store has a row for each
+    of its documents; a place that is null, negative or beyond the end has none, like a doc_id that is null or unknown.
+    """
+    before = F.expr("aggregate(slice(lengths, 1, k), 0L, (a, x) -> a + x)")
+    rows = store.select("part", "segment", "lengths", F.posexplode("doc_ids").alias("k", "doc_id")).select("part", "segment", "doc_id", before.alias("from"), F.element_at("lengths", F.col("k") + 1).alias("length"))
+    asked = wanted.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("place").cast("bigint").alias("place")).where("place >= 0")
+    asked = asked.join(rows, "doc_id").where("place < length").select("part", "segment", "doc_id", "place", (F.col("from") + F.col("place")).alias("at"))
+
+    def read(asks: pa.Table, segment: pa.Table) -> pa.Table:
+        codes = dac.Reader(segment.column("codes")[0].as_py()) if asks.num_rows else None
+        tokens = [codes[i] for i in asks.column("at").to_pylist()]
+        return pa.table({"doc_id": asks.column("doc_id"), "place": asks.column("place"), "token": pa.array(tokens, pa.int64())})
+
+    held = store.select(F.col("part").alias("of"), F.col("segment").alias("number"), "codes").groupBy("of", "number")
+    return asked.groupBy("part", "segment").cogroup(held).applyInArrow(read, "doc_id bigint, place bigint, token bigint")
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = stored(segments(table(spark, sf_dir, "documents"), encoding.vocabulary(encoding.BYTE_LEVEL), end_id=2))
     return documents(store)

@@ -8,6 +8,7 @@ the marginals add up to the score of the document, calibrated on the sample's do
 
 from __future__ import annotations
 
+import re
 import string
 import zlib
 from collections import Counter
@@ -19,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import encoding
-from .common import stored, table
+from .common import discard, mark, stored, table
 
-#: Labelled documents of each kind that the field is fitted on, about; words of a stretch; hashed features.
-TOXIC, CLEAN, STRETCH, FEATURES, PASSES = 3000, 5000, 24, 1 << 17, 80
+#: Labelled documents of each kind that the field is fitted on, about, and the bytes of their texts, about; words of a
+#: stretch; hashed features.
+TOXIC, CLEAN, BYTES, STRETCH, FEATURES, PASSES = 3000, 5000, 64 << 20, 24, 1 << 17, 80
 #: A feature explains a label if so many toxic documents have it, and it is so many times likelier in them.
 LEAST, ODDS, COVER = 5, 25.0, 3
 _EDGE = string.punctuation + "“”‘’«»…–—"
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def features(word: str) -> list[str]:
@@ -45,13 +48,21 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of about TOXIC and CLEAN labelled documents that are not held out, chosen by hash."""
-    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(~held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    """(text, toxic) of about TOXIC and CLEAN labelled documents that are not held out, chosen by hash.
+
+    A doc_id with both labels is no evidence and has none; one that repeats its label has it once. Of long texts fewer
+    are taken, so that they have about BYTES in all.
+    """
+    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("other")).where("toxic = other")
     n = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     most = F.when(F.col("toxic") == 1, F.lit(int(min(1, TOXIC / max(n.get(1, 0), 1)) * 1e6))).otherwise(F.lit(int(min(1, CLEAN / max(n.get(0, 0), 1)) * 1e6)))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < most)
     # A few thousand rows by the fractions above, so the broadcast is bounded.
-    return stored(docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("text", "toxic"))
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > BYTES:
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < int(BYTES / size * 1e6))
+    return stored(rows.select("text", "toxic"))
 
 
 def explaining(rows: DataFrame) -> set[str]:
@@ -65,19 +76,18 @@ def explaining(rows: DataFrame) -> set[str]:
         found = (Counter(), Counter())
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found[toxic].update({f for w in set(text.split()) for f in features(w) if len(f) > 3})
-        names = list(found[1])  # what no toxic document has explains nothing
+                found[toxic].update({f for w in set(_WORD.findall(text)) for f in features(w) if len(f) > 3})
+        names = list(found[1] | found[0])
         columns = [pa.array(names, pa.string()), pa.array([found[1][f] for f in names], pa.int64()), pa.array([found[0][f] for f in names], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["feature", "toxic", "clean"])
 
-    # Partitions without a feature in toxic documents would lose its clean count, so the sample is counted in one task.
-    counted = rows.coalesce(1).mapInArrow(count, "feature string, toxic bigint, clean bigint")
+    counted = rows.mapInArrow(count, "feature string, toxic bigint, clean bigint").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = (F.col("toxic") + 0.5) / (n1 + 1) / ((F.col("clean") + 0.5) / (n0 + 1))
     likely = {r["feature"]: (r["odds"], r["toxic"]) for r in counted.withColumn("odds", odds).where((F.col("toxic") >= LEAST) & (F.col("odds") >= ODDS)).collect()}
 
     def having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            has = [sorted({f for w in set(t.split()) for f in features(w) if f in likely}) for t in batch.column(0).to_pylist()]
+            has = [sorted({f for w in set(_WORD.findall(t)) for f in features(w) if f in likely}) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(has, pa.list_(pa.string()))], names=["has"])
 
     docs = [x for x in rows.where("toxic = 1").select("text").mapInArrow(having, "has array<string>").toArrow().column("has").to_pylist() if x]
@@ -101,7 +111,7 @@ def stretches(rows: DataFrame, toxic: set[str]) -> tuple[list[list[list[int]]],
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                w = text.split()
+                w = _WORD.findall(text)
                 hit = [i for i, x in enumerate(w) if any(f in toxic for f in features(x))] if label else []
                 starts = {max(0, i - STRETCH // 2) for i in hit[:: max(1, len(hit) // 3)]} if label else {len(w) // 3}
                 for a in starts:
@@ -275,9 +285,13 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, and spans (start:end in code points, comma-joined) of every row.
 
     Null texts are empty; a text without words has the score of no evidence. Without labels of both kinds no word is
-    toxic. A row without doc_id is not held out.
+    toxic. A row without doc_id is not held out. Rows that repeat a doc_id are scored by their texts, each by itself.
+    Labels that are null or neither 0 nor 1, or that contradict each other for a doc_id, are none. Other columns, of
+    whatever names, are not looked at; an empty table gives an empty one.
     """
+    since = mark()
     field, weights, name = model(docs, labels)
+    discard(docs.sparkSession, since)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

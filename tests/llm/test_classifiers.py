@@ -117,3 +117,20 @@ def test_toxicity_edges(spark):
     got = toxicity.scored(docs, labels).collect()
     assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.predicted == 0 and r.held_out is not None for r in got)
     assert toxicity.scored(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_contradictory_labels_are_none(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    some = labels.where("doc_id % 3 = 0").select("doc_id", "toxic")
+    twice = labels.select("doc_id", "toxic").unionByName(labels.select("doc_id", "toxic")).unionByName(some.withColumn("toxic", 1 - F.col("toxic")))
+    kept = labels.where("doc_id % 3 <> 0")
+    a, b = (toxicity.scored(docs, x).orderBy("doc_id").toPandas() for x in (twice, kept))
+    assert a.score.tolist() == b.score.tolist()
+
+
+def test_sample_is_bounded_by_bytes(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    size = lambda: toxicity.sample(docs, labels).agg(F.sum(F.octet_length("text"))).first()[0]
+    whole = size()
+    monkeypatch.setattr(toxicity, "BYTES", whole // 4)
+    assert 0 < size() < whole // 2

@@ -87,6 +87,19 @@ def test_token_store(spark, library):
         start += len(want)
 
 
+def test_tokens_are_read_by_themselves(spark, library, monkeypatch):
+    monkeypatch.setattr(token_store, "PART_BYTES", 20_000)
+    monkeypatch.setattr(token_store, "SEGMENT_BYTES", 2_000)
+    texts = messy()
+    store = stored(token_store.segments(documents(spark, texts), BYTES, 2))
+    assert store.count() > 5 and store.select("part").distinct().count() > 1
+    rng, whole = random.Random(2), [[*ids(library, BYTES, t), 2] for t in texts]
+    asks = [(d, rng.randrange(len(w))) for d, w in enumerate(whole) for _ in range(4)]
+    more = [(d, len(w) - 1) for d, w in enumerate(whole)] + [(d, len(w)) for d, w in enumerate(whole)] + [(0, -1), (None, 0), (10**6, 0), (3, None)]
+    got = token_store.tokens_at(store, spark.createDataFrame(asks + more, "doc_id bigint, place bigint")).collect()
+    assert sorted(map(tuple, got)) == sorted((d, k, whole[d][k]) for d, k in [*asks, *more[: len(whole)]])
+
+
 def test_token_store_edges(spark):
     docs = documents(spark, ["a", "b", "a", "c"], [5, None, 5, 5])
     got = token_store.documents(stored(token_store.segments(docs, BYTES, 2))).orderBy("start").collect()
