@@ -98,6 +98,7 @@ DEGREES = [
 ]
 # The same for record types and subjects.
 RECORD_DEGREES = [("S1", ["s1", "undergraduate", "sarjana"]), ("S2", ["s2", "master", "magister"]), ("S3", ["s3", "doctoral", "doktor"]), ("S1", ["thesis"])]
+# Words that name departments and supervisors, flags, fields, addresses, columns.
 DEPT_WORDS = ["department", "departemen", "jurusan", "fakultas", "faculty"]
 PAGE_DEPT_WORDS = ["department", "fakultas", "jurusan"]
 SUPERVISOR_WORDS = ["pembimbing", "supervisor", "advisor"]

@@ -37,7 +37,7 @@ def hashing_embedder(dim: int = 768) -> Callable[[list[str]], np.ndarray]:
         out = np.zeros((len(texts), dim), np.float32)
         for row, text in zip(out, texts, strict=True):
             for word in text.lower().split():
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+                h = int.from_bytes(hashlib.md5(word.encode(), usedforsecurity=False).digest()[:8], "big")
                 row[h % dim] += 1.0 if h >> 63 else -1.0
             size = np.linalg.norm(row)
             if size:

@@ -44,14 +44,20 @@ def upsert_research(old: DataFrame, new: DataFrame, order: list[Column], now: Co
     return merge(old, latest(valid, "url", order), "url", updated=("updated_at", now) if now is not None and "updated_at" in old.columns else None)
 
 
-def upsert_profiles(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Merge on sinta_id; nidn and dept stay where the new value is null."""
-    return merge(old, new, "sinta_id", keep_if_null=("nidn", "dept"))
+def _once(new: DataFrame, key: str, order: list[Column] | None) -> DataFrame:
+    """Rows of a batch with each key once, the first by ``order`` (all columns, unless given); null keys stay."""
+    named = latest(new.where(F.col(key).isNotNull()), key, order or [F.struct(*(c for c in new.columns if c != key))])
+    return named.unionByName(new.where(F.col(key).isNull()))
 
 
-def upsert_by_name(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Merge on name, among rows that no sinta_id names: names are not unique beyond them."""
-    return merge(old, new, "name", only=F.col("sinta_id").isNull())
+def upsert_profiles(old: DataFrame, new: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """Merge on sinta_id; nidn and dept stay where the new value is null. An id that repeats in the batch counts once."""
+    return merge(old, _once(new, "sinta_id", order), "sinta_id", keep_if_null=("nidn", "dept"))
+
+
+def upsert_by_name(old: DataFrame, new: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """Merge on name, among rows that no sinta_id names: names are not unique beyond them. A repeated name counts once."""
+    return merge(old, _once(new, "name", order), "name", only=F.col("sinta_id").isNull())
 
 
 def update(old: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:

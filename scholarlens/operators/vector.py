@@ -47,17 +47,17 @@ def match_lecturers(df: DataFrame, query: Sequence[float], threshold: float = 0.
     return match(df, query, ["id", "name", "dept", "research_count"], "expertise_vector", "id", threshold, k)
 
 
-def centroid_parts(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
-    """(key, pos, mean): one partial aggregate for each key and dimension; no list of vectors is ever collected."""
-    parts = df.where(F.col(vector).isNotNull()).select(key, F.posexplode(vector).alias("pos", "value"))
-    return parts.groupBy(key, "pos").agg(F.avg(F.col("value").cast("double")).alias("mean"))
+def centroids(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
+    """(key, centroid): the mean vector of each key, at unit length unless it is zero.
 
+    Whole vectors are added up, before the shuffle and after it: one row of sums for each key and task, no row for each
+    dimension and no list of vectors.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
 
-def centroids(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
-    """(key, centroid): the mean vector of each key, at unit length unless it is zero."""
-    joined = centroid_parts(df, key, vector).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "mean"))).alias("m"))
-    mean = F.transform("m", lambda x: x["mean"])
-    held = joined.select(key, mean.alias("mean")).withColumn("size", norm(F.col("mean")))
+    rows = df.where(F.col(vector).isNotNull()).select(key, array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("_v"))
+    held = rows.groupBy(key).agg(vector_to_array(Summarizer.mean(F.col("_v"))).alias("mean")).withColumn("size", norm(F.col("mean")))
     return held.select(key, F.when(F.col("size") > 0, F.transform("mean", lambda x: x / F.col("size"))).otherwise(F.col("mean")).alias("centroid"))
 
 

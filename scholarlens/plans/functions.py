@@ -7,21 +7,28 @@ from pyspark.sql import SparkSession
 _SIMILARITY = "try_divide(aggregate(zip_with({v}, q, (x, y) -> double(x) * double(y)), 0D, (s, x) -> s + x), nullif(sqrt(aggregate({v}, 0D, (s, x) -> s + double(x) * double(x))) * sqrt(aggregate(q, 0D, (s, x) -> s + x * x)), 0D))"
 
 
+#: A search: columns with their types, the vector, the view.
+_SEARCHES = {
+    "match_research": ("id STRING, title STRING, abstract STRING, author STRING, supervisors ARRAY<STRING>, degree STRING, year INT, dept STRING, url STRING", "embedding", "researches", "0.7D"),
+    "match_lecturers": ("id STRING, name STRING, dept STRING, research_count INT", "expertise_vector", "lecturers", "0.5D"),
+}
+
+
 def register(spark: SparkSession) -> None:
-    """match_research_all(q, t) and match_lecturers_all(q, t): rows and similarity; order and limit are the caller's.
+    """match_research(q, t, k) and match_lecturers(q, t, k): the k rows most similar to q, at least t, in order.
 
-    get_embedding_stats() and get_sinta_stats() return one row each.
+    Threshold and number have the usual defaults. The same with _all has no limit and no order. get_embedding_stats()
+    and get_sinta_stats() return one row each.
     """
-    spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION match_research_all(q ARRAY<DOUBLE>, t DOUBLE)
-        RETURNS TABLE (id STRING, title STRING, similarity DOUBLE)
-        RETURN SELECT * FROM (SELECT id, title, {_SIMILARITY.format(v="embedding")} AS similarity FROM researches WHERE embedding IS NOT NULL) WHERE similarity >= t
-    """)
-    spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION match_lecturers_all(q ARRAY<DOUBLE>, t DOUBLE)
-        RETURNS TABLE (id STRING, name STRING, dept STRING, research_count INT, similarity DOUBLE)
-        RETURN SELECT * FROM (SELECT id, name, dept, research_count, {_SIMILARITY.format(v="expertise_vector")} AS similarity FROM lecturers WHERE expertise_vector IS NOT NULL) WHERE similarity >= t
-    """)
+    for name, (columns, vector, view, threshold) in _SEARCHES.items():
+        names = ", ".join(c.split()[0] for c in columns.split(", "))
+        rows = f"SELECT {names}, {_SIMILARITY.format(v=vector)} AS similarity FROM {view} WHERE {vector} IS NOT NULL"
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}_all(q ARRAY<DOUBLE>, t DOUBLE) RETURNS TABLE ({columns}, similarity DOUBLE) RETURN SELECT * FROM ({rows}) WHERE similarity >= t")
+        # a function's limit must be a constant, so rows are numbered; Spark keeps the first k of each task
+        spark.sql(f"""
+            CREATE OR REPLACE TEMPORARY FUNCTION {name}(q ARRAY<DOUBLE>, t DOUBLE DEFAULT {threshold}, k INT DEFAULT 10) RETURNS TABLE ({columns}, similarity DOUBLE)
+            RETURN SELECT {names}, similarity FROM (SELECT *, row_number() OVER (ORDER BY similarity DESC, id) AS place FROM ({rows}) WHERE similarity >= t) WHERE place <= k ORDER BY place
+        """)
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION get_embedding_stats()
         RETURNS TABLE (total_researches BIGINT, embedded_researches BIGINT, pending_researches BIGINT, total_lecturers BIGINT, profiled_lecturers BIGINT)

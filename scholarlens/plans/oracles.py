@@ -88,7 +88,7 @@ def _items(c: str, longer_than: int) -> str:
 
 
 _ITEMS = f"concat({_seeded('doc_id', seeds.ITEMS)}, text)"
-_LINES = f"list_filter(string_split(concat({_seeded('doc_id', seeds.H_INDEX)}, chr(10), source), chr(10)), lambda x: regexp_matches(lower(x), 'h-index|h index'))"
+_LINES = f"list_filter(string_split(concat({_seeded('doc_id', seeds.H_INDEX)}, chr(10), text), chr(10)), lambda x: regexp_matches(lower(x), 'h-index|h index'))"
 _NUMBERS = rf"list_filter(list_transform({_LINES}, lambda x: list_filter(list_transform(regexp_split_to_array(x, '\t+|\s{{2,}}'), lambda y: {_strip('y')}), lambda y: regexp_matches(y, '^[0-9]+$'))), lambda x: len(x) > 0)[1]"
 
 _INTEGRITY = "CASE WHEN length({c}) = 0 THEN 1.0 ELSE greatest(0.0, 1 - ((length({c}) - length(replace({c}, '�', '')))::DOUBLE * 10) / length({c})::DOUBLE) END"
@@ -109,7 +109,81 @@ _EXPERTISE = f"CASE WHEN len({_TITLES}) > 0 THEN substr(concat({_s(k.EXPERTISE[0
 _CLEAN_DB = "substr(text, 1, 2000) AS title, text AS abstract, CASE WHEN doc_id % 4 <> 0 THEN source ELSE 'Unknown' END AS author, CASE WHEN doc_id % 2 = 0 THEN [source, lang] ELSE [source] END AS supervisors, 'S1' AS degree, (2000 + doc_id % 20)::INT AS year, CASE WHEN doc_id % 3 <> 0 THEN lang END AS dept, doc_id::VARCHAR AS url"
 _DAY = "strftime(o_orderdate, '%Y-%m-%d')"
 
+
+# The rest writes its patterns and constants out, apart from those that the library uses.
+_UNESCAPED = "replace(replace(replace(replace({c}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+
+
+def _clean(c: str) -> str:
+    """Entities of the pages, tags, wrong decoding, control characters, white space; the tables need no NFKC."""
+    c = _gone(_gone(_UNESCAPED.format(c=c), "(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"), "<[^>]+>", " ")
+    for wrong, right in (("â€™", "'"), ("â€œ", '"'), ("â€", '"'), ("Ã©", "é"), ("Ã¨", "è"), ("Ã ", "à"), ("�", "")):
+        c = f"replace({c}, {_s(wrong)}, {_s(right)})"
+    return _strip(_whitespace(_gone(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}]")))
+
+
+def _of_seed(field: str, otherwise: str = "NULL") -> str:
+    show = lambda v: otherwise if v is None else str(v) if isinstance(v, int) else _s(v)
+    return f"CASE page_id % {len(seeds.PAGES)} " + " ".join(f"WHEN {i} THEN {show(p[1][field])}" for i, p in enumerate(seeds.PAGES)) + " END"
+
+
+_H1 = _UNESCAPED.format(c=r"regexp_extract(html, '(?is)<h1>\s*(.*?)\s*</h1>', 1)")
+_HREFS = r"""regexp_extract_all(c, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)', 1)"""
+_YEARS = f"list_transform(list_filter({_HREFS}, lambda h: regexp_matches(h, '[0-9][0-9][0-9][0-9][.]html$')), lambda h: CASE WHEN starts_with(h, 'http') THEN h ELSE concat('http://x.org/', h) END)"
+_RECORDS = f"list_transform(list_filter({_HREFS}, lambda h: regexp_matches(h, '^(https?://repository[.]its[.]ac[.]id)?/[0-9]{{5,}}/')), lambda h: CASE WHEN starts_with(h, 'http') THEN h ELSE concat('https://repository.its.ac.id', h) END)"
+
+
+def _hashed(text: str) -> str:
+    """The 64 sums of signed word hashes of a text: bits 0 to 5 of the first 8 bytes of a word's MD5, and the sign bit."""
+    words = f"list_filter(regexp_split_to_array(lower({text}), '\\s+'), lambda w: w <> '')"
+    hashes = f"list_transform({words}, lambda w: ('0x' || substr(md5(w), 1, 16))::UBIGINT)"
+    return f"list_transform(range(64), lambda d: list_sum(list_transform(list_filter({hashes}, lambda h: h % 64 = d), lambda h: CASE WHEN h >= 9223372036854775808 THEN 1 ELSE -1 END)))"
+
+
+_NAMED = f"concat({_seeded('doc_id', seeds.SUPERVISORS)}, text)"
+_RECORD = f"SELECT doc_id, {_clean('text')} AS title, {_strip(_gone(_boilerplate(_clean(_NAMED)), k.ABSTRACT_PREFIX))} AS abstract, {_clean('source')} AS author, {_clean('lang')} AS dept, (1990 + doc_id % 30)::INT AS year FROM documents"
+_RECORD_NAMES = f"SELECT *, {_names(_matches('substr(abstract, 1, 500)', k.ABSTRACT_SUPERVISORS), 'abstract', 3)} AS names FROM ({_RECORD})"
+_LANDED = f"""
+    l AS (SELECT doc_id AS id, source, text, lang, CASE WHEN doc_id % 6 = 0 THEN [lang] END AS had, nullif(regexp_extract(concat(CASE WHEN doc_id % 11 <> 0 THEN 'http://repository.its.ac.id/' ELSE 'http://x.org/' END, doc_id, '/'), 'repository[.]its[.]ac[.]id/([0-9]+)/?', 1), '') AS eprint FROM documents),
+    b AS (SELECT doc_id::VARCHAR AS eprint, {_names("flatten([" + ", ".join("string_split(regexp_extract(concat(" + _seeded("doc_id", seeds.BIBTEX) + ", text), " + _s(rf"(?is)(?:^|[\s,{{]){f}\s*=\s*[{{\"]([^}}\"]*)[}}\"]") + ", 1), ' and ')" for f in k.BIBTEX_FIELDS) + "])", "pdf", 0)} AS names FROM documents WHERE doc_id % 3 <> 0),
+    p AS (SELECT doc_id::VARCHAR AS eprint, {_names(_matches(f"concat(text, chr(10), {_seeded('doc_id', seeds.PDF)})", k.PDF_SUPERVISORS), "pdf", 0)} AS names FROM documents WHERE doc_id % 4 <> 0),
+    f AS (SELECT id, CASE WHEN b.eprint IS NOT NULL THEN coalesce(nullif(b.names, ''), 'Dr. Ana Budi|Carl Dewi') ELSE nullif(p.names, '') END AS names, CASE WHEN b.eprint IS NOT NULL THEN 'bibtex' WHEN p.names <> '' THEN 'pdf' END AS source
+        FROM (SELECT * FROM l WHERE had IS NULL ORDER BY id LIMIT 1000) t LEFT JOIN b USING (eprint) LEFT JOIN p USING (eprint))
+"""
+_PUBS = "SELECT conv_id, list(text ORDER BY turn) AS p FROM conversations GROUP BY conv_id"
+
 ORACLES: dict[str, str] = {
+    "clean_text_full": f"SELECT page_id, md5({_clean('html')}) AS clean FROM pages",
+    "clean_record": f"""
+        SELECT md5(title) AS title, md5(abstract) AS abstract, author, nullif(names, '') AS supervisors, CASE WHEN d = '' THEN '' ELSE {_first_word("lower(" + _strip("d") + ")", k.DEGREES, "substr(upper(d), 1, 5)")} END AS degree, year, dept, concat('u', doc_id) AS url, '{{}}' AS metadata,
+            printf('%.2f', greatest(0.0, least(1.0, (CASE WHEN length(abstract) >= 500 THEN 0.3 WHEN length(abstract) >= 200 THEN 0.2 WHEN length(abstract) >= 100 THEN 0.1 ELSE 0.0 END)::DOUBLE + (CASE WHEN names <> '' THEN 0.1 ELSE 0.0 END)::DOUBLE + (CASE WHEN contains(names, '|') THEN 0.1 ELSE 0.0 END)::DOUBLE
+                + 0.3::DOUBLE * (((title <> '')::INT + (author <> '')::INT + (dept <> '')::INT + 1) / 4.0::DOUBLE) + 0.2::DOUBLE * ({_INTEGRITY.format(c="concat(title, ' ', abstract, ' ', author)")}))))::DOUBLE AS data_confidence
+        FROM (SELECT *, {_seeded("doc_id", seeds.DEGREES)} AS d FROM ({_RECORD_NAMES}))
+    """,
+    "html_fields": f"""
+        SELECT page_id, {_of_seed("title", _H1)} AS title, {_of_seed("author")} AS author, ({_of_seed("year", "nullif(regexp_extract(html, '[(]([0-9][0-9][0-9][0-9])[)]', 1), '')::INT")})::VARCHAR AS year, {_of_seed("abstract")} AS abstract, {_of_seed("supervisors")} AS supervisors, {_of_seed("dept")} AS dept, {_of_seed("degree")} AS degree, {_of_seed("pdf_url")} AS pdf_url
+        FROM pages
+    """,
+    "page_links": f"""
+        SELECT page_id, array_to_string(list_slice(list_filter({_YEARS}, lambda h, i: list_position({_YEARS}, h) = i), 1, 50), '|') AS year_pages, array_to_string({_RECORDS}, '|') AS records, coalesce(nullif(regexp_extract(c, '(?i)Page\\s+[0-9]+\\s+of\\s+([0-9]+)', 1), '')::INT, 1) AS pages
+        FROM (SELECT page_id, concat({_seeded("page_id", seeds.LINKS)}, html) AS c FROM pages)
+    """,
+    "hashed_embedding": f"SELECT doc_id, 64 AS n, true AS ok, len(list_filter(v, lambda x: x > 0))::INT AS positive, len(list_filter(v, lambda x: x < 0))::INT AS negative FROM (SELECT doc_id, {_hashed('text')} AS v FROM documents)",
+    "vec_lsh_recall": "SELECT true AS enough",
+    "enrich_flow": f"WITH {_LANDED} SELECT l.id, coalesce(f.names, array_to_string(had, '|'), CASE WHEN l.id % 6 = 1 THEN '' END) AS supervisors, f.source FROM l LEFT JOIN f USING (id)",
+    "enrich_counts": f"WITH {_LANDED} SELECT count(*) AS checked, count(*) FILTER (source = 'bibtex') AS bibtex, count(*) FILTER (source = 'pdf') AS pdf, count(*) FILTER (source IS NULL) AS failed FROM f",
+    "recover_flow": f"SELECT doc_id AS id, CASE WHEN doc_id % 6 = 0 THEN lang WHEN names <> '' THEN names WHEN doc_id % 6 = 1 THEN '' END AS supervisors FROM (SELECT doc_id, lang, {_names(_matches('c', k.ANYWHERE_SUPERVISORS), 'anywhere', 0)} AS names FROM (SELECT doc_id, lang, concat(source, chr(10), text, chr(10), {_seeded('doc_id', seeds.SUPERVISORS)}) AS c FROM documents))",
+    "profile_embed_flow": f"""
+        SELECT conv_id AS id, CASE WHEN done THEN 1 WHEN ready THEN 64 END AS n, CASE WHEN done THEN 1 WHEN ready THEN len(list_filter(v, lambda x: x > 0)) END::INT AS positive, CASE WHEN done THEN 0 WHEN ready THEN len(list_filter(v, lambda x: x < 0)) END::INT AS negative
+        FROM (SELECT conv_id, conv_id % 3 = 0 AS done, len(p) >= 2 AND c <> '' AS ready, {_hashed("c")} AS v FROM (SELECT conv_id, p, {_EXPERTISE} AS c FROM ({_PUBS})))
+    """,
+    "harvest_progress": """
+        WITH t AS (SELECT doc_id, quality = 1 AS ok FROM labels), r AS (SELECT * FROM t UNION ALL SELECT doc_id, doc_id % 10 = 1 FROM t WHERE NOT ok),
+        s AS (SELECT doc_id, bool_or(ok) AS ok, count(*) AS tries FROM r GROUP BY doc_id), u AS (SELECT d.doc_id, ok, tries FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN s USING (doc_id))
+        SELECT count(*) AS total_discovered, count(ok) AS total_processed, count(*) FILTER (ok) AS total_success, count(*) FILTER (NOT ok) AS total_failed, count(*) FILTER (ok IS NULL) AS "left", count(*) FILTER (ok IS NULL OR (NOT ok AND tries < 3)) AS retry FROM u
+    """,
+    "stream_merge": "SELECT c_custkey::VARCHAR AS url, CASE WHEN c_custkey % 4 = 0 THEN concat('last ', c_name) WHEN c_custkey % 2 = 0 THEN concat('new ', c_name) ELSE c_name END AS title, CASE WHEN c_custkey % 4 = 0 THEN 2 WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS rank FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
+    "sql_search": f"SELECT vec_id::VARCHAR AS id, concat('t', label) AS title, 'a' AS abstract, label::VARCHAR AS author, label::VARCHAR AS supervisors, 'S1' AS degree, label::INT AS year, label::VARCHAR AS dept, vec_id::VARCHAR AS url, round({_ALIKE}, 6) AS similarity FROM embeddings WHERE {_ALIKE} >= 0.2 ORDER BY {_ALIKE} DESC, vec_id::VARCHAR LIMIT 7",
     "vec_topk": _TOP.format(t=-1.0),
     "vec_topk_threshold": _TOP.format(t=0.3),
     "vec_topk_centroid": f"WITH {_MEANS.format(key='label', table='embeddings')}, v AS (SELECT label, list(value ORDER BY pos) AS v FROM c GROUP BY label) SELECT label, round(list_cosine_similarity(v, {_QUERY}), 6) AS similarity FROM v WHERE list_cosine_similarity(v, {_QUERY}) >= 0 ORDER BY list_cosine_similarity(v, {_QUERY}) DESC, label LIMIT 5",
@@ -134,21 +208,21 @@ ORACLES: dict[str, str] = {
     "without_supervisors": "SELECT doc_id, 'filter_first' AS mode FROM (SELECT doc_id FROM documents WHERE doc_id % 3 <> 1 ORDER BY doc_id LIMIT 50) UNION ALL SELECT doc_id, 'limit_first' FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 50) WHERE doc_id % 3 <> 1",
     "existing_keys": "SELECT DISTINCT doc_id FROM documents SEMI JOIN labels USING (doc_id)",
     "new_keys": "SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)",
-    "harvest_select": "SELECT url, min(source) AS division FROM (SELECT (doc_id % 700)::VARCHAR AS url, source FROM documents) WHERE contains(source, 'src1') AND url NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE quality = 1) GROUP BY url ORDER BY url LIMIT 100",
+    "harvest_select": "SELECT url, min(source) AS division FROM (SELECT doc_id::VARCHAR AS url, source FROM documents) WHERE contains(source, 'src1') AND url NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE quality = 1) GROUP BY url ORDER BY url LIMIT 100",
     "whitespace_norm": f"SELECT doc_id, md5({_whitespace('c')}) AS clean FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.SPACED)}, text) AS c FROM documents)",
     "strip_tags": f"SELECT page_id, md5({_gone(_gone('html', '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>'), '<[^>]+>', ' ')}) AS clean FROM pages",
     "fix_mojibake": f"SELECT doc_id, md5({_decoded('c')}) AS clean FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.MOJIBAKE)}, text) AS c FROM documents)",
     "strip_boilerplate": f"SELECT doc_id, md5({_boilerplate('c')}) AS clean FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.BOILERPLATE)}, text) AS c FROM documents)",
-    "strip_prefix": rf"SELECT doc_id, {_gone('c', k.ABSTRACT_PREFIX)} AS clean, {_gone('c', '(?i)^(?:abstract|abstrak)' + chr(92) + 'b' + chr(92) + 's*:?' + chr(92) + 's*')} AS whole_word FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.PREFIXES)}, source) AS c FROM documents)",
+    "strip_prefix": rf"SELECT doc_id, md5({_gone('c', k.ABSTRACT_PREFIX)}) AS clean, md5(CASE WHEN regexp_matches(c, '(?i)^(abstract|abstrak)[\p{{L}}\p{{N}}_]') THEN c ELSE {_gone('c', k.ABSTRACT_PREFIX)} END) AS whole_word FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.PREFIXES)}, text) AS c FROM documents)",
     "supervisors_abstract": f"SELECT doc_id, {_names(_matches('c', k.ABSTRACT_SUPERVISORS), 'abstract', 3)} AS names FROM (SELECT doc_id, substr(concat({_seeded('doc_id', seeds.SUPERVISORS)}, text), 1, 500) AS c FROM documents)",
     "supervisors_anywhere": f"SELECT doc_id, {_names(_matches('c', k.ANYWHERE_SUPERVISORS), 'anywhere', 0)} AS names FROM (SELECT doc_id, concat(source, chr(10), text, chr(10), {_seeded('doc_id', seeds.SUPERVISORS)}) AS c FROM documents)",
     "supervisors_pdf": f"SELECT doc_id, {_names(_matches('c', k.PDF_SUPERVISORS), 'pdf', 0)} AS names FROM (SELECT doc_id, concat(text, chr(10), {_seeded('doc_id', seeds.PDF)}) AS c FROM documents)",
-    "supervisors_bibtex": "SELECT doc_id, {n} AS names FROM (SELECT doc_id, concat({s}, source) AS c FROM documents)".format(
+    "supervisors_bibtex": "SELECT doc_id, {n} AS names FROM (SELECT doc_id, concat({s}, text) AS c FROM documents)".format(
         n=_names("flatten([" + ", ".join("string_split(regexp_extract(c, " + _s(rf"(?is)(?:^|[\s,{{]){f}\s*=\s*[{{\"]([^}}\"]*)[}}\"]") + ", 1), ' and ')" for f in k.BIBTEX_FIELDS) + "])", "pdf", 0), s=_seeded("doc_id", seeds.BIBTEX)
     ),
-    "degree_norm": f"SELECT doc_id, CASE WHEN d = '' THEN '' ELSE {_first_word('lower(' + _strip('d') + ')', k.DEGREES, 'substr(upper(d), 1, 5)')} END AS degree FROM (SELECT doc_id, {_seeded('doc_id', seeds.DEGREES)} AS d FROM documents)",
-    "degree_oai": f"SELECT doc_id, {_first_word('low', [(w, v) for v, words in k.RECORD_DEGREES for w in words], _s(''))} AS degree FROM (SELECT doc_id, lower(concat({_seeded('doc_id', seeds.TYPES)}, ' ', source, ' ', {_seeded('doc_id', seeds.SUBJECTS)})) AS low FROM documents)",
-    "dept_oai": f"SELECT doc_id, coalesce(list_filter([source, {_seeded('doc_id', seeds.SUBJECTS)}], lambda s: regexp_matches(lower(s), {_s('|'.join(k.DEPT_WORDS))}))[1], '') AS dept FROM documents",
+    "degree_norm": f"SELECT doc_id, CASE WHEN d = '' THEN '' ELSE {_first_word('lower(' + _strip('d') + ')', k.DEGREES, 'substr(upper(d), 1, 5)')} END AS degree FROM (SELECT doc_id, concat({_seeded('doc_id', seeds.DEGREES)}, text) AS d FROM documents)",
+    "degree_oai": f"SELECT doc_id, {_first_word('low', [(w, v) for v, words in k.RECORD_DEGREES for w in words], _s(''))} AS degree FROM (SELECT doc_id, lower(concat({_seeded('doc_id', seeds.TYPES)}, ' ', source, ' ', text, ' ', {_seeded('doc_id', seeds.SUBJECTS)})) AS low FROM documents)",
+    "dept_oai": f"SELECT doc_id, md5(coalesce(list_filter([source, text, {_seeded('doc_id', seeds.SUBJECTS)}], lambda s: regexp_matches(lower(s), {_s('|'.join(k.DEPT_WORDS))}))[1], '')) AS dept FROM documents",
     "year_parse": rf"SELECT o_orderkey, nullif(regexp_extract({_DAY}, '\d{{4}}'), '')::INT AS year, nullif(regexp_extract(concat('v12 (', {_DAY}, ')'), '\b((?:19|20)\d{{2}})\b', 1), '')::INT AS item_year FROM orders",
     "id_from_url": f"SELECT page_id, nullif(regexp_extract(concat(CASE WHEN page_id % 2 = 0 THEN 'http://repository.its.ac.id/' ELSE 'http://x.org/' END, page_id, '/1/x.pdf'), {_s(k.EPRINT_ID)}, 1), '') AS eprint_id, nullif(regexp_extract(url, {_s(k.EPRINT_ID)}, 1), '') AS from_page FROM pages",
     "confidence": _CONFIDENCE,
@@ -156,9 +230,9 @@ ORACLES: dict[str, str] = {
     "encoding_integrity": f"SELECT doc_id, round({_INTEGRITY.format(c='c')}, 6)::DOUBLE AS integrity FROM (SELECT doc_id, concat(repeat('�', (doc_id % 4)::INT), text) AS c FROM documents)",
     "keyword_flags": f"SELECT conv_id, turn, array_to_string(list_filter([{', '.join(map(_s, k.ABSTRACT_FLAGS))}], lambda w: contains(lower(c), w)), ',') AS flags, length(c) AS n FROM (SELECT conv_id, turn, concat({_seeded('conv_id', seeds.SUPERVISORS)}, text) AS c FROM conversations)",
     "embedding_input": f"SELECT doc_id, length(c) AS n, md5(c) AS md5 FROM (SELECT doc_id, {_EMBED} AS c FROM documents)",
-    "expertise_text": f"SELECT conv_id, length(c) AS n, md5(c) AS md5 FROM (SELECT conv_id, {_EXPERTISE} AS c FROM (SELECT conv_id, list(substr(text, 1, 60) ORDER BY turn) AS p FROM conversations GROUP BY conv_id))",
+    "expertise_text": f"SELECT conv_id, length(c) AS n, md5(c) AS md5 FROM (SELECT conv_id, {_EXPERTISE} AS c FROM (SELECT conv_id, list(text ORDER BY turn) AS p FROM conversations GROUP BY conv_id))",
     "publications_shape": f"""
-        WITH r AS (SELECT source AS author_id, CASE WHEN doc_id % 3 = 0 THEN 'googlescholar' ELSE 'scopus' END AS source, doc_id // 200 AS page, doc_id AS pos, substr(text, 1, 40) AS title, CASE WHEN doc_id % 11 <> 0 THEN 2008 + doc_id % 17 END AS year FROM documents),
+        WITH r AS (SELECT source AS author_id, CASE WHEN doc_id % 3 = 0 THEN 'googlescholar' ELSE 'scopus' END AS source, doc_id // 200 AS page, doc_id AS pos, text AS title, CASE WHEN doc_id % 11 <> 0 THEN 2008 + doc_id % 17 END AS year FROM documents),
         o AS (SELECT *, length(title) >= 10 AND coalesce(year >= {k.MIN_YEAR}, true) AS ok FROM r),
         s AS (SELECT author_id, source, min(page) AS stop FROM (SELECT author_id, source, page FROM o GROUP BY ALL HAVING NOT bool_or(ok)) GROUP BY ALL),
         n AS (SELECT o.*, row_number() OVER (PARTITION BY o.author_id, o.source ORDER BY o.page, o.pos) AS n FROM o LEFT JOIN s USING (author_id, source) WHERE ok AND (stop IS NULL OR o.page < stop)),
@@ -168,7 +242,7 @@ ORACLES: dict[str, str] = {
     "tags_shape": f"SELECT doc_id, array_to_string({_DISTINCT_TAGS}, ',') AS tags FROM documents",
     "tag_lookup": f"SELECT doc_id FROM documents WHERE list_has_any({_TAGS}, ['the', 'des', 'der', 'que'])",
     "items_shape": f"SELECT doc_id, {_items('c', 10)} AS researches, {_items('c', 5)} AS books FROM (SELECT doc_id, {_ITEMS} AS c FROM documents)",
-    "h_index_lines": rf"SELECT doc_id, coalesce(n[1]::INT, 0) AS scopus, coalesce(n[2]::INT, n[1]::INT, 0) AS gscholar, nullif(regexp_extract(c, 'NIDN\s*:\s*(\d{{10}})', 1), '') AS nidn FROM (SELECT doc_id, {_NUMBERS} AS n, {_seeded('doc_id', seeds.H_INDEX)} AS c FROM documents)",
+    "h_index_lines": rf"SELECT doc_id, coalesce(n[1]::INT, 0) AS scopus, coalesce(n[2]::INT, n[1]::INT, 0) AS gscholar, nullif(regexp_extract(c, 'NIDN\s*:\s*(\d{{10}})', 1), '') AS nidn FROM (SELECT doc_id, {_NUMBERS} AS n, concat({_seeded('doc_id', seeds.H_INDEX)}, chr(10), text) AS c FROM documents)",
     "metadata_json": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN concat('not json ', event_type) END AS raw, CASE WHEN event_id % 3 <> 0 THEN json_extract_string(props, '$.k') END AS k FROM events",
     "db_shape": f"SELECT url, length(title) AS n_title, author, array_to_string(supervisors, '|') AS supervisors, degree, year, dept, '{{}}' AS metadata FROM (SELECT {_CLEAN_DB} FROM documents)",
     "csv_shape": f"SELECT url, md5(concat_ws(chr(31), title, author, abstract)) AS md5, array_to_string(supervisors, '; ') AS supervisors, degree, year::VARCHAR AS year, dept, (doc_id % 10 / 10.0)::VARCHAR AS data_confidence FROM (SELECT doc_id, {_CLEAN_DB} FROM documents)",
@@ -180,7 +254,7 @@ ORACLES: dict[str, str] = {
     """,
     "merge_keep_nonnull": """
         WITH o AS (SELECT c_custkey::VARCHAR AS sinta_id, c_name AS name, concat('n', c_custkey) AS nidn, c_mktsegment AS dept, 1 AS h_index_scopus FROM customer WHERE c_custkey % 3 <> 0),
-        n AS (SELECT c_custkey::VARCHAR AS sinta_id, concat('new ', c_name) AS name, CASE WHEN c_custkey % 4 = 0 THEN 'x' END AS nidn, CASE WHEN c_custkey % 5 = 0 THEN 'y' END AS dept, 2 AS h_index_scopus FROM customer WHERE c_custkey % 2 = 0)
+        n AS (SELECT c_custkey::VARCHAR AS sinta_id, concat('new ', c_name) AS name, CASE WHEN c_custkey % 4 = 0 THEN 'x' END AS nidn, CASE WHEN c_custkey % 5 = 0 THEN 'y' END AS dept, CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE 2 END AS h_index_scopus FROM customer WHERE c_custkey % 2 = 0)
         SELECT coalesce(n.sinta_id, o.sinta_id) AS sinta_id, coalesce(n.name, o.name) AS name, coalesce(n.nidn, o.nidn) AS nidn, coalesce(n.dept, o.dept) AS dept, coalesce(n.h_index_scopus, o.h_index_scopus) AS h_index_scopus FROM o FULL JOIN n ON o.sinta_id = n.sinta_id
     """,
     "merge_name": """
@@ -191,7 +265,7 @@ ORACLES: dict[str, str] = {
     "update_by_id": "SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer",
     "batch_counts": "SELECT count(*) FILTER (c_custkey % 5 <> 0 AND c_custkey % 7 <> 0) AS inserted, count(*) FILTER (NOT (c_custkey % 5 <> 0 AND c_custkey % 7 <> 0)) AS skipped FROM customer",
     "ids_union": "SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0",
-    "remaining_ids": "SELECT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "remaining_ids": "SELECT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')",
     "full_text": r"SELECT doc_id FROM documents WHERE list_has_all(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), ['the', 'and', 'with'])",
     "enrich_record": f"""
         SELECT url, md5(a) AS md5, CASE WHEN doc_id % 4 = 0 THEN lang WHEN paged AND doc_id % 2 = 0 THEN source ELSE {_names(_matches("substr(coalesce(a, ''), 1, 500)", k.ABSTRACT_SUPERVISORS), "abstract", 3)} END AS supervisors

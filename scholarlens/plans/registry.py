@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarlens.functions import extract, quality, text
-from scholarlens.operators import embedding, merge, profile, select, stats, vector
+from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
 from scholarlens.sources import bibtex, files, html
 from scholarlens.sources.tables import table
 from scholarlens.streaming import ingest
 
-from . import seeds
+from . import functions, seeds
 
 
 def seeded(key: str, values: list[str]) -> Column:
@@ -133,7 +133,7 @@ def new_keys(spark, sf_dir):
 
 
 def harvest_select(spark, sf_dir):
-    urls = table(spark, sf_dir, "documents").select((F.col("doc_id") % 700).cast("string").alias("url"), F.col("source").alias("division"))
+    urls = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("url"), F.col("source").alias("division"))
     done = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").cast("string").alias("url"))
     return select.harvest(urls, done, degree="src1", limit=100)
 
@@ -160,8 +160,9 @@ def strip_boilerplate(spark, sf_dir):
 
 def strip_prefix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    c = F.concat(seeded("doc_id", seeds.PREFIXES), F.col("source"))
-    return docs.select("doc_id", text.strip_prefix(c).alias("clean"), text.strip_prefix(c, word_boundary=True).alias("whole_word"))
+    c = F.concat(seeded("doc_id", seeds.PREFIXES), F.col("text"))
+    show = lambda x: F.md5(x.cast("binary"))
+    return docs.select("doc_id", show(text.strip_prefix(c)).alias("clean"), show(text.strip_prefix(c, word_boundary=True)).alias("whole_word"))
 
 
 def supervisors_abstract(spark, sf_dir):
@@ -181,19 +182,19 @@ def supervisors_pdf(spark, sf_dir):
 
 def supervisors_bibtex(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.array_join(bibtex.supervisors(F.concat(seeded("doc_id", seeds.BIBTEX), F.col("source"))), "|").alias("names"))
+    return docs.select("doc_id", F.array_join(bibtex.supervisors(F.concat(seeded("doc_id", seeds.BIBTEX), F.col("text"))), "|").alias("names"))
 
 
 def degree_norm(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", extract.degree(seeded("doc_id", seeds.DEGREES)).alias("degree"))
+    return table(spark, sf_dir, "documents").select("doc_id", extract.degree(F.concat(seeded("doc_id", seeds.DEGREES), F.col("text"))).alias("degree"))
 
 
 def degree_oai(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", extract.degree_of_record(F.array(seeded("doc_id", seeds.TYPES)), F.array("source", seeded("doc_id", seeds.SUBJECTS))).alias("degree"))
+    return table(spark, sf_dir, "documents").select("doc_id", extract.degree_of_record(F.array(seeded("doc_id", seeds.TYPES)), F.array("source", F.col("text"), seeded("doc_id", seeds.SUBJECTS))).alias("degree"))
 
 
 def dept_oai(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", extract.dept_of_record(F.array("source", seeded("doc_id", seeds.SUBJECTS))).alias("dept"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(extract.dept_of_record(F.array("source", F.col("text"), seeded("doc_id", seeds.SUBJECTS))).cast("binary")).alias("dept"))
 
 
 def year_parse(spark, sf_dir):
@@ -241,14 +242,14 @@ def embedding_input(spark, sf_dir):
 
 
 def expertise_text(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.substring("text", 1, 60).alias("title")))).alias("p"))
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("text").alias("title")))).alias("p"))
     c = embedding.expertise_text(F.col("conv_id").cast("string"), F.when(F.col("conv_id") % 2 == 0, "Informatics"), F.col("p"))
     return turns.select("conv_id", F.length(c).cast("bigint").alias("n"), F.md5(c.cast("binary")).alias("md5"))
 
 
 def publications_shape(spark, sf_dir):
     i = F.col("doc_id")
-    pages = table(spark, sf_dir, "documents").select(F.col("source").alias("author_id"), F.when(i % 3 == 0, "googlescholar").otherwise("scopus").alias("source"), (F.floor(i / 200)).alias("page"), i.alias("pos"), F.substring("text", 1, 40).alias("title"), F.when(i % 11 != 0, (F.lit(2008) + i % 17).cast("int")).alias("year"))
+    pages = table(spark, sf_dir, "documents").select(F.col("source").alias("author_id"), F.when(i % 3 == 0, "googlescholar").otherwise("scopus").alias("source"), (F.floor(i / 200)).alias("page"), i.alias("pos"), F.col("text").alias("title"), F.when(i % 11 != 0, (F.lit(2008) + i % 17).cast("int")).alias("year"))
     found = select.publications(pages)
     return found.select("author_id", F.size("publications").cast("bigint").alias("n"), F.array_join(select.publication_years(F.col("publications")), ",").alias("years"), F.md5(F.array_join(F.transform("publications", lambda p: p["title"]), "|").cast("binary")).alias("md5"))
 
@@ -271,7 +272,7 @@ def items_shape(spark, sf_dir):
 
 
 def h_index_lines(spark, sf_dir):
-    c = F.concat(seeded("doc_id", seeds.H_INDEX), F.lit("\n"), F.col("source"))
+    c = F.concat(seeded("doc_id", seeds.H_INDEX), F.lit("\n"), F.col("text"))
     found = extract.h_index(c)
     return table(spark, sf_dir, "documents").select("doc_id", found["scopus"].alias("scopus"), found["gscholar"].alias("gscholar"), extract.nidn(c).alias("nidn"))
 
@@ -286,7 +287,7 @@ def metadata_json(spark, sf_dir):
 def _records(spark, sf_dir) -> DataFrame:
     i = F.col("doc_id")
     return table(spark, sf_dir, "documents").select(
-        F.substring("text", 1, 2500).alias("title"), F.col("text").alias("abstract"), F.when(i % 4 != 0, F.col("source")).otherwise("").alias("author"), F.array(F.lit(""), "source", F.when(i % 2 == 0, F.col("lang"))).alias("supervisors"), F.lit("S1").alias("degree"),
+        F.col("text").alias("title"), F.col("text").alias("abstract"), F.when(i % 4 != 0, F.col("source")).otherwise("").alias("author"), F.array(F.lit(""), "source", F.when(i % 2 == 0, F.col("lang"))).alias("supervisors"), F.lit("S1").alias("degree"),
         (F.lit(2000) + i % 20).cast("int").alias("year"), F.when(i % 3 != 0, F.col("lang")).otherwise("").alias("dept"), i.cast("string").alias("url"), (i % 10 / 10.0).alias("data_confidence"), F.lit("").alias("metadata"),
     )
 
@@ -315,7 +316,8 @@ def merge_keep_nonnull(spark, sf_dir):
     key = F.col("c_custkey").cast("string").alias("sinta_id")
     old = people.where("c_custkey % 3 <> 0").select(key, F.col("c_name").alias("name"), F.concat(F.lit("n"), key).alias("nidn"), F.col("c_mktsegment").alias("dept"), F.lit(1).alias("h_index_scopus"))
     new = people.where("c_custkey % 2 = 0").select(key, F.concat(F.lit("new "), F.col("c_name")).alias("name"), F.when(F.col("c_custkey") % 4 == 0, "x").alias("nidn"), F.when(F.col("c_custkey") % 5 == 0, "y").alias("dept"), F.lit(2).alias("h_index_scopus"))
-    return merge.upsert_profiles(old, new)
+    again = new.where("sinta_id % 3 = 0").withColumn("h_index_scopus", F.lit(3))
+    return merge.upsert_profiles(old, new.unionByName(again), [F.desc("h_index_scopus")])
 
 
 def merge_name(spark, sf_dir):
@@ -341,7 +343,8 @@ def ids_union(spark, sf_dir):
 
 
 def remaining_ids(spark, sf_dir):
-    return stats.remaining(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")), "id")
+    done = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'").select(F.col("o_custkey").alias("id"))
+    return stats.remaining(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), done, "id")
 
 
 def full_text(spark, sf_dir):
@@ -373,17 +376,20 @@ def stream_ingest(spark, sf_dir):
 
 
 def clean_text_full(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.clean_text("html").alias("clean"))
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(text.clean_text("html").cast("binary")).alias("clean"))
 
 
 def clean_record(spark, sf_dir):
     i = F.col("doc_id")
+    shown = lambda c: F.md5(F.col(c).cast("binary")).alias(c)
     raw = table(spark, sf_dir, "documents").select(F.col("text").alias("title"), F.col("source").alias("author"), F.concat(seeded("doc_id", seeds.SUPERVISORS), F.col("text")).alias("abstract"), F.concat(F.lit("c. "), (F.lit(1990) + i % 30).cast("string")).alias("year"), seeded("doc_id", seeds.DEGREES).alias("degree"), F.col("lang").alias("dept"), F.concat(F.lit(" u"), i.cast("string")).alias("url"), F.array().cast("array<string>").alias("supervisors"), F.lit("{}").alias("metadata"))
-    return quality.clean_record(raw)
+    return quality.clean_record(raw).select(shown("title"), shown("abstract"), "author", F.array_join("supervisors", "|").alias("supervisors"), "degree", "year", "dept", "url", "metadata", "data_confidence")
 
 
 def html_fields(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.inline(F.array(html.page_fields("html"))))
+    """Fields of whole pages that begin with one of the seeded heads."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(seeded("page_id", [p[0] for p in seeds.PAGES]), F.col("html")).alias("html"))
+    return pages.select("page_id", F.inline(F.array(html.page_fields("html")))).withColumn("supervisors", F.array_join("supervisors", "|")).withColumn("year", F.col("year").cast("string"))
 
 
 def page_links(spark, sf_dir):
@@ -393,7 +399,91 @@ def page_links(spark, sf_dir):
 
 def hashed_embedding(spark, sf_dir):
     found = embedding.embedded(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", embedding.hashing_embedder(64))
-    return found.select("doc_id", F.size("embedding").alias("n"), F.col("error").isNull().alias("ok"))
+    return found.select("doc_id", F.size("embedding").alias("n"), F.col("error").isNull().alias("ok"), *_signs(F.col("embedding")))
+
+
+def _signs(v: Column) -> tuple[Column, Column]:
+    return F.size(F.filter(v, lambda x: x > 0)).alias("positive"), F.size(F.filter(v, lambda x: x < 0)).alias("negative")
+
+
+def vec_lsh_recall(spark, sf_dir):
+    """Whether the approximate search finds nine of the exact ten."""
+    return vec_topk_lsh(spark, sf_dir).join(vec_topk(spark, sf_dir).select("vec_id"), "vec_id", "left_semi").agg((F.count("*") >= 9).alias("enough"))
+
+
+def _landed(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Research, BibTeX exports and PDF texts of documents: some have supervisors, an export or a PDF, some none."""
+    docs, i = table(spark, sf_dir, "documents"), F.col("doc_id")
+    url = F.concat(F.when(i % 11 != 0, "http://repository.its.ac.id/").otherwise("http://x.org/"), i, F.lit("/"))
+    research = docs.select(i.alias("id"), F.col("source").alias("title"), F.concat(F.col("text"), F.lit("\n"), seeded("doc_id", seeds.SUPERVISORS)).alias("abstract"), F.when(i % 6 == 0, F.array("lang")).when(i % 6 == 1, F.array().cast("array<string>")).alias("supervisors"), url.alias("url"))
+    number = i.cast("string").alias("eprint_id")
+    bibtex = docs.where("doc_id % 3 <> 0").select(number, F.lit("a.bib").alias("path"), F.concat(seeded("doc_id", seeds.BIBTEX), F.col("text")).alias("value"))
+    pdfs = docs.where("doc_id % 4 <> 0").select(number, F.lit("a.pdf").alias("path"), F.concat(F.col("text"), F.lit("\n"), seeded("doc_id", seeds.PDF)).alias("text"))
+    return research, bibtex.unionByName(bibtex.withColumn("path", F.lit("b.bib")).withColumn("value", F.lit(seeds.BIBTEX[0]))), pdfs
+
+
+def enrich_flow(spark, sf_dir):
+    """Records without supervisors, enriched from exports and PDFs and merged into the table."""
+    research, bibtex, pdfs = _landed(spark, sf_dir)
+    found = flows.enrich(research, bibtex, pdfs)
+    out = flows.updated(research, found).join(found.select("id", "source"), "id", "left")
+    return out.select("id", F.array_join("supervisors", "|").alias("supervisors"), "source")
+
+
+def enrich_counts(spark, sf_dir):
+    return flows.enrich_counts(flows.enrich(*_landed(spark, sf_dir)))
+
+
+def recover_flow(spark, sf_dir):
+    research, _, _ = _landed(spark, sf_dir)
+    return flows.updated(research, flows.recover(research)).select("id", F.array_join("supervisors", "|").alias("supervisors"))
+
+
+def _people(spark, sf_dir) -> DataFrame:
+    """Lecturers of conversations: every turn a publication, every third person with a vector already."""
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("text").alias("title")))).alias("sinta_publications"))
+    i = F.col("conv_id")
+    return turns.select(i.alias("id"), i.cast("string").alias("name"), F.when(i % 2 == 0, "Informatics").alias("dept"), "sinta_publications", F.when(i % 3 == 0, F.array(F.lit(1.0).cast("float"))).alias("expertise_vector"))
+
+
+def profile_embed_flow(spark, sf_dir):
+    """People with two publications and no vector get one from their expertise text; it is merged into the table."""
+    people = _people(spark, sf_dir)
+    done = flows.embed_profiles(people, embedding.hashing_embedder(64), least=2, batch=50).where("error IS NULL")
+    return merge.update(people, done, "id", ["expertise_vector"]).select("id", F.size("expertise_vector").alias("n"), *_signs(F.col("expertise_vector")))
+
+
+def harvest_progress(spark, sf_dir):
+    """Counts and what is left to fetch of a harvest over all urls, from a log of its attempts."""
+    urls = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"))
+    tries = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("key"), (F.col("quality") == 1).alias("ok"), F.lit("timeout").alias("error"), F.lit(1).cast("timestamp").alias("at"))
+    log = tries.unionByName(tries.where("NOT ok").withColumn("ok", F.col("key").endswith("1")).withColumn("at", F.lit(2).cast("timestamp")))
+    left = lambda retry: flows.to_do(urls, log, retry).agg(F.count("*").alias("retry" if retry else "left"))
+    return flows.progress_counts(log, urls).crossJoin(left(False)).crossJoin(left(True))  # one row each
+
+
+def stream_merge(spark, sf_dir):
+    """Customers that stream in several batches into a table: updates, inserts, and keys that repeat in a batch."""
+    people = table(spark, sf_dir, "customer")
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scholarlens-")
+    root = f"{root.rstrip('/')}/merge-{uuid.uuid4().hex}"
+    record = lambda df, title, rank: df.select(F.col("c_custkey").cast("string").alias("url"), title.alias("title"), F.lit(rank).alias("rank"))
+    old = record(people.where("c_custkey % 3 <> 0"), F.col("c_name"), 0)
+    new = record(people.where("c_custkey % 2 = 0"), F.concat(F.lit("new "), F.col("c_name")), 1).unionByName(record(people.where("c_custkey % 4 = 0"), F.concat(F.lit("last "), F.col("c_name")), 2))
+    new.repartition(4, "url").write.parquet(f"{root}/landed")
+    return ingest.merge_stream(spark, f"{root}/landed", new.schema, f"{root}/table", f"{root}/state", lambda before, batch: merge.upsert_research(before, batch, [F.desc("rank")]), old, files_per_batch=1)
+
+
+def sql_search(spark, sf_dir):
+    """match_research of the registered SQL functions, with every column."""
+    rows = table(spark, sf_dir, "embeddings")
+    i = F.col("vec_id")
+    label = F.col("label").cast("string")
+    rows.select(i.cast("string").alias("id"), F.concat(F.lit("t"), label).alias("title"), F.lit("a").alias("abstract"), label.alias("author"), F.array(label).alias("supervisors"), F.lit("S1").alias("degree"), F.col("label").cast("int").alias("year"), label.alias("dept"), i.cast("string").alias("url"), "embedding").createOrReplaceTempView("researches")
+    rows.select(i.cast("string").alias("id"), label.alias("name"), label.alias("dept"), F.col("label").cast("int").alias("research_count"), F.col("embedding").alias("expertise_vector"), F.array("label").alias("sinta_publications"), i.cast("string").alias("sinta_id")).createOrReplaceTempView("lecturers")
+    functions.register(spark)
+    q = f"array({', '.join(f'{float(x)!r}D' for x in _query_vector(spark, sf_dir))})"
+    return spark.sql(f"SELECT id, title, abstract, author, array_join(supervisors, '|') AS supervisors, degree, year, dept, url, round(similarity, 6) AS similarity FROM match_research({q}, 0.2D, 7)")
 
 
 def vec_topk_lsh(spark, sf_dir):
@@ -407,6 +497,7 @@ QUERIES = {
         pending_rows, pending_profiles, without_supervisors, existing_keys, new_keys, harvest_select, whitespace_norm, strip_tags, fix_mojibake, strip_boilerplate, strip_prefix, supervisors_abstract,
         supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
         expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
-        ids_union, remaining_ids, full_text, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh,
+        ids_union, remaining_ids, full_text, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall,
+        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, sql_search,
     )
 }

@@ -44,3 +44,20 @@ LINKS = [
     '<A HREF="/111537/">r</A><a href="https://repository.its.ac.id/22222/">s</a><a href="/1/">t</a><a href="/111537/">r</a> ',
     "none ",
 ]
+#: Heads of pages, and the fields that each makes of the page that follows (None: as the page itself has it).
+PAGES = [
+    (
+        '<html><head><meta name="citation_author" content="Ana Budi"><meta name="citation_date" content="2017/05"><meta name="citation_advisor" content=" Dr. Carl Dewi "><meta name="DC.supervisor" content="Eka Fitri"></head>'
+        '<h1>Smart &amp; small grids - ITS Repository</h1><h2>Abstract</h2><p>On <i>grids</i>.</p><a href="/view/divisions/ee/">Department of Physics</a><a href="/view/degree/S2/">S2 Theses</a><a href="/9/1/a.PDF">x</a>',
+        {"title": "Smart & small grids", "author": "Ana Budi", "year": 2017, "abstract": "Ongrids.", "supervisors": "Dr. Carl Dewi|Eka Fitri", "dept": "Department of Physics", "degree": "S2", "pdf_url": "https://repository.its.ac.id/9/1/a.PDF"},
+    ),
+    (
+        "<title>Waves</title><p>Gita Hadi, Indra (2009) Waves.</p><table><tr><td>Dosen Pembimbing</td><td>Kiki Lala</td></tr><tr><th>Supervisor</th><td>Mira Nur</td></tr><tr><td>Advisor 2</td><td>Omar P</td></tr></table><div class='x Abstract-text'>In short</div>",
+        {"title": None, "author": "Gita Hadi, Indra", "year": 2009, "abstract": "In short", "supervisors": "Kiki Lala|Mira Nur", "dept": "", "degree": "", "pdf_url": None},
+    ),
+    (
+        "<h3>Abstrak</h3><div><p>Ringkas</div><a href='/view/divisions/x/'>Office</a><a href='/view/divisions/y/'>Fakultas Teknik</a><a href='/view/Doctoral/'>Doctoral list</a><a href='http://z.org/b.pdf'>pdf</a>",
+        {"title": None, "author": "Unknown", "year": None, "abstract": "Ringkas", "supervisors": "", "dept": "Fakultas Teknik", "degree": "S3", "pdf_url": "http://z.org/b.pdf"},
+    ),
+    ("", {"title": None, "author": "Unknown", "year": None, "abstract": "", "supervisors": "", "dept": "", "degree": "", "pdf_url": None}),
+]

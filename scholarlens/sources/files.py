@@ -11,7 +11,7 @@ from scholarlens.functions.constants import CSV_COLUMNS
 
 CSV = ", ".join(f"{c} string" for c in CSV_COLUMNS)
 HARVEST = "total_discovered bigint, total_processed bigint, total_success bigint, total_failed bigint, last_url string, processed_urls array<string>, failed_urls array<struct<url:string,error:string>>, started_at string, updated_at string"
-PROFILE = "current_page bigint, processed_sinta_ids array<string>, failed_sinta_ids array<struct<sinta_id:string,error:string>>, cached_authors array<struct<sinta_id:string,name:string,dept:string>>, started_at string, updated_at string, is_paused boolean"
+PROFILE = "current_page bigint, total_pages bigint, total_lecturers bigint, total_scraped bigint, total_failed bigint, processed_sinta_ids array<string>, failed_sinta_ids array<struct<sinta_id:string,error:string>>, cached_authors array<struct<sinta_id:string,name:string,dept:string>>, started_at string, updated_at string, is_paused boolean, pause_reason string"
 
 
 def csv_shape(records: DataFrame) -> DataFrame:
@@ -49,3 +49,8 @@ def write_version(df: DataFrame, root: str) -> str:
     path = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return path
+
+
+def write_checkpoint(spark: SparkSession, path: str, state: DataFrame) -> None:
+    """``state`` (one row, as ``read_checkpoint`` gives it) as a JSON document; a progress log holds a large harvest."""
+    state.coalesce(1).write.mode("overwrite").json(path)

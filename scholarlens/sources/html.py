@@ -94,8 +94,7 @@ def abstract(page: Page) -> str:
 def supervisors(page: Page) -> list[str]:
     """At most two: values of metadata (repeated ones too), then of table rows whose label names a supervisor."""
     found = [n.attrs["content"].strip() for n in page.all("meta") if re.search("citation_advisor|supervisor", n.attrs.get("name", ""), re.I) and n.attrs.get("content")]
-    for row in page.all("tr"):
-        cells = [n for n in page.all("th", "td") if _within(n, row)]
+    for cells in _rows(page):
         if len(cells) >= 2 and any(w in cells[0].text().lower() for w in k.SUPERVISOR_WORDS):
             value = cells[1].text()
             if value and value not in found:
@@ -103,13 +102,19 @@ def supervisors(page: Page) -> list[str]:
     return found[:2]
 
 
-def _within(node: Node, outer: Node) -> bool:
-    while node is not None and node is not outer:
-        node = node.parent
-    return node is outer
+def _rows(page: Page) -> list[list[Node]]:
+    """The cells of each table row, in one pass: a cell belongs to every row that it stands in."""
+    rows: dict[int, list[Node]] = {id(n): [] for n in page.all("tr")}
+    for cell in page.all("th", "td"):
+        up = cell.parent
+        while up is not None:
+            if id(up) in rows:
+                rows[id(up)].append(cell)
+            up = up.parent
+    return list(rows.values())
 
 
-def fields(text: str | None) -> dict:
+def fields(text: str | None, base: str = k.BASE_URL) -> dict:
     """title, author, year, abstract, supervisors, dept, degree, pdf_url of a record's page."""
     page = Page(text or "")
     head = _first(page.all("h1")) or _first(page.all("title"))
@@ -137,7 +142,7 @@ def fields(text: str | None) -> dict:
         "supervisors": supervisors(page),
         "dept": next((t for t in named if any(w in t.lower() for w in k.PAGE_DEPT_WORDS)), ""),
         "degree": degree,
-        "pdf_url": urljoin(k.BASE_URL, pdf) if pdf else None,
+        "pdf_url": urljoin(base, pdf) if pdf else None,
     }
 
 
@@ -164,17 +169,21 @@ def year_pages(page: Column, base: Column, most: int = 50) -> Column:
     return F.slice(F.array_distinct(whole), 1, most)
 
 
-def record_links(page: Column) -> Column:
+def record_links(page: Column, base: str = k.BASE_URL) -> Column:
     """Absolute links of a year page to records; a link that repeats is kept."""
     links = F.filter(_hrefs(page), lambda h: F.regexp_like(h, F.lit(k.RECORD_LINK)))
-    return F.transform(links, lambda h: F.when(F.startswith(h, F.lit("http")), h).otherwise(F.concat(F.lit(k.BASE_URL), h)))
+    return F.transform(links, lambda h: F.when(F.startswith(h, F.lit("http")), h).otherwise(F.concat(F.lit(base), h)))
+
+
+_CARD = r"(?is)/authors/profile/(\d+)[^>]*>([^<]*)<((?:(?!/authors/profile/).)*)"
 
 
 def author_cards(page: Column) -> Column:
-    """struct(sinta_id, name) of the cards of an author list."""
-    ids = F.regexp_extract_all(page, F.lit(r"(?is)/authors/profile/(\d+)[^>]*>([^<]*)<"), F.lit(1))
-    names = F.regexp_extract_all(page, F.lit(r"(?is)/authors/profile/(\d+)[^>]*>([^<]*)<"), F.lit(2))
-    return F.zip_with(ids, names, lambda i, n: F.struct(i.alias("sinta_id"), F.trim(n).alias("name")))
+    """struct(sinta_id, name, dept) of the cards of an author list; dept is the link to a department after the name."""
+    part = lambda n: F.regexp_extract_all(page, F.lit(_CARD), F.lit(n))
+    cards = F.arrays_zip(part(1).alias("sinta_id"), part(2).alias("name"), part(3).alias("rest"))
+    dept = lambda c: F.nullif(F.trim(F.regexp_extract(c["rest"], r"(?is)/departments/profile/[^>]*>([^<]*)<", 1)), F.lit(""))
+    return F.transform(cards, lambda c: F.struct(c["sinta_id"].alias("sinta_id"), F.trim(c["name"]).alias("name"), dept(c).alias("dept")))
 
 
 def page_count(page: Column) -> Column:

@@ -10,7 +10,7 @@ from scholarlens.functions.constants import BASE_URL
 
 #: Nothing is inferred: inference would turn partial dates into timestamps.
 RECORD = (
-    "header struct<_status:string,identifier:string,datestamp:string>, "
+    "header struct<_status:string,identifier:string,datestamp:string,setSpec:array<string>>, "
     "metadata struct<dc:struct<title:array<string>,creator:array<string>,date:array<string>,subject:array<string>,description:array<string>,type:array<string>>>"
 )
 
@@ -40,3 +40,8 @@ def records(raw: DataFrame, base: str = BASE_URL) -> DataFrame:
 def since(raw: DataFrame, date: str) -> DataFrame:
     """Records stamped on ``date`` (ISO) or later."""
     return raw.where(F.col("header.datestamp") >= date)
+
+
+def in_set(raw: DataFrame, name: str) -> DataFrame:
+    """Records of an OAI set, or of one below it."""
+    return raw.where(F.exists(F.coalesce("header.setSpec", F.array().cast("array<string>")), lambda s: (s == name) | F.startswith(s, F.lit(f"{name}:"))))

@@ -19,8 +19,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def authors(pages: DataFrame, processed: DataFrame, limit: int | None = None) -> DataFrame:
-    """(sinta_id, name, dept) of author lists, each author once, without the processed ones."""
-    rows = pages.select("sinta_id", "name", "dept").where("sinta_id IS NOT NULL").dropDuplicates(["sinta_id"])
+    """(sinta_id, name, dept) of author lists, each author once, without the processed ones.
+
+    Of an author's repeated cards the one with a department, then the smallest name and department counts.
+    """
+    rows = pages.where("sinta_id IS NOT NULL").groupBy("sinta_id").agg(F.min(F.struct(F.col("dept").isNull(), "name", "dept")).alias("c")).select("sinta_id", "c.name", "c.dept")
     rows = rows.join(processed.select("sinta_id"), "sinta_id", "left_anti").orderBy("sinta_id")
     return rows if limit is None else rows.limit(limit)
 

@@ -20,6 +20,34 @@ def parquet_stream(spark: SparkSession, path: str, schema, files_per_batch: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def version_path(root: str, number: int) -> str:
+    return f"{root.rstrip('/')}/v-{number:012d}"
+
+
+def merge_stream(spark: SparkSession, source: str, schema, root: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame], first: DataFrame, files_per_batch: int = 100) -> DataFrame:
+    """Every micro-batch of ``source`` merged by ``merge(old, batch)`` into a new version under ``root``; the last one.
+
+    Batch n reads version n and writes version n + 1, so one that runs again after a failure gives the same version:
+    each batch counts exactly once. ``first`` is version 0, written where there is none. A version is read only when
+    the next one is made or asked for; older ones may be removed.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(version_path(root, 0))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        first.write.mode("overwrite").parquet(version_path(root, 0))
+    last = [0]
+
+    def write(batch: DataFrame, number: int) -> None:
+        old = batch.sparkSession.read.schema(first.schema).parquet(version_path(root, number))
+        merge(old, batch).select(first.columns).write.mode("overwrite").parquet(version_path(root, number + 1))
+        last[0] = number + 1
+
+    caught_up(parquet_stream(spark, source, schema, files_per_batch), checkpoint, write)
+    if not last[0]:  # nothing new: the last version there is
+        files = folder.getParent().getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder.getParent())
+        last[0] = max(int(f.getPath().getName()[2:]) for f in files)
+    return spark.read.schema(first.schema).parquet(version_path(root, last[0]))
+
+
 def ingest_parquet(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Rows of ``source`` through ``transform`` into ``sink`` exactly once, and ``sink`` read back."""
 

@@ -28,6 +28,8 @@ def test_from_pages_to_search(spark, tmp_path, capsys):
     people = last()
     main(["search", people, "graphs", "--threshold", "-1"], spark)
     assert "Dr. Carl Dewi" in capsys.readouterr().out
+    main(["search-research", embedded, "Study 1 of graphs", "--threshold", "-1", "-k", "1"], spark)
+    assert "similarity" in capsys.readouterr().out
     main(["stats", embedded, people], spark)
     assert "total_researches" in capsys.readouterr().out
 
@@ -78,3 +80,36 @@ def test_retrying():
     assert embedding.retrying(limited, sleep=waits.append)(["x"]) == [[1.0]] and waits == [10.0, 20.0]
     with pytest.raises(ZeroDivisionError):
         embedding.retrying(lambda t: 1 / 0, sleep=waits.append)(["x"])
+
+
+def test_enrich_recover_and_profiles(spark, tmp_path, capsys):
+    last = lambda: capsys.readouterr().out.strip().splitlines()[-1]
+    site = "https://repository.its.ac.id"
+    rows = [(f"{site}/{i}/", f"t{i}", "Supervisor: Dr. Mira Nur Hadi" if i == 104 else "none", ["Had"] if i == 101 else None) for i in range(101, 106)]
+    spark.createDataFrame(rows, "url string, title string, abstract string, supervisors array<string>").write.parquet(str(tmp_path / "r"))
+    for folder, name, text in (("bib", "102.bib", "@misc{a, advisor={Dr. Ana Budi}}"), ("txt", "102.txt", "supervisor: Carl Dewi Lestari\n"), ("txt", "103.txt", "x\nsupervisor: Carl Dewi Lestari\n")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_text(text)
+    main(["enrich", str(tmp_path / "r"), "--bibtex", str(tmp_path / "bib"), "--texts", str(tmp_path / "txt"), "--out", str(tmp_path / "v")], spark)
+    enriched = last()
+    main(["recover", enriched, "--out", str(tmp_path / "v")], spark)
+    got = {int(r.url.split("/")[-2]): r.supervisors for r in spark.read.parquet(last()).collect()}
+    assert got == {101: ["Had"], 102: ["Dr. Ana Budi"], 103: ["Carl Dewi Lestari"], 104: ["Dr. Mira Nur Hadi"], 105: None}
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "a.json").write_text("\n".join(f'{{"sinta_id": "{i}", "name": "P{i}", "publications": [{{"title": "A long enough title {i}", "source": "scopus", "year": 2020}}]}}' for i in range(3)))
+    (tmp_path / "c.json").write_text('{"processed_sinta_ids": ["1"]}')
+    main(["harvest-profiles", str(tmp_path / "p"), "--out", str(tmp_path / "l"), "--checkpoint-file", str(tmp_path / "c.json"), "--resume"], spark)
+    people = last()
+    main(["embed-profiles", people, "--out", str(tmp_path / "l"), "--dim", "8"], spark)
+    assert {r.sinta_id: len(r.expertise_vector) for r in spark.read.parquet(last()).collect()} == {"0": 8, "2": 8}
+
+
+def test_divisions_and_resume(spark, tmp_path, capsys):
+    (tmp_path / "pages").mkdir()
+    record = RECORD.replace("</datestamp>", "</datestamp><setSpec>{s}</setSpec>")
+    (tmp_path / "pages" / "p.xml").write_text("<r>" + "".join(record.format(i=i, s=s) for i, s in ((1, "a:b"), (2, "a"), (3, "ab"))) + "</r>")
+    main(["ingest", str(tmp_path / "pages"), "--out", str(tmp_path / "r"), "--list-divisions"], spark)
+    assert "a:b" in capsys.readouterr().out
+    (tmp_path / "c.json").write_text('{"processed_urls": ["https://repository.its.ac.id/2/"]}')
+    main(["ingest", str(tmp_path / "pages"), "--out", str(tmp_path / "r"), "--division", "a", "--checkpoint-file", str(tmp_path / "c.json"), "--resume"], spark)
+    assert [r.title for r in spark.read.parquet(capsys.readouterr().out.strip().splitlines()[-1]).collect()] == ["Study 1 of graphs"]

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scholarlens.operators import embedding, merge, profile, select, stats, vector
+from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
 from scholarlens.plans import functions as sql_functions
 
 
@@ -102,13 +102,16 @@ def test_embedder_isolates_failures(spark):
 
 
 def test_stats_and_sql(spark):
-    spark.createDataFrame([("1", "t", [1.0, 0.0]), ("2", "u", None)], "id string, title string, embedding array<float>").createOrReplaceTempView("researches")
+    columns = "id string, title string, abstract string, author string, supervisors array<string>, degree string, year int, dept string, url string, embedding array<float>"
+    rest = ("a", "b", ["s"], "S1", 2020, "d", "u")
+    spark.createDataFrame([("1", "t", *rest, [1.0, 0.0]), ("2", "u", *rest, None)], columns).createOrReplaceTempView("researches")
     people = spark.createDataFrame([("1", "n", "d", 2, [1.0, 0.0], "s", ["p"]), ("2", "m", "d", 1, None, None, []), ("3", "o", "d", 1, None, "t", ["q"])], "id string, name string, dept string, research_count int, expertise_vector array<float>, sinta_id string, sinta_publications array<string>")
     people.createOrReplaceTempView("lecturers")
     sql_functions.register(spark)
     assert tuple(stats.embedding_stats(spark.table("researches"), people).first()) == (2, 1, 1, 3, 1) == tuple(spark.sql("SELECT * FROM get_embedding_stats()").first())
     assert tuple(stats.profile_stats(people).first()) == (3, 2, 2, 1, 1) == tuple(spark.sql("SELECT * FROM get_sinta_stats()").first())
-    assert [r.id for r in spark.sql("SELECT * FROM match_research_all(array(1D, 0D), 0.5D)").collect()] == ["1"]
+    (found,) = spark.sql("SELECT * FROM match_research(array(1D, 0D))").collect()
+    assert tuple(found) == ("1", "t", *rest, 1.0)
     assert [r.name for r in spark.sql("SELECT * FROM match_lecturers_all(array(1D, 0D), 0.5D)").collect()] == ["n"]
 
 
@@ -119,3 +122,31 @@ def test_selections(spark):
     people = spark.createDataFrame([("x", 1), ("y", None), ("a", 1)], "name string, research_count int")
     assert [r.name for r in profile.top_lecturers(people, 2).collect()] == ["y", "a"]
     assert select.full_text(spark.createDataFrame([("Deep Learning", "for cats"), ("Deep", "dogs")], "title string, abstract string"), ["deep", "cats"]).count() == 1
+
+
+def test_centroids_add_whole_vectors(spark):
+    rows = [("a", [3.0, 0.0]), ("a", [0.0, 3.0]), ("b", [0.0, 0.0]), ("c", None), (None, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "k string, embedding array<float>")
+    got = vector.centroids(df, "k")
+    assert {r.k: [round(x, 6) for x in r.centroid] for r in got.collect()} == {"a": [0.707107, 0.707107], "b": [0.0, 0.0], None: [0.0, 1.0]}
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_keys_in_a_batch_count_once(spark):
+    old = spark.createDataFrame([("1", "n", "d")], "sinta_id string, nidn string, dept string")
+    new = spark.createDataFrame([("1", "x", None), ("1", "y", "e"), (None, "z", "f"), (None, "z", "f")], old.schema)
+    assert [tuple(r) for r in merge.upsert_profiles(old, new, [F.desc("nidn")]).orderBy("sinta_id").collect()] == [(None, "z", "f"), (None, "z", "f"), ("1", "y", "e")]
+    names = spark.createDataFrame([("a", None, 1)], "name string, sinta_id string, n int")
+    twice = spark.createDataFrame([("a", None, 3), ("a", None, 2)], names.schema)
+    assert [tuple(r) for r in merge.upsert_by_name(names, twice).collect()] == [("a", None, 2)]
+
+
+def test_progress_and_retries(spark):
+    from datetime import datetime
+
+    log = spark.createDataFrame([("a", True, None, datetime(2020, 1, 1)), ("b", False, "x", datetime(2020, 1, 1)), ("b", False, "y", datetime(2020, 1, 2)), ("c", False, "z", datetime(2020, 1, 1)), ("c", True, None, datetime(2020, 1, 3))], flows.PROGRESS)
+    urls = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "key string")
+    assert {r.key: (r.ok, r.error, r.tries) for r in flows.progress(log).collect()} == {"a": (True, None, 1), "b": (False, "y", 2), "c": (True, None, 2)}
+    assert tuple(flows.progress_counts(log, urls).first()) == (4, 3, 2, 1)
+    keys = lambda df: sorted(r.key for r in df.collect())
+    assert keys(flows.to_do(urls, log)) == ["d"] and keys(flows.to_do(urls, log, True)) == ["b", "d"] and keys(flows.to_do(urls, log, True, 2)) == ["d"]
