@@ -177,7 +177,11 @@ def encoder(path: str) -> Encoder:
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row (null text: empty; repeated rows stay)."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row.
+
+    A null or empty text has no ids and the digests of nothing. Every row is encoded by itself, whole: rows that repeat
+    or have no doc_id have their own result. Other columns are not looked at; an empty table gives an empty one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

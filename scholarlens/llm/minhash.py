@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words
-from .common import compact, table
+from .common import compact, finished, mark, table
 from .encoding import groups, release
 from .graph import components
 
@@ -273,8 +273,11 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
     Rows without words or text link with nothing. A row without doc_id cannot be named by a link: its component is
-    null and it is kept. Repeated rows share their doc_id, so they are one node and each is kept or dropped alike.
+    null and it is kept. Repeated rows share their doc_id, so they are one node and each is kept or dropped alike, with
+    the size of its own set. Texts of any length have one set. Other columns, of whatever names, are not looked at; an
+    empty table gives an empty one. What is stored on the way is removed.
     """
+    since = mark()
     rows = compact(sketches(docs, width), 50_000)
     sets = rows.where("n > 0 AND doc_id IS NOT NULL")
     same = sets.groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
@@ -291,11 +294,11 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
-    return compact(out)
+    return finished(out, since)
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the rows of a class but its smallest doc_id's."""
+    """``docs`` without the rows of a class but its smallest doc_id's; all columns keep their values."""
     gone = compact(classes(docs, width, percent).where("NOT kept").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 

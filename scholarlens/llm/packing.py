@@ -178,6 +178,12 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document.
+
+    A null or empty text is the end id alone. Rows that repeat or have no doc_id are documents of their own; equal
+    lengths take their places in the order of doc_id and piece. Other columns are not looked at; an empty table gives
+    an empty one.
+    """
     return pack(stored(pieces(docs, encoding.vocabulary(encoding.WORDS))))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, minhash, neardup_vectors, packing, quality, secrets, substring, token_store, toxicity
+from . import ann, bpe, minhash, neardup_vectors, oracles, packing, quality, secrets, substring, token_store, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -16,4 +16,4 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_store": token_store.op10_token_store,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES

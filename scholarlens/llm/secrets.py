@@ -127,7 +127,12 @@ def _blocks(texts: list, size: int = 8_000_000) -> Iterator[tuple[int, int]]:
 
 
 def found(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id, counts of the base kinds, base_sha256, spans of every row (null text: empty)."""
+    """doc_id, counts of the base kinds, base_sha256, spans of every row.
+
+    A null or empty text has no secret: counts are 0, spans are empty. Every row is scanned by itself, so rows that
+    repeat or have no doc_id have their own result. Spans that begin together come in the order of the rules. A text
+    of any length is scanned whole. Other columns are not looked at; an empty table gives an empty one.
+    """
     n_base = len(BASE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +167,10 @@ def redact(text: str, secrets: list[tuple[int, int, int]], rules: tuple[Rule, ..
 
 
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with each secret in ``text`` replaced by its kind in brackets; other columns, and nulls, stay."""
+    """``docs`` with each secret in ``text`` replaced by its kind in brackets.
+
+    Null and empty texts, rows that repeat or have no doc_id, and all other columns of whatever names stay.
+    """
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

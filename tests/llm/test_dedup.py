@@ -64,6 +64,37 @@ def test_small_sets_in_larger_ones(spark):
     check_classes(spark, texts, random.Random(5).sample(range(len(texts)), len(texts)))
 
 
+def test_pairs_of_all_sizes_about_the_sketch(spark):
+    """Pairs alone in their words, of 100 to 128 shingles with 128 to 200, at a similarity just at or above 0.8."""
+    rng, texts, want = random.Random(13), [], []
+    for small in range(100, 129, 2):
+        for large in sorted({128, 129, 135, 140, 150, 155, 158, 159, 160, small * 5 // 4, 170, 200}):
+            # the small one's last shingles are its own, as many as 0.8 allows
+            own = next((o for o in range(small, -1, -1) if 100 * (small - o) >= 80 * (large + o)), None)
+            if own is None:
+                continue
+            tag = f"p{len(texts)}"
+            words = [f"{tag}w{rng.randrange(10**9)}" for _ in range(large + 3)]
+            rest = [f"{tag}x{k}" for k in range(own)]
+            texts += [" ".join([*words[: small - own + 3], *rest]), " ".join(words)]
+            want.append((len(texts) - 2, len(texts) - 1))
+    ids = list(range(len(texts)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.classes(documents(spark, texts, ids), 4, 80).collect()}
+    assert len(want) > 60 and all(got[b][1] == a for a, b in want)
+    assert {i: got[i][1] for i in ids} == near_classes_of_pairs(texts, want)
+
+
+def near_classes_of_pairs(texts, pairs):
+    from .helpers import shingles
+
+    out = {i: i for i in range(len(texts))}
+    for a, b in pairs:
+        x, y = shingles(texts[a], 4), shingles(texts[b], 4)
+        assert 80 * len(x | y) <= 100 * len(x & y) < 86 * len(x | y)
+        out[b] = a
+    return out
+
+
 def test_class_edges(spark):
     docs = documents(spark, ["a b c d e f"] * 3 + [None, "", "a b c d e f"], [5, 5, 2, 3, 4, None])
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id, r.kept) for r in minhash.classes(docs, 5).collect())
