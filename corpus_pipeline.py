@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from scholarlens.llm import minhash, packing, quality, secrets, substring
-from scholarlens.llm.common import prepared, stored, table
+from scholarlens.llm.common import finished, mark, prepared, table
 
 STAGES = [
     ("quality_classifier", lambda spark, docs, sf_dir: quality.kept(docs)),
@@ -26,9 +26,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared(spark)
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = stored(docs)
+    docs, since = table(spark, sf_dir, "documents"), mark()
+    for _, stage in STAGES:
+        # What a stage has read and stored is removed as soon as its result is written.
+        docs = finished(stage(spark, docs, sf_dir), since)
     return docs
