@@ -15,10 +15,10 @@ from . import dac, encoding
 from .common import stored, table, text_bytes
 
 #: Bytes of text in a part, about.
-PART_BYTES = 32_000_000
+PART_BYTES = 16_000_000
 #: Rows of the file format: one for each segment of consecutive documents of a part. ``codes`` is a blob of ``dac``.
 SEGMENT = "part int, segment int, doc_ids array<bigint>, lengths array<bigint>, first bigint, n_tokens bigint, codes binary"
-SEGMENT_BYTES = 8_000_000
+SEGMENT_BYTES = 4_000_000
 
 
 def segments(docs: DataFrame, path: str, end_id: int) -> DataFrame:
