@@ -109,6 +109,10 @@ EPRINT_ID = r"repository\.its\.ac\.id/(\d+)/?"
 RECORD_LINK = r"^(?:https?://repository\.its\.ac\.id)?/\d{5,}/"
 TITLE_SUFFIX = r"\s*-\s*ITS Repository$"
 CSV_COLUMNS = ["title", "author", "abstract", "supervisors", "degree", "year", "dept", "url", "data_confidence"]
+# Parts of messages that mean that the network is gone, and the file names of a record's PDF in the order
+# in which they are tried ({id} is the record's number).
+NETWORK_ERRORS = ["ERR_NAME_NOT_RESOLVED", "ERR_INTERNET_DISCONNECTED", "ERR_NETWORK_CHANGED", "ERR_CONNECTION_RESET", "ERR_CONNECTION_REFUSED", "net::ERR_"]
+PDF_NAMES = ["{id}-Undergraduate_Thesis.pdf", "paper.pdf", "thesis.pdf"]
 # Limits.
 TITLE_MAX, AUTHOR_MAX, DEGREE_MAX, DEPT_MAX = 2000, 500, 50, 200
 TEXT_MAX, MIN_ABSTRACT, MIN_YEAR = 8000, 50, 2015

@@ -130,5 +130,13 @@ def keyword_flags(c: Column, words: list[str] = k.ABSTRACT_FLAGS) -> Column:
     return F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(F.lower(c), w))
 
 
+def is_network_error(message: Column) -> Column:
+    """Whether a failure means that the network is gone, so a harvest should pause; null is no failure."""
+    hit = F.lit(False)
+    for part in k.NETWORK_ERRORS:
+        hit = hit | F.contains(message, F.lit(part))
+    return F.coalesce(hit, F.lit(False))
+
+
 def title_without_suffix(c: Column, suffix: str = k.TITLE_SUFFIX) -> Column:
     return F.regexp_replace(c, suffix, "")

@@ -13,26 +13,27 @@ from pyspark.sql import functions as F
 
 from scholarlens.functions import extract
 from scholarlens.sources import bibtex as bib
+from scholarlens.sources import pdf
 
 from . import embedding, merge, select
 
 MIN_PUBLICATIONS = 1
 
 
-def _first(rows: DataFrame, name: str, names: Column) -> DataFrame:
-    """(eprint_id, ``name``): the names of the first landed file of each record that has any."""
-    some = rows.select("eprint_id", "path", names.alias(name)).where(F.size(name) > 0)
-    return some.groupBy("eprint_id").agg(F.min_by(name, "path").alias(name))
+def _first(rows: DataFrame, name: str, names: Column, order: Column) -> DataFrame:
+    """(eprint_id, ``name``): the names in the first landed file of each record, if it has any."""
+    some = rows.groupBy("eprint_id").agg(F.min_by(names, order).alias(name))
+    return some.where(F.size(name) > 0)
 
 
 def enrich(research: DataFrame, bibtex: DataFrame, pdfs: DataFrame, order: str = "id", limit: int = 1000) -> DataFrame:
     """id, eprint_id, supervisors, source of the first ``limit`` records without supervisors.
 
     ``bibtex`` is (eprint_id, path, value) and ``pdfs`` (eprint_id, path, text) of landed files. A BibTeX export comes
-    before a PDF; source is null where neither names anyone, or where the url holds no record's number.
+    before a PDF; of a record's PDFs only the first by the order of their names is read. source is null where neither names anyone, or where the url holds no record's number.
     """
     todo = select.without_supervisors(research, order, limit).select("id", extract.eprint_id(F.col("url")).alias("eprint_id"))
-    named = todo.join(_first(bibtex, "_b", bib.supervisors(F.col("value"))), "eprint_id", "left").join(_first(pdfs, "_p", extract.supervisors_pdf(F.col("text"))), "eprint_id", "left")
+    named = todo.join(_first(bibtex, "_b", bib.supervisors(F.col("value")), F.struct("path")), "eprint_id", "left").join(_first(pdfs, "_p", extract.supervisors_pdf(F.col("text")), F.struct(pdf.turn(F.col("path"), F.col("eprint_id")), "path")), "eprint_id", "left")
     return named.select("id", "eprint_id", F.coalesce("_b", "_p").alias("supervisors"), F.when(F.col("_b").isNotNull(), "bibtex").when(F.col("_p").isNotNull(), "pdf").alias("source"))
 
 
@@ -74,6 +75,14 @@ def progress(log: DataFrame) -> DataFrame:
     return log.groupBy("key").agg(F.bool_or("ok").alias("ok"), F.max_by("error", "at").alias("error"), F.count("*").alias("tries")).withColumn("error", F.when(~F.col("ok"), F.col("error")))
 
 
+def paused(log: DataFrame, most: int = 3) -> DataFrame:
+    """is_paused, pause_reason: whether the last ``most`` attempts of a log all failed for want of a network."""
+    last = log.orderBy(F.desc("at"), "key").limit(most)
+    n = last.agg(F.count_if(~F.col("ok") & extract.is_network_error(F.col("error"))).alias("n"))
+    reason = F.concat(F.lit("Network disconnected - "), F.col("n"), F.lit(" consecutive failures"))
+    return n.select((F.col("n") >= most).alias("is_paused"), F.when(F.col("n") >= most, reason).alias("pause_reason"))
+
+
 def progress_counts(log: DataFrame, discovered: DataFrame) -> DataFrame:
     """total_discovered, total_processed, total_success, total_failed."""
     state = progress(log)

@@ -67,6 +67,11 @@ def update(old: DataFrame, changes: DataFrame, key: str, columns: list[str]) ->
     return joined.select(*(F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in old.columns))
 
 
+def appended(held: DataFrame, new: DataFrame) -> DataFrame:
+    """What a dry run holds after a batch: valid rows are added as they come, a url that repeats too."""
+    return held.unionByName(new.where((F.coalesce("url", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != "")), allowMissingColumns=True)
+
+
 def batch_counts(new: DataFrame) -> DataFrame:
     """inserted, skipped: what an upsert of the batch counts."""
     ok = (F.coalesce("url", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != "")

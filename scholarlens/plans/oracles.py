@@ -147,7 +147,7 @@ _LANDED = f"""
     l AS (SELECT doc_id AS id, source, text, lang, CASE WHEN doc_id % 6 = 0 THEN [lang] END AS had, nullif(regexp_extract(concat(CASE WHEN doc_id % 11 <> 0 THEN 'http://repository.its.ac.id/' ELSE 'http://x.org/' END, doc_id, '/'), 'repository[.]its[.]ac[.]id/([0-9]+)/?', 1), '') AS eprint FROM documents),
     b AS (SELECT doc_id::VARCHAR AS eprint, {_names("flatten([" + ", ".join("string_split(regexp_extract(concat(" + _seeded("doc_id", seeds.BIBTEX) + ", text), " + _s(rf"(?is)(?:^|[\s,{{]){f}\s*=\s*[{{\"]([^}}\"]*)[}}\"]") + ", 1), ' and ')" for f in k.BIBTEX_FIELDS) + "])", "pdf", 0)} AS names FROM documents WHERE doc_id % 3 <> 0),
     p AS (SELECT doc_id::VARCHAR AS eprint, {_names(_matches(f"concat(text, chr(10), {_seeded('doc_id', seeds.PDF)})", k.PDF_SUPERVISORS), "pdf", 0)} AS names FROM documents WHERE doc_id % 4 <> 0),
-    f AS (SELECT id, CASE WHEN b.eprint IS NOT NULL THEN coalesce(nullif(b.names, ''), 'Dr. Ana Budi|Carl Dewi') ELSE nullif(p.names, '') END AS names, CASE WHEN b.eprint IS NOT NULL THEN 'bibtex' WHEN p.names <> '' THEN 'pdf' END AS source
+    f AS (SELECT id, coalesce(nullif(b.names, ''), nullif(p.names, '')) AS names, CASE WHEN b.names <> '' THEN 'bibtex' WHEN p.names <> '' THEN 'pdf' END AS source
         FROM (SELECT * FROM l WHERE had IS NULL ORDER BY id LIMIT 1000) t LEFT JOIN b USING (eprint) LEFT JOIN p USING (eprint))
 """
 _PUBS = "SELECT conv_id, list(text ORDER BY turn) AS p FROM conversations GROUP BY conv_id"
@@ -183,6 +183,18 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS total_discovered, count(ok) AS total_processed, count(*) FILTER (ok) AS total_success, count(*) FILTER (NOT ok) AS total_failed, count(*) FILTER (ok IS NULL) AS "left", count(*) FILTER (ok IS NULL OR (NOT ok AND tries < 3)) AS retry FROM u
     """,
     "stream_merge": "SELECT c_custkey::VARCHAR AS url, CASE WHEN c_custkey % 4 = 0 THEN concat('last ', c_name) WHEN c_custkey % 2 = 0 THEN concat('new ', c_name) ELSE c_name END AS title, CASE WHEN c_custkey % 4 = 0 THEN 2 WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS rank FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
+    "dry_run": "SELECT title, count(*) * CASE WHEN title = 'BUILDING' THEN 2 ELSE 1 END AS n, count(DISTINCT c_name) AS urls FROM (SELECT c_mktsegment AS title, c_name FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0) GROUP BY title",
+    "merge_updated": "SELECT c_custkey::VARCHAR AS url, c_name AS title, CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 2 = 0 THEN '2024-05-06' ELSE '2020-01-01' END AS updated_at FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
+    "oai_records": f"""
+        SELECT concat('https://x.org/', doc_id, '/') AS url, source AS title, CASE WHEN doc_id % 4 <> 0 THEN lang ELSE 'Unknown' END AS author, (1990 + doc_id % 30)::INT AS year,
+            CASE WHEN regexp_matches(low, 's1|undergraduate|sarjana') THEN 'S1' WHEN regexp_matches(low, 's2|master|magister') THEN 'S2' WHEN regexp_matches(low, 's3|doctoral|doktor') THEN 'S3' WHEN contains(low, 'thesis') THEN 'S1' ELSE '' END AS degree,
+            CASE WHEN regexp_matches(lower(subject), 'department|departemen|jurusan|fakultas|faculty') THEN subject ELSE '' END AS dept, md5(CASE WHEN doc_id % 5 <> 0 THEN text ELSE '' END) AS abstract, concat('oai:x:', doc_id) AS identifier, source AS subject
+        FROM (SELECT *, lower(concat(t, ' ', source, ' ', subject)) AS low FROM (SELECT *, {_seeded("doc_id", seeds.TYPES)} AS t, {_seeded("doc_id", seeds.SUBJECTS)} AS subject FROM documents WHERE doc_id % 8 <> 0 AND doc_id % 9 <> 0 AND doc_id % 10 <> 0))
+    """,
+    "oai_set": "SELECT doc_id FROM documents WHERE source = 'src1'",
+    "author_list": "SELECT o_custkey::VARCHAR AS sinta_id, concat('P', o_custkey) AS name, CASE WHEN o_custkey % 3 <> 0 THEN concat('D', o_custkey % 5) END AS dept FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'))",
+    "checkpoint_ids": "SELECT n_nationkey::VARCHAR AS sinta_id FROM nation",
+    "network_errors": "SELECT event_id % 4 IN (1, 2) AS network, count(*) AS n FROM events GROUP BY ALL",
     "sql_search": f"SELECT vec_id::VARCHAR AS id, concat('t', label) AS title, 'a' AS abstract, label::VARCHAR AS author, label::VARCHAR AS supervisors, 'S1' AS degree, label::INT AS year, label::VARCHAR AS dept, vec_id::VARCHAR AS url, round({_ALIKE}, 6) AS similarity FROM embeddings WHERE {_ALIKE} >= 0.2 ORDER BY {_ALIKE} DESC, vec_id::VARCHAR LIMIT 7",
     "vec_topk": _TOP.format(t=-1.0),
     "vec_topk_threshold": _TOP.format(t=0.3),
@@ -237,7 +249,7 @@ ORACLES: dict[str, str] = {
         s AS (SELECT author_id, source, min(page) AS stop FROM (SELECT author_id, source, page FROM o GROUP BY ALL HAVING NOT bool_or(ok)) GROUP BY ALL),
         n AS (SELECT o.*, row_number() OVER (PARTITION BY o.author_id, o.source ORDER BY o.page, o.pos) AS n FROM o LEFT JOIN s USING (author_id, source) WHERE ok AND (stop IS NULL OR o.page < stop)),
         h AS (SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY (source <> 'scopus'), n) AS m FROM n WHERE n <= {k.PUBLICATIONS_MAX})
-        SELECT author_id, count(*) AS n, coalesce(array_to_string(list_sort(list(DISTINCT year) FILTER (year <> 0)), ','), '') AS years, md5(string_agg(title, '|' ORDER BY m)) AS md5 FROM h WHERE m <= {k.PUBLICATIONS_MAX} GROUP BY author_id
+        SELECT author_id, count(*) AS n, coalesce(array_to_string(list_sort(list(DISTINCT year) FILTER (year <> 0)), ','), '') AS years, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, md5(string_agg(title, '|' ORDER BY m)) AS md5 FROM h WHERE m <= {k.PUBLICATIONS_MAX} GROUP BY author_id
     """,
     "tags_shape": f"SELECT doc_id, array_to_string({_DISTINCT_TAGS}, ',') AS tags FROM documents",
     "tag_lookup": f"SELECT doc_id FROM documents WHERE list_has_any({_TAGS}, ['the', 'des', 'der', 'que'])",

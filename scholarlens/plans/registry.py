@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from scholarlens.functions import extract, quality, text
 from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
-from scholarlens.sources import bibtex, files, html
+from scholarlens.sources import bibtex, files, html, oai, profiles
 from scholarlens.sources.tables import table
 from scholarlens.streaming import ingest
 
@@ -251,7 +251,7 @@ def publications_shape(spark, sf_dir):
     i = F.col("doc_id")
     pages = table(spark, sf_dir, "documents").select(F.col("source").alias("author_id"), F.when(i % 3 == 0, "googlescholar").otherwise("scopus").alias("source"), (F.floor(i / 200)).alias("page"), i.alias("pos"), F.col("text").alias("title"), F.when(i % 11 != 0, (F.lit(2008) + i % 17).cast("int")).alias("year"))
     found = select.publications(pages)
-    return found.select("author_id", F.size("publications").cast("bigint").alias("n"), F.array_join(select.publication_years(F.col("publications")), ",").alias("years"), F.md5(F.array_join(F.transform("publications", lambda p: p["title"]), "|").cast("binary")).alias("md5"))
+    return found.select("author_id", F.size("publications").cast("bigint").alias("n"), F.array_join(select.publication_years(F.col("publications")), ",").alias("years"), F.array_join(profiles.sources_of(F.col("publications")), ",").alias("sources"), F.md5(F.array_join(F.transform("publications", lambda p: p["title"]), "|").cast("binary")).alias("md5"))
 
 
 def tags_shape(spark, sf_dir):
@@ -418,7 +418,8 @@ def _landed(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     research = docs.select(i.alias("id"), F.col("source").alias("title"), F.concat(F.col("text"), F.lit("\n"), seeded("doc_id", seeds.SUPERVISORS)).alias("abstract"), F.when(i % 6 == 0, F.array("lang")).when(i % 6 == 1, F.array().cast("array<string>")).alias("supervisors"), url.alias("url"))
     number = i.cast("string").alias("eprint_id")
     bibtex = docs.where("doc_id % 3 <> 0").select(number, F.lit("a.bib").alias("path"), F.concat(seeded("doc_id", seeds.BIBTEX), F.col("text")).alias("value"))
-    pdfs = docs.where("doc_id % 4 <> 0").select(number, F.lit("a.pdf").alias("path"), F.concat(F.col("text"), F.lit("\n"), seeded("doc_id", seeds.PDF)).alias("text"))
+    pdfs = docs.where("doc_id % 4 <> 0").select(number, F.lit("/1/paper.pdf").alias("path"), F.concat(F.col("text"), F.lit("\n"), seeded("doc_id", seeds.PDF)).alias("text"))
+    pdfs = pdfs.unionByName(pdfs.withColumn("path", F.lit("/1/a.pdf")).withColumn("text", F.lit(seeds.PDF[0])))
     return research, bibtex.unionByName(bibtex.withColumn("path", F.lit("b.bib")).withColumn("value", F.lit(seeds.BIBTEX[0]))), pdfs
 
 
@@ -474,6 +475,61 @@ def stream_merge(spark, sf_dir):
     return ingest.merge_stream(spark, f"{root}/landed", new.schema, f"{root}/table", f"{root}/state", lambda before, batch: merge.upsert_research(before, batch, [F.desc("rank")]), old, files_per_batch=1)
 
 
+def dry_run(spark, sf_dir):
+    """Two batches in a dry run's store, of which the second repeats urls of the first."""
+    people = table(spark, sf_dir, "customer")
+    batch = people.select(F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).otherwise("").alias("url"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_mktsegment")).alias("title"))
+    held = merge.appended(merge.appended(batch.limit(0), batch), batch.where("title = 'BUILDING'"))
+    return held.groupBy("title").agg(F.count("*").alias("n"), F.count_distinct("url").alias("urls"))
+
+
+def merge_updated(spark, sf_dir):
+    """Rows that a merge changes get its time; old and new ones keep theirs."""
+    people = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("url"), F.col("c_name").alias("title"), F.lit("2020-01-01").alias("updated_at"))
+    return merge.upsert_research(people.where("url % 3 <> 0"), people.where("url % 2 = 0"), [F.col("title")], F.lit("2024-05-06"))
+
+
+def oai_records(spark, sf_dir):
+    """The whole parse of landed OAI records, deleted and empty ones among them."""
+    i, docs = F.col("doc_id"), table(spark, sf_dir, "documents")
+    header = F.struct(F.when(i % 9 == 0, "deleted").alias("_status"), F.when(i % 10 != 0, F.concat(F.lit("oai:x:"), i)).alias("identifier"), F.lit("2024-01-02").alias("datestamp"), F.array("source").alias("setSpec"))
+    dc = F.struct(F.array("source", "lang").alias("title"), F.when(i % 4 != 0, F.array("lang")).alias("creator"), F.array(F.lit("x"), F.concat((F.lit(1990) + i % 30).cast("string"), F.lit("-05"))).alias("date"), F.array(F.lit(""), F.col("source"), seeded("doc_id", seeds.SUBJECTS)).alias("subject"), F.when(i % 5 != 0, F.array("text")).alias("description"), F.array(seeded("doc_id", seeds.TYPES)).alias("type"))
+    raw = docs.select(header.alias("header"), F.struct(F.when(i % 8 != 0, dc).alias("dc")).alias("metadata"))
+    out = oai.records(raw, "https://x.org")
+    return out.select("url", "title", "author", "year", "degree", "dept", F.md5(F.col("abstract").cast("binary")).alias("abstract"), F.get_json_object("metadata", "$.oai_identifier").alias("identifier"), F.get_json_object("metadata", "$.subjects[0]").alias("subject"))
+
+
+def oai_set(spark, sf_dir):
+    raw = table(spark, sf_dir, "documents").select(F.struct(F.lit(None).cast("string").alias("_status"), F.col("doc_id").cast("string").alias("identifier"), F.lit("2024-01-02").alias("datestamp"), F.array("lang", F.concat("source", F.lit(":"), "lang")).alias("setSpec")).alias("header"))
+    return oai.in_set(raw, "src1").select(F.col("header.identifier").cast("bigint").alias("doc_id"))
+
+
+def author_list(spark, sf_dir):
+    """Authors of list pages made of the orders of each day: each once, without those processed."""
+    cards = F.array_join(F.collect_list(F.concat(F.lit('<div class="au-item"><a href="https://s.org/authors/profile/'), "o_custkey", F.lit('"> P'), "o_custkey", F.lit("</a>"), F.when(F.col("o_custkey") % 3 != 0, F.concat(F.lit('<a href="/departments/profile/1">D'), F.col("o_custkey") % 5, F.lit("</a>"))).otherwise(""), F.lit("</div>"))), "")
+    pages = table(spark, sf_dir, "orders").groupBy("o_orderdate").agg(cards.alias("html"))
+    found = pages.select(F.inline(html.author_cards(F.col("html"))))
+    done = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("sinta_id"))
+    return profiles.authors(found, done)
+
+
+def checkpoint_ids(spark, sf_dir):
+    """Ids of a checkpoint that was written, and those rescued from a broken one, against each other."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scholarlens-")
+    root = f"{root.rstrip('/')}/checkpoint-{uuid.uuid4().hex}"
+    ids = F.array_sort(F.collect_list(F.col("n_nationkey").cast("string")))
+    state = table(spark, sf_dir, "nation").agg(ids.alias("processed_sinta_ids"), F.lit(False).alias("is_paused"))
+    files.write_checkpoint(spark, f"{root}/whole", state)
+    state.select(F.regexp_replace(F.to_json(F.struct("processed_sinta_ids")), r"\].*", "")).coalesce(1).write.text(f"{root}/broken")
+    whole = files.processed(files.read_checkpoint(spark, f"{root}/whole", files.PROFILE), "processed_sinta_ids", "sinta_id")
+    return whole.join(files.repaired_ids(spark, f"{root}/broken"), "sinta_id")
+
+
+def network_errors(spark, sf_dir):
+    message = F.concat(F.element_at(F.array(*map(F.lit, ["timeout ", "net::ERR_FAILED ", "x ERR_CONNECTION_RESET ", ""])), (F.col("event_id") % 4 + 1).cast("int")), F.col("event_type"))
+    return table(spark, sf_dir, "events").groupBy(extract.is_network_error(message).alias("network")).agg(F.count("*").alias("n"))
+
+
 def sql_search(spark, sf_dir):
     """match_research of the registered SQL functions, with every column."""
     rows = table(spark, sf_dir, "embeddings")
@@ -498,6 +554,6 @@ QUERIES = {
         supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
         expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
         ids_union, remaining_ids, full_text, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall,
-        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, sql_search,
+        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, sql_search, dry_run, merge_updated, oai_records, oai_set, author_list, checkpoint_ids, network_errors,
     )
 }
