@@ -155,7 +155,7 @@ _PUBS = "SELECT conv_id, list(text ORDER BY turn) AS p FROM conversations GROUP
 ORACLES: dict[str, str] = {
     "clean_text_full": f"SELECT page_id, md5({_clean('html')}) AS clean FROM pages",
     "clean_record": f"""
-        SELECT md5(title) AS title, md5(abstract) AS abstract, author, nullif(names, '') AS supervisors, CASE WHEN d = '' THEN '' ELSE {_first_word("lower(" + _strip("d") + ")", k.DEGREES, "substr(upper(d), 1, 5)")} END AS degree, year, dept, concat('u', doc_id) AS url, '{{}}' AS metadata,
+        SELECT title, abstract, author, nullif(names, '') AS supervisors, CASE WHEN d = '' THEN '' ELSE {_first_word("lower(" + _strip("d") + ")", k.DEGREES, "substr(upper(d), 1, 5)")} END AS degree, year, dept, concat('u', doc_id) AS url, '{{}}' AS metadata,
             printf('%.2f', greatest(0.0, least(1.0, (CASE WHEN length(abstract) >= 500 THEN 0.3 WHEN length(abstract) >= 200 THEN 0.2 WHEN length(abstract) >= 100 THEN 0.1 ELSE 0.0 END)::DOUBLE + (CASE WHEN names <> '' THEN 0.1 ELSE 0.0 END)::DOUBLE + (CASE WHEN contains(names, '|') THEN 0.1 ELSE 0.0 END)::DOUBLE
                 + 0.3::DOUBLE * (((title <> '')::INT + (author <> '')::INT + (dept <> '')::INT + 1) / 4.0::DOUBLE) + 0.2::DOUBLE * ({_INTEGRITY.format(c="concat(title, ' ', abstract, ' ', author)")}))))::DOUBLE AS data_confidence
         FROM (SELECT *, {_seeded("doc_id", seeds.DEGREES)} AS d FROM ({_RECORD_NAMES}))

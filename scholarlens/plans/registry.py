@@ -381,9 +381,8 @@ def clean_text_full(spark, sf_dir):
 
 def clean_record(spark, sf_dir):
     i = F.col("doc_id")
-    shown = lambda c: F.md5(F.col(c).cast("binary")).alias(c)
     raw = table(spark, sf_dir, "documents").select(F.col("text").alias("title"), F.col("source").alias("author"), F.concat(seeded("doc_id", seeds.SUPERVISORS), F.col("text")).alias("abstract"), F.concat(F.lit("c. "), (F.lit(1990) + i % 30).cast("string")).alias("year"), seeded("doc_id", seeds.DEGREES).alias("degree"), F.col("lang").alias("dept"), F.concat(F.lit(" u"), i.cast("string")).alias("url"), F.array().cast("array<string>").alias("supervisors"), F.lit("{}").alias("metadata"))
-    return quality.clean_record(raw).select(shown("title"), shown("abstract"), "author", F.array_join("supervisors", "|").alias("supervisors"), "degree", "year", "dept", "url", "metadata", "data_confidence")
+    return quality.clean_record(raw).select("title", "abstract", "author", F.array_join("supervisors", "|").alias("supervisors"), "degree", "year", "dept", "url", "metadata", "data_confidence")
 
 
 def html_fields(spark, sf_dir):
