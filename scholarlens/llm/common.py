@@ -87,14 +87,6 @@ def discard(spark: SparkSession, since: int, until: int | None = None) -> None:
         _made.remove(path)
 
 
-def finished(df: DataFrame, since: int) -> DataFrame:
-    """``df`` stored, and every table that was stored for it removed."""
-    until = len(_made)
-    out = stored(df)
-    discard(df.sparkSession, since, until)
-    return out
-
-
 def clear(spark: SparkSession) -> None:
     """Removes all that this application has stored, once its results have been written elsewhere."""
     _remove(spark, f"{shared_dir(spark)}/scholarlens/{spark.sparkContext.applicationId}")
@@ -113,6 +105,14 @@ def compact(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
         held.unpersist()
 
 
+def finished(df: DataFrame, since: int, rows: int = 1_000_000) -> DataFrame:
+    """``df`` stored in files of about ``rows`` rows, and every table that was stored for it removed."""
+    until = len(_made)
+    out = compact(df, rows)
+    discard(df.sparkSession, since, until)
+    return out
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Bytes of all texts, from one pass over that column."""
     return int(df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0])

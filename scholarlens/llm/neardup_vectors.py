@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vectors
-from .common import finished, mark, stored, table
+from .common import compact, finished, mark, table
 from .graph import components
 
 THRESHOLD = 0.95
@@ -45,9 +45,17 @@ AUDIT, AUDIT_RECALL, TRIES = 200, 0.99, 3
 HOT, BLOCK, EXACT_CELLS = 2 * DEGREE, 8192, 1024
 #: How far a cosine of a matrix product may be from that of the two vectors alone.
 ROUNDING = 1e-9
+#: Rows of a file of a stored table, about.
+FILE = 100_000
 _log = logging.getLogger(__name__)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` stored in files of about FILE rows, as rows hold vectors."""
+    return compact(df, FILE)
+
+
+
 def centres(x: np.ndarray, k: int, threshold: float = THRESHOLD, rounds: int = 8) -> np.ndarray:
     """At most ``k`` unit vectors by spherical k-means on the sample ``x`` of unit vectors.
 
@@ -192,7 +200,7 @@ def cells(nodes: DataFrame, n: int, overlap: int, threshold: float = THRESHOLD)
                 yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(home), *(c.take(row) for c in batch.columns)], names=["cell", "home", *batch.schema.names])
 
     schema = f"cell bigint, home boolean, {NODE}"
-    out = stored(nodes.mapInArrow(deal, schema))
+    out = _kept(nodes.mapInArrow(deal, schema))
     whole = before = None
     while True:
         sizes = out.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT * CELL)
@@ -200,7 +208,7 @@ def cells(nodes: DataFrame, n: int, overlap: int, threshold: float = THRESHOLD)
             # What no centres divide, or what has kept most of the cell that it comes from, is left as it is.
             parent = before.select((F.col("cell") + 1).alias("parent"), F.col("n").alias("of"))
             sizes = sizes.join(whole, "cell", "left_anti").withColumn("parent", F.floor(F.col("cell") / FAN)).join(parent, "parent", "left").where("of IS NULL OR n <= 0.75 * of").select("cell", "n")
-        sizes = stored(sizes)
+        sizes = _kept(sizes)
         if not sizes.take(1):
             return out
         parts = F.greatest(F.lit(1), F.ceil(F.col("n") / (SPLIT * CELL)).cast("int"))
@@ -211,8 +219,8 @@ def cells(nodes: DataFrame, n: int, overlap: int, threshold: float = THRESHOLD)
             got = centres(x, max(2, min(FAN, -(-group.column("n")[0].as_py() // CELL))), threshold)
             return pa.table({"cell": group.column("cell").slice(0, 1).cast(pa.int64()), "k": pa.array([len(got)], pa.int32()), "centres": pa.array([got.ravel()], pa.list_(pa.float64()))})
 
-        fitted = stored(drawn.select("cell", "n", "embedding").groupBy("cell").applyInArrow(fit, "cell bigint, k int, centres array<double>"))
-        single = fitted.where("k < 2").select("cell")
+        fitted = _kept(drawn.select("cell", "n", "embedding").groupBy("cell").applyInArrow(fit, "cell bigint, k int, centres array<double>"))
+        single = sizes.join(fitted.where("k > 1"), "cell", "left_anti").select("cell")
         whole, before = single if whole is None else whole.unionByName(single), sizes
         cut = fitted.where("k > 1").join(sizes, "cell").select("cell", "k", "centres", parts.alias("parts"))
         mine = out.join(cut.select("cell", F.col("parts").alias("salts")), "cell").select(*out.columns, F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int").alias("salt"))
@@ -230,7 +238,7 @@ def cells(nodes: DataFrame, n: int, overlap: int, threshold: float = THRESHOLD)
 
         dealt = mine.groupBy("cell", "salt").cogroup(theirs.groupBy("cell", "salt")).applyInArrow(again, schema)
         rest = out.join(cut.select("cell"), "cell", "left_anti").select(*dealt.columns)
-        out = stored(rest.unionByName(dealt))
+        out = _kept(rest.unionByName(dealt))
 
 
 def _parted(dealt: DataFrame, size: int, name: str = "parts") -> DataFrame:
@@ -299,12 +307,12 @@ def _search(dealt: DataFrame, beam: int, threshold: float) -> DataFrame:
     own = lambda parts: F.pmod(F.xxhash64("vec_id"), F.col(parts)).cast("int")
     members = _parted(dealt, SHARD)
     built = members.withColumn("part", own("parts")).select("cell", "part", "vec_id", "embedding").groupBy("cell", "part").applyInArrow(lambda rows: build(rows, threshold), "vec_id bigint, near array<bigint>, close array<bigint>")
-    lists = stored(built.groupBy("vec_id").agg(*(F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "close"))))
+    lists = _kept(built.groupBy("vec_id").agg(*(F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "close"))))
     keys = members.select("cell", "vec_id", "parts")
     named = keys.join(lists.where(F.size("close") > 0).select("vec_id", "close"), "vec_id").select("cell", "parts", F.explode("close").alias("vec_id")).distinct()
     beyond = named.join(keys.select("cell", "vec_id"), ["cell", "vec_id"], "left_anti").join(dealt.where("home").select("vec_id", "copies", "embedding"), "vec_id")
     every = members.unionByName(beyond.withColumn("home", F.lit(False)))
-    every = stored(_parted(every, 2 * SHARD, "again").withColumn("parts", F.greatest("parts", "again")).drop("again").join(lists.select("vec_id", "near"), "vec_id", "left").withColumn("own", own("parts")))
+    every = _kept(_parted(every, 2 * SHARD, "again").withColumn("parts", F.greatest("parts", "again")).drop("again").join(lists.select("vec_id", "near"), "vec_id", "left").withColumn("own", own("parts")))
     to = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     held = every.withColumn("part", F.col("own")).withColumn("block", to).withColumn("held", F.lit(True)).withColumn("asks", F.col("home") & (F.col("block") == F.col("own")))
     asking = every.where("home AND parts > 1").withColumn("block", F.col("own")).withColumn("part", to).where("part <> own").withColumn("held", F.lit(False)).withColumn("asks", F.lit(True))
@@ -364,7 +372,7 @@ def _exact(nodes: DataFrame, n: int, threshold: float) -> tuple[DataFrame, DataF
 
     dealt = nodes.mapInArrow(deal, schema)
     cuts = dealt.groupBy("cell").agg(*(F.ceil(F.count_if(side) / BLOCK).cast("int").alias(name) for side, name in ((~F.col("asks"), "parts"), (F.col("asks"), "blocks"))))
-    dealt = dealt.join(F.broadcast(stored(cuts.where("parts > 0"))), "cell")
+    dealt = dealt.join(F.broadcast(_kept(cuts.where("parts > 0"))), "cell")
     mine = lambda count: F.array(F.pmod(F.xxhash64("embedding"), F.col(count)).cast("int"))
     all_ = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
     dealt = dealt.withColumn("part", F.explode(F.when(F.col("asks"), all_("parts")).otherwise(mine("parts"))))
@@ -400,9 +408,9 @@ def _exact(nodes: DataFrame, n: int, threshold: float) -> tuple[DataFrame, DataF
         return pa.table({"vec_id": pa.array(ids, pa.int64()), "node": pa.array(node, pa.int64()), "others": pa.array(others, pa.int64()), "root": pa.array(root, pa.int64())})
 
     columns = ["cell", "part", "block", "asks", "vec_id", "node", "copies", "embedding"]
-    out = stored(dealt.select(columns).groupBy("cell", "part", "block").applyInArrow(compare, "vec_id bigint, node bigint, others bigint, root bigint").where("others > 0 OR root <> vec_id"))
+    out = _kept(dealt.select(columns).groupBy("cell", "part", "block").applyInArrow(compare, "vec_id bigint, node bigint, others bigint, root bigint").where("others > 0 OR root <> vec_id"))
     counts = out.groupBy("vec_id", "node").agg(F.sum("others").alias("others")).groupBy("vec_id").agg(F.max("others").alias("others"))
-    return out.select("vec_id", "root"), stored(counts)
+    return out.select("vec_id", "root"), _kept(counts)
 
 
 def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -415,16 +423,16 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     since = mark()
     good = vectors.of_main_length(rows)
-    nodes = stored(good.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")).select("vec_id", "copies", "embedding"))
+    nodes = _kept(good.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")).select("vec_id", "copies", "embedding"))
     n, overlap, beam = nodes.count(), OVERLAP, BEAM
     if not n:
         own = rows.where("vec_id IS NOT NULL").select("vec_id")
         return own.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     tries: list[DataFrame] = []
     for turn in range(TRIES):
-        tries.append(stored(_search(cells(nodes, n, overlap, threshold), beam, threshold).withColumn("turn", F.lit(turn))))
+        tries.append(_kept(_search(cells(nodes, n, overlap, threshold), beam, threshold).withColumn("turn", F.lit(turn))))
         found = reduce(DataFrame.unionByName, tries)
-        counts = stored(found.groupBy("vec_id", "turn").agg(F.sum("others").alias("others")).groupBy("vec_id").agg(F.max("others").alias("others")))
+        counts = _kept(found.groupBy("vec_id", "turn").agg(F.sum("others").alias("others")).groupBy("vec_id").agg(F.max("others").alias("others")))
         recall = _audit(nodes, counts, threshold)
         _log.info("recall %.4f with %d cells and a beam of %d", recall, overlap, beam)
         if recall >= AUDIT_RECALL:
