@@ -6,7 +6,6 @@ fixed list of examples, one for each row by its key. The DuckDB side builds the
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from scholarlens.functions import extract, quality, text
 from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
 from scholarlens.sources import bibtex, files, html, oai, profiles
-from scholarlens.sources.tables import table
+from scholarlens.sources.tables import shared_folder, table
 from scholarlens.streaming import ingest
 
 from . import functions, seeds
@@ -368,9 +367,8 @@ def vector_text(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Counts by event type of rows that came through the stream, the same as a batch over them."""
     events = table(spark, sf_dir, "events")
-    # A stream's state is the caller's; here it lives in the session's shared folder, or a temporary one.
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scholarlens-")
-    root = f"{root.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    # A stream's state is the caller's; here it lives in the session's shared folder.
+    root = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
     rows = ingest.ingest_parquet(spark, f"{sf_dir}/events*.parquet", events.schema, f"{root}/sink", f"{root}/state")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value").cast("decimal(20,6)")), 4).cast("double").alias("total"))
 
@@ -465,8 +463,7 @@ def harvest_progress(spark, sf_dir):
 def stream_merge(spark, sf_dir):
     """Customers that stream in several batches into a table: updates, inserts, and keys that repeat in a batch."""
     people = table(spark, sf_dir, "customer")
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scholarlens-")
-    root = f"{root.rstrip('/')}/merge-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark)}/merge-{uuid.uuid4().hex}"
     record = lambda df, title, rank: df.select(F.col("c_custkey").cast("string").alias("url"), title.alias("title"), F.lit(rank).alias("rank"))
     old = record(people.where("c_custkey % 3 <> 0"), F.col("c_name"), 0)
     new = record(people.where("c_custkey % 2 = 0"), F.concat(F.lit("new "), F.col("c_name")), 1).unionByName(record(people.where("c_custkey % 4 = 0"), F.concat(F.lit("last "), F.col("c_name")), 2))
@@ -514,8 +511,7 @@ def author_list(spark, sf_dir):
 
 def checkpoint_ids(spark, sf_dir):
     """Ids of a checkpoint that was written, and those rescued from a broken one, against each other."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scholarlens-")
-    root = f"{root.rstrip('/')}/checkpoint-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark)}/checkpoint-{uuid.uuid4().hex}"
     ids = F.array_sort(F.collect_list(F.col("n_nationkey").cast("string")))
     state = table(spark, sf_dir, "nation").agg(ids.alias("processed_sinta_ids"), F.lit(False).alias("is_paused"))
     files.write_checkpoint(spark, f"{root}/whole", state)

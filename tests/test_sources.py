@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from scholarlens.sources import bibtex, files, html, oai
@@ -74,3 +75,18 @@ def test_stream_takes_each_row_once(spark, tmp_path):
     again = ingest.ingest_parquet(spark, source, a.schema, sink, state, lambda df: df)
     assert again.count() == 13
     assert ingest.ingest_parquet(spark, source, a.schema, sink, state).count() == 13
+
+
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from scholarlens.sources import tables
+
+    def session(master, conf=None, checkpoint=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: conf), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint))
+
+    assert tables.shared_folder(session("yarn", "/x/")) == "/x" and tables.shared_folder(session("yarn", None, "hdfs:/y")) == "hdfs:/y"
+    assert tables.shared_folder(session("local[2]")) == tables.shared_folder(session("local"))
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            tables.shared_folder(session(master))
