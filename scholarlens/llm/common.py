@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -10,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarlens.sources import tables
-from scholarlens.sources.tables import importable
+from scholarlens.sources.tables import importable, shared_folder
 
-__all__ = ["clear", "compact", "discard", "finished", "fresh", "mark", "prepared", "shared_dir", "stored", "table", "text_bytes"]
+__all__ = ["clear", "compact", "discard", "finished", "fresh", "mark", "prepared", "stored", "table", "text_bytes"]
 
 
 #: Rows and bytes of a batch that goes to Python: whole texts are held there and in the JVM's native memory.
@@ -39,24 +38,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-_own: str | None = None
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or the context's checkpoint folder.
-
-    Where neither is set a local master gets a temporary folder (tests); on a cluster that would be a different one on
-    each machine, so there it is an error.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        global _own
-        _own = found = _own or tempfile.mkdtemp(prefix="scholarlens-")
-    return found.rstrip("/")
-
-
 #: Folders of tables that are stored and not removed yet, in the order of their making.
 _made: list[str] = []
 
@@ -64,7 +45,7 @@ _made: list[str] = []
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/scholarlens/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/scholarlens/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -89,7 +70,7 @@ def discard(spark: SparkSession, since: int, until: int | None = None) -> None:
 
 def clear(spark: SparkSession) -> None:
     """Removes all that this application has stored, once its results have been written elsewhere."""
-    _remove(spark, f"{shared_dir(spark)}/scholarlens/{spark.sparkContext.applicationId}")
+    _remove(spark, f"{shared_folder(spark)}/scholarlens/{spark.sparkContext.applicationId}")
     _made.clear()
 
 
