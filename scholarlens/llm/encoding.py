@@ -192,12 +192,26 @@ _encoders: dict[tuple, Encoder] = {}
 kept: list[dict] = [_encoders]
 
 
+#: Memory blocks from this size are the system's again as soon as they are freed.
+_RETURNED = 1 << 20
+_libc: list = []
+
+
+def _allocator():
+    """The C library, told once in each worker to give large blocks back: its own limit grows with what is freed."""
+    if not _libc:
+        _libc.append(ctypes.CDLL(None))
+        if hasattr(_libc[0], "mallopt"):
+            _libc[0].mallopt(-3, _RETURNED)  # M_MMAP_THRESHOLD
+    return _libc[0]
+
+
 def release() -> None:
     """Gives up what earlier tasks of this Python worker have kept, before a task that has no use for it."""
     for held in kept:
         held.clear()
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    trim = getattr(_allocator(), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
@@ -206,6 +220,7 @@ def encoder(path: str, words_only: bool = False) -> Encoder:
     """One encoder for each Python worker, kept from task to task."""
     key = (path, words_only)
     if key not in _encoders:
+        _allocator()
         _encoders[key] = Encoder(Library(path), words_only)
     return _encoders[key]
 
