@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import compress
 
 import numpy as np
@@ -68,12 +69,15 @@ class Text:
     def __init__(self, doc_ids: np.ndarray, texts: pa.Array, width: int):
         self.ids, self.width = doc_ids, width
         self.words = w = words.scan(texts)
-        self.hashes = words.rolling(w.hashes, width)
-        inside = w.doc[: len(self.hashes)] == w.doc[width - 1 :] if len(self.hashes) else np.zeros(0, bool)
-        self.at = np.flatnonzero(inside)  # words at which a window starts
-        self.keys = self.hashes[self.at]
+        n = max(0, len(w.doc) - width + 1)
+        self.at = np.flatnonzero(w.doc[:n] == w.doc[width - 1 :]) if n else np.zeros(0, np.int64)  # words at which a window starts
         self.doc_id = doc_ids[w.doc[self.at]]
 
+    @cached_property
+    def keys(self) -> np.ndarray:
+        """The hash of each window."""
+        return words.rolling(self.words.hashes, self.width)[self.at]
+
     def anchors(self, size: int) -> np.ndarray:
         if not len(self.at):
             return np.zeros(0, np.uint64)
@@ -194,10 +198,10 @@ def _entries(block: int, keys: np.ndarray, docs: np.ndarray, shards: int) -> pa.
     """
     if not len(keys):
         return _ENTRY.empty_table()
-    distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    most = np.zeros(len(distinct), np.int64)
-    np.maximum.at(most, inverse, np.arange(len(keys)))
-    least, many = docs[first], docs[most] != docs[first]
+    order = np.argsort(keys, kind="stable")
+    turn = np.flatnonzero(np.diff(keys[order])) + 1
+    head, tail = np.append(0, turn), np.append(turn, len(keys)) - 1
+    distinct, least, many = keys[order[head]], docs[order[head]], docs[order[tail]] != docs[order[head]]
     shard = (words.mix(distinct) % np.uint64(shards)).astype(np.int32)
     return _rows(_ENTRY, [(s, block, distinct[o].astype("<u8").tobytes(), least[o].astype("<i8").tobytes(), np.packbits(many[o]).tobytes()) for s, o in _cut(shard)])
 
