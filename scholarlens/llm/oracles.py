@@ -1,6 +1,6 @@
 """DuckDB SQL of the operators that it can express, over views of the same whole tables.
 
-Secrets have spans, tokens and packing a tokenizer, neighbours sums in another order: those are tested against brute
+Tokens and packing have a tokenizer, neighbours sums in another order: those are tested against brute
 force. The searches of vectors are approximate by nature, but on tables that SQL can compare pair by pair they are whole.
 """
 
@@ -39,4 +39,31 @@ _VECTORS = f"""
     SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept FROM least LEFT JOIN n USING (id)
 """
 
-ORACLES: dict[str, str] = {"op3_substring": _SUBSTRING, "op6_vector_dedup": _VECTORS, "op8_minhash": _MINHASH}
+#: Kind, pattern, the group that must be long enough, and how long.
+_SECRETS = [
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]{32,}", 0, 32),
+    ("private_key", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 0),
+    ("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 0),
+]
+
+
+def _matches(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"SELECT doc_id, {number} AS k, '{kind}' AS kind, {least} AS least, regexp_extract_all(text, {quoted}) AS m, regexp_extract_all(text, {quoted}, {group}) AS g, string_split(regexp_replace(text, {quoted}, chr(1), 'g'), chr(1)) AS between FROM d"
+
+
+_SECRET_SCAN = f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    r AS ({" UNION ALL ".join(_matches(k, *rule) for k, rule in enumerate(_SECRETS))}),
+    i AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM r),
+    s AS (SELECT doc_id, k, kind, (list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS a, length(m[i]) AS n FROM i WHERE length(g[i]) >= least),
+    t AS (SELECT doc_id, k, a, concat(kind, ':', a, ':', a + n) AS span FROM s)
+    SELECT d.doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex, sha256(coalesce(string_agg(span, ',' ORDER BY a, k) FILTER (k < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY a, k), '') AS spans
+    FROM d LEFT JOIN t USING (doc_id) GROUP BY d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_secret_scan": _SECRET_SCAN, "op3_substring": _SUBSTRING, "op6_vector_dedup": _VECTORS, "op8_minhash": _MINHASH}
