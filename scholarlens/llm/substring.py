@@ -92,15 +92,17 @@ class Text:
         distinct, first = np.unique(self.keys, return_index=True)
         return distinct, self.at[first]
 
-    def summed(self) -> None:
-        """Prefix sums from which the hash of any run of words follows."""
+    @cached_property
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix sums from which the hash of any run of words follows, and the inverse powers that shift it."""
         n = len(self.words.hashes)
         power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _BASE, np.uint64)]))
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.words.hashes * power[:n])])
-        self.back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _BACK, np.uint64)]))
+        back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _BACK, np.uint64)]))
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.words.hashes * power[:n])]), back
 
     def run(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-        return (self.sums[start + length] - self.sums[start]) * self.back[start]
+        sums, back = self.sums
+        return (sums[start + length] - sums[start]) * back[start]
 
     def ends(self, start: np.ndarray) -> np.ndarray:
         """The word after the last of the text that has ``start``."""
@@ -125,9 +127,6 @@ def parse(asking: Text, at: np.ndarray, source: np.ndarray, reference: Text) ->
     long as the words agree, and the next one starts at the first such word whose window the factor does not hold.
     """
     width = asking.width
-    asking.summed()
-    if reference is not asking:
-        reference.summed()
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     doc = asking.words.doc[at]
     now = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(at) else np.zeros(0, np.int64)
@@ -283,16 +282,25 @@ def stretches(block: Text, number: int, answers: pa.Table) -> pa.Table:
 
 
 def factored(rows: pa.Table, width: int) -> pa.Table:
-    """Spans of the asking blocks that factors against the reference's stretches cover."""
+    """Spans of the asking blocks that factors against the reference's stretches cover.
+
+    The reference is indexed once; stretches ask in turns of about BLOCK_BYTES, however many there are.
+    """
     rows = rows.sort_by([("doc_id", "ascending"), ("block", "ascending"), ("first", "ascending")])
     asks = np.array(rows.column("asks").to_pylist(), bool)
-    asking, reference = rows.filter(pa.array(asks)), rows.filter(pa.array(~asks))
-    texts = [Text(x.column("doc_id").to_numpy(), x.column("words").combine_chunks().cast(pa.large_binary()).cast(pa.large_string()), width) for x in (asking, reference)]
-    start, end, _ = factors(*texts)
-    row = texts[0].words.doc[start]
-    shift = asking.column("first").to_numpy()[row] - texts[0].words.first[row]
-    start, end, blocks = start + shift, end + shift, asking.column("block").to_numpy()[row]
-    return _rows(_SPAN, [(b, start[o].astype("<i8").tobytes(), end[o].astype("<i8").tobytes()) for b, o in _cut(blocks)])
+    every, known = rows.filter(pa.array(asks)), rows.filter(pa.array(~asks))
+    text = lambda x: Text(x.column("doc_id").to_numpy(), x.column("words").combine_chunks().cast(pa.large_binary()).cast(pa.large_string()), width)
+    reference, out = text(known), []
+    turn = np.cumsum(pc.binary_length(every.column("words")).to_numpy()) // BLOCK_BYTES
+    for _, at in _cut(turn):
+        some = every.slice(at[0], len(at))
+        asking = text(some)
+        start, end, _ = factors(asking, reference)
+        row = asking.words.doc[start]
+        shift = some.column("first").to_numpy()[row] - asking.words.first[row]
+        start, end, blocks = start + shift, end + shift, some.column("block").to_numpy()[row]
+        out += [(b, start[o].astype("<i8").tobytes(), end[o].astype("<i8").tobytes()) for b, o in _cut(blocks)]
+    return _rows(_SPAN, out)
 
 
 def removed(block: Text, spans: pa.Table) -> np.ndarray:
