@@ -24,7 +24,7 @@ SEGMENT_BYTES = 4_000_000
 def segments(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """Range-partitioned, sorted documents as encoded segments (null text: empty, so the end id alone).
 
-    Equal doc_ids (repeated rows) stay next to each other, ordered by text; null doc_ids come first. A text of any
+    Equal doc_ids (repeated rows) stay next to each other, in the order of a hash of their texts; null doc_ids come first. A text of any
     length is in one segment; an empty table has none. Other columns are not looked at.
     """
 
@@ -53,7 +53,9 @@ def segments(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 at, first = at + 1, first + len(tokens)
 
     n = max(1, -(-text_bytes(docs) // PART_BYTES))
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # By a hash of the text too, so rows without doc_id, or with the same, need not fit in one part.
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    ordered = keyed.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     return ordered.mapInArrow(write, SEGMENT)
 
 
