@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import encoding
-from .common import compact, table
+from .common import compact, finished, mark, table
 
 SIZE, END_ID = 4096, 1
 #: Pieces of one length in a ranking group, about; longer lists of a length are salted into several.
@@ -184,7 +184,8 @@ def packed(docs: DataFrame) -> DataFrame:
     lengths take their places in the order of doc_id and piece. Other columns are not looked at; an empty table gives
     an empty one.
     """
-    return pack(compact(pieces(docs, encoding.vocabulary(encoding.WORDS))))
+    since = mark()
+    return finished(pack(compact(pieces(docs, encoding.vocabulary(encoding.WORDS)))), since)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
