@@ -50,6 +50,8 @@ def strip_prefix(c: Column, word_boundary: bool = False) -> Column:
 
 _TAG, _BLANKS, _LINES = re.compile("<[^>]+>"), re.compile(r"[ \t]+"), re.compile(r"\n{3,}")
 _SCRIPT_RE = re.compile(_SCRIPT)
+#: All of category Cc but line end, tab and carriage return.
+_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]")
 
 
 def clean(text: str | None) -> str:
@@ -59,8 +61,7 @@ def clean(text: str | None) -> str:
     text = _TAG.sub(" ", _SCRIPT_RE.sub("", html.unescape(text)))
     for wrong, right in MOJIBAKE:
         text = text.replace(wrong, right)
-    text = "".join(c for c in text if c in "\n\t\r" or unicodedata.category(c) != "Cc")
-    text = unicodedata.normalize("NFKC", text)
+    text = unicodedata.normalize("NFKC", _CONTROL.sub("", text))
     text = _LINES.sub("\n\n", _BLANKS.sub(" ", text))
     return "\n".join(line.strip() for line in text.split("\n")).strip()
 

@@ -112,3 +112,10 @@ def test_clean_record_query_takes_whole_texts(spark, tmp_path):
     whole = " ".join(f"w{k}" for k in range(60))
     spark.createDataFrame([(1, whole, "src1", "en")], "doc_id bigint, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     assert registry.clean_record(spark, str(tmp_path)).first().title == whole
+
+
+def test_control_characters_are_category_cc():
+    import unicodedata
+
+    every = "".join(map(chr, range(0x3000)))
+    assert text._CONTROL.sub("", every) == "".join(c for c in every if c in "\n\t\r" or unicodedata.category(c) != "Cc")
