@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import dac, encoding
-from .common import stored, table, text_bytes
+from .common import compact, stored, table, text_bytes
 
 #: Bytes of text in a part, about.
 PART_BYTES = 16_000_000
@@ -108,4 +108,4 @@ def tokens_at(store: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = stored(segments(table(spark, sf_dir, "documents"), encoding.vocabulary(encoding.BYTE_LEVEL), end_id=2))
-    return documents(store)
+    return compact(documents(store))
