@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark import StorageLevel
@@ -38,8 +39,14 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-#: Folders of tables that are stored and not removed yet, in the order of their making.
-_made: list[str] = []
+class _Made(threading.local):
+    """Folders of tables that a thread has stored and not removed yet, in the order of their making."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_made = _Made()
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -47,7 +54,7 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/scholarlens/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _made.append(path)
+    _made.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,20 +65,20 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 def mark() -> int:
     """How many tables are stored now; ``finished`` removes those made since."""
-    return len(_made)
+    return len(_made.paths)
 
 
 def discard(spark: SparkSession, since: int, until: int | None = None) -> None:
     """Removes the tables that were stored between two marks, once nothing reads them any more."""
-    for path in _made[since:until]:
+    for path in _made.paths[since:until]:
         _remove(spark, path)
-        _made.remove(path)
+        _made.paths.remove(path)
 
 
 def clear(spark: SparkSession) -> None:
     """Removes all that this application has stored, once its results have been written elsewhere."""
     _remove(spark, f"{shared_folder(spark)}/scholarlens/{spark.sparkContext.applicationId}")
-    _made.clear()
+    _made.paths.clear()
 
 
 def compact(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
@@ -88,7 +95,7 @@ def compact(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
 
 def finished(df: DataFrame, since: int, rows: int = 1_000_000) -> DataFrame:
     """``df`` stored in files of about ``rows`` rows, and every table that was stored for it removed."""
-    until = len(_made)
+    until = len(_made.paths)
     out = compact(df, rows)
     discard(df.sparkSession, since, until)
     return out
