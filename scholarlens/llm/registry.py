@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, minhash, neardup_vectors, oracles, packing, quality, secrets, substring, token_store, toxicity
+from . import ann, bpe, curve, fim, minhash, neardup_vectors, oracles, packing, periodic, quality, secrets, substring, token_store, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_minhash": minhash.op8_minhash,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_store": token_store.op10_token_store,
+    "op11_fim": fim.op11_fim,
+    "op12_curve_packing": curve.op12_curve_packing,
+    "op13_periodic": periodic.op13_periodic,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
