@@ -152,6 +152,8 @@ _LANDED = f"""
 """
 _PUBS = "SELECT conv_id, list(text ORDER BY turn) AS p FROM conversations GROUP BY conv_id"
 
+_STREAM_MERGE = "SELECT c_custkey::VARCHAR AS url, CASE WHEN c_custkey % 4 = 0 THEN concat('last ', c_name) WHEN c_custkey % 2 = 0 THEN concat('new ', c_name) ELSE c_name END AS title, CASE WHEN c_custkey % 4 = 0 THEN 2 WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS rank FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0"
+
 ORACLES: dict[str, str] = {
     "clean_text_full": f"SELECT page_id, md5({_clean('html')}) AS clean FROM pages",
     "clean_record": f"""
@@ -182,7 +184,12 @@ ORACLES: dict[str, str] = {
         s AS (SELECT doc_id, bool_or(ok) AS ok, count(*) AS tries FROM r GROUP BY doc_id), u AS (SELECT d.doc_id, ok, tries FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN s USING (doc_id))
         SELECT count(*) AS total_discovered, count(ok) AS total_processed, count(*) FILTER (ok) AS total_success, count(*) FILTER (NOT ok) AS total_failed, count(*) FILTER (ok IS NULL) AS "left", count(*) FILTER (ok IS NULL OR (NOT ok AND tries < 3)) AS retry FROM u
     """,
-    "stream_merge": "SELECT c_custkey::VARCHAR AS url, CASE WHEN c_custkey % 4 = 0 THEN concat('last ', c_name) WHEN c_custkey % 2 = 0 THEN concat('new ', c_name) ELSE c_name END AS title, CASE WHEN c_custkey % 4 = 0 THEN 2 WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS rank FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
+    "stream_merge": _STREAM_MERGE,
+    "stream_merge_sources": _STREAM_MERGE,
+    "bucket_merge": """
+        SELECT url, CASE WHEN again THEN concat('again ', CASE WHEN k % 4 = 0 THEN 'last ' WHEN k % 2 = 0 THEN 'new ' ELSE '' END, c_name) ELSE c_name END AS title, CASE WHEN NOT again OR k % 2 <> 0 THEN 0 WHEN k % 4 = 0 THEN 2 ELSE 1 END AS rank, again AS rewritten
+        FROM (SELECT c_custkey AS k, c_custkey::VARCHAR AS url, c_name, c_custkey % 10 IN (2, 7) AS again FROM customer) WHERE k % 3 <> 0 OR again AND k % 2 = 0
+    """,
     "dry_run": "SELECT title, count(*) * CASE WHEN title = 'BUILDING' THEN 2 ELSE 1 END AS n, count(DISTINCT c_name) AS urls FROM (SELECT c_mktsegment AS title, c_name FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0) GROUP BY title",
     "merge_updated": "SELECT c_custkey::VARCHAR AS url, c_name AS title, CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 2 = 0 THEN '2024-05-06' ELSE '2020-01-01' END AS updated_at FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
     "oai_records": f"""

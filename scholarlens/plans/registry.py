@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from scholarlens.functions import extract, quality, text
 from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
 from scholarlens.sources import bibtex, files, html, oai, profiles
+from scholarlens.sources.keyed import KeyedTable
 from scholarlens.sources.tables import shared_folder, table
 from scholarlens.streaming import ingest
 
@@ -24,6 +25,11 @@ def seeded(key: str, values: list[str]) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.col(key), F.lit(len(values))) + 1).cast("int"))
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own, for state that is a caller's to keep; it lives in the session's shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _six(c: Column | str) -> Column:
     return F.round(c, 6)
 
@@ -367,8 +373,7 @@ def vector_text(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Counts by event type of rows that came through the stream, the same as a batch over them."""
     events = table(spark, sf_dir, "events")
-    # A stream's state is the caller's; here it lives in the session's shared folder.
-    root = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
+    root = scratch(spark, "ingest")
     rows = ingest.ingest_parquet(spark, f"{sf_dir}/events*.parquet", events.schema, f"{root}/sink", f"{root}/state")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value").cast("decimal(20,6)")), 4).cast("double").alias("total"))
 
@@ -460,15 +465,54 @@ def harvest_progress(spark, sf_dir):
     return flows.progress_counts(log, urls).crossJoin(left(False)).crossJoin(left(True))  # one row each
 
 
-def stream_merge(spark, sf_dir):
-    """Customers that stream in several batches into a table: updates, inserts, and keys that repeat in a batch."""
+def _customer_records(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Customers of a table, and those that arrive: updates, inserts, and urls that repeat in a batch."""
     people = table(spark, sf_dir, "customer")
-    root = f"{shared_folder(spark)}/merge-{uuid.uuid4().hex}"
     record = lambda df, title, rank: df.select(F.col("c_custkey").cast("string").alias("url"), title.alias("title"), F.lit(rank).alias("rank"))
     old = record(people.where("c_custkey % 3 <> 0"), F.col("c_name"), 0)
     new = record(people.where("c_custkey % 2 = 0"), F.concat(F.lit("new "), F.col("c_name")), 1).unionByName(record(people.where("c_custkey % 4 = 0"), F.concat(F.lit("last "), F.col("c_name")), 2))
+    return old, new
+
+
+def _by_rank(before: DataFrame, batch: DataFrame) -> DataFrame:
+    return merge.upsert_research(before, batch, [F.desc("rank")])
+
+
+def stream_merge(spark, sf_dir):
+    """Customers that stream in several batches into a table."""
+    old, new = _customer_records(spark, sf_dir)
+    root = scratch(spark, "merge")
     new.repartition(4, "url").write.parquet(f"{root}/landed")
-    return ingest.merge_stream(spark, f"{root}/landed", new.schema, f"{root}/table", f"{root}/state", lambda before, batch: merge.upsert_research(before, batch, [F.desc("rank")]), old, files_per_batch=1)
+    held = KeyedTable(spark, f"{root}/table", new.schema, "url", buckets=8)
+    held.merge(old, lambda _, rows: rows)
+    return ingest.merge_stream(ingest.parquet_stream(spark, f"{root}/landed", new.schema, 1), held, f"{root}/state", _by_rank)
+
+
+def stream_merge_sources(spark, sf_dir):
+    """Two sources with checkpoints of their own, one of which is lost and starts again: the union of all."""
+    old, new = _customer_records(spark, sf_dir)
+    root = scratch(spark, "merge")
+    new.where("url % 4 = 0").repartition(2, "url").write.parquet(f"{root}/one")
+    new.where("url % 4 <> 0").repartition(2, "url").write.parquet(f"{root}/two")
+    held = KeyedTable(spark, f"{root}/table", new.schema, "url", buckets=8)
+    held.merge(old, lambda _, rows: rows)
+    for name, state in (("one", "a"), ("two", "b"), ("two", "lost"), ("one", "a")):
+        ingest.merge_stream(ingest.parquet_stream(spark, f"{root}/{name}", new.schema, 1), held, f"{root}/state-{state}", _by_rank)
+    held.expire(keep=1)
+    return held.read()
+
+
+def bucket_merge(spark, sf_dir):
+    """A merge of customers whose key ends in 2 or 7, into ten buckets by last digit, and which rows were written again."""
+    old, new = _customer_records(spark, sf_dir)
+    digit = F.pmod(F.col("url").cast("bigint"), F.lit(10))
+    held = KeyedTable(spark, f"{scratch(spark, 'bucket')}/table", new.schema, "url", spread=digit)
+    held.merge(old, lambda _, rows: rows)
+    before = held.version()
+    held.merge(old.unionByName(new).where(digit.isin(2, 7)).withColumn("title", F.concat(F.lit("again "), F.col("title"))), _by_rank, stream="s", number=0)
+    held.merge(old, _by_rank, stream="s", number=0)  # arrived before
+    rows, folders = held.read(), "|".join(sorted(set(before.buckets.values())))
+    return rows.select("url", "title", "rank", (~F.col("_metadata.file_path").rlike(folders)).alias("rewritten"))
 
 
 def dry_run(spark, sf_dir):
@@ -511,7 +555,7 @@ def author_list(spark, sf_dir):
 
 def checkpoint_ids(spark, sf_dir):
     """Ids of a checkpoint that was written, and those rescued from a broken one, against each other."""
-    root = f"{shared_folder(spark)}/checkpoint-{uuid.uuid4().hex}"
+    root = scratch(spark, "checkpoint")
     ids = F.array_sort(F.collect_list(F.col("n_nationkey").cast("string")))
     state = table(spark, sf_dir, "nation").agg(ids.alias("processed_sinta_ids"), F.lit(False).alias("is_paused"))
     files.write_checkpoint(spark, f"{root}/whole", state)
@@ -549,6 +593,6 @@ QUERIES = {
         supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
         expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
         ids_union, remaining_ids, full_text, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall,
-        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, sql_search, dry_run, merge_updated, oai_records, oai_set, author_list, checkpoint_ids, network_errors,
+        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, sql_search, dry_run, merge_updated, oai_records, oai_set, author_list, checkpoint_ids, network_errors,
     )
 }

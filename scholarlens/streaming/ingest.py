@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scholarlens.sources.keyed import KeyedTable
+
 
 def caught_up(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
     """Runs ``each`` on every micro-batch of what has arrived since ``checkpoint``, then returns.
@@ -20,32 +23,32 @@ def parquet_stream(spark: SparkSession, path: str, schema, files_per_batch: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def version_path(root: str, number: int) -> str:
-    return f"{root.rstrip('/')}/v-{number:012d}"
+def merge_stream(source: DataFrame, table: KeyedTable, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Every micro-batch of the stream ``source`` merged into ``table`` by ``merge(old, batch)``; the table's rows then.
 
+    A version of the table holds the number of the last batch that it has of each stream, so a batch that runs again
+    after a failure is left out, and streams with checkpoints of their own add to the same table. A stream is known by
+    its query's id, which lives in its checkpoint: with a lost checkpoint the files are read again under another id and
+    merged again, over the rows that are there.
+    """
 
-def merge_stream(spark: SparkSession, source: str, schema, root: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame], first: DataFrame, files_per_batch: int = 100) -> DataFrame:
-    """Every micro-batch of ``source`` merged by ``merge(old, batch)`` into a new version under ``root``; the last one.
+    def write(batch: DataFrame, number: int, stream: str) -> None:
+        held = batch.persist()
+        try:
+            table.merge(held, merge, stream, number)
+        finally:
+            held.unpersist()
 
-    Batch n reads version n and writes version n + 1, so one that runs again after a failure gives the same version:
-    each batch counts exactly once. ``first`` is version 0, written where there is none. A version is read only when
-    the next one is made or asked for; older ones may be removed.
-    """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(version_path(root, 0))
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        first.write.mode("overwrite").parquet(version_path(root, 0))
-    last = [0]
+    known_by_stream(source, checkpoint, write)
+    return table.read()
 
-    def write(batch: DataFrame, number: int) -> None:
-        old = batch.sparkSession.read.schema(first.schema).parquet(version_path(root, number))
-        merge(old, batch).select(first.columns).write.mode("overwrite").parquet(version_path(root, number + 1))
-        last[0] = number + 1
-
-    caught_up(parquet_stream(spark, source, schema, files_per_batch), checkpoint, write)
-    if not last[0]:  # nothing new: the last version there is
-        files = folder.getParent().getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder.getParent())
-        last[0] = max(int(f.getPath().getName()[2:]) for f in files)
-    return spark.read.schema(first.schema).parquet(version_path(root, last[0]))
+
+def known_by_stream(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int, str], None]) -> None:
+    """``caught_up``, where ``each`` is also given the query's id, the same for all runs with this checkpoint."""
+    known: Future[str] = Future()
+    query = stream.writeStream.foreachBatch(lambda batch, number: each(batch, number, known.result())).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    known.set_result(query.id)
+    query.awaitTermination()
 
 
 def ingest_parquet(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:

@@ -150,17 +150,3 @@ def test_progress_and_retries(spark):
     assert tuple(flows.progress_counts(log, urls).first()) == (4, 3, 2, 1)
     keys = lambda df: sorted(r.key for r in df.collect())
     assert keys(flows.to_do(urls, log)) == ["d"] and keys(flows.to_do(urls, log, True)) == ["b", "d"] and keys(flows.to_do(urls, log, True, 2)) == ["d"]
-
-
-def test_stream_merges_each_batch_once(spark, tmp_path):
-    from scholarlens.streaming import ingest
-
-    land = lambda rows, name: spark.createDataFrame(rows, "url string, title string").coalesce(1).write.parquet(str(tmp_path / "in" / name))
-    first = spark.createDataFrame([("a", "old"), ("b", "old")], "url string, title string")
-    run = lambda: sorted(map(tuple, ingest.merge_stream(spark, str(tmp_path / "in" / "*"), first.schema, str(tmp_path / "t"), str(tmp_path / "s"), lambda old, new: merge.upsert_research(old, new, [F.desc("title")]), first, 1).collect()))
-    land([("a", "new"), ("c", "x"), ("c", "y"), (None, "z")], "1")
-    assert run() == [("a", "new"), ("b", "old"), ("c", "y")] == run()
-    land([("b", "new")], "2")
-    land([("d", "new")], "3")
-    assert run() == [("a", "new"), ("b", "new"), ("c", "y"), ("d", "new")]
-    assert len(list((tmp_path / "t").iterdir())) == 4
