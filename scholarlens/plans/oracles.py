@@ -190,6 +190,12 @@ ORACLES: dict[str, str] = {
         SELECT url, CASE WHEN again THEN concat('again ', CASE WHEN k % 4 = 0 THEN 'last ' WHEN k % 2 = 0 THEN 'new ' ELSE '' END, c_name) ELSE c_name END AS title, CASE WHEN NOT again OR k % 2 <> 0 THEN 0 WHEN k % 4 = 0 THEN 2 ELSE 1 END AS rank, again AS rewritten
         FROM (SELECT c_custkey AS k, c_custkey::VARCHAR AS url, c_name, c_custkey % 10 IN (2, 7) AS again FROM customer) WHERE k % 3 <> 0 OR again AND k % 2 = 0
     """,
+    "vec_index_recall": "SELECT count(*) AS queries, count(*) * least(10, (SELECT count(*) FROM embeddings)) AS neighbours, true AS enough FROM embeddings WHERE vec_id % 20 = 0",
+    "vec_index_updates": """
+        SELECT query_id, rank, vec_id, round(s, 6) AS similarity
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM (SELECT q.vec_id AS query_id, r.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], r.embedding::DOUBLE[]) AS s FROM embeddings q, embeddings r WHERE q.vec_id % 20 = 0 AND r.vec_id % 11 <> 0))
+        WHERE rank <= 10
+    """,
     "dry_run": "SELECT title, count(*) * CASE WHEN title = 'BUILDING' THEN 2 ELSE 1 END AS n, count(DISTINCT c_name) AS urls FROM (SELECT c_mktsegment AS title, c_name FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0) GROUP BY title",
     "merge_updated": "SELECT c_custkey::VARCHAR AS url, c_name AS title, CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 2 = 0 THEN '2024-05-06' ELSE '2020-01-01' END AS updated_at FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
     "oai_records": f"""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scholarlens.functions import extract, quality, text
 from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
+from scholarlens.operators.vector_index import VectorIndex
 from scholarlens.sources import bibtex, files, html, oai, profiles
 from scholarlens.sources.keyed import KeyedTable
 from scholarlens.sources.tables import shared_folder, table
@@ -581,6 +582,33 @@ def sql_search(spark, sf_dir):
     return spark.sql(f"SELECT id, title, abstract, author, array_join(supervisors, '|') AS supervisors, degree, year, dept, url, round(similarity, 6) AS similarity FROM match_research({q}, 0.2D, 7)")
 
 
+def _asked(rows: DataFrame, rest: int = 0) -> DataFrame:
+    """Queries of the searches for many: every twentieth vector."""
+    return rows.where(F.col("vec_id") % 20 == rest).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
+def vec_index_recall(spark, sf_dir):
+    """Whether a stored index finds nine tenths of the exact ten of many queries, with the cells that other queries needed."""
+    rows = table(spark, sf_dir, "embeddings")
+    index = VectorIndex(spark, scratch(spark, "index"), rows.schema, "vec_id").fit(rows, 16)
+    index.upsert(rows)
+    found = index.search_many(_asked(rows), 10, index.probes_for(_asked(rows, 10), 10))
+    exact = index.search_many(_asked(rows), 10, 16).select("query_id", "key")
+    hits = exact.join(found.select("query_id", "key", F.lit(1).alias("hit")), ["query_id", "key"], "left")
+    return hits.agg(F.count_distinct("query_id").alias("queries"), F.count("*").alias("neighbours"), (F.count("hit") >= 0.9 * F.count("*")).alias("enough"))
+
+
+def vec_index_updates(spark, sf_dir):
+    """The ten nearest of many queries in an index whose rows came in batches, were replaced, came twice and went."""
+    rows = table(spark, sf_dir, "embeddings")
+    index = VectorIndex(spark, scratch(spark, "index"), rows.schema, "vec_id").fit(rows, 16)
+    index.upsert(rows.where("vec_id % 3 <> 0").withColumn("embedding", F.when(F.col("vec_id") % 7 == 0, F.transform("embedding", lambda x: -x)).otherwise(F.col("embedding"))))
+    for _ in range(2):
+        index.upsert(rows.where("vec_id % 3 = 0 OR vec_id % 7 = 0"), "arrivals", 0)
+    index.remove(rows.where("vec_id % 11 = 0"))
+    return index.search_many(_asked(rows), 10, 16).select("query_id", "rank", F.col("key").alias("vec_id"), _six("similarity").alias("similarity"))
+
+
 def vec_topk_lsh(spark, sf_dir):
     return vector.nearest_candidates(table(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir), ["vec_id", "label"], key="vec_id", threshold=-1.0, k=10)
 
@@ -592,7 +620,7 @@ QUERIES = {
         pending_rows, pending_profiles, without_supervisors, existing_keys, new_keys, harvest_select, whitespace_norm, strip_tags, fix_mojibake, strip_boilerplate, strip_prefix, supervisors_abstract,
         supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
         expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
-        ids_union, remaining_ids, full_text, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall,
+        ids_union, remaining_ids, full_text, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall, vec_index_recall, vec_index_updates,
         enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, sql_search, dry_run, merge_updated, oai_records, oai_set, author_list, checkpoint_ids, network_errors,
     )
 }

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 BUCKET = "_bucket"
 
@@ -102,12 +102,19 @@ class KeyedTable:
                 return Version(known, held["buckets"], held["streams"])
         return Version()
 
-    def read(self, version: Version | None = None, buckets: Iterable[str] | None = None) -> DataFrame:
-        """Rows of a version (the last one), of all its buckets or of some: no other file is looked at."""
+    def read(self, version: Version | None = None, buckets: Iterable[str] | None = None, bucket: bool = False) -> DataFrame:
+        """Rows of a version (the last one), of all its buckets or of some: no other file is looked at.
+
+        With ``bucket`` there is a column _bucket too, a partition column: a filter on it leaves files unread.
+        """
         version = version or self.version()
         chosen = version.buckets if buckets is None else [b for b in map(str, buckets) if b in version.buckets]
         paths = [f"{self.root}/data/{version.buckets[b]}/{BUCKET}={b}" for b in chosen]
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+        schema = StructType([*self.schema.fields, StructField(BUCKET, IntegerType())]) if bucket else self.schema
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
+        return (reader.option("basePath", f"{self.root}/data").parquet(*paths).drop("merge") if bucket else reader.parquet(*paths))
 
     def named_buckets(self, rows: DataFrame) -> list[str]:
         """Buckets of the rows' keys, at most as many as the table has; ``rows`` need only the key unless it is null."""
@@ -134,7 +141,7 @@ class KeyedTable:
             base = self.version()
             if stream is not None and base.streams.get(stream, -1) >= number:
                 return False
-            folder = f"m-{uuid.uuid4().hex}"
+            folder = f"merge=m-{uuid.uuid4().hex}"
             self._write(how(self.read(base, named), batch).select(self.schema.names), folder)
             written = [n.split("=")[1] for n in self._files.names(f"data/{folder}") if n.startswith(f"{BUCKET}=")]
             while True:

@@ -152,10 +152,10 @@ def test_expire(make, frame, tmp_path):
     held = make(buckets=2)
     for k in range(4):
         held.merge(frame(*[(f"u{i}", str(k)) for i in range(10)] if k in (0, 3) else [("u0", str(k))]), upsert)
-    (tmp_path / "t" / "data" / "m-failed").mkdir()
+    (tmp_path / "t" / "data" / "merge=m-failed").mkdir()
     (tmp_path / "t" / "commits" / f"{held.version().number + 1:012d}").touch()  # a writer that failed while it committed
     now = rows(held.read())
-    assert held.expire(keep=2) > 0 and (tmp_path / "t" / "data" / "m-failed").exists()
+    assert held.expire(keep=2) > 0 and (tmp_path / "t" / "data" / "merge=m-failed").exists()
     assert rows(held.read()) == now and rows(held.read(held.version(held.version().number - 1)))
     held.expire(keep=1, older_than=-5)
     assert rows(held.read()) == now and len(os.listdir(tmp_path / "t" / "data")) == 1
