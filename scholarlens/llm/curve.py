@@ -24,8 +24,8 @@ from .common import discard, mark, stored, table
 SIZE, END_ID = 4096, 2
 #: Places of the hashed vectors (a power of two), dimensions of the projection, and bits of the curve in each.
 PLACES, DIMS, BITS = 4096, 8, 7
-#: Bytes of token ids in a part, about.
-PART_BYTES = 16_000_000
+#: Bytes of token ids in a part, about, and ids in a row.
+PART_BYTES, CHUNK = 8_000_000, 1 << 16
 
 AXES = [f"x{k}" for k in range(DIMS)]
 
@@ -76,25 +76,40 @@ def hilbert(axes: list[np.ndarray], bits: int = BITS) -> np.ndarray:
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, row, ids, x0..: each document's ids with the end id (as four-byte numbers) and its projection. ``row`` is a number of its own."""
+    """doc_id, row, start, doc_tokens, ids, x0..: each document's ids with the end id, and its projection.
+
+    Long documents have a row for every ``CHUNK`` ids, so no row grows with a text. ``row`` is a number of the
+    document's own. Ids take two bytes where the vocabulary allows it, else four.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, matrix, end = encoding.encoder(path, words_only=True), projection(), np.uint32(end_id)
+        encoder, matrix = encoding.encoder(path, words_only=True), projection()
+        kind = _kind(encoder.encode.library.get_vocab_size(), end_id)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for a, b in encoding.groups(batch.column(1)):
-                texts = batch.column(1)[a:b]
-                w, entries, _ = encoder.entries(texts)
+                w, entries, _ = encoder.entries(batch.column(1)[a:b])
                 data, at = encoder.arena.take(entries)
                 ends = at[w.first[1:]]
-                ids = np.insert(data, ends, end).astype("<u4")
-                offsets = np.concatenate([[0], ends + np.arange(1, len(texts) + 1)]) * 4
-                blobs = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
-                axes = projected(w, len(texts), matrix)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(np.arange(row, row + len(texts))), blobs, *(pa.array(axes[:, k]) for k in range(DIMS))], names=["doc_id", "row", "ids", *AXES])
-                row += len(texts)
+                ids = np.insert(data, ends, end_id).astype(kind)
+                size = np.diff(ends, prepend=0) + 1
+                first = np.cumsum(size) - size
+                chunks = -(-size // CHUNK)
+                doc = np.repeat(np.arange(b - a), chunks)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(chunks) - chunks, chunks)) * CHUNK
+                offsets = np.append(first[doc] + start, len(ids)) * ids.itemsize
+                blobs = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
+                axes = projected(w, b - a, matrix)[doc]
+                columns = [batch.column(0)[a:b].take(pa.array(doc)), *map(pa.array, (row + doc, start, size[doc])), blobs, *(pa.array(axes[:, k]) for k in range(DIMS))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "start", "doc_tokens", "ids", *AXES])
+                row += b - a
+
+    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id bigint, row bigint, start bigint, doc_tokens bigint, ids binary, {', '.join(f'{x} double' for x in AXES)}")
+
 
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id bigint, row bigint, ids binary, {', '.join(f'{x} double' for x in AXES)}")
+def _kind(size: int, end_id: int) -> str:
+    """How ids are held: two bytes where they are enough."""
+    return "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
 
 
 def curve_key(centre: list[float], width: list[float]) -> Column:
@@ -129,8 +144,8 @@ class Layer:
         self.open, self.used = [], 0
         self.next += 1
 
-    def add(self, doc: int | None, ids: np.ndarray, start: int = 0, total: int | None = None) -> None:
-        at, total = 0, len(ids) if total is None else total
+    def add(self, doc: int | None, ids: np.ndarray, start: int, total: int) -> None:
+        at = 0
         while at < len(ids):
             part = ids[at : at + self.size - self.used]
             self.open.append((doc, start + at, part, total))
@@ -164,19 +179,19 @@ class Layer:
 PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def laid(ordered: DataFrame, size: int = SIZE) -> DataFrame:
-    """The pieces of ``ordered`` (doc_id, ids; sorted within its partitions), each partition packed by itself."""
+def laid(ordered: DataFrame, kind: str, size: int = SIZE) -> DataFrame:
+    """The pieces of ``ordered`` (doc_id, start, doc_tokens, ids; sorted within its partitions), each partition packed by itself."""
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layer = Layer(TaskContext.get().partitionId(), size)
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                layer.add(doc, np.frombuffer(ids.as_buffer(), "<u4"))
+            for doc, start, total, ids in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), strict=True):
+                layer.add(doc, np.frombuffer(ids.as_buffer(), kind).astype("<u4"), start, total)
             yield layer.taken()
         layer.end()
         yield layer.taken()
 
-    return ordered.select("doc_id", "ids").mapInArrow(lay, ", ".join(f"{c} bigint" for c in PIECE))
+    return ordered.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(lay, ", ".join(f"{c} bigint" for c in PIECE))
 
 
 def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
@@ -192,10 +207,10 @@ def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -
     sums = held.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0)), *(f(x) for x in AXES for f in (F.avg, F.stddev_pop))).first()
     centre, width = ([float(x or 0) for x in sums[k::2]] for k in (1, 2))
     n = max(1, -(-int(sums[0]) // PART_BYTES))
-    keyed = held.select("doc_id", "row", "ids", curve_key(centre, width).alias("key"))
-    ordered = keyed.repartitionByRange(n, "key", "doc_id", "row").sortWithinPartitions("key", "doc_id", "row")
-    until = mark()
-    out = stored(laid(ordered, size))
+    keyed = held.select("doc_id", "row", "start", "doc_tokens", "ids", curve_key(centre, width).alias("key"))
+    order = ["key", "doc_id", "row", "start"]
+    until, kind = mark(), _kind(encoding.Library(path).library.get_vocab_size(), end_id)
+    out = stored(laid(keyed.repartitionByRange(n, *order).sortWithinPartitions(*order), kind, size))
     discard(spark, since, until)
     return out
 

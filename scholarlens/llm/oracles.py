@@ -66,4 +66,32 @@ _SECRET_SCAN = f"""
     FROM d LEFT JOIN t USING (doc_id) GROUP BY d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_secret_scan": _SECRET_SCAN, "op3_substring": _SUBSTRING, "op6_vector_dedup": _VECTORS, "op8_minhash": _MINHASH}
+_FIM = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256(concat('1:', doc_id)) AS h FROM documents),
+    r AS (SELECT *, ('0x' || h[1:8])::UBIGINT % (n + 1) AS x, ('0x' || h[9:16])::UBIGINT % (n + 1) AS y, ('0x' || h[17:24])::UBIGINT % 100 AS c, ('0x' || h[25:32])::UBIGINT % 100 AS s FROM d),
+    f AS (SELECT doc_id, t, n, least(x, y)::BIGINT AS p, greatest(x, y)::BIGINT AS q, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain' WHEN s < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+    o AS (SELECT *, substring(t, 1, p) AS prefix, substring(t, p + 1, q - p) AS middle, substring(t, q + 1) AS suffix FROM f)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN q - p END AS middle_chars, sha256(t) AS restored_sha256,
+        sha256(CASE form WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle) WHEN 'spm' THEN concat('<S>', suffix, '<P>', prefix, '<M>', middle) ELSE t END) AS output_sha256
+    FROM o
+"""
+
+#: Runs have five words or more in a row, each equal to the one a period later: words that begin equal stretches of five meet.
+_PERIODIC = """
+    WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+    h AS (SELECT doc_id, xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents, t),
+    g AS (SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS drawn, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS times FROM h),
+    d AS (SELECT doc_id, n, CASE WHEN drawn THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // times) + 1] END) ELSE w END AS w FROM g),
+    i AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word FROM d),
+    k AS (SELECT d.doc_id, n, s.i, hash(w[s.i + 1:s.i + 5]) AS five FROM d, unnest(range(n - 4)) s(i)),
+    e AS (SELECT DISTINCT x.doc_id, y.i - x.i AS q, x.i + o.d AS i FROM k x JOIN k y ON x.doc_id = y.doc_id AND x.five = y.five AND y.i > x.i AND 4 * (y.i - x.i) <= x.n, range(5) o(d)),
+    s AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+    r AS (SELECT doc_id, min(q) AS q, start, n FROM (SELECT doc_id, q, min(i) AS start, count(*) + q AS n FROM s GROUP BY doc_id, q, island) WHERE n >= greatest(6, 4 * q) GROUP BY doc_id, start, n),
+    c AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + n)) AS i FROM r),
+    j AS (SELECT i.doc_id, string_agg(word, ' ' ORDER BY i.i) FILTER (c.i IS NULL) AS kept FROM i LEFT JOIN c ON i.doc_id = c.doc_id AND i.i = c.i GROUP BY i.doc_id),
+    b AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', n, ',', q, chr(10)), '' ORDER BY start, q) AS lines, min(struct_pack(a := -n, b := start, c := q)) AS best FROM r GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.b::BIGINT AS start, -best.a::BIGINT AS length, best.c::BIGINT AS period, (1000 * -best.a // best.c)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM d LEFT JOIN b USING (doc_id) LEFT JOIN j USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_secret_scan": _SECRET_SCAN, "op3_substring": _SUBSTRING, "op6_vector_dedup": _VECTORS, "op8_minhash": _MINHASH, "op11_fim": _FIM, "op13_periodic": _PERIODIC}

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from scholarlens.llm import curve, encoding, registry
+from scholarlens.llm import curve, registry
 
 from .helpers import documents, messy
 from .test_tokens import WORDS, assert_gapless, crc, ids, library  # noqa: F401
@@ -47,7 +47,9 @@ def test_packing(spark, library):  # noqa: F811
 
 
 def test_parts(spark, library, monkeypatch):  # noqa: F811
+    """Many parts, long documents in rows of a few ids."""
     monkeypatch.setattr(curve, "PART_BYTES", 2000)
+    monkeypatch.setattr(curve, "CHUNK", 37)
     texts = messy()
     got = curve.packed(documents(spark, texts), WORDS, size=64).collect()
     assert len({r.sequence_id >> 32 for r in got}) > 5
@@ -91,7 +93,11 @@ def test_query(spark, sf_dir, library):  # noqa: F811
 
 def test_encoder_matches_the_shared_one(spark, library):  # noqa: F811
     texts = messy()
-    got = {r.row & (1 << 40) - 1: r for r in curve.tokenized(documents(spark, texts).coalesce(1), WORDS).collect()}
-    for k, t in enumerate(texts):
-        assert np.frombuffer(got[k].ids, "<u4").tolist() == [*ids(library, WORDS, t), 2]
-    assert encoding.vocabulary(encoding.WORDS) == WORDS
+    got = {}
+    for r in sorted(curve.tokenized(documents(spark, texts).coalesce(1), WORDS).collect(), key=lambda r: (r.row, r.start)):
+        held = got.setdefault(r.row & (1 << 40) - 1, [])
+        assert r.start == len(held)
+        held += np.frombuffer(r.ids, "<u2").tolist()
+        assert len(held) <= r.doc_tokens
+    assert [got[k] for k in range(len(texts))] == [[*ids(library, WORDS, t), 2] for t in texts]
+    assert curve._kind(1 << 16, 2) == "<u2" and curve._kind(1 << 16, 1 << 16) == "<u4" == curve._kind((1 << 16) + 1, 2)
