@@ -2,6 +2,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from scholarlens.llm import registry
@@ -16,5 +17,10 @@ def test_oracle(spark, sf_dir, name):
     want, got = duck.execute(registry.ORACLES[name]).df(), registry.QUERIES[name](spark, sf_dir).toPandas()
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
-    shown = lambda frame: sorted(map(tuple, frame[columns].astype(str).values.tolist()))
-    assert shown(got) == shown(want)
+    assert shown(got, columns) == shown(want, columns)
+
+
+def shown(frame, columns):
+    """Rows as text; pandas makes floats of integers beside nulls."""
+    whole = lambda v: "-" if pd.isna(v) else str(int(v)) if isinstance(v, float) and v.is_integer() else str(v)
+    return sorted(tuple(map(whole, r)) for r in frame[columns].astype(object).values.tolist())
