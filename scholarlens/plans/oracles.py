@@ -154,6 +154,39 @@ _PUBS = "SELECT conv_id, list(text ORDER BY turn) AS p FROM conversations GROUP
 
 _STREAM_MERGE = "SELECT c_custkey::VARCHAR AS url, CASE WHEN c_custkey % 4 = 0 THEN concat('last ', c_name) WHEN c_custkey % 2 = 0 THEN concat('new ', c_name) ELSE c_name END AS title, CASE WHEN c_custkey % 4 = 0 THEN 2 WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS rank FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0"
 
+def _stems(words: str) -> str:
+    """CTEs that end in stems (word, stem) of a CTE's distinct words: rule by rule, with the measure and the prefix's kind as numbers."""
+    long = lambda c, n: f"{c}[:length({c}) - {n}]"
+    return f"""
+        s0 AS (SELECT DISTINCT word, word AS w, length(regexp_replace(word, '[^aeiou]', '', 'g')) AS m FROM {words}),
+        s1 AS (SELECT word, CASE WHEN hit THEN {long("w", 3)} ELSE w END AS w, m - hit::INT AS m FROM (SELECT *, m > 2 AND regexp_matches(w, '(kah|lah|pun)$') AS hit FROM s0)),
+        s2 AS (SELECT word, CASE WHEN NOT hit THEN w WHEN w LIKE '%nya' THEN {long("w", 3)} ELSE {long("w", 2)} END AS w, m - hit::INT AS m FROM (SELECT *, m > 2 AND regexp_matches(w, '(ku|mu|nya)$') AS hit FROM s1)),
+        s3 AS (SELECT word, w, m, CASE WHEN m <= 2 THEN '' WHEN regexp_matches(w, '^[mp]eny[aeiou]') THEN 'ny' WHEN regexp_matches(w, '^[mp]em[aeiou]') THEN 'm' WHEN regexp_matches(w, '^[mp]eng') THEN '4' WHEN regexp_matches(w, '^([mp]e[mn]|ter)') THEN '3' WHEN regexp_matches(w, '^(me|di|ke)') THEN '2' ELSE '' END AS kind FROM s2),
+        s4 AS (SELECT word, m - (kind <> '')::INT AS m, CASE kind WHEN 'ny' THEN concat('s', w[5:]) WHEN 'm' THEN concat('p', w[4:]) WHEN '' THEN w ELSE w[kind::INT + 1:] END AS w, CASE WHEN kind = '' THEN 0 WHEN w[1] IN ('p', 'k') THEN 3 ELSE 1 END AS p FROM s3),
+        s5 AS (SELECT word, w, m, p, CASE WHEN m <= 2 OR p = 0 THEN 0 WHEN p = 1 AND w LIKE '%kan' THEN 3 WHEN p = 1 AND regexp_matches(w, '(^|[^s])i$') THEN 1 WHEN p = 3 AND w LIKE '%an' THEN 2 ELSE 0 END AS cut FROM s4),
+        s6 AS (SELECT word, {long("w", "cut")} AS w, m - (cut > 0)::INT AS m, p, (p = 0 OR cut > 0) AND m - (cut > 0)::INT > 2 AS second FROM s5),
+        s7 AS (SELECT *, CASE WHEN NOT second THEN 0 WHEN regexp_matches(w, '^(bel|pel)ajar') OR w LIKE 'per%' OR w LIKE 'ber%' THEN 3 WHEN w LIKE 'pe%' OR regexp_matches(w, '^be[^aeiou]er') THEN 2 ELSE 0 END AS off FROM s6),
+        s8 AS (SELECT word, w[off + 1:] AS w, m - (off > 0)::INT AS m, p, CASE WHEN off = 0 OR w LIKE 'pelajar%' THEN 0 WHEN w LIKE 'pe%' THEN 2 ELSE 4 END AS q FROM s7),
+        s9 AS (SELECT word, w, CASE WHEN p > 0 OR m <= 2 THEN 0 WHEN q <> 2 AND w LIKE '%kan' THEN 3 WHEN w LIKE '%an' THEN 2 WHEN q <> 4 AND regexp_matches(w, '(^|[^s])i$') THEN 1 ELSE 0 END AS cut FROM s8),
+        stems AS (SELECT word, {long("w", "cut")} AS stem FROM s9)
+    """
+
+
+_INFLECTED = f"inflected AS (SELECT doc_id, concat({_seeded('doc_id', seeds.INFLECTED)}, text) AS text FROM documents)"
+_TEXT_WORDS = r"words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM inflected)"
+
+
+def _ranked(terms: list[str], where: str) -> str:
+    """Documents by the rank of some stems."""
+    return f"""
+        WITH {_INFLECTED}, {_TEXT_WORDS}, {_stems("words")},
+        d AS (SELECT i.doc_id, count(word) AS size FROM inflected i LEFT JOIN words USING (doc_id) WHERE {where} GROUP BY i.doc_id),
+        t AS (SELECT doc_id, stem, size, count(*) AS tf FROM words JOIN stems USING (word) JOIN d USING (doc_id) WHERE stem IN ({", ".join(map(_s, terms))}) GROUP BY ALL),
+        f AS (SELECT stem, count(*) AS df FROM t GROUP BY stem), n AS (SELECT count(*) AS n, avg(size) AS mean FROM d)
+        SELECT doc_id, count(*) AS matched, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 6) AS score FROM t JOIN f USING (stem), n GROUP BY doc_id
+    """
+
+
 ORACLES: dict[str, str] = {
     "clean_text_full": f"SELECT page_id, md5({_clean('html')}) AS clean FROM pages",
     "clean_record": f"""
@@ -196,6 +229,9 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM (SELECT q.vec_id AS query_id, r.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], r.embedding::DOUBLE[]) AS s FROM embeddings q, embeddings r WHERE q.vec_id % 20 = 0 AND r.vec_id % 11 <> 0))
         WHERE rank <= 10
     """,
+    "word_stems": f"WITH {_INFLECTED}, {_TEXT_WORDS}, {_stems('words')} SELECT word, stem, count(*) AS n FROM words JOIN stems USING (word) GROUP BY ALL",
+    "full_text_ranked": _ranked(["ajar", "dan", "baca", "the", "esthe"], "doc_id % 7 <> 0 OR doc_id % 14 = 0"),
+    "full_text_top": f"SELECT doc_id, matched, round(score, 6) AS score FROM ({_ranked(['ajar', 'mesin'], 'true')}) WHERE matched = 2 ORDER BY score DESC, doc_id LIMIT 10",
     "dry_run": "SELECT title, count(*) * CASE WHEN title = 'BUILDING' THEN 2 ELSE 1 END AS n, count(DISTINCT c_name) AS urls FROM (SELECT c_mktsegment AS title, c_name FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0) GROUP BY title",
     "merge_updated": "SELECT c_custkey::VARCHAR AS url, c_name AS title, CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 2 = 0 THEN '2024-05-06' ELSE '2020-01-01' END AS updated_at FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
     "oai_records": f"""

@@ -11,8 +11,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarlens.functions import extract, quality, text
+from scholarlens.functions import extract, quality, stem, text
 from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
+from scholarlens.operators.fulltext import FullTextIndex
 from scholarlens.operators.vector_index import VectorIndex
 from scholarlens.sources import bibtex, files, html, oai, profiles
 from scholarlens.sources.keyed import KeyedTable
@@ -357,6 +358,37 @@ def full_text(spark, sf_dir):
     return select.full_text(table(spark, sf_dir, "documents"), ["the", "and", "with"], ("text",)).select("doc_id")
 
 
+def _inflected(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(seeded("doc_id", seeds.INFLECTED), F.col("text")).alias("text"))
+
+
+def word_stems(spark, sf_dir):
+    """The stem of every word of all documents, and how often it occurs."""
+    words = _inflected(spark, sf_dir).select(F.explode(stem.words(F.col("text"))).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n")).select("word", stem.stem(F.col("word")).alias("stem"), "n")
+
+
+def full_text_ranked(spark, sf_dir):
+    """All documents with a word of a query by their rank, from postings that were stored, replaced, removed and compacted."""
+    docs = _inflected(spark, sf_dir)
+    index = FullTextIndex(spark, scratch(spark, "text"), docs.schema["doc_id"], buckets=8)
+    index.add(docs.where("doc_id % 3 <> 0").withColumn("text", F.when(F.col("doc_id") % 5 == 0, F.lit("mempelajari the the")).otherwise(F.col("text"))))
+    for _ in range(2):
+        index.add(docs.where("doc_id % 3 = 0 OR doc_id % 5 = 0"), "arrivals", 0)
+    index.compact()
+    index.remove(docs.where("doc_id % 7 = 0"))
+    index.add(docs.where("doc_id % 14 = 0"))
+    return index.search("Belajar dan bacakan, the ESTHE", k=None, every=False).withColumn("score", _six("score"))
+
+
+def full_text_top(spark, sf_dir):
+    """The ten first of the documents that have every word of a query, whatever their inflection."""
+    docs = _inflected(spark, sf_dir)
+    index = FullTextIndex(spark, scratch(spark, "text"), docs.schema["doc_id"], buckets=8)
+    index.add(docs)
+    return index.search("pengajaran mesinkah").withColumn("score", _six("score"))
+
+
 def enrich_record(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     i = F.col("doc_id")
@@ -620,7 +652,7 @@ QUERIES = {
         pending_rows, pending_profiles, without_supervisors, existing_keys, new_keys, harvest_select, whitespace_norm, strip_tags, fix_mojibake, strip_boilerplate, strip_prefix, supervisors_abstract,
         supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
         expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
-        ids_union, remaining_ids, full_text, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall, vec_index_recall, vec_index_updates,
+        ids_union, remaining_ids, full_text, word_stems, full_text_ranked, full_text_top, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall, vec_index_recall, vec_index_updates,
         enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, sql_search, dry_run, merge_updated, oai_records, oai_set, author_list, checkpoint_ids, network_errors,
     )
 }

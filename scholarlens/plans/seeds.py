@@ -39,6 +39,13 @@ TYPES = ["Master Thesis", "Thesis", "Article", "Undergraduate", "Doctoral Disser
 SUBJECTS = ["Fakultas Teknik", "Mathematics", "Department of Physics", "jurusan mesin", ""]
 ITEMS = ["Smart grids in 2019\nshort\nAn item of research (1998)\n", "tiny\n      padded title 2031 \n", "\n\n2017 and 2018\n"]
 H_INDEX = ["H-Index\t34\t45\nNIDN : 0012345678", "h index   7", "H-Index\tnone\nh-index\t3", "no index here\nNIDN:0098765432", "Score  H-Index  12  15  18"]
+INFLECTED = [
+    "Pembelajaran mesin untuk perbaikan bukunya ",
+    "mempelajari kebersamaan, memukul dan menyapu ",
+    "Dipelajari: bacalah makanan penyakit pertanian ",
+    "keadilan bekerja belajar pelajar pelajaran ",
+    "no such words ",
+]
 LINKS = [
     '<a href="2019.html">x</a><a class="l" href=\'http://y.org/2020.html\'>y</a><a href="2019.html">x</a> Page 2 of 17 ',
     '<A HREF="/111537/">r</A><a href="https://repository.its.ac.id/22222/">s</a><a href="/1/">t</a><a href="/111537/">r</a> ',

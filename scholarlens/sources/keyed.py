@@ -32,7 +32,7 @@ class Files:
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def path(self, name: str):
-        return self._path(f"{self.root}/{name}")
+        return self._path(f"{self.root}/{name}" if name else self.root)
 
     def names(self, folder: str) -> list[str]:
         at = self.path(folder)
