@@ -240,6 +240,7 @@ ORACLES: dict[str, str] = {
             CASE WHEN regexp_matches(lower(subject), 'department|departemen|jurusan|fakultas|faculty') THEN subject ELSE '' END AS dept, md5(CASE WHEN doc_id % 5 <> 0 THEN text ELSE '' END) AS abstract, concat('oai:x:', doc_id) AS identifier, source AS subject
         FROM (SELECT *, lower(concat(t, ' ', source, ' ', subject)) AS low FROM (SELECT *, {_seeded("doc_id", seeds.TYPES)} AS t, {_seeded("doc_id", seeds.SUBJECTS)} AS subject FROM documents WHERE doc_id % 8 <> 0 AND doc_id % 9 <> 0 AND doc_id % 10 <> 0))
     """,
+    "oai_resume": r"SELECT concat('https://x.org/', doc_id, '/') AS url, source AS title, lang AS author, (1990 + doc_id % 30)::INT AS year, md5(concat('|', regexp_replace(text, '[\x00-\x08\x0B-\x1F\x{FFFE}\x{FFFF}]', ' ', 'g'), '|')) AS abstract, 1 AS times FROM documents",
     "oai_set": "SELECT doc_id FROM documents WHERE source = 'src1'",
     "author_list": "SELECT o_custkey::VARCHAR AS sinta_id, concat('P', o_custkey) AS name, CASE WHEN o_custkey % 3 <> 0 THEN concat('D', o_custkey % 5) END AS dept FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'))",
     "checkpoint_ids": "SELECT n_nationkey::VARCHAR AS sinta_id FROM nation",

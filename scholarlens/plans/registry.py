@@ -15,7 +15,7 @@ from scholarlens.functions import extract, quality, stem, text
 from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
 from scholarlens.operators.fulltext import FullTextIndex
 from scholarlens.operators.vector_index import VectorIndex
-from scholarlens.sources import bibtex, files, html, oai, profiles
+from scholarlens.sources import bibtex, files, html, oai, oai_pages, profiles
 from scholarlens.sources.keyed import KeyedTable
 from scholarlens.sources.tables import shared_folder, table
 from scholarlens.streaming import ingest
@@ -572,6 +572,28 @@ def oai_records(spark, sf_dir):
     return out.select("url", "title", "author", "year", "degree", "dept", F.md5(F.col("abstract").cast("binary")).alias("abstract"), F.get_json_object("metadata", "$.oai_identifier").alias("identifier"), F.get_json_object("metadata", "$.subjects[0]").alias("subject"))
 
 
+def oai_resume(spark, sf_dir):
+    """Documents as pages that name one another by tokens; half of them arrive first, and the harvest goes on from there."""
+    i, tag = F.col("doc_id"), lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
+    clean = F.regexp_replace("text", r"[\x00-\x08\x0B-\x1F\uFFFE\uFFFF]", " ")
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        clean = F.replace(clean, F.lit(sign), F.lit(name))
+    dc = F.concat(tag("title", F.col("source")), tag("creator", F.col("lang")), tag("date", F.concat(F.lit("c. "), (F.lit(1990) + i % 30).cast("string"))), tag("description", F.concat(F.lit("|"), clean, F.lit("|"))))
+    record = F.concat(F.lit("<record>"), tag("header", tag("identifier", F.concat(F.lit("oai:x:"), i))), tag("metadata", tag("dc", dc)), F.lit("</record>"))
+    docs = table(spark, sf_dir, "documents").select((F.floor(i / 100)).alias("page"), i.alias("doc_id"), record.alias("record"))
+    pages = docs.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "record"))), lambda x: x["record"]), "").alias("records"))
+    last = pages.agg(F.max("page")).first()[0]
+    token = lambda n: F.when(n == 0, F.lit(oai_pages.FIRST)).when(n <= last, F.concat(F.lit("from "), n * 100)).otherwise("")
+    value = F.concat(F.lit("<OAI-PMH><ListRecords>"), "records", F.lit("<resumptionToken>"), token(F.col("page") + 1), F.lit("</resumptionToken></ListRecords></OAI-PMH>"))
+    root = scratch(spark, "oai")
+    landed = pages.select("page", token(F.col("page")).alias("token"), value.alias("value"))
+    for some in (F.col("page") < (last + 1) / 2, F.col("page") >= (last + 1) / 2):
+        landed.where(some).select("token", "value").repartition("token").write.mode("append").partitionBy("token").text(f"{root}/in")
+        ingest.caught_up(oai_pages.read_stream(spark, f"{root}/in", 2), f"{root}/state", lambda batch, number: batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}"), plans_ahead=False)
+    rows = oai.records(spark.read.parquet(f"{root}/out"), "https://x.org")
+    return rows.groupBy("url", "title", "author", "year", F.md5(F.col("abstract").cast("binary")).alias("abstract")).agg(F.count("*").alias("times"))
+
+
 def oai_set(spark, sf_dir):
     raw = table(spark, sf_dir, "documents").select(F.struct(F.lit(None).cast("string").alias("_status"), F.col("doc_id").cast("string").alias("identifier"), F.lit("2024-01-02").alias("datestamp"), F.array("lang", F.concat("source", F.lit(":"), "lang")).alias("setSpec")).alias("header"))
     return oai.in_set(raw, "src1").select(F.col("header.identifier").cast("bigint").alias("doc_id"))
@@ -653,6 +675,6 @@ QUERIES = {
         supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
         expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
         ids_union, remaining_ids, full_text, word_stems, full_text_ranked, full_text_top, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall, vec_index_recall, vec_index_updates,
-        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, sql_search, dry_run, merge_updated, oai_records, oai_set, author_list, checkpoint_ids, network_errors,
+        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, sql_search, dry_run, merge_updated, oai_records, oai_resume, oai_set, author_list, checkpoint_ids, network_errors,
     )
 }

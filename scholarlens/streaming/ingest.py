@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from scholarlens.sources.keyed import KeyedTable
 
 
-def caught_up(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
+def caught_up(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], plans_ahead: bool = True) -> None:
     """Runs ``each`` on every micro-batch of what has arrived since ``checkpoint``, then returns.
 
-    A batch that ran before a failure may run again, so ``each`` must be a merge or keyed by the batch's number.
+    A batch that ran before a failure may run again, so ``each`` must be a merge or keyed by the batch's number. Sources
+    written in Python cannot plan all batches ahead; for them the query runs until nothing is left.
     """
-    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    known_by_stream(stream, checkpoint, lambda batch, number, _: each(batch, number), plans_ahead)
 
 
 def parquet_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100) -> DataFrame:
@@ -43,12 +43,19 @@ def merge_stream(source: DataFrame, table: KeyedTable, checkpoint: str, merge: C
     return table.read()
 
 
-def known_by_stream(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int, str], None]) -> None:
+def known_by_stream(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int, str], None], plans_ahead: bool = True) -> None:
     """``caught_up``, where ``each`` is also given the query's id, the same for all runs with this checkpoint."""
     known: Future[str] = Future()
-    query = stream.writeStream.foreachBatch(lambda batch, number: each(batch, number, known.result())).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = stream.writeStream.foreachBatch(lambda batch, number: each(batch, number, known.result())).option("checkpointLocation", checkpoint)
+    query = (writer.trigger(availableNow=True) if plans_ahead else writer).start()
     known.set_result(query.id)
-    query.awaitTermination()
+    if plans_ahead:
+        query.awaitTermination()
+        return
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
 
 
 def ingest_parquet(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
