@@ -75,7 +75,7 @@ def progress(log: DataFrame) -> DataFrame:
     return log.groupBy("key").agg(F.bool_or("ok").alias("ok"), F.max_by("error", "at").alias("error"), F.count("*").alias("tries")).withColumn("error", F.when(~F.col("ok"), F.col("error")))
 
 
-def paused(log: DataFrame, most: int = 3) -> DataFrame:
+def paused(log: DataFrame, most: int = 20) -> DataFrame:
     """is_paused, pause_reason: whether the last ``most`` attempts of a log all failed for want of a network."""
     last = log.orderBy(F.desc("at"), "key").limit(most)
     n = last.agg(F.count_if(~F.col("ok") & extract.is_network_error(F.col("error"))).alias("n"))

@@ -78,10 +78,17 @@ def batch_counts(new: DataFrame) -> DataFrame:
     return new.agg(F.count_if(ok).alias("inserted"), F.count_if(~ok).alias("skipped"))
 
 
-def shaped(records: DataFrame) -> DataFrame:
+def variant(metadata: Column) -> Column:
+    """A string as a variant: the JSON value that it is, or {"raw": string}; null stays null."""
+    raw = F.to_variant_object(F.struct(metadata.alias("raw")))
+    return F.when(metadata.isNotNull(), F.coalesce(F.try_parse_json(metadata), raw))
+
+
+def shaped(records: DataFrame, as_variant: bool = False) -> DataFrame:
     """Cleaned records as table rows: lengths cut, empty supervisors dropped, metadata a JSON object.
 
-    ``metadata`` is a string; what is no JSON object is kept under "raw".
+    ``metadata`` is a string; what is no JSON object is kept under "raw". With ``as_variant`` it becomes a variant, of
+    whatever JSON value it is.
     """
     def cut(c: str, n: int) -> Column:
         return F.nullif(F.substring(c, 1, n), F.lit(""))
@@ -99,5 +106,5 @@ def shaped(records: DataFrame) -> DataFrame:
         cut("dept", k.DEPT_MAX).alias("dept"),
         "url",
         "data_confidence",
-        meta.alias("metadata"),
+        (variant(F.col("metadata")) if as_variant else meta).alias("metadata"),
     )

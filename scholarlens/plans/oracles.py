@@ -187,6 +187,15 @@ def _ranked(terms: list[str], where: str) -> str:
     """
 
 
+_PROFILE = f"""
+    WITH x AS (SELECT vec_id, embedding, {_seeded("vec_id", seeds.DEPTS)} AS dept, unnest([concat('  Dr.  A', label, ' , '), concat('Prof B', label % 3, '.'), 'x ']) AS raw FROM embeddings WHERE embedding IS NOT NULL),
+    k AS (SELECT embedding, dept, trim(regexp_replace({_strip("raw")}, '\\s+', ' ', 'g'), '., ') AS name FROM x WHERE length(trim(raw)) > 2),
+    {_MEANS.format(key="name", table="k")},
+    d AS (SELECT name, dept, row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, dept) AS r FROM k WHERE dept <> '' GROUP BY name, dept),
+    t AS (SELECT name, count(*) AS research_count FROM k GROUP BY name)
+    SELECT c.name, coalesce(d.dept, '') AS dept, research_count, pos::INT AS pos, round(value, 6) AS value FROM c JOIN t USING (name) LEFT JOIN d ON d.name = c.name AND d.r = 1
+"""
+
 ORACLES: dict[str, str] = {
     "clean_text_full": f"SELECT page_id, md5({_clean('html')}) AS clean FROM pages",
     "clean_record": f"""
@@ -232,6 +241,24 @@ ORACLES: dict[str, str] = {
     "word_stems": f"WITH {_INFLECTED}, {_TEXT_WORDS}, {_stems('words')} SELECT word, stem, count(*) AS n FROM words JOIN stems USING (word) GROUP BY ALL",
     "full_text_ranked": _ranked(["ajar", "dan", "baca", "the", "esthe"], "doc_id % 7 <> 0 OR doc_id % 14 = 0"),
     "full_text_top": f"SELECT doc_id, matched, round(score, 6) AS score FROM ({_ranked(['ajar', 'mesin'], 'true')}) WHERE matched = 2 ORDER BY score DESC, doc_id LIMIT 10",
+    "harvest_pauses": """
+        WITH a AS (SELECT event_type AS source, event_id, ((event_id // 150) % 3 <> 0 OR event_id % 97 = 0) OR event_id % 89 = 0 AS ends FROM events),
+        i AS (SELECT *, sum(ends::INT) OVER (PARTITION BY source ORDER BY event_id) AS island FROM a),
+        r AS (SELECT source, island, count(*) FILTER (NOT ends) AS n FROM i GROUP BY source, island),
+        l AS (SELECT source, max_by(n, island) AS consecutive, count(*) FILTER (n >= 20) AS pauses FROM r GROUP BY source)
+        SELECT source, consecutive, pauses, consecutive >= 20 AS is_paused, CASE WHEN consecutive >= 20 THEN 'Network disconnected - 20 consecutive failures' END AS pause_reason FROM l
+    """,
+    "arrivals_once": "SELECT event_type, count(*) AS n, count(*) AS urls FROM events GROUP BY event_type",
+    "sql_upsert": """
+        SELECT k::VARCHAR AS sinta_id, CASE WHEN k % 6 = 0 THEN concat('last ', c_name) WHEN k % 2 = 0 THEN concat('new ', c_name) ELSE c_name END AS name,
+            CASE WHEN k % 4 = 0 THEN 'x' WHEN k % 3 <> 0 THEN concat('n', k) END AS nidn, CASE WHEN k % 10 = 0 THEN 'y' WHEN k % 3 <> 0 THEN c_mktsegment END AS dept,
+            CASE WHEN k % 6 = 0 THEN 3 WHEN k % 2 = 0 THEN 2 ELSE 1 END AS h_index_scopus, c_mktsegment AS tags, true AS scraped, k % 2 = 0 AS updated
+        FROM (SELECT *, c_custkey AS k FROM customer) WHERE k % 3 <> 0 OR k % 2 = 0
+    """,
+    "metadata_variant": """
+        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN concat('not json ', event_type) WHEN event_id % 7 = 1 THEN '' END AS raw, CASE WHEN object THEN (props::JSON ->> 'k')::INT END AS k, CASE WHEN list THEN event_id END AS first, NOT (event_id % 3 = 0 OR event_id % 7 = 1 OR list OR object) AS none
+        FROM (SELECT *, event_id % 11 = 2 AND event_id % 3 <> 0 AND event_id % 7 <> 1 AS list, event_id % 13 <> 3 AND event_id % 11 <> 2 AND event_id % 3 <> 0 AND event_id % 7 <> 1 AS object FROM events)
+    """,
     "dry_run": "SELECT title, count(*) * CASE WHEN title = 'BUILDING' THEN 2 ELSE 1 END AS n, count(DISTINCT c_name) AS urls FROM (SELECT c_mktsegment AS title, c_name FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0) GROUP BY title",
     "merge_updated": "SELECT c_custkey::VARCHAR AS url, c_name AS title, CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 2 = 0 THEN '2024-05-06' ELSE '2020-01-01' END AS updated_at FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
     "oai_records": f"""
@@ -250,14 +277,8 @@ ORACLES: dict[str, str] = {
     "vec_topk_threshold": _TOP.format(t=0.3),
     "vec_topk_centroid": f"WITH {_MEANS.format(key='label', table='embeddings')}, v AS (SELECT label, list(value ORDER BY pos) AS v FROM c GROUP BY label) SELECT label, round(list_cosine_similarity(v, {_QUERY}), 6) AS similarity FROM v WHERE list_cosine_similarity(v, {_QUERY}) >= 0 ORDER BY list_cosine_similarity(v, {_QUERY}) DESC, label LIMIT 5",
     "centroid_by_label": f"WITH {_MEANS.format(key='label', table='embeddings')} SELECT label, pos::INT AS pos, round(value, 6) AS value FROM c",
-    "supervisor_profile": f"""
-        WITH x AS (SELECT vec_id, embedding, {_seeded("vec_id", seeds.DEPTS)} AS dept, unnest([concat('  Dr.  A', label, ' , '), concat('Prof B', label % 3, '.'), 'x ']) AS raw FROM embeddings WHERE embedding IS NOT NULL),
-        k AS (SELECT embedding, dept, trim(regexp_replace({_strip("raw")}, '\\s+', ' ', 'g'), '., ') AS name FROM x WHERE length(trim(raw)) > 2),
-        {_MEANS.format(key="name", table="k")},
-        d AS (SELECT name, dept, row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, dept) AS r FROM k WHERE dept <> '' GROUP BY name, dept),
-        t AS (SELECT name, count(*) AS research_count FROM k GROUP BY name)
-        SELECT c.name, coalesce(d.dept, '') AS dept, research_count, pos::INT AS pos, round(value, 6) AS value FROM c JOIN t USING (name) LEFT JOIN d ON d.name = c.name AND d.r = 1
-    """,
+    "supervisor_profile": _PROFILE,
+    "profile_increments": _PROFILE,
     "modal_dept": "SELECT source, coalesce(max(CASE WHEN r = 1 THEN lang END), '') AS dept FROM (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY (lang = '' OR lang IS NULL), count(*) DESC, lang) AS r FROM documents GROUP BY source, lang) GROUP BY source",
     "top_by_count": "SELECT source AS name, count(*) AS research_count FROM documents GROUP BY source ORDER BY research_count DESC NULLS FIRST, name LIMIT 10",
     "embedding_stats": f"WITH {_LABELLED}, p AS (SELECT nullif(max(quality), 0) AS v FROM l GROUP BY source) SELECT * FROM (SELECT count(*) AS total_researches, count(quality) AS embedded_researches, count(*) FILTER (quality IS NULL) AS pending_researches FROM l), (SELECT count(*) AS total_lecturers, count(v) AS profiled_lecturers FROM p)",

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from scholarlens.functions import extract, quality, stem, text
 from scholarlens.operators import embedding, flows, merge, profile, select, stats, vector
 from scholarlens.operators.fulltext import FullTextIndex
+from scholarlens.operators.profile_table import ProfileTable
 from scholarlens.operators.vector_index import VectorIndex
 from scholarlens.sources import bibtex, files, html, oai, oai_pages, profiles
 from scholarlens.sources.keyed import KeyedTable
 from scholarlens.sources.tables import shared_folder, table
-from scholarlens.streaming import ingest
+from scholarlens.streaming import harvest, ingest
 
 from . import functions, seeds
 
@@ -75,6 +76,17 @@ def supervisor_profile(spark, sf_dir):
     return found.select("name", "dept", "research_count", F.posexplode("expertise_vector").alias("pos", "value")).withColumn("value", _six("value"))
 
 
+def profile_increments(spark, sf_dir):
+    """The same profiles from states to which batches added, corrected and repeated research."""
+    rows, held = _research(spark, sf_dir), ProfileTable(spark, scratch(spark, "profiles"), 8)
+    wrong = rows.where("id % 3 <> 0 AND id % 5 = 0").withColumn("embedding", F.transform("embedding", lambda x: -x)).withColumn("dept", F.lit("Wrong"))
+    held.apply(rows.where("id % 3 <> 0 AND id % 5 <> 0").unionByName(wrong))
+    for _ in range(2):
+        held.apply(rows.where("id % 3 = 0"), stream="new", number=0)
+        held.apply(rows.where("id % 3 <> 0 AND id % 5 = 0"), wrong, "corrections", 0)
+    return held.profiles().select("name", "dept", "research_count", F.posexplode("expertise_vector").alias("pos", "value")).withColumn("value", _six("value"))
+
+
 def modal_dept(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy("source").agg(profile.modal(F.col("lang")).alias("dept"))
 
@@ -548,6 +560,42 @@ def bucket_merge(spark, sf_dir):
     return rows.select("url", "title", "rank", (~F.col("_metadata.file_path").rlike(folders)).alias("rewritten"))
 
 
+def _quarters(spark, sf_dir) -> tuple[DataFrame, Column]:
+    """Events, and the quarter of the table that each is in."""
+    events = table(spark, sf_dir, "events")
+    n = events.agg(F.max("event_id")).first()[0] + 1
+    return events, F.floor(F.col("event_id") * 4 / n)
+
+
+def harvest_pauses(spark, sf_dir):
+    """Events as attempts at their types' sources, in four batches: who is paused at the end, and how often they were."""
+    events, quarter = _quarters(spark, sf_dir)
+    ok = (F.floor(F.col("event_id") / 150) % 3 != 0) | (F.col("event_id") % 97 == 0)
+    error = F.when(ok, None).when(F.col("event_id") % 89 == 0, "Timeout").otherwise("net::ERR_CONNECTION_RESET")
+    rows = events.select(F.col("event_type").alias("source"), F.col("event_id").cast("string").alias("key"), F.col("ts").alias("at"), ok.alias("ok"), error.alias("error"), quarter.alias("q"))
+    root = scratch(spark, "pauses")
+    for q in range(4):
+        rows.where(F.col("q") == q).drop("q").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    attempts = ingest.parquet_stream(spark, f"{root}/in", rows.drop("q").schema, 1)
+    ingest.caught_up(harvest.pauses(attempts), f"{root}/state", lambda batch, number: batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}"))
+    return harvest.last_states(spark, f"{root}/out").drop("at")
+
+
+def arrivals_once(spark, sf_dir):
+    """Events that arrive in four batches, some again in the next one, beside rows that come far too late."""
+    events, quarter = _quarters(spark, sf_dir)
+    rows = events.select(F.col("event_id").cast("string").alias("url"), F.col("ts").alias("at"), "event_type", "event_id", quarter.alias("q"))
+    again = rows.where("event_id % 5 = 0").withColumns({"at": F.col("at") + F.expr("INTERVAL 1 HOUR"), "q": F.col("q") + 1})
+    late = rows.where("q = 0 AND event_id % 7 = 0").withColumns({"url": F.concat(F.lit("late "), "url"), "q": F.lit(3)})
+    root = scratch(spark, "arrivals")
+    all_rows = rows.unionByName(again).unionByName(late)
+    for q in range(4):
+        all_rows.where(F.col("q") == q).drop("q").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = harvest.arrivals(ingest.parquet_stream(spark, f"{root}/in", all_rows.drop("q").schema, 1))
+    ingest.caught_up(stream, f"{root}/state", lambda batch, number: batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}"))
+    return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("url").alias("urls"))
+
+
 def dry_run(spark, sf_dir):
     """Two batches in a dry run's store, of which the second repeats urls of the first."""
     people = table(spark, sf_dir, "customer")
@@ -663,6 +711,32 @@ def vec_index_updates(spark, sf_dir):
     return index.search_many(_asked(rows), 10, 16).select("query_id", "rank", F.col("key").alias("vec_id"), _six("similarity").alias("similarity"))
 
 
+def sql_upsert(spark, sf_dir):
+    """Three upserts of customers as lecturers by SQL alone: new ones, changes that keep what is null, and one that repeats ids."""
+    name = f"people_{uuid.uuid4().hex}"
+    row = "c_custkey::STRING AS sinta_id, {title} AS name, {nidn} AS nidn, {dept} AS dept, {h} AS h_index_scopus, 0 AS h_index_gscholar, '[]' AS sinta_publications, array(c_mktsegment) AS expertise_tags, '[]' AS sinta_researches, '[]' AS sinta_services, '[]' AS sinta_iprs, '[]' AS sinta_books, {seq} AS seq"
+    people = f"parquet.`{sf_dir}/customer.parquet`"
+    batches = [
+        f"SELECT {row.format(title='c_name', nidn="concat('n', c_custkey)", dept='c_mktsegment', h=1, seq=0)} FROM {people} WHERE c_custkey % 3 <> 0",
+        f"SELECT {row.format(title="concat('new ', c_name)", nidn="if(c_custkey % 4 = 0, 'x', NULL)", dept="if(c_custkey % 5 = 0, 'y', NULL)", h=2, seq=0)} FROM {people} WHERE c_custkey % 2 = 0",
+    ]
+    batches.append(f"{batches[1]} UNION ALL SELECT {row.format(title="concat('last ', c_name)", nidn='NULL', dept='NULL', h=3, seq=1)} FROM {people} WHERE c_custkey % 6 = 0")
+    for statement in [f"CREATE DATABASE {name} LOCATION '{scratch(spark, 'sql')}'", *functions.lecturers(f"{name}.lecturers"), *(s for b in batches for s in (f"CREATE OR REPLACE TEMPORARY VIEW incoming AS {b}", functions.UPSERT_LECTURERS))]:
+        spark.sql(statement)
+    return spark.sql("SELECT sinta_id, name, nidn, dept, h_index_scopus, array_join(expertise_tags, '|') AS tags, sinta_scraped_at IS NOT NULL AS scraped, last_updated IS NOT NULL AS updated FROM lecturers")
+
+
+def metadata_variant(spark, sf_dir):
+    """Metadata stored as variants and read back: objects, other JSON values, what is no JSON, and nothing."""
+    i = F.col("event_id")
+    raw = F.when(i % 3 == 0, F.concat(F.lit("not json "), F.col("event_type"))).when(i % 7 == 1, F.lit("")).when(i % 11 == 2, F.concat(F.lit("["), i, F.lit(", 1]"))).when(i % 13 != 3, F.col("props"))
+    rows = table(spark, sf_dir, "events").select(i.cast("string").alias("url"), F.lit("t").alias("title"), F.lit("").alias("abstract"), F.lit("").alias("author"), F.array().cast("array<string>").alias("supervisors"), F.lit("S1").alias("degree"), F.lit(1).alias("year"), F.lit("").alias("dept"), F.lit(0.0).alias("data_confidence"), raw.alias("metadata"))
+    path = scratch(spark, "variant")
+    merge.shaped(rows, as_variant=True).write.parquet(path)
+    held = lambda at, kind: F.try_variant_get("metadata", at, kind)
+    return spark.read.parquet(path).select(F.col("url").cast("bigint").alias("event_id"), held("$.raw", "string").alias("raw"), held("$.k", "int").alias("k"), held("$[0]", "bigint").alias("first"), F.col("metadata").isNull().alias("none"))
+
+
 def vec_topk_lsh(spark, sf_dir):
     return vector.nearest_candidates(table(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir), ["vec_id", "label"], key="vec_id", threshold=-1.0, k=10)
 
@@ -670,11 +744,11 @@ def vec_topk_lsh(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        vec_topk, vec_topk_threshold, vec_topk_centroid, centroid_by_label, supervisor_profile, modal_dept, top_by_count, embedding_stats, profile_stats, coverage, field_presence, count_degree,
+        vec_topk, vec_topk_threshold, vec_topk_centroid, centroid_by_label, supervisor_profile, profile_increments, modal_dept, top_by_count, embedding_stats, profile_stats, coverage, field_presence, count_degree,
         pending_rows, pending_profiles, without_supervisors, existing_keys, new_keys, harvest_select, whitespace_norm, strip_tags, fix_mojibake, strip_boilerplate, strip_prefix, supervisors_abstract,
         supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
         expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
         ids_union, remaining_ids, full_text, word_stems, full_text_ranked, full_text_top, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall, vec_index_recall, vec_index_updates,
-        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, sql_search, dry_run, merge_updated, oai_records, oai_resume, oai_set, author_list, checkpoint_ids, network_errors,
+        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, harvest_pauses, arrivals_once, sql_search, sql_upsert, metadata_variant, dry_run, merge_updated, oai_records, oai_resume, oai_set, author_list, checkpoint_ids, network_errors,
     )
 }

@@ -86,7 +86,7 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str, buckets: int = 64, files: int = 1, spread: Column | None = None):
         self.spark, self.root, self.schema, self.key, self.files = spark, root.rstrip("/"), schema, key, files
         self._files = Files(spark, root)
-        anywhere = F.pmod(F.xxhash64(*schema.names), F.lit(buckets))
+        anywhere = F.pmod(F.xxhash64(F.to_json(F.struct(*schema.names))), F.lit(buckets))  # maps have no hash
         named = F.pmod(F.xxhash64(key), F.lit(buckets)) if spread is None else spread
         self._bucket = F.when(F.col(key).isNull(), anywhere).otherwise(named).cast("int")
 
@@ -158,7 +158,7 @@ class KeyedTable:
                     return True
 
     def _write(self, rows: DataFrame, folder: str) -> None:
-        places = [BUCKET] if self.files == 1 else [BUCKET, F.pmod(F.xxhash64(*self.schema.names), F.lit(self.files))]
+        places = [BUCKET] if self.files == 1 else [BUCKET, F.pmod(F.xxhash64(F.lit("file"), self.key), F.lit(self.files))]
         self._with_bucket(rows).repartition(*places).write.partitionBy(BUCKET).parquet(f"{self.root}/data/{folder}")
 
     def _commit(self, buckets: dict[str, str], streams: dict[str, int]) -> bool:

@@ -5,6 +5,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from scholarlens.plans import oracles, registry
@@ -12,7 +13,7 @@ from scholarlens.plans import oracles, registry
 
 def rows(frame):
     def value(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return None
         if isinstance(v, float) and not math.isinf(v):
             return round(v, 5)
