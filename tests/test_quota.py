@@ -56,7 +56,7 @@ def test_other_tasks_stop(spark, tmp_path):
     got = embedding.embedded(rows, "t", model(tmp_path / "calls", 6, 0.3), 1, embedding.Stop(str(tmp_path / "stop"))).collect()
     calls = len(os.listdir(tmp_path / "calls"))
     assert len(got) == 64 and calls <= 6 + 4  # four tasks run at a time
-    assert sum(r.embedding is not None for r in got) == 6
+    assert 0 < sum(r.embedding is not None for r in got) <= 6
 
 
 def test_the_next_run_finishes(spark, table, tmp_path):
