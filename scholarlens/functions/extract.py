@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as k
+from .literals import required
 from .text import fix_encoding, strip, strip_tags, whitespace
 
 
@@ -37,8 +41,29 @@ def distinct_names(names: Column, longer_than: int, most: int = 2) -> Column:
     return F.slice(F.aggregate(kept, empty, lambda held, x: F.when(same(held, x), held).otherwise(F.array_append(held, x))), 1, most)
 
 
+def _once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def _matches(c: Column, patterns: list[str]) -> Column:
-    return F.flatten(F.array(*[F.regexp_extract_all(c, F.lit(p), F.lit(1)) for p in patterns]))
+    """What each pattern finds, in the order of the patterns.
+
+    A pattern runs only over texts with one of the words that its matches must have (``literals.required``): most texts
+    are searched for a few words, and by no pattern.
+    """
+    empty = F.array().cast("array<string>")
+
+    def found(t: Column) -> Column:
+        out = []
+        for p in patterns:
+            hit = F.regexp_extract_all(t["text"], F.lit(p), F.lit(1))
+            if words := sorted(required(p)):
+                hit = F.when(reduce(Column.__or__, [F.contains(t["low"], F.lit(w)) for w in words]), hit).otherwise(empty)
+            out.append(hit)
+        return F.flatten(F.array(*out))
+
+    return _once(c, lambda text: _once(F.struct(text.alias("text"), F.lower(text).alias("low")), found))
 
 
 def supervisors(c: Column, limit: int = 500) -> Column:
@@ -127,7 +152,7 @@ def items(texts: Column, longer_than: int) -> Column:
 
 
 def keyword_flags(c: Column, words: list[str] = k.ABSTRACT_FLAGS) -> Column:
-    return F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(F.lower(c), w))
+    return _once(F.lower(c), lambda low: F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(low, w)))
 
 
 def is_network_error(message: Column) -> Column:

@@ -119,3 +119,24 @@ def test_control_characters_are_category_cc():
 
     every = "".join(map(chr, range(0x3000)))
     assert text._CONTROL.sub("", every) == "".join(c for c in every if c in "\n\t\r" or unicodedata.category(c) != "Cc")
+
+
+def test_required_words(spark):
+    """Every match of a pattern has a required word, in any case; where no word is sure there is none."""
+    import random
+    import re
+
+    from scholarlens.functions import constants as k
+    from scholarlens.functions.literals import required
+
+    assert required("(?i)co-?(?:advisor|supervisor)x") == {"advisor", "supervisor"}
+    assert required("a+|b") == {"a", "b"} and required("a*b?") == set() and required("(?:ab|.)c") == {"c"} and required("(?:abc){2}") == {"abc"}
+    rng = random.Random(2)
+    parts = ["pembimbing", "Dosen ", "SUPERVISOR", "advisor", " utama", ": ", "Dr. Ana Budi", "co-", "supervised by ", "under the guidance of ", "dibimbing oleh ", "\n", " I", "NIP 1234567890123", "x", "Approved by", "Mengetahui:", "-"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 9))) for _ in range(4000)]
+    found = 0
+    for p in [*k.ABSTRACT_SUPERVISORS, *k.ANYWHERE_SUPERVISORS, *k.PDF_SUPERVISORS]:
+        words, hits = required(p), [t for t in texts if re.search(p, t)]
+        found += len(hits)
+        assert words and all(any(w in t.lower() for w in words) for t in hits)
+    assert found > 1000
