@@ -10,11 +10,13 @@
 5. Each node is searched for at home, on the united lists: from the medoids of all islands of the graph and of all
    groups that can fill a beam, and from its own place, greedily with a beam, expanding everything near the range, so
    that whole groups are found. Candidates are verified by their cosine in double precision, in both directions. A
-   group of the search is a part and a block of the nodes at home, both of bounded size; links are counted there and
-   connected by a forest, never listed.
-6. Recall is audited node by node against brute force on a bounded sample; below AUDIT_RECALL the search is repeated
-   with more overlap and a wider beam; a node keeps the largest count that any search verified, and all searches'
-   forests connect. If TRIES searches stay below it, all nodes that can be in range are compared exactly, in blocks.
+   group of the search is a part and a block of the nodes at home, both of bounded size; links are connected there by
+   a forest, never listed.
+6. Recall is audited node by node against brute force on a bounded sample, of which a part is planted: nodes made to
+   be just in range of another one. Below AUDIT_RECALL the search is repeated with more overlap and a wider beam, and
+   all searches' forests connect. If TRIES searches stay below it, all nodes that can be in range are compared exactly.
+7. Links are counted within the components that the search found, where each node is compared with all others: so a
+   link that was found from one end counts at both.
 """
 
 from __future__ import annotations
@@ -45,6 +47,8 @@ AUDIT, AUDIT_RECALL, TRIES = 200, 0.99, 3
 HOT, BLOCK, EXACT_CELLS = 2 * DEGREE, 8192, 1024
 #: How far a cosine of a matrix product may be from that of the two vectors alone.
 ROUNDING = 1e-9
+#: How far within the range planted nodes are, and nodes on a side of a tile in which links are counted.
+NEAR, CHUNK = 0.002, 2048
 #: Rows of a file of a stored table, about.
 FILE = 100_000
 _log = logging.getLogger(__name__)
@@ -297,7 +301,7 @@ def find(group: pa.Table, beam: int, threshold: float) -> pa.Table:
         hit[np.ix_(mine, at[asks[mine]])] = square | square.T
     others = np.zeros(len(ids), np.int64)
     others[asks] = [int(copies[held[h]].sum()) for h in hit]
-    root = _forest(hit, asks, held, ids)
+    root = _forest(hit & (copies[asks] > 0)[:, None] & (copies[held] > 0), asks, held, ids)
     some = np.flatnonzero((others > 0) | (root != ids))
     return pa.table({"vec_id": pa.array(ids[some], pa.int64()), "others": pa.array(others[some], pa.int64()), "root": pa.array(root[some], pa.int64())})
 
@@ -320,18 +324,33 @@ def _search(dealt: DataFrame, beam: int, threshold: float) -> DataFrame:
     return held.select(columns).unionByName(asking.select(columns)).groupBy("cell", "part", "block").applyInArrow(lambda rows: find(rows, beam, threshold), "vec_id bigint, others bigint, root bigint")
 
 
+def _planted(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Up to AUDIT nodes made for the audit: each is just in range of a node drawn by a hash, and counts as no copy.
+
+    So recall can be measured however rare links are. They take part in the search like any other node; having no
+    copies, they add nothing to the links of others, and no forest connects over them.
+    """
+    low, high = nodes.agg(F.min("vec_id"), F.max("vec_id")).first()
+    first = low - AUDIT if low >= AUDIT - (1 << 63) else high + 1
+    x = _unit(vectors.sample(nodes, AUDIT))
+    rng, cosine = np.random.default_rng(11), min(1.0, threshold + NEAR)
+    u = rng.standard_normal(x.shape)
+    u -= (u * x).sum(axis=1, keepdims=True) * x
+    size = np.linalg.norm(u, axis=1, keepdims=True)
+    y = np.where(size > 1e-9, cosine * x + np.sqrt(1 - cosine**2) * u / np.where(size > 1e-9, size, 1), x)
+    return nodes.sparkSession.createDataFrame([(first + k, 0, v) for k, v in enumerate(y.tolist())], NODE)
+
+
 def _audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Mean share of its true links that was found of a node, on bounded samples of nodes with few and with many links.
+    """Mean share of its true links that was found of a node, on bounded samples: planted nodes, others with few links, and with many.
 
-    Nodes with up to HOT links and those with more are averaged apart; the lower mean counts.
+    The three are averaged apart, nodes with more than HOT links as those with many; the lowest mean counts. Planted
+    nodes have a link each, so there is always something to measure.
     """
-    known = nodes.join(counts, "vec_id", "left").withColumn("hot", F.coalesce("others", F.lit(0)) > HOT)
-    drawn = [known.where(side).orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").limit(AUDIT).select("vec_id", "embedding") for side in ("NOT hot", "hot")]
-    asked = drawn[0].unionByName(drawn[1]).toArrow()
-    ids, q = asked.column("vec_id").to_numpy(), vectors.matrix(asked.column("embedding"))
-    if not len(ids):
-        return 1.0
-    q = _unit(q)
+    known = nodes.join(counts, "vec_id", "left").withColumn("kind", F.when(F.col("copies") == 0, 0).when(F.coalesce("others", F.lit(0)) <= HOT, 1).otherwise(2))
+    drawn = [known.where(F.col("kind") == kind).orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").limit(AUDIT).select("vec_id", "copies", "embedding") for kind in range(3)]
+    asked = reduce(DataFrame.unionByName, drawn).toArrow()
+    ids, planted, q = asked.column("vec_id").to_numpy(), asked.column("copies").to_numpy() == 0, _unit(vectors.matrix(asked.column("embedding")))
 
     def true(batches):
         total = np.zeros(len(ids), np.int64)
@@ -340,16 +359,54 @@ def _audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
                 hit = _unit(vectors.matrix(batch.column(2))) @ q.T >= threshold + ROUNDING
                 hit &= batch.column(0).to_numpy()[:, None] != ids[None, :]
                 total += batch.column(1).to_numpy() @ hit
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["vec_id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(planted), pa.array(total)], names=["vec_id", "planted", "n"])
 
-    n = nodes.mapInArrow(true, "vec_id bigint, n bigint").groupBy("vec_id").agg(F.sum("n").alias("n")).where("n > 0")
+    n = nodes.mapInArrow(true, "vec_id bigint, planted boolean, n bigint").groupBy("vec_id", "planted").agg(F.sum("n").alias("n")).where("n > 0")
     share = F.least("n", F.coalesce("others", F.lit(0))) / F.col("n")
-    means = n.join(counts, "vec_id", "left").groupBy(F.col("n") > HOT).agg(F.avg(share).alias("share")).collect()
-    return min((r["share"] for r in means), default=1.0)
+    means = n.join(counts, "vec_id", "left").groupBy("planted", F.col("n") > HOT).agg(F.avg(share).alias("share")).collect()
+    return min(r["share"] for r in means)
+
+
+def _counted(nodes: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """(vec_id, others): the copies of all nodes in range of each node of a component, by comparing its nodes with one another.
+
+    So a link counts at both its ends, from whichever it was found. Components of more than CHUNK nodes are cut by hash
+    into parts that meet in tiles, smaller ones are dealt over groups of about as many nodes.
+    """
+    heads = groups.select(F.col("component").alias("vec_id"), "component").distinct()
+    inside = groups.select(F.col("node").alias("vec_id"), "component").unionByName(heads).join(nodes, "vec_id")
+    sizes = groups.groupBy("component").agg(F.ceil((F.count("*") + 1) / CHUNK).cast("int").alias("parts"))
+    bundles = max(1, -(-groups.count() // CHUNK))
+    inside = inside.join(sizes, "component").withColumn("big", F.col("parts") > 1).withColumn("bundle", F.when(F.col("big"), F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(bundles))))
+    mine, to = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    placed = inside.withColumn("own", mine).withColumn("node", F.xxhash64("embedding"))
+    asking = placed.withColumn("a", F.col("own")).withColumn("b", to).withColumn("asks", F.lit(True))
+    held = placed.withColumn("b", F.col("own")).withColumn("a", to).withColumn("asks", F.lit(False))
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("component").combine_chunks()
+        ids, node, copies, component = (group.column(c).to_numpy() for c in ("vec_id", "node", "copies", "component"))
+        asks, x = np.array(group.column("asks").to_pylist(), bool), _unit(vectors.matrix(group.column("embedding")))
+        others = np.zeros(len(ids), np.int64)
+        edges = np.flatnonzero(np.concatenate([[True], component[1:] != component[:-1], [True]])).tolist()
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            rows, to = lo + np.flatnonzero(asks[lo:hi]), lo + np.flatnonzero(~asks[lo:hi])
+            sims = x[rows] @ x[to].T
+            hit = sims >= threshold
+            for i, j in zip(*np.nonzero(np.abs(sims - threshold) <= ROUNDING), strict=True):
+                hit[i, j] = float((x[rows[i]] * x[to[j]]).sum()) >= threshold
+            others[rows] = (hit & ((ids[rows][:, None] != ids[to][None]) | (node[rows][:, None] != node[to][None]))) @ copies[to]
+        return pa.table({"vec_id": pa.array(ids[asks], pa.int64()), "node": pa.array(node[asks], pa.int64()), "others": pa.array(others[asks], pa.int64())})
+
+    columns = ["big", "bundle", "a", "b", "asks", "component", "vec_id", "node", "copies", "embedding"]
+    tiles = asking.select(columns).unionByName(held.select(columns)).groupBy("big", "bundle", "a", "b")
+    # A vec_id may be that of several vectors: the most links of them are its.
+    counts = tiles.applyInArrow(compare, "vec_id bigint, node bigint, others bigint").groupBy("vec_id", "node").agg(F.sum("others").alias("others"))
+    return counts.groupBy("vec_id").agg(F.max("others").alias("others"))
 
 
-def _exact(nodes: DataFrame, n: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(vec_id, root) and (vec_id, others) by comparing each node with all nodes that can be in range.
+def _exact(nodes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(vec_id, root) by comparing each node with all nodes that can be in range.
 
     A node has its home at its nearest centre, and asks the homes of all centres whose side of the bisecting plane is
     within the threshold's angle of it; no link can lead elsewhere. Homes and their askers are cut by hash into blocks.
@@ -405,12 +462,10 @@ def _exact(nodes: DataFrame, n: int, threshold: float) -> tuple[DataFrame, DataF
                         root[i] = least = min(root[i], root[to].min())
                         root[to] = least
             changed = bool((root != before).any())
-        return pa.table({"vec_id": pa.array(ids, pa.int64()), "node": pa.array(node, pa.int64()), "others": pa.array(others, pa.int64()), "root": pa.array(root, pa.int64())})
+        return pa.table({"vec_id": pa.array(ids, pa.int64()), "root": pa.array(root, pa.int64())})
 
     columns = ["cell", "part", "block", "asks", "vec_id", "node", "copies", "embedding"]
-    out = _kept(dealt.select(columns).groupBy("cell", "part", "block").applyInArrow(compare, "vec_id bigint, node bigint, others bigint, root bigint").where("others > 0 OR root <> vec_id"))
-    counts = out.groupBy("vec_id", "node").agg(F.sum("others").alias("others")).groupBy("vec_id").agg(F.max("others").alias("others"))
-    return out.select("vec_id", "root"), _kept(counts)
+    return _kept(dealt.select(columns).groupBy("cell", "part", "block").applyInArrow(compare, "vec_id bigint, root bigint").where("root <> vec_id"))
 
 
 def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -428,6 +483,7 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not n:
         own = rows.where("vec_id IS NOT NULL").select("vec_id")
         return own.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    nodes, real = _kept(nodes.unionByName(_planted(nodes, threshold))), nodes
     tries: list[DataFrame] = []
     for turn in range(TRIES):
         tries.append(_kept(_search(cells(nodes, n, overlap, threshold), beam, threshold).withColumn("turn", F.lit(turn))))
@@ -440,8 +496,9 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         overlap, beam = overlap * 2, beam * 2
     else:
         _log.warning("all nodes that can be in range are compared")
-        found, counts = _exact(nodes, n, threshold)
-    groups = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
+        found = _exact(real, n, threshold)
+    nodes, groups = real, _kept(components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))))
+    counts, groups = _kept(_counted(nodes, groups, threshold)), groups.withColumnRenamed("node", "rep")
     member = good.join(nodes.select(F.col("vec_id").alias("rep"), "copies", "embedding"), "embedding").select("vec_id", "rep", "copies")
     member = member.join(counts.select(F.col("vec_id").alias("rep"), "others"), "rep", "left").join(groups, "rep", "left")
     known = member.groupBy("vec_id").agg(F.max(F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.min(F.coalesce("component", "rep")).alias("component_id"))

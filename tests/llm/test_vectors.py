@@ -86,6 +86,52 @@ def test_one_search_finds_separate_groups(spark, monkeypatch, cut):
     assert {r.vec_id: r.component_id for r in got} == component
 
 
+def rare(n=9000, pairs=60, dim=64):
+    """Random vectors of which a few have a partner in range."""
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.standard_normal((pairs, dim))
+    u -= (u * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    x[pairs : 2 * pairs] = 0.953 * x[:pairs] + np.sqrt(1 - 0.953**2) * u
+    return [(int(i), v) for i, v in zip(rng.permutation(n), np.float32(x).tolist(), strict=True)]
+
+
+def test_rare_links_count_at_both_ends(spark):
+    good = rare()
+    links, component = exact(good)
+    got = neardup_vectors.linked(frame(spark, good)).collect()
+    assert sum(links.values()) >= 120
+    assert {r.vec_id: r.n_links for r in got} == links
+    assert {r.vec_id: r.component_id for r in got} == component
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
+def test_nothing_is_accepted_unseen(spark, monkeypatch):
+    """Where no row has a link, planted nodes tell that a blind search finds nothing; they are in no result."""
+    audits, audit = [], neardup_vectors._audit
+    monkeypatch.setattr(neardup_vectors, "_audit", lambda *a: audits.append(audit(*a)) or audits[-1])
+    good = rare(600, 0, 16)
+    got = neardup_vectors.linked(frame(spark, good)).collect()
+    assert audits[-1] >= 0.99 and sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, 0, i) for i in range(600)]
+    monkeypatch.setattr(neardup_vectors, "_search", lambda *_: spark.createDataFrame([], "vec_id bigint, others bigint, root bigint"))
+    audits.clear()
+    neardup_vectors.linked(frame(spark, good)).collect()
+    assert audits == [0.0] * neardup_vectors.TRIES
+
+
+def test_counts_in_tiles(spark, monkeypatch):
+    """Components of many sizes, one of half of all nodes: tiles and bundles of bounded size count every link."""
+    monkeypatch.setattr(neardup_vectors, "CHUNK", 50)
+    good = [*islands(5, 1, 300, 0.03), *((i + 1000, v) for i, v in islands(6, 90, 3, 0.02))]
+    links, component = exact(good)
+    nodes = neardup_vectors.vectors.of_main_length(frame(spark, good)).selectExpr("vec_id", "1L AS copies", "embedding")
+    groups = spark.createDataFrame([(i, c) for i, c in component.items() if i != c], "node bigint, component bigint")
+    got = {r.vec_id: r.others for r in neardup_vectors._counted(nodes, groups, 0.95).collect()}
+    assert got == {i: n for i, n in links.items() if n}
+
+
 def test_cells_are_dealt_again(spark, monkeypatch):
     """Two levels of centres, and one dense group that none of them divides: parts and blocks of bounded size."""
     for name, value in (("CELL", 40), ("SHARD", 60), ("FAN", 4), ("SPLIT", 2), ("SAMPLE", 300)):
@@ -127,7 +173,7 @@ def test_what_searches_miss_is_compared(spark, monkeypatch, blind):
         turn.append(beam)
         found = search(shards, beam, threshold)
         if blind == "first":
-            return found.where(f"vec_id % 2 = {len(turn) % 2}")
+            return found.where(f"pmod(vec_id, 2) = {len(turn) % 2}")  # planted nodes may have negative ids
         return found.where("false" if blind == "all" else "others > 10")
 
     monkeypatch.setattr(neardup_vectors, "_search", worse)
