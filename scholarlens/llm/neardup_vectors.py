@@ -42,6 +42,8 @@ DEGREE, ALPHA = 24, 1.2
 #: Cells of a node and beam at first; how far below the threshold the range is expanded.
 OVERLAP, BEAM, MARGIN = 2, 32, 0.05
 AUDIT, AUDIT_RECALL, TRIES = 200, 0.99, 3
+#: A first search that finds less than this is repeated once, even where it is good enough.
+GOOD = 0.999
 #: Links of a node in a hot group, which is audited apart from others; nodes on a side of an exact comparison, about, and
 #: the cells that rule pairs out there.
 HOT, BLOCK, EXACT_CELLS = 2 * DEGREE, 8192, 1024
@@ -302,12 +304,14 @@ def find(group: pa.Table, beam: int, threshold: float) -> pa.Table:
     others = np.zeros(len(ids), np.int64)
     others[asks] = [int(copies[held[h]].sum()) for h in hit]
     root = _forest(hit & (copies[asks] > 0)[:, None] & (copies[held] > 0), asks, held, ids)
-    some = np.flatnonzero((others > 0) | (root != ids))
-    return pa.table({"vec_id": pa.array(ids[some], pa.int64()), "others": pa.array(others[some], pa.int64()), "root": pa.array(root[some], pa.int64())})
+    back = np.zeros(len(ids), np.int64)
+    back[held] = copies[asks] @ hit
+    some = np.flatnonzero((others > 0) | (back > 0) | (root != ids))
+    return pa.table({"vec_id": pa.array(ids[some], pa.int64()), **{name: pa.array(x[some], pa.int64()) for name, x in (("others", others), ("back", back), ("root", root))}})
 
 
 def _search(dealt: DataFrame, beam: int, threshold: float) -> DataFrame:
-    """(vec_id, others: copies of the nodes linked with it in a part of its home cell, root: the smallest node that links lead to there)."""
+    """vec_id; others: copies of the nodes that it found in a part; back: of those that found it there; root: the smallest node that links lead to there."""
     own = lambda parts: F.pmod(F.xxhash64("vec_id"), F.col(parts)).cast("int")
     members = _parted(dealt, SHARD)
     built = members.withColumn("part", own("parts")).select("cell", "part", "vec_id", "embedding").groupBy("cell", "part").applyInArrow(lambda rows: build(rows, threshold), "vec_id bigint, near array<bigint>, close array<bigint>")
@@ -321,7 +325,7 @@ def _search(dealt: DataFrame, beam: int, threshold: float) -> DataFrame:
     held = every.withColumn("part", F.col("own")).withColumn("block", to).withColumn("held", F.lit(True)).withColumn("asks", F.col("home") & (F.col("block") == F.col("own")))
     asking = every.where("home AND parts > 1").withColumn("block", F.col("own")).withColumn("part", to).where("part <> own").withColumn("held", F.lit(False)).withColumn("asks", F.lit(True))
     columns = ["cell", "part", "block", "held", "asks", "vec_id", "copies", "near", "embedding"]
-    return held.select(columns).unionByName(asking.select(columns)).groupBy("cell", "part", "block").applyInArrow(lambda rows: find(rows, beam, threshold), "vec_id bigint, others bigint, root bigint")
+    return held.select(columns).unionByName(asking.select(columns)).groupBy("cell", "part", "block").applyInArrow(lambda rows: find(rows, beam, threshold), "vec_id bigint, others bigint, back bigint, root bigint")
 
 
 def _planted(nodes: DataFrame, threshold: float) -> DataFrame:
@@ -488,12 +492,15 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     for turn in range(TRIES):
         tries.append(_kept(_search(cells(nodes, n, overlap, threshold), beam, threshold).withColumn("turn", F.lit(turn))))
         found = reduce(DataFrame.unionByName, tries)
-        counts = _kept(found.groupBy("vec_id", "turn").agg(F.sum("others").alias("others")).groupBy("vec_id").agg(F.max("others").alias("others")))
+        # A link found from one end is found: the larger of the two counts is a lower bound.
+        sums = found.groupBy("vec_id", "turn").agg(F.sum("others").alias("others"), F.sum("back").alias("back"))
+        counts = _kept(sums.groupBy("vec_id").agg(F.max(F.greatest("others", "back")).alias("others")))
         recall = _audit(nodes, counts, threshold)
         _log.info("recall %.4f with %d cells and a beam of %d", recall, overlap, beam)
-        if recall >= AUDIT_RECALL:
+        if recall >= GOOD or turn and recall >= AUDIT_RECALL:
             break
-        overlap, beam = overlap * 2, beam * 2
+        # Cells that are dealt again must get smaller, so a node goes to half of the centres of a level at most.
+        overlap, beam = min(overlap * 2, max(OVERLAP, FAN // 2)), beam * 2
     else:
         _log.warning("all nodes that can be in range are compared")
         found = _exact(real, n, threshold)

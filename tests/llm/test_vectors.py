@@ -77,6 +77,7 @@ def exact(good, threshold=0.95):
 def test_one_search_finds_separate_groups(spark, monkeypatch, cut):
     monkeypatch.setattr(neardup_vectors, "TRIES", 1)
     monkeypatch.setattr(neardup_vectors, "AUDIT_RECALL", 0)
+    monkeypatch.setattr(neardup_vectors, "GOOD", 0)
     if cut:
         monkeypatch.setattr(neardup_vectors, "SHARD", 500)
     good = islands(5, 12, 80, 0.02)
@@ -115,7 +116,7 @@ def test_nothing_is_accepted_unseen(spark, monkeypatch):
     good = rare(600, 0, 16)
     got = neardup_vectors.linked(frame(spark, good)).collect()
     assert audits[-1] >= 0.99 and sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, 0, i) for i in range(600)]
-    monkeypatch.setattr(neardup_vectors, "_search", lambda *_: spark.createDataFrame([], "vec_id bigint, others bigint, root bigint"))
+    monkeypatch.setattr(neardup_vectors, "_search", lambda *_: spark.createDataFrame([], "vec_id bigint, others bigint, back bigint, root bigint"))
     audits.clear()
     neardup_vectors.linked(frame(spark, good)).collect()
     assert audits == [0.0] * neardup_vectors.TRIES
@@ -212,28 +213,78 @@ def recall(good, got):
 def test_nearest(spark, monkeypatch):
     monkeypatch.setattr(ann, "ROWS", 100)
     monkeypatch.setattr(ann, "QUERIES", 20)
-    monkeypatch.setattr(ann, "LEAST", 40)
     good = rows(2, 1500, 3, 30)
     got = neighbours(spark, frame(spark, [*good, *BAD]))
     assert set(got) == {i for i, _ in good if i % 20 == 0}
     assert recall(good, got) >= 0.9
 
 
-@pytest.mark.parametrize("dim", [64, 128, 768])
-def test_recall_without_clusters(spark, dim):
-    """Random directions, where no index prunes much: the search widens until it finds enough."""
-    x = np.random.default_rng(dim).normal(size=(1500, dim))
-    good = [*enumerate(np.float32(x / np.linalg.norm(x, axis=1, keepdims=True)).tolist())]
+def random_directions(n, dim):
+    x = np.random.default_rng(dim).normal(size=(n, dim))
+    return [*enumerate(np.float32(x / np.linalg.norm(x, axis=1, keepdims=True)).tolist())]
+
+
+@pytest.fixture
+def tuned(monkeypatch):
+    """What the measurement chose: pivots a query, and candidates."""
+    found, whole = [], ann._tuned
+    monkeypatch.setattr(ann, "_tuned", lambda *a: found.append(whole(*a)) or found[-1])
+    return found
+
+
+@pytest.mark.parametrize("dim", [64, 768])
+def test_recall_without_clusters(spark, dim, tuned):
+    """Random directions, where no index prunes much."""
+    good = random_directions(2000, dim)
     assert recall(good, neighbours(spark, frame(spark, good))) >= 0.9
+    assert dim > 64 or tuned[0][1] < 2000 / 5
+
+
+def test_candidates_fall_with_the_rows(spark, tuned):
+    """In random directions of 64 dimensions a query is compared with a falling share of the rows, far under a third."""
+    for n in (2500, 10_000):
+        good = random_directions(n, 64)
+        df = frame(spark, good)
+        assert recall(good, neighbours(spark, df, df.where("vec_id % 100 = 0"))) >= 0.9
+    small, large = tuned[0][1] / 2500, tuned[1][1] / 10_000
+    assert large < small and large < 0.1
+
+
+def test_footrule_decides(spark, monkeypatch):
+    """With the same files and as many candidates, orders that say nothing find far fewer."""
+    good = random_directions(2000, 64)
+    posts = ann._posts
+    monkeypatch.setattr(ann, "_tuned", lambda *_: (200, 200))
+    whole = recall(good, neighbours(spark, frame(spark, good)))
+
+    def same_order(rows, *more, query):
+        out = posts(rows, *more, query=query)
+        return out if query else out.withColumn("pivots", ann.F.lit(np.arange(ann.DEPTH, dtype="<u2").tobytes()))
+
+    monkeypatch.setattr(ann, "_posts", same_order)
+    assert recall(good, neighbours(spark, frame(spark, good))) < whole / 2 and whole > 0.85
+
+
+def test_files_of_pairs_and_triples(spark, monkeypatch):
+    """Where a pivot's file would hold too many, files are named by two or three pivots."""
+    good = rows(2, 1500, 3, 30)
+    df = frame(spark, good)
+    for full, size in ((50, 2), (1, 3)):
+        monkeypatch.setattr(ann, "FULL", full)
+        monkeypatch.setattr(ann, "PIVOTS", 24)
+        assert ann.grouping(len(good), 24)[0] == size
+        assert recall(good, neighbours(spark, df, df.where("vec_id % 100 = 0"))) >= 0.9
+    order = np.array([[5, 2, 9, 1]])
+    assert ann.files(order, 1).tolist() == [[5, 2, 9, 1]] and ann.files(order[:, :3], 2).tolist() == [[2 << 16 | 5, 5 << 16 | 9, 2 << 16 | 9]]
 
 
 def test_blind_search_ends_exact(spark, monkeypatch):
-    monkeypatch.setattr(ann, "VISITED", 1)
-    monkeypatch.setattr(ann, "LEAST", 1)
-    monkeypatch.setattr(ann, "SHARE", 1e-9)
-    monkeypatch.setattr(ann, "TARGET", 1.0)
+    monkeypatch.setattr(ann, "TARGET", 1.1)
+    monkeypatch.setattr(ann, "LEAST", 1.1)
+    monkeypatch.setattr(ann, "ROWS", 100)
+    monkeypatch.setattr(ann, "QUERIES", 7)
     good = rows(4, 400, 2, 30)
-    assert recall(good, neighbours(spark, frame(spark, good))) >= 0.9
+    assert recall(good, neighbours(spark, frame(spark, good))) == 1
 
 
 def test_more_copies_than_neighbours(spark):
