@@ -46,14 +46,17 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("profiles", help="JSON documents")
     a.add_argument("--table", help="the present version")
     a.add_argument("--out", required=True)
-    a.add_argument("--checkpoint-file", help="a checkpoint whose ids --resume leaves out")
+    a.add_argument("--checkpoint-file", help="a checkpoint whose ids --resume leaves out; the people harvested are added to it")
     a.add_argument("--resume", action="store_true")
+    a.add_argument("--retry-failed", action="store_true", help="only the people that the checkpoint lists as failed")
     a.add_argument("--limit", type=int)
+    a.add_argument("--dry-run", action="store_true")
     a = sub.add_parser("embed-profiles", help="vectors of people by their publications, by the offline embedder")
     a.add_argument("table")
     a.add_argument("--out", required=True)
     a.add_argument("--limit", type=int)
     a.add_argument("--min-publications", type=int, default=flows.MIN_PUBLICATIONS)
+    a.add_argument("--batch-size", type=int, default=1)
     a.add_argument("--dim", type=int, default=768)
     a = sub.add_parser("search-research", help="research like a text")
     a.add_argument("table")
@@ -137,18 +140,28 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         print(files.write_version(flows.updated(table, found).drop("id"), args.out))
     elif args.command == "harvest-profiles":
         rows = profiles.read(spark, args.profiles)
-        if args.resume and args.checkpoint_file:
-            done = files.processed(files.read_checkpoint(spark, args.checkpoint_file, files.PROFILE), "processed_sinta_ids", "sinta_id")
-            rows = select.new_keys(rows, done, "sinta_id")
+        known = files.read_checkpoint(spark, args.checkpoint_file, files.PROFILE) if args.checkpoint_file else None
+        if args.resume and known is not None:
+            rows = select.new_keys(rows, files.processed(known, "processed_sinta_ids", "sinta_id"), "sinta_id")
+        if args.retry_failed:
+            if known is None:
+                raise SystemExit("--retry-failed needs --checkpoint-file")
+            rows = rows.join(known.select(F.inline("failed_sinta_ids")).select("sinta_id").distinct(), "sinta_id", "left_semi")
         if args.limit is not None:
             rows = rows.orderBy("sinta_id").limit(args.limit)
         new = profiles.lecturers(rows)
-        print(files.write_version(merge.upsert_profiles(spark.read.parquet(args.table) if args.table else new.limit(0), new), args.out))
+        if args.dry_run:
+            new.select("sinta_id", "name", "dept").show(20)
+            return
+        path = files.write_version(merge.upsert_profiles(spark.read.parquet(args.table) if args.table else new.limit(0), new), args.out)
+        if known is not None:
+            files.replace_checkpoint(spark, args.checkpoint_file, files.harvested(known, new))
+        print(path)
     elif args.command == "embed-profiles":
         people = spark.read.parquet(args.table)
         if "expertise_vector" not in people.columns:
             people = people.withColumn("expertise_vector", F.lit(None).cast("array<float>"))
-        done = flows.embed_profiles(people, embedding.hashing_embedder(args.dim), "sinta_id", "sinta_id", args.limit, args.min_publications).where("error IS NULL")
+        done = flows.embed_profiles(people, embedding.hashing_embedder(args.dim), "sinta_id", "sinta_id", args.limit, args.min_publications, args.batch_size).where("error IS NULL")
         print(files.write_version(merge.update(people, done, "sinta_id", ["expertise_vector"]), args.out))
     elif args.command == "search-research":
         table = spark.read.parquet(args.table)
@@ -165,7 +178,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         query = embedding.hashing_embedder(size)([args.text])[0].tolist()
         vector.match(people, query, ["name", "dept", "research_count"], "expertise_vector", "name", args.threshold, args.k).show(args.k, truncate=False)
     else:
-        stats.embedding_stats(spark.read.parquet(args.research), spark.read.parquet(args.lecturers)).show()
+        people = spark.read.parquet(args.lecturers)
+        stats.embedding_stats(spark.read.parquet(args.research), people).show()
+        if {"sinta_id", "sinta_publications", "expertise_vector"} <= set(people.columns):
+            stats.profile_stats(people).show()
 
 
 if __name__ == "__main__":

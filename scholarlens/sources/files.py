@@ -54,3 +54,24 @@ def write_version(df: DataFrame, root: str) -> str:
 def write_checkpoint(spark: SparkSession, path: str, state: DataFrame) -> None:
     """``state`` (one row, as ``read_checkpoint`` gives it) as a JSON document; a progress log holds a large harvest."""
     state.coalesce(1).write.mode("overwrite").json(path)
+
+
+def replace_checkpoint(spark: SparkSession, path: str, state: DataFrame) -> None:
+    """``write_checkpoint`` where ``state`` may be made from what ``path`` holds: it is written beside it first."""
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    write_checkpoint(spark, beside, state)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    held = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    held.delete(place(path), True)
+    held.rename(place(beside), place(path))
+
+
+def harvested(checkpoint: DataFrame, done: DataFrame) -> DataFrame:
+    """A profile harvest's checkpoint (one row, or none yet) after the people ``done`` (sinta_id) were harvested: they are processed, and failed no more."""
+    none = F.array().cast("array<string>")
+    ids = done.select("sinta_id").distinct().agg(F.array_sort(F.collect_list("sinta_id")).alias("now"))
+    both = ids.join(checkpoint.limit(1), how="left")  # one row each
+    now = F.array_sort(F.array_union(F.coalesce("processed_sinta_ids", none), F.col("now")))
+    failed = F.filter(F.coalesce("failed_sinta_ids", F.array().cast("array<struct<sinta_id:string,error:string>>")), lambda f: ~F.array_contains(F.col("now"), f["sinta_id"]))
+    rows = both.withColumns({"processed_sinta_ids": now, "failed_sinta_ids": failed}).drop("now")
+    return rows.withColumns({"total_scraped": F.size("processed_sinta_ids").cast("bigint"), "total_failed": F.size("failed_sinta_ids").cast("bigint")})

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from scholarlens.__main__ import main
 from scholarlens.operators import embedding, merge, stats
-from scholarlens.sources import pdf, profiles
+from scholarlens.sources import files, pdf, profiles
 
 RECORD = """<record><header><identifier>oai:x:{i}</identifier><datestamp>2023-0{i}-01</datestamp></header><metadata><dc>
 <title>Study {i} of graphs</title><creator>Ana</creator><date>202{i}</date><subject>Fakultas X</subject><type>Master Thesis</type>
@@ -97,10 +97,15 @@ def test_enrich_recover_and_profiles(spark, tmp_path, capsys):
     assert got == {101: ["Had"], 102: ["Dr. Ana Budi"], 103: ["Carl Dewi Lestari"], 104: ["Dr. Mira Nur Hadi"], 105: None}
     (tmp_path / "p").mkdir()
     (tmp_path / "p" / "a.json").write_text("\n".join(f'{{"sinta_id": "{i}", "name": "P{i}", "publications": [{{"title": "A long enough title {i}", "source": "scopus", "year": 2020}}]}}' for i in range(3)))
-    (tmp_path / "c.json").write_text('{"processed_sinta_ids": ["1"]}')
+    (tmp_path / "c.json").write_text('{"processed_sinta_ids": ["1"], "failed_sinta_ids": [{"sinta_id": "2", "error": "x"}, {"sinta_id": "9", "error": "y"}], "current_page": 4}')
+    main(["harvest-profiles", str(tmp_path / "p"), "--out", str(tmp_path / "l"), "--checkpoint-file", str(tmp_path / "c.json"), "--retry-failed", "--dry-run"], spark)
+    shown = capsys.readouterr().out
+    assert "P2" in shown and "P0" not in shown and not (tmp_path / "l").exists()
     main(["harvest-profiles", str(tmp_path / "p"), "--out", str(tmp_path / "l"), "--checkpoint-file", str(tmp_path / "c.json"), "--resume"], spark)
     people = last()
-    main(["embed-profiles", people, "--out", str(tmp_path / "l"), "--dim", "8"], spark)
+    (state,) = files.read_checkpoint(spark, str(tmp_path / "c.json"), files.PROFILE).collect()
+    assert state.processed_sinta_ids == ["0", "1", "2"] and [f.sinta_id for f in state.failed_sinta_ids] == ["9"] and (state.total_scraped, state.total_failed, state.current_page) == (3, 1, 4)
+    main(["embed-profiles", people, "--out", str(tmp_path / "l"), "--dim", "8", "--batch-size", "2"], spark)
     assert {r.sinta_id: len(r.expertise_vector) for r in spark.read.parquet(last()).collect()} == {"0": 8, "2": 8}
 
 
