@@ -24,12 +24,14 @@ def new_keys(keys: DataFrame, table: DataFrame, key: str) -> DataFrame:
 
 
 def pending(df: DataFrame, vector: str, order: str, limit: int | None = None, least_publications: int | None = None) -> DataFrame:
-    """Rows whose vector is missing, in ``order``; with ``least_publications`` those with as many publications."""
+    """Rows whose vector is missing, the first ``limit`` by ``order``; with ``least_publications`` those with as many publications.
+
+    Without a limit there is nothing to choose, and no sort.
+    """
     out = df.where(F.col(vector).isNull())
     if least_publications is not None:
         out = out.where(F.size("sinta_publications") >= least_publications)
-    out = out.orderBy(order)
-    return out if limit is None else out.limit(limit)
+    return out if limit is None else out.orderBy(order).limit(limit)
 
 
 def without_supervisors(df: DataFrame, order: str, limit: int, limit_first: bool = False) -> DataFrame:
@@ -41,14 +43,14 @@ def without_supervisors(df: DataFrame, order: str, limit: int, limit_first: bool
 
 
 def harvest(urls: DataFrame, processed: DataFrame, divisions: list[str] | None = None, degree: str | None = None, limit: int | None = None) -> DataFrame:
-    """Links to fetch: of the named divisions (or those whose name holds the degree), not processed, each once."""
+    """Links to fetch: of the named divisions (or those whose name holds the degree), not processed, each once; the first ``limit`` by url."""
     out = urls
     if divisions:
         out = out.where(F.col("division").isin(divisions))
     if degree:
         out = out.where(F.contains(F.col("division"), F.lit(degree)))
-    out = out.groupBy("url").agg(F.min("division").alias("division")).join(processed.select("url"), "url", "left_anti").orderBy("url")
-    return out if limit is None else out.limit(limit)
+    out = out.groupBy("url").agg(F.min("division").alias("division")).join(processed.select("url"), "url", "left_anti")
+    return out if limit is None else out.orderBy("url").limit(limit)
 
 
 def with_tag(lecturers: DataFrame, tags: list[str]) -> DataFrame:

@@ -248,6 +248,11 @@ ORACLES: dict[str, str] = {
         l AS (SELECT source, max_by(n, island) AS consecutive, count(*) FILTER (n >= 20) AS pauses FROM r GROUP BY source)
         SELECT source, consecutive, pauses, consecutive >= 20 AS is_paused, CASE WHEN consecutive >= 20 THEN 'Network disconnected - 20 consecutive failures' END AS pause_reason FROM l
     """,
+    "paused_log": """
+        WITH l AS (SELECT 'all' AS log, event_type = 'error' AS failed, ts FROM events UNION ALL SELECT 'errors', true, ts FROM events WHERE event_type = 'error'),
+        n AS (SELECT log, count(*) FILTER (failed) AS n FROM (SELECT *, row_number() OVER (PARTITION BY log ORDER BY ts DESC) AS r FROM l) WHERE r <= 20 GROUP BY log)
+        SELECT log, n >= 20 AS is_paused, CASE WHEN n >= 20 THEN concat('Network disconnected - ', n, ' consecutive failures') END AS pause_reason FROM n
+    """,
     "arrivals_once": "SELECT event_type, count(*) AS n, count(*) AS urls FROM events GROUP BY event_type",
     "sql_upsert": """
         SELECT k::VARCHAR AS sinta_id, CASE WHEN k % 6 = 0 THEN concat('last ', c_name) WHEN k % 2 = 0 THEN concat('new ', c_name) ELSE c_name END AS name,

@@ -581,6 +581,13 @@ def harvest_pauses(spark, sf_dir):
     return harvest.last_states(spark, f"{root}/out").drop("at")
 
 
+def paused_log(spark, sf_dir):
+    """Whether two logs of attempts end in failures for want of a network: that of all events, and that of errors, which all fail."""
+    log = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("key"), (F.col("event_type") != "error").alias("ok"), F.concat(F.lit("net::ERR_CONNECTION_RESET "), "props").alias("error"), F.col("ts").alias("at"))
+    one = lambda name, rows: flows.paused(rows).select(F.lit(name).alias("log"), "is_paused", "pause_reason")
+    return one("all", log).unionByName(one("errors", log.where("NOT ok")))
+
+
 def arrivals_once(spark, sf_dir):
     """Events that arrive in four batches, some again in the next one, beside rows that come far too late."""
     events, quarter = _quarters(spark, sf_dir)
@@ -749,6 +756,6 @@ QUERIES = {
         supervisors_anywhere, supervisors_pdf, supervisors_bibtex, degree_norm, degree_oai, dept_oai, year_parse, id_from_url, confidence, confidence_hist, encoding_integrity, keyword_flags, embedding_input,
         expertise_text, publications_shape, tags_shape, tag_lookup, items_shape, h_index_lines, metadata_json, db_shape, csv_shape, merge_url, merge_keep_nonnull, merge_name, update_by_id, batch_counts,
         ids_union, remaining_ids, full_text, word_stems, full_text_ranked, full_text_top, enrich_record, vector_text, stream_ingest, clean_text_full, clean_record, html_fields, page_links, hashed_embedding, vec_topk_lsh, vec_lsh_recall, vec_index_recall, vec_index_updates,
-        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, harvest_pauses, arrivals_once, sql_search, sql_upsert, metadata_variant, dry_run, merge_updated, oai_records, oai_resume, oai_set, author_list, checkpoint_ids, network_errors,
+        enrich_flow, enrich_counts, recover_flow, profile_embed_flow, harvest_progress, stream_merge, stream_merge_sources, bucket_merge, harvest_pauses, paused_log, arrivals_once, sql_search, sql_upsert, metadata_variant, dry_run, merge_updated, oai_records, oai_resume, oai_set, author_list, checkpoint_ids, network_errors,
     )
 }
