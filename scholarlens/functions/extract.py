@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import constants as k
 from .literals import required
-from .text import fix_encoding, strip, strip_tags, whitespace
+from .text import fix_encoding, strip, strip_tags, upper_each, whitespace
 
 
 def _one_line(c: Column) -> Column:
@@ -83,8 +83,10 @@ def supervisors_pdf(text: Column) -> Column:
     return distinct_names(F.transform(found, lambda x: clean_name(x, "pdf")), 0)
 
 
-def degree(c: Column) -> Column:
-    low, out = F.lower(strip(c)), F.substring(F.upper(c), 1, 5)
+def degree(c: Column, each: bool = False) -> Column:
+    """With ``each`` letters change case one for one, as in SQL (ß to ẞ); without it some become two (SS)."""
+    low = F.lower(F.replace(strip(c), F.lit("İ"), F.lit("i")) if each else strip(c))
+    out = upper_each(F.substring(c, 1, 5)) if each else F.substring(F.upper(c), 1, 5)
     for word, value in reversed(k.DEGREES):
         out = F.when(F.contains(low, F.lit(word)), value).otherwise(out)
     return F.when(F.coalesce(c, F.lit("")) == "", "").otherwise(out)

@@ -36,6 +36,22 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+#: Letters whose upper case is more than one, and the one letter that stands for it: themselves, if there is none.
+_LONGER = [x for x in map(chr, range(0x20000)) if len(x.upper()) > 1]
+_ALONE = ["ẞ" if x == "ß" else x.title() if len(x.title()) == 1 else x for x in _LONGER]
+
+
+def upper_each(c: Column) -> Column:
+    """Upper case of each character by itself: a text keeps its length."""
+    one = lambda x: F.when(F.length(F.upper(x)) == 1, F.upper(x)).otherwise(F.translate(x, "".join(_LONGER), "".join(_ALONE)))
+    return F.array_join(F.transform(F.split(c, ""), one), "")
+
+
+def closed_entities(c: Column) -> Column:
+    """Markup in which entities count only with their semicolon; without it, a parser reads &amp as & too."""
+    return F.regexp_replace(c, r"&(?!(?:[A-Za-z][A-Za-z0-9]*|#[0-9]+|#[xX][0-9A-Fa-f]+);)", "&amp;")
+
+
 def strip_boilerplate(c: Column) -> Column:
     for pattern in BOILERPLATE:
         c = F.regexp_replace(c, pattern, "")

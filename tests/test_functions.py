@@ -140,3 +140,19 @@ def test_required_words(spark):
         found += len(hits)
         assert words and all(any(w in t.lower() for w in words) for t in hits)
     assert found > 1000
+
+
+@pytest.mark.parametrize("given_, each, want", [("straße", True, "STRAẞ"), ("weiß", True, "WEIẞ"), ("straße", False, "STRAS"), ("ŉǰ𐐨ab", True, "ŉǰ𐐀AB"), ("x DİPLOMA", True, "D3"), ("", True, "")])
+def test_degree_by_letters(spark, given_, each, want):
+    """As SQL has it, letters change case one for one."""
+    assert one(spark, extract.degree(F.col("c"), each), c=given_) == want
+
+
+def test_closed_entities(spark):
+    """As SQL has it, an entity ends with its semicolon; a parser by itself takes a cut one too."""
+    from scholarlens.sources import html
+
+    cut = "<h1>a &amp; b&amp;amp &#38; &#x26; &copy; &amp</h1>"
+    assert one(spark, text.clean_text(text.closed_entities(F.col("c"))), c=cut) == "a & b&amp & & © &amp"
+    assert one(spark, html.page_fields(text.closed_entities(F.col("c"))), c=cut).title == "a & b&amp & & © &amp"
+    assert one(spark, text.clean_text("c"), c=cut) == "a & b&amp & & © &"
