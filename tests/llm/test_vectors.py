@@ -278,6 +278,23 @@ def test_files_of_pairs_and_triples(spark, monkeypatch):
     assert ann.files(order, 1).tolist() == [[5, 2, 9, 1]] and ann.files(order[:, :3], 2).tolist() == [[2 << 16 | 5, 5 << 16 | 9, 2 << 16 | 9]]
 
 
+def test_a_query_has_no_more_files_than_pivots(spark, monkeypatch):
+    """In random directions pairs and triples would be many files for a query, so single pivots name them."""
+    good, asked, posts = random_directions(2000, 64), [], ann._posts
+    monkeypatch.setattr(ann, "FULL", 1)
+    monkeypatch.setattr(ann, "PIVOTS", 64)
+    assert ann.grouping(len(good), 64)[0] > 1
+
+    def counted(rows, *more, query):
+        out = posts(rows, *more, query=query)
+        asked.extend(r["count"] for r in out.groupBy("vec_id").count().collect() if query)
+        return out
+
+    monkeypatch.setattr(ann, "_posts", counted)
+    df = frame(spark, good)
+    assert recall(good, neighbours(spark, df, df.where("vec_id % 100 = 0"))) >= 0.9 and 0 < max(asked) <= 64
+
+
 def test_blind_search_ends_exact(spark, monkeypatch):
     monkeypatch.setattr(ann, "TARGET", 1.1)
     monkeypatch.setattr(ann, "LEAST", 1.1)
