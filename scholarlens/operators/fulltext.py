@@ -3,7 +3,8 @@
 Postings are stored in segments, one for each batch of documents, as partitions by bucket of the term and sorted by
 term within files: a search reads the buckets of its terms, and of their files the row groups that hold these terms.
 A document that is replaced or removed is listed as gone from the segment that had it; ``compact`` makes one segment
-of all. A term that every document has lies in as many files and tasks as the table has ``files``.
+of all. Documents are dealt over tasks by their key, in bounded portions, and each task has a file in every bucket: so a
+term that every document has lies in as many files as there are portions (``files`` at least).
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from scholarlens.functions import stem
 from scholarlens.sources.keyed import Files, KeyedTable
 
-from . import merge
-
 #: Saturation of a term's frequency, and weight of a document's length, in the rank (BM25).
 K1, B = 1.2, 0.75
+#: The bucket of a segment that holds the sizes of its documents; bytes of text and postings of a task, at most about.
+SIZES, TEXT, POSTS = -1, 8 << 20, 1_000_000
 
 
 class FullTextIndex:
@@ -50,44 +51,49 @@ class FullTextIndex:
         Rows without a key are left out; a key that repeats counts once. A batch of a stream counts once too: its
         segment bears its number, and is written again only if it was not listed before a failure.
         """
-        known = merge.latest(rows.where(F.col(self.key).isNotNull()).select(self.key, "text"), self.key, [F.col("text").desc()])
-        self._add(known, self._name(stream, number))
+        name = self._name(stream, number)
+        new = name not in self.live()
+        if new:
+            self._index(rows.where(F.col(self.key).isNotNull()).select(self.key, "text"), name)
+        self._list(self._stored("postings", self._postings, [name]).where(F.col("bucket") == SIZES).select(self.key, "size"), name, new)
 
     def remove(self, keys: DataFrame, stream: str | None = None, number: int = 0) -> None:
         """Takes documents out of the index."""
-        self._add(keys.select(self.key).where(F.col(self.key).isNotNull()).distinct(), self._name(stream, number))
+        name = self._name(stream, number)
+        self._list(keys.select(self.key).where(F.col(self.key).isNotNull()).distinct(), name, name not in self.live())
 
     @staticmethod
     def _name(stream: str | None, number: int) -> str:
         return uuid.uuid4().hex if stream is None else f"{stream}-{number:012d}"
 
-    def _add(self, known: DataFrame, name: str) -> None:
-        indexed = "text" in known.columns
-        sizes = known.select(self.key, *([F.size(stem.words(F.coalesce("text", F.lit("")))).alias("size")] if indexed else []))
-        if name not in self.live():
+    def _list(self, known: DataFrame, name: str, new: bool) -> None:
+        """Lists a segment and its documents: ``known`` are their keys, with sizes if they were indexed."""
+        indexed = "size" in known.columns
+        if new:
             old = self.documents.lookup(known)
             old.select(self.key, "born").write.mode("overwrite").parquet(self._path("gone", name))
-            if indexed:
-                self._write(self._terms(known, name), name)
             gone = old.agg(F.count("*").alias("gone_docs"), F.coalesce(F.sum("size"), F.lit(0)).alias("gone_words"))
-            held = sizes.agg(F.count("*").alias("docs"), F.coalesce(F.sum("size"), F.lit(0)).alias("words")) if indexed else self.spark.range(1).select(F.lit(0).cast("bigint").alias("docs"), F.lit(0).cast("bigint").alias("words"))
+            held = known.agg(F.count("*").alias("docs"), F.coalesce(F.sum("size"), F.lit(0)).alias("words")) if indexed else self.spark.range(1).select(F.lit(0).cast("bigint").alias("docs"), F.lit(0).cast("bigint").alias("words"))
             self.segments.merge(held.crossJoin(gone).select(F.lit(name).alias("segment"), "*"), lambda old, new: old.unionByName(new))  # one row each
         if indexed:
-            sizes = sizes.withColumn("born", F.lit(name))
+            sizes = known.withColumn("born", F.lit(name))
             self.documents.merge(sizes, lambda old, new: old.join(new, self.key, "left_anti").unionByName(new))
         else:
-            self.documents.merge(sizes, lambda old, new: old.join(new, self.key, "left_anti"))
+            self.documents.merge(known, lambda old, new: old.join(new, self.key, "left_anti"))
 
-    def _terms(self, known: DataFrame, name: str) -> DataFrame:
-        """A row for each word of each document."""
-        found = known.select(self.key, stem.words(F.col("text")).alias("w")).select(self.key, F.size("w").alias("size"), F.explode("w").alias("w"))
-        return found.select(stem.stem(F.col("w")).alias("term"), self.key, F.lit(1).cast("bigint").alias("tf"), "size", F.lit(name).alias("born"))
+    def _index(self, rows: DataFrame, name: str) -> None:
+        """One shuffle, of the texts by key: the words of a document are counted where it is. Each document has a row in bucket SIZES too."""
+        size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+        known = rows.repartition(max(self.files, -(-size // TEXT)), self.key).groupBy(self.key).agg(F.max("text").alias("text"))
+        found = known.select(self.key, stem.words(F.coalesce("text", F.lit(""))).alias("w"))
+        found = found.select(self.key, F.size("w").alias("size"), F.explode(F.concat(F.array(F.lit(None).cast("string")), "w")).alias("w"))
+        counted = found.select(self.key, "size", stem.stem(F.col("w")).alias("term")).groupBy(self.key, "size", "term").agg(F.count("*").alias("tf"))
+        self._write(counted.withColumn("born", F.lit(name)), name)
 
     def _write(self, rows: DataFrame, name: str) -> None:
-        """One shuffle: the counts are made where the buckets are. A bucket's documents are dealt over ``files`` tasks."""
-        dealt = rows.withColumn("bucket", self._bucket(F.col("term"))).withColumn("file", F.pmod(F.xxhash64(self.key), F.lit(self.files))).repartition("bucket", "file")
-        counted = dealt.groupBy("bucket", "file", "term", self.key, "size", "born").agg(F.sum("tf").alias("tf"))
-        counted.sortWithinPartitions("bucket", "term", self.key).select("term", self.key, "tf", "size", "born", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(self._path("postings", name))
+        """Writes each task's rows, sorted: it has a file in every bucket."""
+        dealt = rows.withColumn("bucket", F.when(F.col("term").isNull(), SIZES).otherwise(self._bucket(F.col("term"))))
+        dealt.sortWithinPartitions("bucket", "term", self.key).select("term", self.key, "tf", "size", "born", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(self._path("postings", name))
 
     def _stored(self, kind: str, schema: StructType, live: list[str]) -> DataFrame:
         files = Files(self.spark, f"{self.root}/{kind}")
@@ -106,6 +112,8 @@ class FullTextIndex:
         rows = self._stored("postings", self._postings, live)
         if terms is not None:
             rows = rows.where(F.col("bucket").isin(sorted(set(terms.values()))) & F.col("term").isin(sorted(terms)))
+        else:
+            rows = rows.where(F.col("bucket") != SIZES)
         gone = self._stored("gone", self._gone, live).select(self.key, "born")
         return rows.select("term", self.key, "tf", "size", "born").join(gone, [self.key, "born"], "left_anti")
 
@@ -130,7 +138,11 @@ class FullTextIndex:
     def compact(self) -> None:
         """All that is there as one segment. Batches that arrive meanwhile keep theirs; older segments stay until ``expire``."""
         live, name = self.live(), uuid.uuid4().hex
-        self._write(self.postings(), name)
+        rows = self._stored("postings", self._postings, live).where(F.col("bucket") != SIZES).drop("bucket", "segment")
+        gone = self._stored("gone", self._gone, live).groupBy(F.col(self.key).alias("_key")).agg(F.collect_set("born").alias("_borns"))
+        # All of a document meets in one task, so one shuffle is enough to leave out what is gone and to write.
+        dealt = rows.repartition(max(self.files, -(-rows.count() // POSTS)), self.key)
+        self._write(dealt.join(gone, (F.col(self.key) == F.col("_key")) & F.array_contains("_borns", F.col("born")), "left_anti"), name)
         counted = self.segments.read().where(F.col("segment").isin(live)).agg(F.lit(name).alias("segment"), F.sum(F.col("docs") - F.col("gone_docs")).alias("docs"), F.sum(F.col("words") - F.col("gone_words")).alias("words"), F.lit(0).cast("bigint").alias("gone_docs"), F.lit(0).cast("bigint").alias("gone_words"))
         self.segments.merge(counted, lambda old, new: old.where(~F.col("segment").isin(live)).unionByName(new))
 

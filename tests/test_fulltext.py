@@ -114,3 +114,19 @@ def test_inflected_words_meet(spark, index):
     index.add(frame(spark, {1: "Pembelajaran mesin", 2: "mempelajari bukunya", 3: "buku", 4: None}))
     assert [r.id for r in index.search("belajar buku").collect()] == [2]
     assert sorted(r.id for r in index.search("pelajar", k=None).collect()) == [1, 2]
+
+
+def test_tasks_are_bounded(spark, index, monkeypatch):
+    """More text is more tasks, in a batch and in ``compact``: no bucket is one task's whatever its size."""
+    from scholarlens.operators import fulltext
+
+    monkeypatch.setattr(fulltext, "TEXT", 300, raising=False)
+    monkeypatch.setattr(fulltext, "POSTS", 100, raising=False)
+    docs = texts(80)
+    index.add(frame(spark, docs))
+    bucket = index.terms("cat")["cat"]
+    parts = lambda: sum(f"/bucket={bucket}/" in f for f in index.postings({"cat": bucket}).inputFiles())
+    assert parts() > 2 * index.files
+    index.compact()
+    assert parts() > 2 * index.files
+    agree(index.search("cat dog", k=None), brute(docs, ["cat", "dog"], True))
