@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -21,8 +22,10 @@ from . import merge, vector
 
 #: Cells at most (their centroids are held whole by the driver and every task), and sample vectors for each cell.
 MOST_CELLS, SAMPLE = 16_384, 64
-#: Vectors and queries that are compared together.
-ROWS, QUERIES, SLICE = 8192, 2048, 256
+#: Vectors and queries that meet in a tile, and how many of them are compared at a time: SLICE * BLOCK scores are held, 4 MB.
+ROWS, QUERIES, SLICE, BLOCK = 8192, 2048, 256, 2048
+#: The same vectors' matrix products differ by less, from one place or size of a matrix to another.
+ROUNDING = 1e-11
 
 
 def usable(v: Column) -> Column:
@@ -41,6 +44,11 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Each place's distance from the first one of its value."""
+    return np.arange(len(ordered)) - np.searchsorted(ordered, ordered)
+
+
 class VectorIndex:
     """Rows of ``schema`` by ``key``, each with a ``vector``, below ``root``."""
 
@@ -76,11 +84,32 @@ class VectorIndex:
             import pandas as pd
 
             numbers, centres = held.value
-            score = _unit(np.stack(vectors.to_numpy())) @ centres.T
-            return pd.Series(list(numbers[np.argsort(-score, axis=1, kind="stable")[:, :n]].astype(np.int32)))
+            step, found = max(1, SLICE * BLOCK // len(centres)), []
+            for at in range(0, len(vectors), step):
+                score = _unit(np.stack(vectors.iloc[at : at + step].to_numpy())) @ centres.T
+                found += list(numbers[np.argsort(-score, axis=1, kind="stable")[:, :n]].astype(np.int32))
+            return pd.Series(found)
 
         return F.pandas_udf(nearest, "array<int>")(v)
 
+    def _place(self, v: Column, cell: Column) -> Column:
+        """Which nearest cell of a usable vector, from 0, a cell is: where ``_nearest`` would name it."""
+        held = self.spark.sparkContext.broadcast(self.centroids())
+
+        def place(vectors, cells):
+            import pandas as pd
+
+            numbers, centres = held.value
+            step, found = max(1, SLICE * BLOCK // len(centres)), []
+            for at in range(0, len(vectors), step):
+                score = _unit(np.stack(vectors.iloc[at : at + step].to_numpy())) @ centres.T
+                own = np.searchsorted(numbers, cells.iloc[at : at + step].to_numpy())[:, None]
+                least = np.take_along_axis(score, own, axis=1)
+                found.append((score > least).sum(axis=1) + ((score == least) & (np.arange(len(numbers)) < own)).sum(axis=1))
+            return pd.Series(np.concatenate(found) if found else [], dtype="int32")
+
+        return F.pandas_udf(place, "int")(v, cell)
+
     def upsert(self, rows: DataFrame, stream: str | None = None, number: int = 0) -> None:
         """Adds ``rows``, in place of those with their keys. A row without a usable vector only removes.
 
@@ -122,10 +151,17 @@ class VectorIndex:
         """query_id, rank, key, similarity, cell of the ``k`` nearest rows in the ``probes`` nearest cells of each of ``queries`` (query_id, vector).
 
         Queries and rows of a cell meet in tiles of bounded size, however many there are of either, and a tile gives at
-        most k rows for a query. Ties go to the smaller key. Queries without a usable vector find nothing.
+        most k rows for a query. Within a tile a block of rows is compared with a slice of queries at a time, so a task
+        holds no more scores for a full tile than for a small one. Ties go to the smaller key: matrix products only
+        choose, and what they choose is scored again row by row, so that equal vectors score the same wherever they
+        are. Queries without a usable vector find nothing.
         """
         asked = queries.where(usable(F.col("vector"))).select("query_id", F.transform("vector", lambda x: x.cast("double")).alias("vector"))
-        asked = asked.select("query_id", "vector", F.explode(self._nearest(F.col("vector"), probes)).alias("cell"))
+        cells = self.spark.read.schema("cell int").parquet(f"{self.root}/centroids")
+        if probes < cells.count():
+            asked = asked.select("query_id", "vector", F.explode(self._nearest(F.col("vector"), probes)).alias("cell"))
+        else:  # no vector needs a list of all cells: at most MOST_CELLS
+            asked = asked.crossJoin(F.broadcast(cells))
         rows = self.cells.read().select(F.col(self.key).alias("key"), F.transform(self.vector, lambda x: x.cast("double")).alias("vector"), "cell")
         count = lambda df, n, name: df.groupBy("cell").agg(F.ceil(F.count("*") / n).cast("int").alias(name))
         # One row for each cell: at most MOST_CELLS.
@@ -138,17 +174,27 @@ class VectorIndex:
         def compared(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows or not right.num_rows:
                 return pa.table({"query_id": left.column("query_id")[:0], "key": right.column("key")[:0], "similarity": pa.array([], pa.float64()), "cell": pa.array([], pa.int32())})
-            right = right.sort_by("key")
-            vectors, asks, found = _unit(_matrix(right.column("vector"))), _unit(_matrix(left.column("vector"))), []
-            for at in range(0, len(asks), SLICE):
-                score = asks[at : at + SLICE] @ vectors.T
-                least = np.partition(score, max(0, len(vectors) - k), axis=1)[:, max(0, len(vectors) - k)]
-                for i, (s, low) in enumerate(zip(score, least, strict=True), at):
-                    near = np.flatnonzero(s >= low)
-                    near = near[np.lexsort((near, -s[near]))][:k]
-                    found.append((np.full(len(near), i), near, s[near]))
-            i, j, s = (np.concatenate(x) for x in zip(*found, strict=True))
-            return pa.table({"query_id": left.column("query_id").take(pa.array(i)), "key": right.column("key").take(pa.array(j)), "similarity": pa.array(s), "cell": pa.array(np.full(len(i), left.column("cell")[0].as_py(), np.int32))})
+            order, vectors = pc.sort_indices(right.column("key")).to_numpy(), _matrix(right.column("vector"))
+            asks = _unit(_matrix(left.column("vector")))
+            best = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)) for _ in range(0, len(asks), SLICE)]  # query of the slice, place in the order, similarity
+            for start in range(0, len(order), BLOCK):
+                block = _unit(vectors[order[start : start + BLOCK]])
+                for n, (i, j, s) in enumerate(best):
+                    ask = asks[n * SLICE : (n + 1) * SLICE]
+                    score, last, full = ask @ block.T, max(0, len(block) - k), _runs(i) == k - 1
+                    least = np.full((len(ask), 1), -np.inf)
+                    least[i[full], 0] = s[full] - ROUNDING
+                    near = score >= least
+                    if near.sum() > 4 * k * len(ask):  # earlier blocks leave too many: the best of this one only
+                        near &= score >= np.partition(score, last, axis=1)[:, last : last + 1] - ROUNDING
+                    a, b = np.nonzero(near)
+                    again = [(ask[a[c : c + BLOCK]] * block[b[c : c + BLOCK]]).sum(axis=1) for c in range(0, len(a), BLOCK)]
+                    i, j, s = np.concatenate([i, a]), np.concatenate([j, b + start]), np.concatenate([s, *again])
+                    first = np.lexsort((j, -s, i))
+                    first = first[_runs(i[first]) < k]
+                    best[n] = i[first], j[first], s[first]
+            i, j, s = np.concatenate([i + n * SLICE for n, (i, _, _) in enumerate(best)]), np.concatenate([j for _, j, _ in best]), np.concatenate([s for _, _, s in best])
+            return pa.table({"query_id": left.column("query_id").take(pa.array(i)), "key": right.column("key").take(pa.array(order[j])), "similarity": pa.array(s), "cell": pa.array(np.full(len(i), left.column("cell")[0].as_py(), np.int32))})
 
         kinds = f"query_id {queries.schema['query_id'].dataType.simpleString()}, key {self.cells.schema[self.key].dataType.simpleString()}, similarity double, cell int"
         near = asked.groupBy("cell", "a", "b").cogroup(rows.groupBy("cell", "a", "b")).applyInArrow(compared, kinds)
@@ -161,8 +207,9 @@ class VectorIndex:
         A neighbour is found if its cell is probed, so one exact search tells the recall of every number of cells.
         """
         cells = len(self.centroids()[0])
-        order = queries.where(usable(F.col("vector"))).select("query_id", F.posexplode(self._nearest(F.transform("vector", lambda x: x.cast("double")), cells)).alias("place", "cell"))
-        places = self.search_many(queries, k, cells).join(order, ["query_id", "cell"]).groupBy("place").agg(F.count("*").alias("n")).orderBy("place").collect()
+        asked = queries.where(usable(F.col("vector"))).select("query_id", F.transform("vector", lambda x: x.cast("double")).alias("vector"))
+        found = self.search_many(queries, k, cells).join(asked, "query_id")
+        places = found.groupBy(self._place(F.col("vector"), F.col("cell")).alias("place")).agg(F.count("*").alias("n")).orderBy("place").collect()
         total, held = sum(r.n for r in places), 0
         for r in places:  # one row for each place: at most MOST_CELLS
             held += r.n
